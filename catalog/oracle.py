@@ -162,8 +162,8 @@ ORACLE: dict[str, str] = {
         QUALIFY dense_rank() OVER (PARTITION BY state_clean, city_clean
                                    ORDER BY state DESC, city DESC) = 1""",
     "dq_null_keys": " UNION ALL ".join(
-        f"SELECT '{c}' AS column_name, count_if({c} IS NULL)::BIGINT AS null_count, "
-        f"count_if({c} = '')::BIGINT AS blank_count FROM ({_raw('lineitem')})"
+        f"SELECT '{c}' AS column_name, count(*) FILTER (WHERE {c} IS NULL) AS null_count, "
+        f"count(*) FILTER (WHERE {c} = '') AS blank_count FROM ({_raw('lineitem')})"
         for c in (*LOCATIONS.group_by, "country", "phone")
     ),
     "dq_duplicate_rows": """
@@ -185,8 +185,8 @@ ORACLE: dict[str, str] = {
         FROM lineitem""",
     "dq_date_range": """
         SELECT min(o_orderdate) AS first_value, max(o_orderdate) AS last_value,
-               count_if(o_orderdate < TIMESTAMP '1996-01-01'
-                        OR o_orderdate > TIMESTAMP '2000-12-31')::BIGINT AS out_of_range
+               count(*) FILTER (WHERE o_orderdate < TIMESTAMP '1996-01-01'
+                                OR o_orderdate > TIMESTAMP '2000-12-31') AS out_of_range
         FROM orders""",
     "dq_required_columns": """
         SELECT 'event_id' AS column_name, count(*) AS records, false AS missing FROM events
@@ -210,10 +210,10 @@ ORACLE: dict[str, str] = {
         WITH raw AS ({_raw('lineitem')})
         SELECT 'null_keys' AS check_name, 'id' AS subject, CAST(0 AS BIGINT) AS bad_rows,
                true AS passed
-        UNION ALL SELECT 'null_keys', 'city', count_if(city IS NULL)::BIGINT, true FROM raw
-        UNION ALL SELECT 'null_keys', 'state', count_if(state IS NULL)::BIGINT, true FROM raw
-        UNION ALL SELECT 'blank_keys', 'id', count_if(id = '')::BIGINT, true FROM raw
-        UNION ALL SELECT 'blank_keys', 'phone', count_if(phone = '')::BIGINT, true FROM raw
+        UNION ALL SELECT 'null_keys', 'city', count(*) FILTER (WHERE city IS NULL), true FROM raw
+        UNION ALL SELECT 'null_keys', 'state', count(*) FILTER (WHERE state IS NULL), true FROM raw
+        UNION ALL SELECT 'blank_keys', 'id', count(*) FILTER (WHERE id = ''), true FROM raw
+        UNION ALL SELECT 'blank_keys', 'phone', count(*) FILTER (WHERE phone = ''), true FROM raw
         UNION ALL SELECT 'duplicates', 'id', count(*) - count(DISTINCT id), true FROM raw
         UNION ALL SELECT 'types', 'postal_code:double', 0, true
         UNION ALL SELECT 'date_range', 'o_orderdate', 0, true""",

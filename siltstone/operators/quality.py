@@ -107,9 +107,9 @@ def date_range(df: DataFrame, column: str, earliest: Column, latest: Column) ->
 
 
 def non_empty(df: DataFrame, subject: str) -> DataFrame:
-    """Whether there is any row; stops at the first."""
-    found = df.limit(1).agg(F.count("*").alias("n"))
-    return found.select(F.lit(subject).alias("subject"), (F.col("n") > 0).alias("non_empty"))
+    """Whether there is any row. Runs partition by partition and stops at the first row."""
+    row = (subject, not df.isEmpty())
+    return df.sparkSession.createDataFrame([row], "subject string, non_empty boolean")
 
 
 def layout(silver: DataFrame, spec: LayerSpec) -> DataFrame:

@@ -8,6 +8,9 @@ from pyspark.sql import functions as F
 
 from siltstone.spec import LayerSpec
 
+# Fixed value: the directory Spark gives to empty keys. A key that is spelled so goes there too.
+_EMPTY_KEY = "__HIVE_DEFAULT_PARTITION__"
+
 
 def write_silver(
     df: DataFrame,
@@ -24,8 +27,9 @@ def write_silver(
     The whole dataset is replaced, or, with ``keep_other_leaves``, only the leaves in ``df``.
     """
     rows = Observation()
+    keyed = df.replace(_EMPTY_KEY, "", subset=list(spec.clean_keys))
     # Counted behind the shuffle: there, a task that runs again does not count twice.
-    balanced = df.hint("rebalance", *spec.clean_keys).observe(rows, F.count(F.lit(1)).alias("n"))
+    balanced = keyed.hint("rebalance", *spec.clean_keys).observe(rows, F.count(F.lit(1)).alias("n"))
     (
         balanced.write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic" if keep_other_leaves else "static")

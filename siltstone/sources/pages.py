@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from siltstone.runtime import checkpointed
+
 # Numbering starts at 1, and this status means success.
 FIRST_PAGE = 1
 STATUS_OK = 200
@@ -85,13 +87,11 @@ def page_progress(pages: DataFrame) -> DataFrame:
     """Records per page and records so far, ``(page, n, running_total)``.
 
     A single ordered window would send every page to one task. Pages are summed in blocks first:
-    only the block totals (one row per 65,536 pages) pass through an unpartitioned window.
+    only the block totals (one row per 65,536 pages) pass through an unpartitioned window. The
+    counts, two numbers per page, are set down first, so that bodies are read once.
     """
-    counted = pages.select(
-        "page",
-        F.json_array_length("body").cast("long").alias("n"),
-        F.floor(F.col("page") / _BLOCK).alias("block"),
-    )
+    counts = checkpointed(pages.select("page", F.json_array_length("body").cast("long").alias("n")))
+    counted = counts.withColumn("block", F.floor(F.col("page") / _BLOCK))
     so_far = Window.orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
     offsets = (
         counted.groupBy("block")

@@ -12,13 +12,17 @@ _PROBE_ROWS = 1000
 
 
 def read_json_lines(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """One record per line: splittable, and parsed only for the columns in use."""
-    return spark.read.schema(schema).json(path)
+    """One record per line: splittable, and parsed only for the columns in use.
+
+    As in all readers here, text that does not parse fails the query; no record turns to nulls.
+    """
+    return spark.read.schema(schema).option("mode", "FAILFAST").json(path)
 
 
 def read_json_arrays(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """Documents that hold an array of records over many lines. A document is one task's work."""
-    return spark.read.schema(schema).option("multiLine", True).json(path)
+    reader = spark.read.schema(schema).option("mode", "FAILFAST")
+    return reader.option("multiLine", True).json(path)
 
 
 def read_union_of_keys(spark: SparkSession, path: str, arrays: bool = False) -> DataFrame:
@@ -27,8 +31,8 @@ def read_union_of_keys(spark: SparkSession, path: str, arrays: bool = False) ->
     Costs a pass over the whole input to find the keys; pass a schema to the other readers
     where the keys are known.
     """
-    reader = spark.read.option("primitivesAsString", True).option("multiLine", arrays)
-    return reader.json(path)
+    reader = spark.read.option("mode", "FAILFAST").option("primitivesAsString", True)
+    return reader.option("multiLine", arrays).json(path)
 
 
 def key_presence(lines: DataFrame, expected: Sequence[str]) -> DataFrame:
@@ -44,15 +48,16 @@ def key_presence(lines: DataFrame, expected: Sequence[str]) -> DataFrame:
 def missing_keys(lines: DataFrame, expected: Sequence[str]) -> list[str]:
     """Expected keys that no record carries; none for an input without records.
 
-    A key seen once is present, so the first rows settle the usual case. Only keys not seen
-    there cost a pass over everything.
+    A key seen once is present, so a few rows settle the usual case. Only keys not among them
+    cost a pass over everything.
     """
     keys = lines.select(F.json_object_keys("value").alias("keys"))
-    seen = {k: F.bool_or(F.coalesce(F.array_contains("keys", k), F.lit(False))) for k in expected}
-    missing = list(expected)
-    for part in (keys.limit(_PROBE_ROWS), keys):
-        found = part.agg(*[seen[k].alias(k) for k in missing]).first()
-        missing = [k for k in missing if found[k] is False]
-        if not missing:
-            break
-    return missing
+    probe = keys.take(_PROBE_ROWS)
+    seen = {k for row in probe for k in row["keys"] or ()}
+    missing = [k for k in expected if k not in seen]
+    if not missing or len(probe) < _PROBE_ROWS:
+        return missing if probe else []
+    found = keys.agg(
+        *[F.bool_or(F.array_contains("keys", k)).alias(k) for k in missing]
+    ).first()
+    return [k for k in missing if not found[k]]

@@ -1,0 +1,143 @@
+"""Readers: dirty records, array documents, drift, odd keys, layouts written elsewhere."""
+
+from __future__ import annotations
+
+import json
+from pathlib import Path
+
+import pandas as pd
+import pytest
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
+from pyspark.sql import types as T
+
+from siltstone.operators.cleaning import with_clean_keys
+from siltstone.sinks.layers import write_silver
+from siltstone.sources.layers import (
+    read_leaf_files,
+    read_merged,
+    read_silver,
+    read_silver_or_none,
+)
+from siltstone.sources.records import (
+    key_presence,
+    missing_keys,
+    read_json_arrays,
+    read_json_lines,
+    read_union_of_keys,
+)
+from siltstone.spec import LOCATIONS
+
+RECORDS = [
+    {"id": "1", "name": "Ünïcode 漢", "state": "A", "tags": ["x", {"y": 1}], "longitude": -1.5},
+    {"id": 2, "name": None, "state": "", "phone": 555},
+    {"id": "3", "extra": {"deep": True}},
+]
+TEXT = T.StructType([T.StructField(c, T.StringType()) for c in ("id", "name", "state", "phone")])
+
+
+def _array_file(folder, records, **how):
+    path = Path(folder) / "raw.json"
+    path.write_text(json.dumps(records, **how), encoding="utf-8")
+    return str(path)
+
+
+def _lines_file(folder, lines):
+    path = Path(folder) / "raw.jsonl"
+    path.write_text("\n".join(lines), encoding="utf-8")
+    return str(path)
+
+
+@pytest.mark.parametrize("ascii_only", [True, False])
+def test_array_document(spark, fresh, ascii_only):
+    path = _array_file(fresh, RECORDS, indent=4, ensure_ascii=ascii_only)
+    rows = {r["id"]: r for r in read_json_arrays(spark, path, TEXT).collect()}
+    assert rows["1"]["name"] == "Ünïcode 漢"
+    assert (rows["2"]["name"], rows["2"]["state"], rows["2"]["phone"]) == (None, "", "555")
+    assert (rows["3"]["name"], rows["3"]["state"]) == (None, None)
+
+
+def test_empty_array_document(spark, fresh):
+    assert read_json_arrays(spark, _array_file(fresh, []), TEXT).count() == 0
+
+
+def test_union_of_keys(spark, fresh):
+    path = _array_file(fresh, RECORDS, indent=2)
+    found = read_union_of_keys(spark, path, arrays=True)
+    assert set(found.columns) == {"id", "name", "state", "tags", "longitude", "phone", "extra"}
+    assert found.filter("id = '3'").first()["name"] is None
+
+
+def test_text_that_does_not_parse_fails(spark, fresh):
+    path = _lines_file(fresh, ['{"id": "1"}', '{"id": "2'])
+    with pytest.raises((PySparkException, Py4JJavaError)):
+        read_json_lines(spark, path, TEXT).collect()
+
+
+def test_missing_keys_and_presence(spark, fresh):
+    path = _lines_file(fresh, [json.dumps(r) for r in RECORDS])
+    lines = spark.read.text(path)
+    assert missing_keys(lines, ["id", "phone", "city"]) == ["city"]
+    found = {r["column_name"]: (r["records"], r["missing"]) for r in key_presence(lines, ["id", "name", "city"]).collect()}
+    assert found == {"id": (3, False), "name": (2, False), "city": (0, True)}
+
+
+def test_missing_keys_looks_beyond_the_first_rows(spark, fresh):
+    lines = ['{"id": "1"}'] * 3000 + ['{"id": "2", "late": 1}']
+    frame = spark.read.text(_lines_file(fresh, lines))
+    assert missing_keys(frame, ["id", "late", "never"]) == ["never"]
+
+
+def test_no_record_misses_nothing(spark, fresh):
+    assert missing_keys(spark.read.text(_lines_file(fresh, [])), ["id"]) == []
+
+
+def test_merged_schema(spark, fresh):
+    spark.createDataFrame([(1, "a")], "k int, x string").write.parquet(f"{fresh}/d")
+    spark.createDataFrame([(2, 2.0)], "k int, y double").write.mode("append").parquet(f"{fresh}/d")
+    rows = sorted(tuple(r) for r in read_merged(spark, f"{fresh}/d").select("k", "x", "y").collect())
+    assert rows == [(1, "a", None), (2, None, 2.0)]
+
+
+ODD_KEYS = ["", "01", "A B", "é?", "x/y", "2020-01-01", "__HIVE_DEFAULT_PARTITION__", "a=b", "%41"]
+
+
+def _silver_rows(spark, states):
+    rows = [tuple(["id", "n", "t", "s", "c", s, "p", "u", 1.0, None, "", ""]) for s in states]
+    schema = T.StructType(LOCATIONS.silver_schema.fields[: len(LOCATIONS.columns)])
+    return with_clean_keys(spark.createDataFrame(rows, schema), LOCATIONS)
+
+
+def test_odd_keys_survive_the_round_trip(spark, fresh):
+    write_silver(_silver_rows(spark, ODD_KEYS), f"{fresh}/s", LOCATIONS)
+    silver = read_silver(spark, f"{fresh}/s", LOCATIONS)
+    assert sorted(r["state"] for r in silver.collect()) == sorted(ODD_KEYS)
+    keys = {r["state"]: r["state_clean"] for r in silver.collect()}
+    assert (keys["01"], keys[""], keys["x/y"], keys["é?"]) == ("01", "", "x_y", "é_")
+
+
+def test_partition_filter_reaches_the_scan(spark, fresh, capsys):
+    write_silver(_silver_rows(spark, ODD_KEYS), f"{fresh}/s", LOCATIONS)
+    leaf = read_silver(spark, f"{fresh}/s", LOCATIONS).filter("state_clean = 'x_y'")
+    assert [r["state"] for r in leaf.collect()] == ["x/y"]
+    leaf.explain()
+    plan = capsys.readouterr().out
+    assert "x_y" in plan.split("PartitionFilters: [")[1].split("]")[0]
+
+
+def test_leaf_files_with_the_columns_inside(spark, fresh):
+    frame = pd.DataFrame([dict.fromkeys(LOCATIONS.strings, "v") | {"longitude": 1.0, "latitude": None}])
+    for state, folder in (("x/y", "x_y"), ("", ""), ("01", "01")):
+        leaf = Path(fresh) / f"state={folder}" / "city=c"
+        leaf.mkdir(parents=True)
+        rows = frame.assign(state=state, latitude=frame["latitude"].astype("float64"))
+        rows.to_parquet(leaf / "data.parquet", index=False)
+    found = read_leaf_files(spark, fresh, LOCATIONS)
+    assert found.columns == list(LOCATIONS.columns)
+    assert sorted(r["state"] for r in found.collect()) == ["", "01", "x/y"]
+
+
+def test_absent_and_empty_silver(spark, fresh):
+    assert read_silver_or_none(spark, f"{fresh}/nowhere", LOCATIONS) is None
+    write_silver(_silver_rows(spark, ["A"]).limit(0), f"{fresh}/s", LOCATIONS)
+    assert read_silver_or_none(spark, f"{fresh}/s", LOCATIONS) is None
