@@ -210,10 +210,11 @@ ORACLE: dict[str, str] = {
         WITH raw AS ({_raw('lineitem')})
         SELECT 'null_keys' AS check_name, 'id' AS subject, CAST(0 AS BIGINT) AS bad_rows,
                true AS passed
-        UNION ALL SELECT 'null_keys', 'city', count(*) FILTER (WHERE city IS NULL), true FROM raw
+        UNION ALL SELECT 'null_keys', 'phone', 0, true
         UNION ALL SELECT 'null_keys', 'state', count(*) FILTER (WHERE state IS NULL), true FROM raw
         UNION ALL SELECT 'blank_keys', 'id', count(*) FILTER (WHERE id = ''), true FROM raw
         UNION ALL SELECT 'blank_keys', 'phone', count(*) FILTER (WHERE phone = ''), true FROM raw
+        UNION ALL SELECT 'blank_keys', 'state', count(*) FILTER (WHERE state = ''), true FROM raw
         UNION ALL SELECT 'duplicates', 'id', count(*) - count(DISTINCT id), true FROM raw
         UNION ALL SELECT 'types', 'postal_code:double', 0, true
         UNION ALL SELECT 'date_range', 'o_orderdate', 0, true""",

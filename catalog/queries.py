@@ -44,6 +44,9 @@ def query(function: Query) -> Query:
     return function
 
 
+# A bound that no table reaches: the report is the result here, not the verdict.
+MANY = 2**62
+
 EVENT_RECORD = "event_id bigint, user_id bigint, event_type string, value double"
 
 
@@ -456,11 +459,9 @@ def dq_gate_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     raw = raw_locations(spark, sf_dir, "lineitem")
     orders = table(spark, sf_dir, "orders")
     bounds = [F.lit(day).cast("timestamp_ntz") for day in ("1995-01-01", "2030-01-01")]
-    most = raw.count()
     return quality.gate(
-        quality.report_nulls(raw, ["id", "city", "state"], allowed=most),
-        quality.report_blanks(raw, ["id", "phone"], allowed=most),
-        quality.report_duplicates(raw, ["id"], allowed=most),
+        quality.report_missing(raw, ["id", "phone", "state"], MANY, MANY),
+        quality.report_duplicates(raw, ["id"], allowed=MANY),
         quality.report_types(raw, {"postal_code": ["double"]}),
         quality.report_date_range(orders, "o_orderdate", *bounds),
     )

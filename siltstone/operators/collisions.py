@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from siltstone.operators.aggregates import leaf_manifest
 from siltstone.operators.cleaning import with_clean_keys
-from siltstone.runtime import broadcast_if_small, checkpointed
+from siltstone.runtime import broadcast_if_small, checkpointed, has_rows
 from siltstone.spec import LayerSpec
 
 
@@ -46,7 +46,7 @@ def keep_last_pair(df: DataFrame, spec: LayerSpec) -> DataFrame:
         .filter(~pair.eqNullSafe(F.col("last_pair")))
         .select(*[F.col(c).alias(n) for c, n in zip(spec.partition_by, lost_names, strict=True)])
     )
-    if lost.isEmpty():
+    if not has_rows(lost):
         return df
     same = [
         F.col(c).eqNullSafe(F.col(n)) for c, n in zip(spec.partition_by, lost_names, strict=True)

@@ -7,6 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 
+from siltstone.runtime import has_rows
 from siltstone.spec import LayerSpec
 
 REPORT_SCHEMA = "check_name string, subject string, bad_rows bigint, passed boolean"
@@ -107,8 +108,8 @@ def date_range(df: DataFrame, column: str, earliest: Column, latest: Column) ->
 
 
 def non_empty(df: DataFrame, subject: str) -> DataFrame:
-    """Whether there is any row. Runs partition by partition and stops at the first row."""
-    row = (subject, not df.isEmpty())
+    """Whether there is any row; stops at the first."""
+    row = (subject, has_rows(df))
     return df.sparkSession.createDataFrame([row], "subject string, non_empty boolean")
 
 
@@ -133,14 +134,27 @@ def _report(df: DataFrame, check: str, subject: Column, bad: Column, allowed: in
     )
 
 
-def report_nulls(df: DataFrame, columns: Sequence[str], allowed: int = 0) -> DataFrame:
-    counts = null_and_blank_counts(df, columns)
-    return _report(counts, "null_keys", F.col("column_name"), F.col("null_count"), allowed)
-
-
-def report_blanks(df: DataFrame, columns: Sequence[str], allowed: int = 0) -> DataFrame:
+def report_missing(
+    df: DataFrame,
+    columns: Sequence[str],
+    allowed_nulls: int = 0,
+    allowed_blanks: int | None = None,
+) -> DataFrame:
+    """Nulls per column; blanks too, if a bound for them is given. One pass for both."""
     counts = null_and_blank_counts(df, columns)
-    return _report(counts, "blank_keys", F.col("column_name"), F.col("blank_count"), allowed)
+    checks = [("null_keys", "null_count", allowed_nulls)]
+    if allowed_blanks is not None:
+        checks.append(("blank_keys", "blank_count", allowed_blanks))
+    rows = [
+        F.struct(
+            F.lit(check).alias("check_name"),
+            F.col("column_name").alias("subject"),
+            F.col(measure).alias("bad_rows"),
+            (F.col(measure) <= allowed).alias("passed"),
+        )
+        for check, measure, allowed in checks
+    ]
+    return counts.select(F.inline(F.array(*rows)))
 
 
 def report_duplicates(df: DataFrame, columns: Sequence[str], allowed: int = 0) -> DataFrame:

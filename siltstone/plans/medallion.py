@@ -34,14 +34,11 @@ def build_layers(
     layers = list(paths)
     done = max((i for i, layer in enumerate(layers) if is_complete(spark, paths[layer])), default=-1)
     outcomes = [LayerStatus(layer, SKIPPED, None) for layer in layers[: done + 1]]
-    bronze_rows = None
     if done < 0:
         outcomes.append(ingest_bronze(responses, paths["bronze"]))
-        bronze_rows = outcomes[-1].n_rows
     if done < 1:
         outcomes.append(bronze_to_silver(spark, paths["bronze"], paths["silver"], spec))
     if done < 2:
-        outcomes.append(
-            silver_to_gold(spark, paths["silver"], paths["gold"], spec, bronze_rows, checks)
-        )
+        known = {o.layer: o.n_rows for o in outcomes if o.n_rows is not None}
+        outcomes.append(silver_to_gold(spark, paths["silver"], paths["gold"], spec, known, checks))
     return outcomes

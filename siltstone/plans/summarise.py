@@ -2,14 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from siltstone.operators.aggregates import count_by_location
 from siltstone.operators.ordering import sorted_by_keys
-from siltstone.operators.quality import REPORT_SCHEMA, gate, report_nulls
+from siltstone.operators.quality import REPORT_SCHEMA, gate, report_missing
 from siltstone.plans.status import SKIPPED, WRITTEN, LayerStatus
 from siltstone.runtime import checkpointed
 from siltstone.sinks.layers import write_gold
@@ -30,26 +30,29 @@ def silver_to_gold(
     silver_path: str,
     gold_path: str,
     spec: LayerSpec,
-    bronze_rows: int | None = None,
+    known_rows: Mapping[str, int] | None = None,
     checks: Sequence[Check] = (),
 ) -> LayerStatus:
     """Count rows per location and kind; write only if every check passes.
 
-    Always checked: no key is null, and the layers' totals agree (with the raw layer's too where
-    ``bronze_rows`` is known). ``checks`` adds reports on the clean frame. A failed check raises
-    and leaves the previous result. Without clean rows the job is skipped.
+    Always checked: no key is null, and the layers' totals agree. ``known_rows`` holds the rows
+    that earlier layers were written with; where it lacks the silver layer, that is counted from
+    its footers. ``checks`` adds reports on the clean frame. A failed check raises and leaves the
+    previous result. Without clean rows the job is skipped.
     """
     silver = read_silver_or_none(spark, silver_path, spec)
     if silver is None:
         return LayerStatus("gold", SKIPPED, 0)
     gold = checkpointed(count_by_location(silver, spec))
     total = gold.agg(F.sum(spec.count_name).alias("n")).first()["n"]
-    counts = {"silver": silver.count(), "gold": total}
-    if bronze_rows is not None:
-        counts["bronze"] = bronze_rows
+    if total is None:
+        return LayerStatus("gold", SKIPPED, 0)
+    counts = {**(known_rows or {}), "gold": total}
+    if "silver" not in counts:
+        counts["silver"] = silver.count()
     # Nulls among the grouping keys show in the aggregate: the clean layer is not read for them.
     gate(
-        report_nulls(gold, spec.group_by),
+        report_missing(gold, spec.group_by),
         _totals_report(spark, counts),
         *[check(silver) for check in checks],
     )

@@ -38,6 +38,13 @@ def checkpointed(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def has_rows(df: DataFrame) -> bool:
+    """Whether there is any row. Goes on to further partitions only while it finds none;
+    ``DataFrame.isEmpty`` starts a task for every one.
+    """
+    return bool(df.select(F.lit(1)).take(1))
+
+
 def broadcast_if_small(materialised: DataFrame, limit: int = BROADCAST_LIMIT_BYTES) -> DataFrame:
     """Mark a materialised frame of strings for broadcast if its measured size is in bounds.
 

@@ -40,11 +40,10 @@ def read_gold(spark: SparkSession, path: str, spec: LayerSpec) -> DataFrame:
 
 
 def read_silver_or_none(spark: SparkSession, path: str, spec: LayerSpec) -> DataFrame | None:
-    """The silver layer, or None if there is no such path or no row in it."""
+    """The silver layer, or None if there is no such path."""
     try:
-        silver = read_silver(spark, path, spec)
+        return read_silver(spark, path, spec)
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
         return None
-    return None if silver.isEmpty() else silver

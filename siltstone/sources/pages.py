@@ -22,7 +22,8 @@ class IncompleteIngestError(RuntimeError):
     """The landed responses do not form a whole set of pages."""
 
 
-def _has_no_records(body: Column) -> Column:
+def has_no_records(body: Column) -> Column:
+    """Whether a response body ends the set of pages."""
     return F.coalesce(body.rlike(_NO_RECORDS), F.lit(False))
 
 
@@ -33,7 +34,7 @@ def pages_before_end(responses: DataFrame) -> DataFrame:
     is there twice, or if no page ends the set. Later pages are ignored, whatever they hold.
     """
     ok = F.col("status") == STATUS_OK
-    empty = _has_no_records(F.col("body"))
+    empty = has_no_records(F.col("body"))
     unreadable = F.json_array_length("body").isNull() & ~empty
     marks = responses.agg(
         F.min(F.when(ok & empty, F.col("page"))).alias("end"),

@@ -8,6 +8,7 @@ import pytest
 
 from siltstone.operators.ordering import in_ingest_order
 from siltstone.sources import pages
+from siltstone.sources.fetch import land_responses
 from siltstone.sources.pages import IncompleteIngestError, ingest, page_progress, pages_before_end
 
 FIRST = (1, 200, json.dumps([{"id": "a", "n": None, "deep": {"x": [1, 1.5]}}, {"id": "b"}], indent=2))
@@ -67,3 +68,29 @@ def test_progress(spark, monkeypatch, block):
         so_far += page % 4 + 1
         expected.append((page, page % 4 + 1, so_far))
     assert sorted(tuple(r) for r in found.collect()) == expected
+
+
+def _served(pages_with_records, failing=None):
+    """A stand-in for the network: answers by page number."""
+
+    def fetch(page):
+        if page == failing:
+            return 500, "timed out"
+        records = [{"id": f"{page}-{i}"} for i in range(2)] if page <= pages_with_records else []
+        return 200, json.dumps(records)
+
+    return fetch
+
+
+@pytest.mark.parametrize("pages_with_records", [0, 3, 4, 9])
+def test_fetched_in_waves(spark, fresh, pages_with_records):
+    landed = land_responses(spark, _served(pages_with_records), f"{fresh}/r", pages_per_wave=4, tasks=2)
+    ids = sorted(json.loads(r["record"])["id"] for r in ingest(landed).collect())
+    assert ids == sorted(f"{p}-{i}" for p in range(1, pages_with_records + 1) for i in range(2))
+
+
+def test_a_failed_page_stops_the_fetch_and_the_ingest(spark, fresh):
+    landed = land_responses(spark, _served(100, failing=6), f"{fresh}/r", pages_per_wave=4, tasks=2)
+    assert landed.count() == 8
+    with pytest.raises(IncompleteIngestError, match="page 6 came back with 500"):
+        ingest(landed)

@@ -67,13 +67,13 @@ def test_totals(spark):
 
 
 def test_gate(dirty):
-    passing = quality.gate(quality.report_nulls(dirty, ["id"], allowed=1), quality.report_blanks(dirty, ["id"]))
+    passing = quality.gate(quality.report_missing(dirty, ["id"], allowed_nulls=1, allowed_blanks=0))
     assert sorted(tuple(r) for r in passing.collect()) == [
         ("blank_keys", "id", 0, True), ("null_keys", "id", 1, True),
     ]
     with pytest.raises(quality.QualityGateError, match="duplicates on id: 1") as raised:
         quality.gate(
-            quality.report_blanks(dirty, ["id"]),
+            quality.report_missing(dirty, ["id"], allowed_nulls=1),
             quality.report_duplicates(dirty, ["id"]),
             quality.report_types(dirty, {"number": ["double"]}),
         )

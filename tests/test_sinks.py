@@ -67,6 +67,12 @@ def test_second_load(spark, fresh, keep, ids):
     assert sorted(r["id"] for r in found) == ids
 
 
+def test_a_load_of_single_leaves_marks_the_layer(spark, fresh):
+    write_silver(_keyed(spark, [("1", "A", "a")]), f"{fresh}/s", LOCATIONS, keep_other_leaves=True)
+    assert is_complete(spark, f"{fresh}/s")
+    assert [r["id"] for r in read_silver(spark, f"{fresh}/s", LOCATIONS).collect()] == ["1"]
+
+
 def test_nothing_to_write(spark, fresh):
     assert write_silver(_keyed(spark, [("1", "A", "a")]).limit(0), f"{fresh}/s", LOCATIONS) == 0
     assert is_complete(spark, f"{fresh}/s")
