@@ -20,9 +20,14 @@ def read_json_lines(spark: SparkSession, path: str, schema: T.StructType) -> Dat
 
 
 def read_json_arrays(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """Documents that hold an array of records over many lines. A document is one task's work."""
-    reader = spark.read.schema(schema).option("mode", "FAILFAST")
-    return reader.option("multiLine", True).json(path)
+    """Documents that hold an array of records over many lines. A document is one task's work.
+
+    Parsed from the document's text: the multi-line JSON reader goes back to the file for every
+    value that is not a string but read as one.
+    """
+    documents = spark.read.text(path, wholetext=True)
+    records = F.from_json("value", T.ArrayType(schema), {"mode": "FAILFAST"})
+    return documents.select(F.inline(records))
 
 
 def read_union_of_keys(spark: SparkSession, path: str, arrays: bool = False) -> DataFrame:
@@ -32,7 +37,8 @@ def read_union_of_keys(spark: SparkSession, path: str, arrays: bool = False) ->
     where the keys are known.
     """
     reader = spark.read.option("mode", "FAILFAST").option("primitivesAsString", True)
-    return reader.option("multiLine", arrays).json(path)
+    records = reader.option("multiLine", arrays).json(path)
+    return read_json_arrays(spark, path, records.schema) if arrays else records
 
 
 def key_presence(lines: DataFrame, expected: Sequence[str]) -> DataFrame:

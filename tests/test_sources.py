@@ -68,6 +68,13 @@ def test_union_of_keys(spark, fresh):
     assert found.filter("id = '3'").first()["name"] is None
 
 
+def test_array_document_that_breaks_off_fails(spark, fresh):
+    path = Path(fresh) / "raw.json"
+    path.write_text("[{\"id\": 1}, {\"id", encoding="utf-8")
+    with pytest.raises((PySparkException, Py4JJavaError)):
+        read_json_arrays(spark, str(path), TEXT).collect()
+
+
 def test_text_that_does_not_parse_fails(spark, fresh):
     path = _lines_file(fresh, ['{"id": "1"}', '{"id": "2'])
     with pytest.raises((PySparkException, Py4JJavaError)):
