@@ -6,7 +6,7 @@ in, for whole tables. Both engines read the same lists: they define input, not a
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from siltstone.operators.cleaning import clean, with_clean_keys
@@ -121,7 +121,13 @@ def bronze_of(spark: SparkSession, sf_dir: str, name: str) -> str:
     return path
 
 
-def landed_responses(spark: SparkSession, sf_dir: str, name: str, key: str, df: DataFrame) -> DataFrame:
+def _response(page: Column, status: int, body: str) -> Column:
+    return F.struct(
+        page.alias("page"), F.lit(status).alias("status"), F.lit(body).alias("body")
+    )
+
+
+def landed_responses(spark: SparkSession, name: str, key: str, df: DataFrame) -> DataFrame:
     """A table of responses that delivers ``df`` page by page, ordered by ``key``.
 
     ``key`` is the table's primary key, counted from 0, so a page never holds more than
@@ -130,12 +136,9 @@ def landed_responses(spark: SparkSession, sf_dir: str, name: str, key: str, df:
     """
     path = scratch_path(spark, f"responses_{name}")
     number = F.floor(F.col(key) / PAGE_SIZE).cast("int") + 1
-    options = {"ignoreNullFields": "false"}
+    record = F.to_json(F.struct(*df.columns), {"ignoreNullFields": "false"}).alias("record")
     packed = (
-        df.select(
-            number.alias("page"),
-            F.struct(F.col(key), F.to_json(F.struct(*df.columns), options).alias("record")).alias("item"),
-        )
+        df.select(number.alias("page"), F.struct(F.col(key), record).alias("item"))
         .groupBy("page")
         .agg(F.array_sort(F.collect_list("item")).alias("items"))
         .select(
@@ -146,14 +149,8 @@ def landed_responses(spark: SparkSession, sf_dir: str, name: str, key: str, df:
     )
     packed.write.parquet(path)
     last = spark.read.parquet(path).agg(F.max("page").alias("last"))
-    tail = last.select(
-        F.inline(
-            F.array(
-                F.struct((F.col("last") + 1).alias("page"), F.lit(200).alias("status"), F.lit("[]").alias("body")),
-                F.struct((F.col("last") + 2).alias("page"), F.lit(500).alias("status"), F.lit("late").alias("body")),
-            )
-        )
-    )
+    end, late = F.col("last") + 1, F.col("last") + 2
+    tail = last.select(F.inline(F.array(_response(end, 200, "[]"), _response(late, 500, "late"))))
     tail.write.mode("append").parquet(path)
     return spark.read.parquet(path)
 
@@ -162,9 +159,10 @@ def event_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = table(spark, sf_dir, "events").selectExpr(
         "event_id", "user_id", "NULLIF(event_type, 'error') AS event_type", "value"
     )
-    return landed_responses(spark, sf_dir, "events", "event_id", events)
+    return landed_responses(spark, "events", "event_id", events)
 
 
 def order_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
-    orders = table(spark, sf_dir, "orders").selectExpr("o_orderkey", *split_select(RAW_SELECTS["orders"]))
-    return landed_responses(spark, sf_dir, "orders", "o_orderkey", orders)
+    columns = ["o_orderkey", *split_select(RAW_SELECTS["orders"])]
+    orders = table(spark, sf_dir, "orders").selectExpr(*columns)
+    return landed_responses(spark, "orders", "o_orderkey", orders)

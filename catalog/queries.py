@@ -267,7 +267,8 @@ def str_replace_unsafe_chars(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def str_sanitize_name(spark: SparkSession, sf_dir: str) -> DataFrame:
     padded = F.concat(F.lit(" \t"), F.col("url"), F.lit("\x85"))
-    return table(spark, sf_dir, "pages").select("page_id", sanitize_name(padded).alias("name_clean"))
+    found = table(spark, sf_dir, "pages")
+    return found.select("page_id", sanitize_name(padded).alias("name_clean"))
 
 
 @query
@@ -315,12 +316,9 @@ def agg_null_key_rule(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = table(spark, sf_dir, "events").select(
         F.nullif("event_type", F.lit("error")).alias("kind")
     )
-    rules = {"keep": False, "drop": True}
-    counted = [
-        aggregates.count_by(events, ["kind"], "n", drop_null_keys=drop).withColumn("rule", F.lit(rule))
-        for rule, drop in rules.items()
-    ]
-    return counted[0].unionAll(counted[1])
+    keep = aggregates.count_by(events, ["kind"], "n").withColumn("rule", F.lit("keep"))
+    drop = aggregates.count_by(events, ["kind"], "n", drop_null_keys=True)
+    return keep.unionAll(drop.withColumn("rule", F.lit("drop")))
 
 
 @query

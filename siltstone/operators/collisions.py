@@ -30,11 +30,11 @@ def keep_last_pair(df: DataFrame, spec: LayerSpec) -> DataFrame:
     """Of the raw pairs that share a directory, keep the rows of the last one in sorted order.
 
     Loses rows on purpose: it gives the result of writing pair after pair, each replacing the
-    directory. The losing pairs are found on the distinct pairs, so no leaf passes through one
-    task, and a frame without collisions is not joined at all.
+    directory. The losing pairs are found on the distinct pairs, set down once, so no leaf passes
+    through one task, and a frame without collisions is not joined at all.
     """
     pair = F.struct(*spec.partition_by)
-    pairs = _keyed_pairs(df, spec)
+    pairs = checkpointed(_keyed_pairs(df, spec))
     last = (
         pairs.groupBy(*spec.clean_keys)
         .agg(F.max(pair).alias("last_pair"), F.count("*").alias("raw_pairs"))

@@ -91,10 +91,10 @@ def totals(bronze: DataFrame, silver: DataFrame, gold: DataFrame, spec: LayerSpe
     }
     counted = [one.select(F.lit(name).alias("layer"), "n") for name, one in layers.items()]
     tall = counted[0].unionAll(counted[1]).unionAll(counted[2])
-    return tall.agg(
-        *[F.max(F.when(F.col("layer") == name, F.col("n"))).alias(f"{name}_rows") for name in layers],
-        (F.min("n") == F.max("n")).alias("consistent"),
-    )
+    per_layer = [
+        F.max(F.when(F.col("layer") == name, F.col("n"))).alias(f"{name}_rows") for name in layers
+    ]
+    return tall.agg(*per_layer, (F.min("n") == F.max("n")).alias("consistent"))
 
 
 def date_range(df: DataFrame, column: str, earliest: Column, latest: Column) -> DataFrame:

@@ -32,7 +32,8 @@ def build_layers(
     """
     paths = layer_paths(root)
     layers = list(paths)
-    done = max((i for i, layer in enumerate(layers) if is_complete(spark, paths[layer])), default=-1)
+    whole = [i for i, layer in enumerate(layers) if is_complete(spark, paths[layer])]
+    done = max(whole, default=-1)
     outcomes = [LayerStatus(layer, SKIPPED, None) for layer in layers[: done + 1]]
     if done < 0:
         outcomes.append(ingest_bronze(responses, paths["bronze"]))

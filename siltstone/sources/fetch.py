@@ -52,7 +52,7 @@ def land_responses(
 
     first = FIRST_PAGE
     while True:
-        numbers = spark.range(first, first + pages_per_wave, 1, tasks).withColumnRenamed("id", "page")
+        numbers = spark.range(first, first + pages_per_wave, 1, tasks).toDF("page")
         wave = numbers.mapInPandas(fetch_all, RESPONSE_SCHEMA)
         wave.write.mode("overwrite" if first == FIRST_PAGE else "append").parquet(path)
         landed = spark.read.schema(RESPONSE_SCHEMA).parquet(path)

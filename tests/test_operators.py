@@ -12,6 +12,8 @@ from siltstone import runtime
 from siltstone.functions.text import UNSAFE
 from siltstone.operators import aggregates, cleaning, collisions, ordering
 from siltstone.operators.quality import MissingColumnsError
+from siltstone.sinks.layers import write_silver
+from siltstone.sources.layers import read_silver
 from siltstone.spec import LOCATIONS
 
 PLACES = "state string, city string, brewery_type string"
@@ -63,6 +65,18 @@ def test_counts_treat_blank_as_a_value(spark):
     assert gold.schema[LOCATIONS.count_name].dataType.simpleString() == "bigint"
 
 
+def test_counts_read_only_what_they_need(spark, fresh, capsys):
+    rows = cleaning.with_clean_keys(cleaning.clean(_raw(spark, state="A"), LOCATIONS), LOCATIONS)
+    write_silver(rows, f"{fresh}/s", LOCATIONS)
+    silver = read_silver(spark, f"{fresh}/s", LOCATIONS)
+    aggregates.leaf_count(silver, LOCATIONS).explain()
+    assert "ReadSchema: struct<>" in capsys.readouterr().out
+    aggregates.count_by_location(silver, LOCATIONS).explain()
+    plan = capsys.readouterr().out
+    assert "ReadSchema: struct<brewery_type:string,city:string,state:string>" in plan
+    assert plan.count("Exchange") == 1 and "partial_count" in plan
+
+
 def test_null_key_rules_equal_pandas(spark):
     rows = [("a", 1), (None, 2), ("a", None)]
     frame = spark.createDataFrame(rows, "k string, v int")
