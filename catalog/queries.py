@@ -377,7 +377,7 @@ def dq_null_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def dq_duplicate_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     items = table(spark, sf_dir, "lineitem")
-    return quality.duplicates(items.select("l_orderkey", "l_linenumber", "l_returnflag"))
+    return quality.duplicate_rows(items.select("l_orderkey", "l_linenumber", "l_returnflag"))
 
 
 @query

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from siltstone.operators.aggregates import leaf_manifest
 from siltstone.operators.cleaning import with_clean_keys
-from siltstone.runtime import broadcast_if_small, checkpointed, has_rows
+from siltstone.runtime import checkpointed, fits_broadcast, has_rows
 from siltstone.spec import LayerSpec
 
 
@@ -51,4 +51,4 @@ def keep_last_pair(df: DataFrame, spec: LayerSpec) -> DataFrame:
     same = [
         F.col(c).eqNullSafe(F.col(n)) for c, n in zip(spec.partition_by, lost_names, strict=True)
     ]
-    return df.join(broadcast_if_small(lost), same, "left_anti")
+    return df.join(F.broadcast(lost) if fits_broadcast(lost) else lost, same, "left_anti")

@@ -7,9 +7,11 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 
-from siltstone.runtime import has_rows
+from siltstone.runtime import checkpointed, fits_broadcast, has_rows
 from siltstone.spec import LayerSpec
 
+_HASH = "row_hash"
+
 REPORT_SCHEMA = "check_name string, subject string, bad_rows bigint, passed boolean"
 
 
@@ -58,10 +60,23 @@ def null_and_blank_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return _rows_of(df.agg(*measures), rows)
 
 
-def duplicates(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
-    """Values that occur more than once, with how often: of whole rows, or of some columns."""
-    counted = df.groupBy(*(columns or df.columns)).agg(F.count("*").alias("n"))
-    return counted.filter("n > 1")
+def duplicates(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Keys that occur more than once, with how often."""
+    return df.groupBy(*columns).agg(F.count("*").alias("n")).filter("n > 1")
+
+
+def duplicate_rows(df: DataFrame) -> DataFrame:
+    """Whole rows that occur more than once, with how often.
+
+    Row hashes are counted first, so that the shuffle carries a number per row instead of the row.
+    Only rows with a hash seen twice are then compared whole. If those hashes are too many to
+    broadcast, all rows are compared.
+    """
+    hashed = df.withColumn(_HASH, F.xxhash64(*df.columns))
+    suspects = checkpointed(duplicates(hashed, [_HASH]).select(_HASH))
+    if fits_broadcast(suspects):
+        df = hashed.join(F.broadcast(suspects), _HASH, "left_semi").drop(_HASH)
+    return duplicates(df, df.columns)
 
 
 def type_violations(df: DataFrame, types: Mapping[str, Sequence[str]]) -> DataFrame:

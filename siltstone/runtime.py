@@ -45,11 +45,9 @@ def has_rows(df: DataFrame) -> bool:
     return bool(df.select(F.lit(1)).take(1))
 
 
-def broadcast_if_small(materialised: DataFrame, limit: int = BROADCAST_LIMIT_BYTES) -> DataFrame:
-    """Mark a materialised frame of strings for broadcast if its measured size is in bounds.
-
-    Beyond the bound it comes back unmarked, and Spark joins it by shuffle.
-    """
-    width = sum((F.coalesce(F.octet_length(c), F.lit(0)) for c in materialised.columns), F.lit(0))
-    size = materialised.agg(F.sum(width + _ROW_OVERHEAD_BYTES).alias("size")).first()["size"]
-    return F.broadcast(materialised) if (size or 0) <= limit else materialised
+def fits_broadcast(materialised: DataFrame, limit: int = BROADCAST_LIMIT_BYTES) -> bool:
+    """Whether the measured size of a materialised frame is within the bound for a broadcast."""
+    widths = [F.octet_length(F.col(c).cast("string")) for c in materialised.columns]
+    width = sum((F.coalesce(w, F.lit(0)) for w in widths), F.lit(_ROW_OVERHEAD_BYTES))
+    size = materialised.agg(F.sum(width).alias("size")).first()["size"]
+    return (size or 0) <= limit

@@ -119,10 +119,8 @@ def _replayed(rows):
 
 
 @pytest.mark.parametrize("limit", [runtime.BROADCAST_LIMIT_BYTES, 0])
-def test_last_pair_wins(spark, monkeypatch, capsys, limit):
-    monkeypatch.setattr(
-        collisions, "broadcast_if_small", lambda df: runtime.broadcast_if_small(df, limit)
-    )
+def test_last_pair_wins(spark, monkeypatch, limit):
+    monkeypatch.setattr(collisions, "fits_broadcast", lambda df: runtime.fits_broadcast(df, limit))
     rng = random.Random(3)
     names = ["A/B", "A_B", "A:B", "X ", "X", " X", "", "  ", "Z"]
     rows = [(rng.choice(names), rng.choice(names), str(i)) for i in range(400)]
@@ -142,9 +140,8 @@ def test_collision_audit(spark):
     assert [tuple(r) for r in found] == [("A_B", "c", 2, 3)]
 
 
-def test_broadcast_only_within_the_bound(spark, capsys):
-    frame = runtime.checkpointed(spark.createDataFrame([("x" * 100,)] * 10, "v string"))
-    runtime.broadcast_if_small(frame, 5000).explain("extended")
-    assert "broadcast" in capsys.readouterr().out
-    runtime.broadcast_if_small(frame, 1000).explain("extended")
-    assert "broadcast" not in capsys.readouterr().out
+def test_size_is_measured(spark):
+    frame = runtime.checkpointed(spark.createDataFrame([("x" * 100, 7)] * 10, "v string, i bigint"))
+    assert runtime.fits_broadcast(frame, 10 * (64 + 101))
+    assert not runtime.fits_broadcast(frame, 10 * (64 + 101) - 1)
+    assert runtime.fits_broadcast(frame.limit(0), 0)

@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+import io
 import json
+from urllib.error import HTTPError
 
 import pytest
 
 from siltstone.operators.ordering import in_ingest_order
 from siltstone.sources import pages
-from siltstone.sources.fetch import land_responses
+from siltstone.sources.fetch import http_get, land_responses
 from siltstone.sources.pages import IncompleteIngestError, ingest, page_progress, pages_before_end
 
 FIRST = (1, 200, json.dumps([{"id": "a", "n": None, "deep": {"x": [1, 1.5]}}, {"id": "b"}], indent=2))
@@ -94,3 +96,22 @@ def test_a_failed_page_stops_the_fetch_and_the_ingest(spark, fresh):
     assert landed.count() == 8
     with pytest.raises(IncompleteIngestError, match="page 6 came back with 500"):
         ingest(landed)
+
+
+class _Answer(io.BytesIO):
+    status = 200
+
+
+def test_http_get(monkeypatch):
+    asked = []
+
+    def urlopen(url, timeout):
+        asked.append((url, timeout))
+        if "page=2" in url:
+            raise HTTPError(url, 503, "busy", {}, None)
+        return _Answer("[é]".encode())
+
+    monkeypatch.setattr("urllib.request.urlopen", urlopen)
+    fetch = http_get("http://host/items?per_page=50&page={page}", timeout=5)
+    assert [fetch(1), fetch(2)] == [(200, "[é]"), (503, "")]
+    assert asked[0] == ("http://host/items?per_page=50&page=1", 5)

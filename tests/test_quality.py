@@ -2,9 +2,14 @@
 
 from __future__ import annotations
 
+import math
+import random
+from collections import Counter
+
 import pytest
 from pyspark.sql import functions as F
 
+from siltstone import runtime
 from siltstone.operators import quality
 from siltstone.spec import LOCATIONS
 
@@ -26,10 +31,34 @@ def test_nulls_and_blanks(dirty):
 
 
 def test_duplicates(dirty):
-    assert [tuple(r) for r in quality.duplicates(dirty).collect()] == [("1", "A", "1.5", "2024-01-01", 2)]
+    assert [tuple(r) for r in quality.duplicate_rows(dirty).collect()] == [("1", "A", "1.5", "2024-01-01", 2)]
     assert [tuple(r) for r in quality.duplicates(dirty, ["id"]).collect()] == [("1", 2)]
 
 
+@pytest.mark.parametrize("limit", [runtime.BROADCAST_LIMIT_BYTES, 0])
+def test_duplicate_rows_with_nulls_and_special_numbers(spark, monkeypatch, limit):
+    monkeypatch.setattr(quality, "fits_broadcast", lambda df: runtime.fits_broadcast(df, limit))
+    rng = random.Random(5)
+    texts, numbers = ["a", "", None, "b"], [0.0, -0.0, math.nan, None, 1.5, math.inf]
+    rows = [(rng.choice(texts), rng.choice(numbers), rng.randrange(4)) for _ in range(300)]
+
+    def plain(row):
+        return (row[0], "nan" if row[1] is not None and math.isnan(row[1]) else row[1], row[2])
+
+    counted = Counter(plain(r) for r in rows)
+    expected = {k: n for k, n in counted.items() if n > 1}
+    frame = spark.createDataFrame(rows, "t string, v double, i int").repartition(4)
+    assert {plain(r[:3]): r["n"] for r in quality.duplicate_rows(frame).collect()} == expected
+
+
+def test_rows_are_compared_whole_only_on_suspicion(spark, capsys):
+    frame = spark.range(1000).withColumn("v", F.col("id") % 7)
+    found = quality.duplicate_rows(frame)
+    assert found.count() == 0
+    found.explain()
+    assert "BroadcastHashJoin" in capsys.readouterr().out
+
+
 def test_types(dirty):
     found = quality.type_violations(dirty, {"number": ["double", "string"], "day": ["date"]}).collect()
     assert [tuple(r) for r in found] == [("number", "double", 1), ("number", "string", 0), ("day", "date", 1)]
