@@ -23,7 +23,6 @@ def shared_dir(spark: SparkSession) -> str:
         raise RuntimeError("set spark.checkpoint.dir to a folder that every executor can reach")
     folder = tempfile.mkdtemp(prefix="run-", dir="/tmp")
     spark.conf.set("spark.checkpoint.dir", folder)
-    context.setCheckpointDir(folder)
     return folder
 
 
@@ -34,7 +33,10 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 
 def checkpointed(df: DataFrame) -> DataFrame:
     """Materialise ``df`` on shared storage, so that a lost executor cannot undo it."""
-    shared_dir(df.sparkSession)
+    context = df.sparkSession.sparkContext
+    folder = shared_dir(df.sparkSession)
+    if context.getCheckpointDir() is None:
+        context.setCheckpointDir(folder)
     return df.checkpoint()
 
 
