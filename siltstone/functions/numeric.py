@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 # What counts as a number in text. Narrower than the SQL cast, which also takes `1.5d` and `NaN`.
 _DECIMAL = r"^\s*[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?\s*\z"
-_INFINITY = r"(?i)^\s*[+-]?inf(inity)?\s*\z"
+_INFINITY = r"(?i)\A[+-]?inf(inity)?\z"
 
 
 def strict_double(text: Column) -> Column:
@@ -18,7 +18,7 @@ def strict_double(text: Column) -> Column:
 def lenient_double(text: Column) -> Column:
     """Cast that gives null for text that is no number, for NaN, and for a decimal that overflows.
 
-    An infinite value survives only where the text spells infinity.
+    An infinite value survives only where the text spells infinity, without blanks around it.
     """
     value = text.try_cast("double")
     finite = F.abs(value) < F.lit(float("inf"))

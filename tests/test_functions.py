@@ -5,6 +5,7 @@ from __future__ import annotations
 import math
 import random
 
+import pandas as pd
 import pytest
 from pyspark.errors import NumberFormatException
 from pyspark.sql import functions as F
@@ -113,6 +114,12 @@ NUMBERS = {
     "inf": math.inf,
     "-inf": -math.inf,
     "Infinity": math.inf,
+    "+INFINITY": math.inf,
+    " inf ": None,
+    "inf\t": None,
+    "1 2": None,
+    "\x1c1": None,
+    "１２": None,
     "1e999": None,
     "-1e999": None,
     None: None,
@@ -123,6 +130,18 @@ def test_lenient_double(spark):
     assert _apply(spark, list(NUMBERS), lenient_double) == list(NUMBERS.values())
 
 
+def test_lenient_double_equals_pandas_on_random_text(spark):
+    rng = random.Random(11)
+    parts = ["1", "0", "9", ".", "+", "-", "e", "E", "inf", "nan", " ", "\t", "d", "f", "_", ",", "7.25"]
+    texts = sorted({"".join(rng.choices(parts, k=rng.randrange(1, 6))) for _ in range(5000)})
+    found = _apply(spark, texts, lenient_double)
+    for text, number in zip(texts, found, strict=True):
+        expected = pd.to_numeric(pd.Series([text], dtype=object), errors="coerce").iloc[0]
+        same = number is None if pd.isna(expected) else number == pytest.approx(expected, rel=1e-15)
+        # A zero with an exponent out of range is missing there and zero here.
+        assert same or (number == 0 and pd.isna(expected)), text
+
+
 def test_strict_double(spark):
     assert _apply(spark, ["1.5", " 2 ", None], strict_double) == [1.5, 2.0, None]
     with pytest.raises(NumberFormatException):
