@@ -37,6 +37,9 @@ def _arguments(argv: Sequence[str] | None) -> argparse.Namespace:
     parser.add_argument("--strict", action="store_true", help="bad numbers fail the job")
     parser.add_argument("--keep-other-leaves", action="store_true", help="replace single leaves")
     parser.add_argument("--last-pair-wins", action="store_true", help="colliding keys replace")
+    parser.add_argument(
+        "--leaf-files", action="store_true", help="silver's directories are named like its columns"
+    )
     given = parser.parse_args(argv)
     needs = {"fetch": ("url", "responses"), "bronze": ("responses", "root"), "all": ("responses", "root")}
     for name in needs.get(given.step, ("root",)):
@@ -64,7 +67,12 @@ def _run(spark: SparkSession, given: argparse.Namespace) -> list[LayerStatus]:
             )
         ]
     if given.step == "gold":
-        return [silver_to_gold(spark, paths["silver"], paths["gold"], LOCATIONS)]
+        leaf_files = given.leaf_files
+        return [
+            silver_to_gold(
+                spark, paths["silver"], paths["gold"], LOCATIONS, leaf_files=leaf_files
+            )
+        ]
     responses = spark.read.parquet(given.responses)
     if given.step == "bronze":
         return [ingest_bronze(responses, paths["bronze"])]

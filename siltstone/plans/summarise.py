@@ -32,15 +32,17 @@ def silver_to_gold(
     spec: LayerSpec,
     known_rows: Mapping[str, int] | None = None,
     checks: Sequence[Check] = (),
+    leaf_files: bool = False,
 ) -> LayerStatus:
     """Count rows per location and kind; write only if every check passes.
 
     Always checked: no key is null, and the layers' totals agree. ``known_rows`` holds the rows
     that earlier layers were written with; where it lacks the silver layer, that is counted from
     its footers. ``checks`` adds reports on the clean frame. A failed check raises and leaves the
-    previous result. Without clean rows the job is skipped.
+    previous result. Without clean rows the job is skipped. ``leaf_files``: the directories of the
+    clean layer are named like columns in its files (see ``read_leaf_files``).
     """
-    silver = read_silver_or_none(spark, silver_path, spec)
+    silver = read_silver_or_none(spark, silver_path, spec, leaf_files)
     if silver is None:
         return LayerStatus("gold", SKIPPED, 0)
     gold = checkpointed(count_by_location(silver, spec))

@@ -39,10 +39,16 @@ def read_gold(spark: SparkSession, path: str, spec: LayerSpec) -> DataFrame:
     return spark.read.schema(spec.gold_schema).parquet(path)
 
 
-def read_silver_or_none(spark: SparkSession, path: str, spec: LayerSpec) -> DataFrame | None:
-    """The silver layer, or None if there is no such path."""
+def read_silver_or_none(
+    spark: SparkSession,
+    path: str,
+    spec: LayerSpec,
+    leaf_files: bool = False,
+) -> DataFrame | None:
+    """The silver layer in either layout, or None if there is no such path."""
+    read = read_leaf_files if leaf_files else read_silver
     try:
-        return read_silver(spark, path, spec)
+        return read(spark, path, spec)
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
