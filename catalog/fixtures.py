@@ -13,6 +13,7 @@ from siltstone.operators.cleaning import clean, with_clean_keys
 from siltstone.runtime import scratch_path
 from siltstone.sinks.bronze import land_record_text
 from siltstone.sinks.layers import write_silver
+from siltstone.sinks.responses import write_responses
 from siltstone.spec import LOCATIONS
 
 # Fixed value: records per page.
@@ -147,11 +148,11 @@ def landed_responses(spark: SparkSession, name: str, key: str, df: DataFrame) ->
             F.concat(F.lit("["), F.array_join("items.record", ",\n "), F.lit("]")).alias("body"),
         )
     )
-    packed.write.parquet(path)
+    write_responses(packed, path)
     last = spark.read.parquet(path).agg(F.max("page").alias("last"))
     end, late = F.col("last") + 1, F.col("last") + 2
     tail = last.select(F.inline(F.array(_response(end, 200, "[]"), _response(late, 500, "late"))))
-    tail.write.mode("append").parquet(path)
+    write_responses(tail, path, append=True)
     return spark.read.parquet(path)
 
 

@@ -8,6 +8,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from siltstone.sinks.responses import write_responses
 from siltstone.sources.pages import FIRST_PAGE, STATUS_OK, has_no_records
 
 RESPONSE_SCHEMA = "page int, status int, body string"
@@ -54,7 +55,7 @@ def land_responses(
     while True:
         numbers = spark.range(first, first + pages_per_wave, 1, tasks).toDF("page")
         wave = numbers.mapInPandas(fetch_all, RESPONSE_SCHEMA)
-        wave.write.mode("overwrite" if first == FIRST_PAGE else "append").parquet(path)
+        write_responses(wave, path, append=first > FIRST_PAGE)
         landed = spark.read.schema(RESPONSE_SCHEMA).parquet(path)
         last = (F.col("status") != STATUS_OK) | has_no_records(F.col("body"))
         if landed.filter((F.col("page") >= first) & last).take(1):

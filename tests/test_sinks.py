@@ -6,6 +6,7 @@ import glob
 import json
 import os
 
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
@@ -13,6 +14,7 @@ from siltstone.operators.aggregates import file_count
 from siltstone.operators.cleaning import clean, with_clean_keys
 from siltstone.sinks.bronze import land_array_documents, land_frame, land_record_text
 from siltstone.sinks.layers import is_complete, write_gold, write_silver
+from siltstone.sinks.responses import write_responses
 from siltstone.sources.layers import read_silver
 from siltstone.spec import LOCATIONS
 
@@ -128,3 +130,15 @@ def test_gold_is_replaced_and_marked(spark, fresh):
 def test_a_folder_without_marker_is_not_complete(spark, fresh):
     os.makedirs(f"{fresh}/g/_temporary")
     assert not is_complete(spark, f"{fresh}/g")
+
+
+def test_responses_are_kept_in_short_groups(spark, fresh):
+    body = F.repeat(F.sha2(F.col("id").cast("string"), 512), 100)
+    pages = spark.range(1, 2001, 1, 1).select(
+        F.col("id").cast("int").alias("page"), F.lit(200).alias("status"), body.alias("body")
+    )
+    write_responses(pages, f"{fresh}/r")
+    (name,) = glob.glob(f"{fresh}/r/*.parquet")
+    groups = pq.ParquetFile(name).metadata
+    assert {groups.row_group(i).num_rows for i in range(groups.num_row_groups)} <= {256, 2000 % 256}
+    assert spark.read.parquet(f"{fresh}/r").count() == 2000
