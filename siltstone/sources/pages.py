@@ -33,17 +33,21 @@ def pages_before_end(responses: DataFrame) -> DataFrame:
     Raises ``IncompleteIngestError`` if a page up to the end failed, does not parse, is missing or
     is there twice, or if no page ends the set. Later pages are ignored, whatever they hold.
     """
-    ok = F.col("status") == STATUS_OK
+    ok = F.coalesce(F.col("status") == STATUS_OK, F.lit(False))
     empty = has_no_records(F.col("body"))
     unreadable = F.json_array_length("body").isNull() & ~empty
     marks = responses.agg(
         F.min(F.when(ok & empty, F.col("page"))).alias("end"),
-        F.min(F.when(~F.coalesce(ok, F.lit(False)), F.struct("page", "status"))).alias("failed"),
+        F.min(F.when(~ok, F.col("page"))).alias("failed"),
         F.min(F.when(ok & unreadable, F.col("page"))).alias("unreadable"),
+        F.count_if(F.col("page").isNull()).alias("unnumbered"),
     ).first()
     end, failed, bad = marks["end"], marks["failed"], marks["unreadable"]
-    if failed is not None and (end is None or failed["page"] < end):
-        raise IncompleteIngestError(f"page {failed['page']} came back with {failed['status']}")
+    if marks["unnumbered"]:
+        raise IncompleteIngestError(f"{marks['unnumbered']} responses without a page number")
+    if failed is not None and (end is None or failed < end):
+        status = responses.filter((F.col("page") == failed) & ~ok).select("status").first()[0]
+        raise IncompleteIngestError(f"page {failed} came back with {status}")
     if bad is not None and (end is None or bad < end):
         raise IncompleteIngestError(f"page {bad} does not hold an array of records")
     if end is None:

@@ -50,6 +50,7 @@ BROKEN = {
     "found 3 rows for 2 pages": [FIRST, SECOND, SECOND, END],
     "found 2 rows for 1 pages": [FIRST, FIRST, END],
     "no empty page": [FIRST, SECOND],
+    "1 responses without": [FIRST, SECOND, END, (None, 200, "[]")],
     "numbering starts at 0": [(0, 200, FIRST[2]), FIRST, END],
 }
 
