@@ -36,6 +36,7 @@ def _arguments(argv: Sequence[str] | None) -> argparse.Namespace:
     parser.add_argument("--arrays", action="store_true", help="bronze holds array documents")
     parser.add_argument("--strict", action="store_true", help="bad numbers fail the job")
     parser.add_argument("--keep-other-leaves", action="store_true", help="replace single leaves")
+    parser.add_argument("--piece-rows", type=int, help="rows per file of a hot leaf")
     parser.add_argument("--last-pair-wins", action="store_true", help="colliding keys replace")
     parser.add_argument(
         "--leaf-files", action="store_true", help="silver's directories are named like its columns"
@@ -64,6 +65,7 @@ def _run(spark: SparkSession, given: argparse.Namespace) -> list[LayerStatus]:
                 strict=given.strict,
                 keep_other_leaves=given.keep_other_leaves,
                 last_pair_wins=given.last_pair_wins,
+                piece_rows=given.piece_rows,
             )
         ]
     if given.step == "gold":
@@ -76,7 +78,7 @@ def _run(spark: SparkSession, given: argparse.Namespace) -> list[LayerStatus]:
     responses = spark.read.parquet(given.responses)
     if given.step == "bronze":
         return [ingest_bronze(responses, paths["bronze"])]
-    return build_layers(spark, responses, given.root, LOCATIONS)
+    return build_layers(spark, responses, given.root, LOCATIONS, piece_rows=given.piece_rows)
 
 
 def main(argv: Sequence[str] | None = None) -> list[LayerStatus]:

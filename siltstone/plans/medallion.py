@@ -24,6 +24,7 @@ def build_layers(
     root: str,
     spec: LayerSpec,
     checks: Sequence[Check] = (),
+    piece_rows: int | None = None,
 ) -> list[LayerStatus]:
     """Bring the three layers under ``root`` up to date and say what was done.
 
@@ -38,7 +39,11 @@ def build_layers(
     if done < 0:
         outcomes.append(ingest_bronze(responses, paths["bronze"]))
     if done < 1:
-        outcomes.append(bronze_to_silver(spark, paths["bronze"], paths["silver"], spec))
+        outcomes.append(
+            bronze_to_silver(
+                spark, paths["bronze"], paths["silver"], spec, piece_rows=piece_rows
+            )
+        )
     if done < 2:
         known = {o.layer: o.n_rows for o in outcomes if o.n_rows is not None}
         outcomes.append(silver_to_gold(spark, paths["silver"], paths["gold"], spec, known, checks))

@@ -46,14 +46,17 @@ def bronze_to_silver(
     strict: bool = False,
     keep_other_leaves: bool = False,
     last_pair_wins: bool = False,
+    piece_rows: int | None = None,
 ) -> LayerStatus:
     """Clean every record and write the layer, split by its sanitised keys.
 
     No row is lost, unless ``last_pair_wins`` asks for the rows of colliding keys to replace each
     other. ``arrays``: the raw layer holds array documents. ``strict``: bad numbers fail the job.
+    ``keep_other_leaves``, ``piece_rows``: see ``write_silver``.
     """
     cleaned = clean(read_bronze(spark, bronze_path, spec, arrays), spec, strict)
     if last_pair_wins:
         cleaned = keep_last_pair(cleaned, spec)
-    rows = write_silver(with_clean_keys(cleaned, spec), silver_path, spec, keep_other_leaves)
+    keyed = with_clean_keys(cleaned, spec)
+    rows = write_silver(keyed, silver_path, spec, keep_other_leaves, piece_rows)
     return LayerStatus("silver", WRITTEN, rows)

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from siltstone.operators.aggregates import file_count
 from siltstone.operators.cleaning import clean, with_clean_keys
+from siltstone.sinks import layers
 from siltstone.sinks.bronze import land_array_documents, land_frame, land_record_text
 from siltstone.sinks.layers import is_complete, write_gold, write_silver
 from siltstone.sinks.responses import write_responses
@@ -41,23 +42,42 @@ def test_one_file_per_leaf(spark, fresh):
     assert file_count(silver).first()["n_files"] == 35
 
 
-def test_a_hot_leaf_is_split(spark, fresh):
-    hot = spark.range(0, 200_000, 1, 16).select(
-        F.sha2(F.col("id").cast("string"), 256).alias("id"),
-        F.when(F.col("id") % 3 == 0, "HOT").otherwise(F.concat(F.lit("S"), F.col("id") % 50)).alias("state"),
+def _hot(spark, text):
+    """A third of 200,000 rows in one leaf, the rest over 50."""
+    small = F.concat(F.lit("S"), F.col("id") % 50)
+    rows = spark.range(0, 200_000, 1, 16).select(
+        text.alias("id"),
+        F.when(F.col("id") % 3 == 0, "HOT").otherwise(small).alias("state"),
         F.lit("C").alias("city"),
     )
-    others = [c for c in LOCATIONS.columns if c not in hot.columns]
-    keyed = with_clean_keys(hot.withColumns({c: F.lit("") for c in others}), LOCATIONS)
+    others = [c for c in LOCATIONS.columns if c not in rows.columns]
+    return with_clean_keys(rows.withColumns({c: F.lit("") for c in others}), LOCATIONS)
+
+
+@pytest.mark.parametrize("piece_rows", [None, 10_000])
+def test_a_hot_leaf_is_split(spark, fresh, piece_rows):
+    keyed = _hot(spark, F.sha2(F.col("id").cast("string"), 256))
     name = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
     before = spark.conf.get(name)
     spark.conf.set(name, "1m")
     try:
-        assert write_silver(keyed, f"{fresh}/s", LOCATIONS) == 200_000
+        assert write_silver(keyed, f"{fresh}/s", LOCATIONS, piece_rows=piece_rows) == 200_000
     finally:
         spark.conf.set(name, before)
     assert len(glob.glob(f"{fresh}/s/state_clean=HOT/*/*.parquet")) > 1
-    assert read_silver(spark, f"{fresh}/s", LOCATIONS).count() == 200_000
+    silver = read_silver(spark, f"{fresh}/s", LOCATIONS)
+    assert silver.columns == [f.name for f in LOCATIONS.silver_schema]
+    assert silver.agg(F.countDistinct("id")).first()[0] == 200_000
+
+
+@pytest.mark.parametrize(("copies", "largest"), [(False, 11_000), (True, 20_000)])
+def test_hot_leaves_have_pieces_even_of_copies(spark, copies, largest):
+    text = F.lit("same") if copies else F.col("id").cast("string")
+    pieces = layers._with_pieces(_hot(spark, text), LOCATIONS, 10_000)
+    found = pieces.groupBy("state", layers._PIECE).count().collect()
+    hot = [r["count"] for r in found if r["state"] == "HOT"]
+    assert len(hot) == 7 and sum(hot) == 66_667 and max(hot) <= largest
+    assert {r[layers._PIECE] for r in found if r["state"] != "HOT"} == {0}
 
 
 @pytest.mark.parametrize(("keep", "ids"), [(True, ["1", "3"]), (False, ["3"])])
