@@ -52,7 +52,8 @@ def silver_to_gold(
     counts = {**(known_rows or {}), "gold": total}
     if "silver" not in counts:
         counts["silver"] = silver.count()
-    # Nulls among the grouping keys show in the aggregate: the clean layer is not read for them.
+    # Nulls among the grouping keys show in the aggregate, where they count as groups: the clean
+    # layer is not read again for them.
     gate(
         report_missing(gold, spec.group_by),
         _totals_report(spark, counts),
