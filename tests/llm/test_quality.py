@@ -1,0 +1,45 @@
+import numpy as np
+from pyspark.sql import functions as F
+
+from siltstone.llm import quality
+
+
+def test_held_back_labels(spark, sample):
+    labels = spark.read.parquet("/root/testdata/sf0.01/labels.parquet")
+    train, rest = labels.filter("doc_id % 2 = 0"), labels.filter("doc_id % 2 = 1")
+    truth = {r["doc_id"]: r["quality"] for r in rest.collect()}
+    rows = {r["doc_id"]: r["keep"] for r in quality.classify(sample, train).collect()}
+    assert len(rows) == sample.count()
+    good = [rows[d] for d, q in truth.items() if q == 1]
+    bad = [rows[d] for d, q in truth.items() if q == 0]
+    assert np.mean(good) > 0.98 and np.mean(bad) < 0.1
+
+
+def test_sparse_sites_shrink_towards_their_parents(spark):
+    rows = [("big", "a", -3.0, 0)] * 900 + [("big", "b", 3.0, 0)] * 100 + [("tiny", "a", -3.0, 0)]
+    rows += [(f"h{k}", "a", 3.0 if k % 3 else -3.0, 0) for k in range(60) for _ in range(50)]
+    sites = quality.site_posteriors(spark.createDataFrame(rows, "host string, path string, ratio double, salt int"))
+    got = {(r["host"], r["path"]): r for r in sites.collect()}
+    low, high = 1 / (1 + np.exp(3)), 1 / (1 + np.exp(-3))
+    assert abs(got["big", "a"]["path_rate"] - low) < 0.05
+    assert got["tiny", "a"]["path_rate"] > got["big", "a"]["path_rate"]
+    assert low < got["big", "b"]["path_rate"] < high
+
+
+def test_features_do_not_depend_on_the_batch(sample):
+    import pyarrow as pa
+
+    texts = [r["text"] for r in sample.limit(40).collect()] + ["", None, "a\nb\nb\n", "é " * 30]
+    together = quality.features(pa.array(texts))
+    for k, text in enumerate(texts):
+        assert np.allclose(together[k], quality.features(pa.array([text], pa.string()))[0]), k
+
+
+def test_odd_rows(spark, odd, empty):
+    labels = spark.createDataFrame([(4, 1, 0), (6, 0, None), (None, 1, 0), (7, None, 0), (4, 1, 0)], "doc_id long, quality int, toxic int")
+    rows = quality.classify(odd, labels)
+    assert rows.count() == odd.count()
+    assert rows.filter(F.col("keep").isNull() | F.col("quality").isNull()).count() == 0
+    assert quality.keep_good(odd, labels).columns == odd.columns
+    assert quality.classify(odd, labels.limit(0)).filter("not keep").count() == 0
+    assert quality.classify(empty, labels).count() == 0

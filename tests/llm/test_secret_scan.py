@@ -1,0 +1,57 @@
+import hashlib
+import random
+import re
+
+from siltstone.llm import secret_scan
+
+KINDS = ("assign", "access", "hex")
+
+
+def naive(text):
+    assign = r"""([pP][aA][sS][sS][wW][oO][rR][dD]|[pP][aA][sS][sS][wW][dD]|[sS][eE][cC][rR][eE][tT]|[tT][oO][kK][eE][nN]|[aA][pP][iI]_?[kK][eE][yY])["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
+    spans = [("assign", *m.span()) for m in re.finditer(assign, text) if len(m.group(2)) >= 12]
+    spans += [("access", *m.span()) for m in re.finditer("AKIA[A-Z0-9]+", text) if len(m.group()) >= 18]
+    spans += [("hex", *m.span()) for m in re.finditer("[0-9a-f]+", text) if len(m.group()) >= 16]
+    return sorted(spans, key=lambda s: (s[1], KINDS.index(s[0])))
+
+
+def test_base_spans_as_by_plain_patterns():
+    rng = random.Random(7)
+    parts = ["password", "PassWd", "ſecret", "secret", "api_KEY", "apikey", "token", "=", ":", " ", '"', "abcdef012345", "Zz+/", "AKIA", "AKIAABCDEFGH123456", "é", "İ"]
+    for _ in range(3000):
+        text = "".join(rng.choice(parts) for _ in range(rng.randint(0, 20)))
+        assert secret_scan.find(text, text.lower()) == naive(text), text
+
+
+def test_whole_table(spark, sample):
+    rows = {r["doc_id"]: r for r in secret_scan.scan(sample).collect()}
+    for r in sample.collect():
+        base, row = naive(r["text"]), rows[r["doc_id"]]
+        assert row["base_sha256"] == hashlib.sha256(secret_scan.joined(base).encode()).hexdigest()
+        assert [row[f"n_{k}"] for k in KINDS] == [sum(s[0] == k for s in base) for k in KINDS]
+        assert {secret_scan.joined([s]) for s in base} <= set(row["spans"].split(","))
+
+
+def test_novel_strings_are_told_from_names():
+    novelty = secret_scan.Novelty(secret_scan.identifier_dictionary())
+    key = "kT9vQ2mZx7LpW4sR8bNc"
+    text = f"the bearer credential is {key} for now"
+    start = text.index(key)
+    assert ("novel", start, start + len(key)) in secret_scan.find_novel(text, text.lower(), novelty)
+    tame = "auth uses get_user_name_from_request_2 and password_reset_token_view_1"
+    assert secret_scan.find_novel(tame, tame.lower(), novelty) == []
+    repeated = f"{key} then {key} secret {key}"
+    first = secret_scan.Novelty(b"abc" * 9).of(text, start, start + len(key))
+    again = repeated.rindex(key)
+    assert novelty.of(repeated, again, again + len(key)) < first / 2
+
+
+def test_redact(spark):
+    docs = spark.createDataFrame([(1, "token = abcdefabcdef012345 end", 1), (2, None, 1)], "doc_id long, text string, spans int")
+    assert [tuple(r) for r in secret_scan.redact(docs).collect()] == [(1, "[SECRET] end", 1), (2, None, 1)]
+
+
+def test_odd_rows(odd, empty):
+    rows = secret_scan.scan(odd).collect()
+    assert len(rows) == odd.count() and not any(r["spans"] for r in rows)
+    assert secret_scan.scan(empty).count() == 0
