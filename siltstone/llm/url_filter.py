@@ -42,6 +42,7 @@ SEED_WORDS = (
 MAX_WORD = 20
 MAX_RUN = 4096
 MIN_PIECE = 3
+SMOOTHING = 10.0
 _SEED_COUNT = 1.0
 _URL = "<url>"
 _RUN = re.compile(r"[a-z]+|[0-9]+")
@@ -151,8 +152,14 @@ def fit(urls: DataFrame, costs: dict[str, float]) -> dict[str, float]:
     for w in SEED_WORDS:
         bad[w] = bad.get(w, 0) + _SEED_COUNT
     words = good.keys() | bad.keys()
-    n_good, n_bad = sum(good.values()) + len(words), sum(bad.values()) + len(words)
-    weights = {w: math.log((bad.get(w, 0) + 1) / n_bad) - math.log((good.get(w, 0) + 1) / n_good) for w in words}
+    n_good, n_bad = sum(good.values()), sum(bad.values())
+
+    def chance(of: dict[str, int], n: float, w: str) -> float:
+        # Smoothed towards both classes together, so that a rare word leans to neither for its rarity.
+        pooled = (good.get(w, 0) + bad.get(w, 0)) / (n_good + n_bad)
+        return (of.get(w, 0) + SMOOTHING * pooled) / (n + SMOOTHING)
+
+    weights = {w: math.log(chance(bad, n_bad, w) / chance(good, n_good, w)) for w in words}
     return weights | {_URL: prior}
 
 
