@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from siltstone.llm import language_id, mixing, personal_data, quality, secret_scan, url_filter
+from siltstone.llm import decontaminate, language_id, mixing, neighbours, personal_data, quality, secret_scan, url_filter
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -23,10 +23,18 @@ def op3_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.scan(_table(spark, sf_dir, "documents"))
 
 
+def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.report(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
 def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.plan_mix(_table(spark, sf_dir, "documents"))
 
 
+def op6_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neighbours.search(_table(spark, sf_dir, "embeddings"), lambda vec_id: vec_id % 20 == 0, 20)
+
+
 def op8_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     return personal_data.scan(_table(spark, sf_dir, "documents"))
 
@@ -42,7 +50,9 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "op1_quality": op1_quality,
     "op3_secrets": op3_secrets,
+    "op4_decontamination": op4_decontamination,
     "op5_mixing": op5_mixing,
+    "op6_neighbours": op6_neighbours,
     "op8_personal_data": op8_personal_data,
     "op9_language": op9_language,
     "op10_url_filter": op10_url_filter,
