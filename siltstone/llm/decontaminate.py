@@ -39,17 +39,17 @@ UNITS = (
 NUMBER_WORDS = "one two three four five six seven eight nine ten eleven twelve twenty thirty forty fifty hundred thousand".split()
 
 _NAME = r"([\p{Ll}0-9,;] )(\p{Lu}\p{L}*)"
-_UNIT = rf"([0-9]) ?({'|'.join(UNITS)})\b"
+_UNIT = rf"(?i)([0-9]) ?({'|'.join(UNITS)})\b"
 _NUMBER = r"([0-9]+([.,][0-9]+)*)"
 _WORD = rf"[{NUMBER}{NAME}{UNIT}]?([\p{{L}}]+|[0-9]+([.,][0-9]+)*)"
 
 
 def words(text: Column) -> Column:
     """The words of a text, lower-cased, slots with their mark in front."""
+    units = F.regexp_replace(F.coalesce(text, F.lit("")), _UNIT, f"$1 {UNIT}$2")
     # A second pass marks the names whose blank the first one used up.
-    named = reduce(lambda t, _: F.regexp_replace(t, _NAME, f"$1{NAME}$2"), range(2), F.coalesce(text, F.lit("")))
-    lower = F.lower(named)
-    marked = F.regexp_replace(F.regexp_replace(lower, _UNIT, f"$1 {UNIT}$2"), _NUMBER, f"{NUMBER}$1")
+    named = reduce(lambda t, _: F.regexp_replace(t, _NAME, f"$1{NAME}$2"), range(2), units)
+    marked = F.regexp_replace(F.lower(named), _NUMBER, f"{NUMBER}$1")
     return F.regexp_extract_all(marked, F.lit(_WORD), F.lit(0))
 
 

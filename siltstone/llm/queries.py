@@ -58,4 +58,83 @@ QUERIES: dict[str, Query] = {
     "op10_url_filter": op10_url_filter,
 }
 
-ORACLE: dict[str, str] = {}
+
+def _words_sql(table: str, key: str) -> str:
+    d = decontaminate
+    named = f"regexp_replace(coalesce(text, ''), '{d._UNIT}', '\\1 {d.UNIT}\\2', 'g')"
+    for _ in range(2):
+        named = f"regexp_replace({named}, '{d._NAME}', '\\1{d.NAME}\\2', 'g')"
+    marked = f"regexp_replace(lower({named}), '{d._NUMBER}', '{d.NUMBER}\\1', 'g')"
+    return f"SELECT {key}, text, regexp_extract_all({marked}, '{d._WORD}') AS words FROM {table}"
+
+
+def _template_sql(words: str) -> str:
+    d = decontaminate
+    marks = f"('{d.NUMBER}', '{d.NAME}', '{d.UNIT}')"
+    numbers = ", ".join(f"'{w}'" for w in d.NUMBER_WORDS)
+    return (
+        f"list_transform({words}, lambda w: CASE WHEN w[1] IN {marks} THEN w[1] "
+        f"WHEN w IN ({numbers}) THEN '{d.NUMBER}' ELSE w END)"
+    )
+
+
+_D = decontaminate
+_SPAN = _D.WINDOW - 1
+_SLOT = f"('{_D.NUMBER}', '{_D.NAME}', '{_D.UNIT}')"
+
+ORACLE: dict[str, str] = {
+    "op4_decontamination": f"""
+WITH d AS ({_words_sql("documents", "doc_id")}),
+b AS ({_words_sql("(SELECT DISTINCT item_id, text FROM benchmark)", "item_id")}),
+dw AS (SELECT doc_id, text, pos, words[pos:pos + {_SPAN}] AS w
+  FROM d, unnest(range(1, len(words) - {_SPAN - 1})) AS t(pos)),
+bw AS (SELECT item_id, spot, words[spot:spot + {_SPAN}] AS w
+  FROM b, unnest(range(1, len(words) - {_SPAN - 1})) AS t(spot)),
+dt AS (SELECT *, {_template_sql("w")} AS template FROM dw),
+bt AS (SELECT *, {_template_sql("w")} AS template FROM bw),
+bs AS (SELECT * FROM bt WHERE len(list_filter(template, lambda x: x IN {_SLOT})) <= {_D.MAX_SLOTS}),
+bn AS (SELECT item_id, count(DISTINCT spot) AS n FROM bs GROUP BY item_id),
+m AS (SELECT dt.doc_id, dt.text, bs.item_id, spot, pos - spot AS line, bs.w AS bw, dt.w AS dw, bs.template AS template
+  FROM dt JOIN bs ON dt.template = bs.template),
+slots AS (SELECT doc_id, text, item_id, line, bw[k] AS item_word, dw[k] AS doc_word
+  FROM m, unnest(range(1, {_D.WINDOW + 1})) AS t(k) WHERE template[k] IN {_SLOT}),
+broken AS (SELECT DISTINCT doc_id, text, item_id, line FROM (
+  SELECT doc_id, text, item_id, line, item_word FROM slots GROUP BY ALL HAVING count(DISTINCT doc_word) > 1)),
+kept AS (SELECT m.* FROM m WHERE NOT EXISTS (SELECT 1 FROM broken x WHERE x.doc_id IS NOT DISTINCT FROM m.doc_id
+  AND x.text = m.text AND x.item_id IS NOT DISTINCT FROM m.item_id AND x.line = m.line)),
+runs AS (SELECT doc_id, text, item_id, max(run) AS run FROM (
+  SELECT doc_id, text, item_id, line, count(DISTINCT spot) AS run FROM kept GROUP BY ALL) GROUP BY ALL),
+covered AS (SELECT k.doc_id, k.text, k.item_id, count(DISTINCT k.spot) / first(bn.n) AS coverage
+  FROM kept k JOIN bn ON bn.item_id IS NOT DISTINCT FROM k.item_id GROUP BY ALL),
+hits AS (SELECT c.doc_id, c.text, c.item_id, c.coverage FROM covered c JOIN runs r
+  ON c.doc_id IS NOT DISTINCT FROM r.doc_id AND c.text = r.text AND c.item_id IS NOT DISTINCT FROM r.item_id
+  WHERE c.coverage >= {_D.COVERAGE} OR r.run >= {_D.RUN}),
+per AS (SELECT doc_id, text, count(*) AS n_items, max(coverage) AS coverage,
+  array_to_string(list_sort(list(item_id::VARCHAR)), ',') AS items FROM hits GROUP BY ALL)
+SELECT documents.doc_id, coalesce(n_items, 0) AS n_items, coalesce(items, '') AS items,
+  round(coalesce(coverage, 0.0), 6)::DOUBLE AS coverage, n_items IS NOT NULL AS contaminated
+FROM documents LEFT JOIN per ON per.doc_id IS NOT DISTINCT FROM documents.doc_id AND per.text = documents.text
+""",
+    "op5_mixing": """
+WITH sized AS (SELECT doc_id, source,
+    coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)::BIGINT AS size FROM documents),
+sums AS (SELECT source, sum(size)::BIGINT AS source_size,
+    row_number() OVER (ORDER BY source NULLS LAST) - 1 AS place FROM sized GROUP BY source),
+weighed AS (SELECT *, place % 3 + 1 AS weight, 3 * source_size AS cap FROM sums),
+stepped AS (SELECT *,
+    (SELECT sum(source_size) FROM weighed) - coalesce(sum(cap) OVER before, 0) AS share, sum(weight) OVER rest AS weights
+  FROM weighed WINDOW
+    before AS (ORDER BY 6 * cap // weight, place ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING),
+    rest AS (ORDER BY 6 * cap // weight, place ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING)),
+open AS (SELECT share, weights FROM stepped WHERE cap * weights > weight * share ORDER BY 6 * cap // weight, place LIMIT 1),
+plan AS (SELECT source, source_size, CASE WHEN share IS NULL OR cap * weights <= weight * share THEN cap::DOUBLE
+    ELSE (weight * share)::DOUBLE / weights::DOUBLE END AS target
+  FROM weighed LEFT JOIN open ON true),
+rated AS (SELECT doc_id, size, source_size, target,
+    CASE WHEN source_size > 0 THEN target / source_size ELSE 0.0 END AS rate,
+    ('0x' || substr(md5('mix:' || coalesce(doc_id::VARCHAR, 'null')), 1, 8))::BIGINT / 4294967296.0::DOUBLE AS drawn
+  FROM sized JOIN plan ON plan.source IS NOT DISTINCT FROM sized.source)
+SELECT doc_id, size, source_size, target, (size * copies)::BIGINT AS taken, copies
+FROM (SELECT *, floor(rate)::BIGINT + (drawn < rate - floor(rate))::BIGINT AS copies FROM rated)
+""",
+}
