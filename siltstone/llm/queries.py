@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from siltstone.llm import decontaminate, language_id, mixing, neighbours, personal_data, quality, secret_scan, url_filter
+from siltstone.llm import decontaminate, language_id, mixing, near_duplicates, neighbours, personal_data, quality, secret_scan, url_filter
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -35,6 +35,10 @@ def op6_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neighbours.search(_table(spark, sf_dir, "embeddings"), lambda vec_id: vec_id % 20 == 0, 20)
 
 
+def op7_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates.report(_table(spark, sf_dir, "documents"))
+
+
 def op8_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     return personal_data.scan(_table(spark, sf_dir, "documents"))
 
@@ -53,6 +57,7 @@ QUERIES: dict[str, Query] = {
     "op4_decontamination": op4_decontamination,
     "op5_mixing": op5_mixing,
     "op6_neighbours": op6_neighbours,
+    "op7_near_duplicates": op7_near_duplicates,
     "op8_personal_data": op8_personal_data,
     "op9_language": op9_language,
     "op10_url_filter": op10_url_filter,
