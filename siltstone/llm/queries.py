@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from siltstone.llm import decontaminate, language_id, mixing, near_duplicates, neighbours, personal_data, quality, secret_scan, url_filter
+from siltstone.llm import decontaminate, language_id, mixing, near_duplicates, neighbours, personal_data, quality, repeats, secret_scan, url_filter
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -19,6 +19,10 @@ def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.classify(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
 
+def op2_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats.report(_table(spark, sf_dir, "documents"))
+
+
 def op3_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.scan(_table(spark, sf_dir, "documents"))
 
@@ -53,6 +57,7 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op1_quality": op1_quality,
+    "op2_repeats": op2_repeats,
     "op3_secrets": op3_secrets,
     "op4_decontamination": op4_decontamination,
     "op5_mixing": op5_mixing,
