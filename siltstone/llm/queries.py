@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+import corpus_pipeline
 from siltstone.llm import decontaminate, language_id, mixing, near_duplicates, neighbours, personal_data, quality, repeats, secret_scan, url_filter
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -66,6 +67,7 @@ QUERIES: dict[str, Query] = {
     "op8_personal_data": op8_personal_data,
     "op9_language": op9_language,
     "op10_url_filter": op10_url_filter,
+    "pipeline": corpus_pipeline.run,
 }
 
 
