@@ -7,8 +7,8 @@ deepened, value by value, until its parts are small, and neighbours in the order
 besides. A pair is a candidate if a 128-bit sketch (one bit of every minimum) agrees as it does, but
 for a chance below one in a million, at the threshold.
 
-Candidates are confirmed on full sets, the likeliest of each class first, and only while the two are
-not yet connected. Regions that were deepened (and those at the edge of a task) are then searched
+Candidates are confirmed on full sets, the likeliest few of each class first, then all whose two sides
+these have not connected. Regions that were deepened (and those at the edge of a task) are then searched
 again, block by block, for candidates between different components, ever further down each class's
 list, until none is left; so deepening loses nothing that the first ``LEAST_DEPTH`` values found. What
 remains is the forest's own chance: a pair at the threshold is missed by all trees once in 6,000
@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 
 from siltstone.llm.components import components
 from siltstone.llm.texts import mixed, word_hashes
-from siltstone.runtime import checkpointed, fits_broadcast
+from siltstone.runtime import checkpointed, fits_broadcast, has_rows
 
 # Words to a shingle, and the least similarity as a percentage.
 SHINGLE = 5
@@ -42,6 +42,7 @@ TREES, DEPTH, LEAST_DEPTH = 16, 8, 3
 AGREEMENT = 92
 REGION = 16
 NEIGHBOURS = 4
+FIRST = 4
 BLOCK = 2048
 _STREAM = 1 << 16
 _ROOT = 9
@@ -281,24 +282,25 @@ class _Links:
         judged = checkpointed(joined.mapInArrow(_confirm, "a long, b long, linked boolean"))
         refuted, found = judged.filter("not linked").select("a", "b"), judged.filter("linked").select("a", "b")
         self.refuted = refuted if self.refuted is None else self.refuted.union(refuted)
-        if found.take(1):
+        if has_rows(found):
             # Components so far stand as links from each node to its root.
             so_far = found if self.of is None else found.union(self.of.select(F.col("node").alias("a"), F.col("component").alias("b")))
             self.of = checkpointed(components(so_far))
 
 
 def _settle_pairs(links: _Links, pairs: DataFrame) -> None:
-    """Confirms candidates, the likeliest of each class first, twice as many in each round."""
-    take = 2
-    while True:
-        rest = checkpointed(links.open(pairs))
-        if not rest.take(1):
+    """Confirms candidates: first the likeliest few of each class, then all that these leave open."""
+    for take in (FIRST, None):
+        pairs = checkpointed(links.open(pairs))
+        if not has_rows(pairs):
             return
-        ends = rest.select("a", "b", "agree", F.explode(F.array("a", "b")).alias("end"))
-        best = Window.partitionBy("end").orderBy(F.desc("agree"), "a", "b")
-        chosen = ends.withColumn("nth", F.row_number().over(best)).filter(F.col("nth") <= take)
-        links.confirm(chosen.select("a", "b").distinct())
-        pairs, take = rest, take * 2
+        if take:
+            ends = pairs.select("a", "b", "agree", F.explode(F.array("a", "b")).alias("end"))
+            best = Window.partitionBy("end").orderBy(F.desc("agree"), "a", "b")
+            chosen = ends.withColumn("nth", F.row_number().over(best)).filter(F.col("nth") <= take)
+            links.confirm(chosen.select("a", "b").distinct())
+        else:
+            links.confirm(pairs)
 
 
 def _between(low: int, high: int):
@@ -341,7 +343,7 @@ def _between(low: int, high: int):
 
 def _settle_regions(links: _Links, rows: DataFrame) -> None:
     """Looks through regions that hold several components, all pairs of blocks, in rounds."""
-    low, high = 0, 8
+    low, high = 0, 64
     while True:
         placed = rows
         if links.of is not None:
@@ -364,9 +366,9 @@ def _settle_regions(links: _Links, rows: DataFrame) -> None:
         )
         pairs = found.filter("not more").groupBy("a", "b").agg(F.max("agree").alias("agree"))
         _settle_pairs(links, pairs)
-        if not found.filter("more").take(1):
+        if not has_rows(found.filter("more")):
             return
-        low, high = high, high * 4
+        low, high = high, high * 16
 
 
 def _classed(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
