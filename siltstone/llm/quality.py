@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from siltstone.llm.texts import blocks, flat, lowered, prefix_sums, range_hash, word_spans
+from siltstone.llm.texts import blocks, flat, lowered, prefix_sums, range_hash, slices, word_spans
 from siltstone.runtime import checkpointed
 
 SAMPLE_DOCS = 6000
@@ -177,7 +177,8 @@ def evidence_udf(model: Classifier | None):
     def run(texts: pa.Array) -> pa.Array:
         if model is None:
             return pa.array(np.full(len(texts), MAX_RATIO))
-        return pa.array(model.ratio(features(texts)))
+        parts = [model.ratio(features(part)) for part in slices(texts)]
+        return pa.array(np.concatenate(parts) if parts else np.zeros(0))
 
     return F.arrow_udf(run, "double")
 

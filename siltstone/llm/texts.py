@@ -36,6 +36,17 @@ def flat(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return raw[bounds[0] : bounds[-1]], bounds - bounds[0]
 
 
+def slices(texts: pa.Array) -> Iterator[pa.Array]:
+    """The texts in order, in slices of a few blocks each."""
+    offsets = flat(texts)[1]
+    start = 0
+    while start < len(texts):
+        end = int(np.searchsorted(offsets, offsets[start] + 2 * BLOCK_BYTES, side="right")) - 1
+        end = max(end, start + 1)
+        yield texts[start:end]
+        start = end
+
+
 def lowered(data: np.ndarray) -> np.ndarray:
     """A-Z to a-z; every other byte stays."""
     return _LOWER[data]
