@@ -7,12 +7,12 @@ deepened, value by value, until its parts are small, and neighbours in the order
 besides. A pair is a candidate if a 128-bit sketch (one bit of every minimum) agrees as it does, but
 for a chance below one in a million, at the threshold.
 
-Candidates are confirmed on full sets, the likeliest few of each class first, then all whose two sides
-these have not connected. Regions that were deepened (and those at the edge of a task) are then searched
-again, block by block, for candidates between different components, ever further down each class's
-list, until none is left; so deepening loses nothing that the first ``LEAST_DEPTH`` values found. What
-remains is the forest's own chance: a pair at the threshold is missed by all trees once in 6,000
-times (``(1 - 0.75 ** 3) ** 16``).
+Candidates are confirmed on full sets, the likeliest few of each class first, then all from small
+regions whose two sides these have not connected. Regions that were deepened (and those at the edge
+of a task) and hold several components are then compared whole, block by block, on full sets, so
+deepening loses nothing that the first ``LEAST_DEPTH`` values found; a block returns no more links than
+connect its components. What remains is the forest's own chance: a pair at the threshold is missed
+by all trees once in 6,000 times (``(1 - 0.75 ** 3) ** 16``).
 
 Null text counts as empty; a text without words has no shingles and is linked with nothing. Rows with
 the same id and text are one document; a component's id is its smallest non-null id. Extra columns
@@ -41,9 +41,10 @@ PERCENT = 75
 TREES, DEPTH, LEAST_DEPTH = 16, 8, 3
 AGREEMENT = 92
 REGION = 16
-NEIGHBOURS = 4
+NEIGHBOURS = 2
 FIRST = 4
-BLOCK = 2048
+BLOCK = 512
+_COLUMNS = 4096
 _STREAM = 1 << 16
 _ROOT = 9
 
@@ -157,7 +158,7 @@ def region_pairs(place: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return both // n, both % n
 
 
-_PAIRS = "a long, b long, agree int, region binary, sketch binary"
+_PAIRS = "a long, b long, agree int, small boolean, region binary, sketch binary"
 
 
 def _look(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -165,12 +166,13 @@ def _look(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     that were deepened or may go on in another task.
     """
 
-    def rows(a, b, agree, region, sketch):
+    def rows(a, b, agree, small, region, sketch):
         return pa.RecordBatch.from_pydict(
             {
                 "a": pa.array(a, pa.int64()),
                 "b": pa.array(b, pa.int64()),
                 "agree": pa.array(agree, pa.int32()),
+                "small": pa.array(small, pa.bool_()),
                 "region": pa.array(region, pa.binary()),
                 "sketch": pa.array(sketch, pa.binary()),
             }
@@ -183,24 +185,25 @@ def _look(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         edge = np.zeros(len(starts), dtype=bool)
         edge[0] |= first
         edge[-1] |= last
-        a, b = [], []
+        a, b, small = [], [], []
         for k in np.flatnonzero(ends - starts > 1):
             i, j = region_pairs(deeper[starts[k] : ends[k]])
             a.append(i + starts[k])
             b.append(j + starts[k])
+            small.append(np.full(len(i), ends[k] - starts[k] <= REGION))
         if a:
-            a, b = np.concatenate(a), np.concatenate(b)
+            a, b, small = np.concatenate(a), np.concatenate(b), np.concatenate(small)
             agree = 128 - np.bitwise_count(bits[a] ^ bits[b]).sum(axis=1, dtype=np.int64)
             fit = (agree >= AGREEMENT) & (cid[a] != cid[b])
-            a, b, agree = cid[a[fit]], cid[b[fit]], agree[fit]
+            a, b, agree, small = cid[a[fit]], cid[b[fit]], agree[fit], small[fit]
             none = pa.nulls(len(a), pa.binary())
-            yield rows(np.minimum(a, b), np.maximum(a, b), agree, none, none)
+            yield rows(np.minimum(a, b), np.maximum(a, b), agree, small, none, none)
         again = np.flatnonzero(np.repeat((ends - starts > REGION) | edge, ends - starts))
         if len(again):
             none = pa.nulls(len(again), pa.int64())
             region = [place[k, :_ROOT].tobytes() for k in again]
             sketch = [bits[k].tobytes() for k in again]
-            yield rows(cid[again], none, pa.nulls(len(again), pa.int32()), region, sketch)
+            yield rows(cid[again], none, pa.nulls(len(again), pa.int32()), pa.nulls(len(again), pa.bool_()), region, sketch)
 
     held, first = None, True
     for batch in batches:
@@ -282,6 +285,10 @@ class _Links:
         judged = checkpointed(joined.mapInArrow(_confirm, "a long, b long, linked boolean"))
         refuted, found = judged.filter("not linked").select("a", "b"), judged.filter("linked").select("a", "b")
         self.refuted = refuted if self.refuted is None else self.refuted.union(refuted)
+        self.join(found)
+
+    def join(self, found: DataFrame) -> None:
+        """Merges the components of confirmed links (a, b)."""
         if has_rows(found):
             # Components so far stand as links from each node to its root.
             so_far = found if self.of is None else found.union(self.of.select(F.col("node").alias("a"), F.col("component").alias("b")))
@@ -289,86 +296,96 @@ class _Links:
 
 
 def _settle_pairs(links: _Links, pairs: DataFrame) -> None:
-    """Confirms candidates: first the likeliest few of each class, then all that these leave open."""
-    for take in (FIRST, None):
-        pairs = checkpointed(links.open(pairs))
-        if not has_rows(pairs):
-            return
-        if take:
-            ends = pairs.select("a", "b", "agree", F.explode(F.array("a", "b")).alias("end"))
-            best = Window.partitionBy("end").orderBy(F.desc("agree"), "a", "b")
-            chosen = ends.withColumn("nth", F.row_number().over(best)).filter(F.col("nth") <= take)
-            links.confirm(chosen.select("a", "b").distinct())
-        else:
-            links.confirm(pairs)
-
-
-def _between(low: int, high: int):
-    """Of each class, the candidates in other components at places [low, high) of its list."""
-
-    def run(table: pa.Table) -> pa.Table:
-        cid = table["cid"].to_numpy()
-        comp = table["component"].to_numpy()
-        own = table["own"].to_numpy(zero_copy_only=False).astype(bool)
-        bits = np.frombuffer(b"".join(table["sketch"].to_pylist()), dtype=np.uint64).reshape(-1, 2)
-        out_a, out_b, out_n, more = [], [], [], []
-        order = np.argsort(cid, kind="stable")
-        cid, comp, bits, own = cid[order], comp[order], bits[order], own[order]
-        for k in np.flatnonzero(own):
-            agree = 128 - np.bitwise_count(bits ^ bits[k]).sum(axis=1, dtype=np.int64)
-            fit = np.flatnonzero((agree >= AGREEMENT) & (cid != cid[k]))
-            fit = fit[np.argsort(-agree[fit], kind="stable")]
-            near = fit[low:high]
-            near = near[comp[near] != comp[k]]
-            out_a += [min(cid[k], c) for c in cid[near]]
-            out_b += [max(cid[k], c) for c in cid[near]]
-            out_n += agree[near].tolist()
-            more += [False] * len(near)
-            if (comp[fit[high:]] != comp[k]).any():
-                out_a.append(cid[k])
-                out_b.append(cid[k])
-                out_n.append(0)
-                more.append(True)
-        return pa.table(
-            {
-                "a": pa.array(out_a, pa.int64()),
-                "b": pa.array(out_b, pa.int64()),
-                "agree": pa.array(out_n, pa.int32()),
-                "more": pa.array(more, pa.bool_()),
-            }
-        )
+    """Confirms candidates: first the likeliest few of each class, then all that small regions
+    leave open; larger ones are compared whole later.
+    """
+    ends = pairs.select("a", "b", "agree", F.explode(F.array("a", "b")).alias("end"))
+    best = Window.partitionBy("end").orderBy(F.desc("agree"), "a", "b")
+    chosen = ends.withColumn("nth", F.row_number().over(best)).filter(F.col("nth") <= FIRST)
+    links.confirm(chosen.select("a", "b").distinct())
+    links.confirm(links.open(pairs.filter("small")))
+
+
+def across(sets: list[np.ndarray], component: np.ndarray, own: np.ndarray) -> list[tuple[int, int]]:
+    """Links that connect the components of these sets, each from an own row to any other."""
+    sizes = np.array([len(s) for s in sets], dtype=np.float32)
+    rows = np.repeat(np.arange(len(sets)), sizes.astype(np.int64))
+    _, words, counts = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    shared = counts[words] > 1
+    place = np.cumsum(counts > 1) - 1
+    rows, words = rows[shared], place[words[shared]]
+    mine = np.flatnonzero(own)
+    both = np.zeros((len(mine), len(sets)), dtype=np.float32)
+    order = np.argsort(words, kind="stable")
+    rows, words = rows[order], words[order]
+    for start in range(0, int(words[-1]) + 1 if len(words) else 0, _COLUMNS):
+        low, high = np.searchsorted(words, [start, start + _COLUMNS])
+        grid = np.zeros((len(sets), _COLUMNS), dtype=np.float32)
+        grid[rows[low:high], words[low:high] - start] = 1
+        both += grid[mine] @ grid.T
+    linked = 100 * both >= PERCENT * (sizes[mine][:, None] + sizes[None, :] - both)
+    linked &= component[mine][:, None] != component[None, :]
+    root = {c: c for c in component.tolist()}
+
+    def find(c: int) -> int:
+        while root[c] != c:
+            root[c] = root[root[c]]
+            c = root[c]
+        return c
 
-    return run
+    out = []
+    for i, j in zip(*np.nonzero(linked), strict=True):
+        x, y = find(int(component[mine[i]])), find(int(component[j]))
+        if x != y:
+            root[x] = y
+            out.append((int(mine[i]), int(j)))
+    return out
+
+
+def _compare_blocks(table: pa.Table) -> pa.Table:
+    """Links between different components of one block and another, on full sets."""
+    cid, component = table["cid"].to_numpy(), table["component"].to_numpy()
+    own = table["own"].to_numpy(zero_copy_only=False).astype(bool)
+    bits = np.frombuffer(b"".join(table["sketch"].to_pylist()), dtype=np.uint64).reshape(-1, 2)
+    promising = np.zeros(len(cid), dtype=bool)
+    for k in np.flatnonzero(own):
+        agree = 128 - np.bitwise_count(bits ^ bits[k]).sum(axis=1, dtype=np.int64)
+        fit = (agree >= AGREEMENT) & (component != component[k])
+        if fit.any():
+            promising |= fit
+            promising[k] = True
+    found = []
+    keep = np.flatnonzero(promising)
+    if len(keep):
+        unpack = zstandard.ZstdDecompressor().decompress
+        bodies = table["body"].take(pa.array(keep)).to_pylist()
+        sets = shingle_sets(pa.array([unpack(b).decode() for b in bodies], pa.large_string()))
+        found = [(int(cid[keep[i]]), int(cid[keep[j]])) for i, j in across(sets, component[keep], own[keep])]
+    return pa.table(
+        {
+            "a": pa.array([min(x) for x in found], pa.int64()),
+            "b": pa.array([max(x) for x in found], pa.int64()),
+        }
+    )
 
 
 def _settle_regions(links: _Links, rows: DataFrame) -> None:
-    """Looks through regions that hold several components, all pairs of blocks, in rounds."""
-    low, high = 0, 64
-    while True:
-        placed = rows
-        if links.of is not None:
-            placed = rows.join(links.of.withColumnRenamed("node", "cid"), "cid", "left")
-        else:
-            placed = rows.withColumn("component", F.col("cid"))
+    """Compares regions that hold several components, all pairs of their blocks."""
+    placed = rows.withColumn("component", F.col("cid"))
+    if links.of is not None:
+        placed = rows.join(links.of.withColumnRenamed("node", "cid"), "cid", "left")
         placed = placed.withColumn("component", F.coalesce("component", "cid"))
-        several = placed.groupBy("region").agg(
-            F.count("*").alias("n"), (F.min("component") != F.max("component")).alias("several")
-        ).filter("several").select("region", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks"))
-        dealt = placed.join(several, "region").withColumn("block", F.pmod(F.xxhash64("cid"), "blocks").cast("int"))
-        # A block of its own rows meets every block, so each pair of rows meets somewhere.
-        met = dealt.withColumn("mate", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-        own = met.select("region", "block", "mate", "cid", "component", "sketch", F.lit(True).alias("own"))
-        other = met.filter("block != mate").select(
-            "region", F.col("mate").alias("block"), F.col("block").alias("mate"), "cid", "component", "sketch", F.lit(False).alias("own")
-        )
-        found = checkpointed(
-            own.union(other).groupBy("region", "block", "mate").applyInArrow(_between(low, high), "a long, b long, agree int, more boolean")
-        )
-        pairs = found.filter("not more").groupBy("a", "b").agg(F.max("agree").alias("agree"))
-        _settle_pairs(links, pairs)
-        if not has_rows(found.filter("more")):
-            return
-        low, high = high, high * 16
+    several = placed.groupBy("region").agg(
+        F.count("*").alias("n"), (F.min("component") != F.max("component")).alias("several")
+    ).filter("several").select("region", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks"))
+    dealt = placed.join(several, "region").withColumn("block", F.pmod(F.xxhash64("cid"), "blocks").cast("int"))
+    # Blocks meet in both orders of their numbers once: the lower one is the own one.
+    met = dealt.join(links.bodies, "cid").withColumn("mate", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    own = met.filter("block <= mate").select("region", "block", "mate", "cid", "component", "sketch", "body", F.lit(True).alias("own"))
+    other = met.filter("block > mate").select(
+        "region", F.col("mate").alias("block"), F.col("block").alias("mate"), "cid", "component", "sketch", "body", F.lit(False).alias("own")
+    )
+    links.join(checkpointed(own.union(other).groupBy("region", "block", "mate").applyInArrow(_compare_blocks, "a long, b long")))
 
 
 def _classed(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -393,7 +410,9 @@ def _classed(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
         .sortWithinPartitions("place", "cid")
     )
     looked = checkpointed(order.mapInArrow(_look, _PAIRS))
-    pairs = looked.filter("region is null").groupBy("a", "b").agg(F.max("agree").alias("agree"))
+    pairs = checkpointed(
+        looked.filter("region is null").groupBy("a", "b").agg(F.max("agree").alias("agree"), F.max("small").alias("small"))
+    )
     regions = looked.filter("region is not null").select("region", F.col("a").alias("cid"), "sketch").distinct()
     wanted = (
         looked.select(F.explode(F.array("a", F.coalesce("b", "a"))).alias("cid")).distinct()

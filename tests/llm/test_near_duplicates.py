@@ -85,30 +85,32 @@ def test_one_large_group(spark):
     assert found(spark, rows) == brute(rows)
 
 
-def test_regions_are_searched_to_the_end(spark):
+def test_blocks_are_compared_whole(monkeypatch):
+    monkeypatch.setattr(nd, "_COLUMNS", 64)
     rng = random.Random(12)
-    base = [f"b{k}" for k in range(200)]
-    sets = nd.shingle_sets(pa.array([edited(rng, base, 2) for _ in range(300)]))
-    sketch = np.packbits((nd.signatures(sets) & 1).astype(np.uint8), axis=1)
-    table = pa.table(
-        {
-            "cid": pa.array(range(300)),
-            "component": pa.array([k % 2 for k in range(300)]),
-            "own": pa.array([True] * 300),
-            "sketch": pa.array([s.tobytes() for s in sketch], pa.binary()),
-        }
-    )
-    seen, low, high = set(), 0, 8
-    while True:
-        out = nd._between(low, high)(table).to_pylist()
-        seen |= {(r["a"], r["b"]) for r in out if not r["more"]}
-        if not any(r["more"] for r in out):
-            break
-        low, high = high, high * 4
-    bits = sketch.view(np.uint64)
-    agree = 128 - np.bitwise_count(bits[:, None] ^ bits[None]).sum(axis=2)
-    want = {(a, b) for a in range(300) for b in range(a + 1, 300) if agree[a, b] >= nd.AGREEMENT and (a - b) % 2}
-    assert seen == want
+    base = [f"b{k}" for k in range(60)]
+    texts = [edited(rng, base, rng.randrange(1, 4)) for _ in range(80)] + ["q " * k for k in range(3, 9)]
+    sets = nd.shingle_sets(pa.array(texts))
+    own = np.array([k % 3 > 0 for k in range(len(sets))])
+    component = np.arange(len(sets)) // 2
+    found = nd.across(sets, component, own)
+    linked = {
+        (i, j)
+        for i in range(len(sets))
+        for j in range(len(sets))
+        if own[i] and component[i] != component[j]
+        and 100 * len(set(sets[i]) & set(sets[j])) >= 75 * len(set(sets[i]) | set(sets[j]))
+    }
+    assert set(found) <= linked and len(found) < len(sets)
+
+    def joined(pairs):
+        root = list(range(len(sets)))
+        for x, y in [*pairs, *[(k, k + 1) for k in range(0, len(sets) - 1, 2)]]:
+            a, b = root[x], root[y]
+            root = [a if r == b else r for r in root]
+        return [root.index(r) for r in root]
+
+    assert joined(found) == joined(linked) and len(set(joined(found))) < 60
 
 
 def test_few_words_and_ties(spark):
