@@ -73,17 +73,21 @@ ORACLE: dict[str, str] = {
         SELECT o_orderkey, o_orderpriority, CAST(NULL AS VARCHAR) AS o_orderstatus FROM orders
         UNION ALL
         SELECT o_orderkey, NULL, o_orderstatus FROM orders""",
-    "src_empty_input_guard": """
-        SELECT 'gold' AS layer, 'written' AS status, count(*) AS n_rows FROM lineitem
+    "src_empty_input_guard": f"""
+        WITH silver AS ({_silver('lineitem')})
+        SELECT 'gold' AS layer, 'written' AS status, count(*) AS n_rows,
+               (SELECT count(*) FROM (SELECT DISTINCT state_clean, city_clean FROM silver)) AS n_leaves,
+               CAST(NULL AS BIGINT) AS bad_numbers
+        FROM silver
         UNION ALL
-        SELECT 'gold', 'skipped', 0""",
+        SELECT 'gold', 'skipped', 0, NULL, NULL""",
     "src_page_ingest": """
-        SELECT CAST(event_id // 50 + 1 AS INTEGER) AS page, CAST(event_id % 50 AS INTEGER) AS pos,
+        SELECT CAST(event_id // 50 + 1 AS BIGINT) AS page, CAST(event_id % 50 AS INTEGER) AS pos,
                event_id, user_id, nullif(event_type, 'error') AS event_type, value
         FROM events""",
     "src_page_running_total": """
         WITH counted AS (
-            SELECT CAST(event_id // 50 + 1 AS INTEGER) AS page, count(*) AS n
+            SELECT CAST(event_id // 50 + 1 AS BIGINT) AS page, count(*) AS n
             FROM events GROUP BY 1)
         SELECT page, n, CAST(sum(n) OVER (ORDER BY page) AS BIGINT) AS running_total
         FROM counted""",
@@ -100,13 +104,18 @@ ORACLE: dict[str, str] = {
         SELECT * REPLACE (upper(name) AS name)
         FROM ({_silver('part')}) WHERE state IN ('SMALL', 'LARGE')""",
     "snk_gold_roundtrip": _gold("lineitem"),
-    "snk_skip_if_complete": """
-        SELECT layer, 'written' AS status, (SELECT count(*) FROM orders) AS n_rows, 1 AS run
+    "snk_skip_if_complete": f"""
+        WITH leaves AS (SELECT DISTINCT state_clean, city_clean FROM ({_silver('orders')}))
+        SELECT layer, 'written' AS status, (SELECT count(*) FROM orders) AS n_rows,
+               CASE WHEN layer <> 'bronze' THEN (SELECT count(*) FROM leaves) END AS n_leaves,
+               CASE WHEN layer = 'silver'
+                    THEN (SELECT count(*) FROM orders WHERE o_orderstatus = 'F') END AS bad_numbers,
+               1 AS run
         FROM (VALUES ('bronze'), ('silver'), ('gold')) AS layers(layer)
         UNION ALL
-        SELECT layer, 'skipped', NULL, 2
+        SELECT layer, 'skipped', NULL, NULL, NULL, 2
         FROM (VALUES ('bronze'), ('silver'), ('gold')) AS layers(layer)""",
-    "prj_select_columns": f"SELECT {', '.join(LOCATIONS.strings)} FROM ({_raw('lineitem')})",
+    "prj_select_columns": f"SELECT {_ALL} FROM ({_raw('lineitem')})",
     "prj_derived_keys": f"""
         SELECT id, state, city, state_clean, city_clean FROM ({_silver('lineitem')})""",
     "flt_partition_pruned": f"""
@@ -150,7 +159,7 @@ ORACLE: dict[str, str] = {
     "ord_sorted_gold": f"{_gold('part')} ORDER BY state, city, brewery_type",
     "ord_preview": f"{_gold('part')} ORDER BY state, city, brewery_type LIMIT 5",
     "ord_page_position": """
-        SELECT CAST(event_id // 50 + 1 AS INTEGER) AS page, CAST(event_id % 50 AS INTEGER) AS pos,
+        SELECT CAST(event_id // 50 + 1 AS BIGINT) AS page, CAST(event_id % 50 AS INTEGER) AS pos,
                event_id
         FROM events ORDER BY page, pos""",
     "set_union_by_name": """
@@ -167,14 +176,18 @@ ORACLE: dict[str, str] = {
         for c in (*LOCATIONS.group_by, "country", "phone")
     ),
     "dq_duplicate_rows": """
-        SELECT l_orderkey, l_linenumber, l_returnflag, count(*) AS n
-        FROM lineitem GROUP BY ALL HAVING count(*) > 1""",
+        SELECT *, count(*) AS n FROM (
+            FROM lineitem UNION ALL FROM lineitem WHERE l_quantity > 40
+            UNION ALL FROM lineitem WHERE l_quantity > 48)
+        GROUP BY ALL HAVING count(*) > 1""",
     "dq_duplicate_keys": """
         SELECT l_orderkey, l_linenumber, count(*) AS n
         FROM lineitem GROUP BY ALL HAVING count(*) > 1""",
-    "dq_type_validation": """
+    "dq_type_validation": f"""
         SELECT 'value_text' AS column_name, 'double' AS type_name, CAST(0 AS BIGINT) AS bad_rows
         UNION ALL SELECT 'value_text', 'string', 0
+        UNION ALL SELECT 'number_text', 'double', count(*)
+            FROM (SELECT {NUMBER_TEXT_SELECT} FROM events) WHERE {_number('number_text')} IS NULL
         UNION ALL SELECT 'kind', 'double', count(*) FROM events WHERE event_type <> 'error'
         UNION ALL SELECT 'kind', 'date', count(*) FROM events WHERE event_type <> 'error'
         UNION ALL SELECT 'day_text', 'date', count(*) FROM events WHERE event_type = 'click'
@@ -200,26 +213,32 @@ ORACLE: dict[str, str] = {
         SELECT state_clean, count(*) AS leaves, CAST(sum(leaf_rows) AS BIGINT) AS n_rows,
                min(leaf_rows) AS smallest_leaf, min(leaf_rows) > 0 AS ok
         FROM (SELECT state_clean, city_clean, count(*) AS leaf_rows
-              FROM ({_silver('lineitem')}) GROUP BY ALL)
+              FROM ({_silver('lineitem')}) GROUP BY ALL
+              UNION ALL SELECT 'A', 'no rows + 100%', 0)
         GROUP BY ALL""",
     "dq_key_collisions": f"""
         SELECT state_clean, city_clean, count(DISTINCT (state, city)) AS raw_pairs,
                count(*) AS n_rows
         FROM ({_COLLIDING_KEYED}) GROUP BY ALL HAVING count(DISTINCT (state, city)) > 1""",
     "dq_gate_report": f"""
-        WITH raw AS ({_raw('lineitem')})
-        SELECT 'null_keys' AS check_name, 'id' AS subject, CAST(0 AS BIGINT) AS bad_rows,
-               true AS passed
-        UNION ALL SELECT 'null_keys', 'phone', 0, true
-        UNION ALL SELECT 'null_keys', 'state', count(*) FILTER (WHERE state IS NULL), true FROM raw
-        UNION ALL SELECT 'blank_keys', 'id', count(*) FILTER (WHERE id = ''), true FROM raw
-        UNION ALL SELECT 'blank_keys', 'phone', count(*) FILTER (WHERE phone = ''), true FROM raw
-        UNION ALL SELECT 'blank_keys', 'state', count(*) FILTER (WHERE state = ''), true FROM raw
-        UNION ALL SELECT 'duplicates', 'id', count(*) - count(DISTINCT id), true FROM raw
-        UNION ALL SELECT 'types', 'postal_code:double', 0, true
-        UNION ALL SELECT 'date_range', 'o_orderdate', 0, true""",
+        WITH raw AS ({_raw('lineitem')}), found AS (
+        SELECT 'null_keys' AS check_name, 'id' AS subject,
+               count(*) FILTER (WHERE id IS NULL) AS bad_rows, 0 AS allowed FROM raw
+        UNION ALL SELECT 'null_keys', 'phone', count(*) FILTER (WHERE phone IS NULL), 0 FROM raw
+        UNION ALL SELECT 'null_keys', 'state', count(*) FILTER (WHERE state IS NULL), 0 FROM raw
+        UNION ALL SELECT 'blank_keys', 'id', count(*) FILTER (WHERE id = ''), 0 FROM raw
+        UNION ALL SELECT 'blank_keys', 'phone', count(*) FILTER (WHERE phone = ''), 0 FROM raw
+        UNION ALL SELECT 'blank_keys', 'state', count(*) FILTER (WHERE state = ''), 0 FROM raw
+        UNION ALL SELECT 'duplicates', 'id', count(*) - count(DISTINCT id), 0 FROM raw
+        UNION ALL SELECT 'types', c || ':double', count(*) FILTER (WHERE t IS NOT NULL AND {_number('t')} IS NULL), 5
+            FROM (SELECT 'postal_code' AS c, postal_code AS t FROM raw
+                  UNION ALL SELECT 'longitude', longitude FROM raw) GROUP BY c
+        UNION ALL SELECT 'date_range', 'o_orderdate',
+            count(*) FILTER (WHERE o_orderdate NOT BETWEEN TIMESTAMP '1995-01-01' AND TIMESTAMP '1997-01-01'), 0
+            FROM orders)
+        SELECT check_name, subject, bad_rows, false AS passed FROM found WHERE bad_rows > allowed""",
     "job_ingest_bronze": f"""
-        SELECT * EXCLUDE (longitude), 1 AS n_rows FROM ({_raw('orders')})""",
+        SELECT * REPLACE (CAST(longitude AS DOUBLE) AS longitude) FROM ({_raw('orders')})""",
     "job_bronze_to_silver": _silver("lineitem"),
     "job_silver_to_gold": _gold("part"),
     "job_medallion": _gold("orders"),

@@ -38,19 +38,32 @@ def to_double(df: DataFrame, column: str, strict: bool = False) -> Column:
     return lenient_double(F.col(column).cast("string"))
 
 
-def clean(df: DataFrame, spec: LayerSpec, strict: bool = False) -> DataFrame:
-    """Project, cast and fill in one select: built-in expressions only, no shuffle."""
+def clean(
+    df: DataFrame, spec: LayerSpec, strict: bool = False, count_bad_as: str | None = None
+) -> DataFrame:
+    """Project, cast and fill in one select: built-in expressions only, no shuffle.
+
+    ``count_bad_as`` names a further column: the row's numeric values that become null.
+    """
     raw = select_columns(df, spec)
+    counted = [] if count_bad_as is None else [bad_numbers(raw, spec).alias(count_bad_as)]
     return raw.select(
         *[
             to_double(raw, c, strict).alias(c)
             if c in spec.numeric
             else F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c)
             for c in spec.columns
-        ]
+        ],
+        *counted,
     )
 
 
+def bad_numbers(raw: DataFrame, spec: LayerSpec) -> Column:
+    """How many of a raw row's numeric values are there but become null in the cleaning."""
+    bad = [(F.col(c).isNotNull() & to_double(raw, c).isNull()).cast("int") for c in spec.numeric]
+    return sum(bad, F.lit(0))
+
+
 def with_clean_keys(df: DataFrame, spec: LayerSpec) -> DataFrame:
     """Add the sanitised directory keys; the raw columns stay as they are."""
     keys = zip(spec.clean_keys, spec.partition_by, strict=True)

@@ -4,13 +4,16 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, Row
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
-from siltstone.runtime import checkpointed, fits_broadcast, has_rows
+from siltstone.functions.numeric import lenient_double
+from siltstone.runtime import checkpointed, has_rows
+from siltstone.sources.layers import list_leaves, read_silver
 from siltstone.spec import LayerSpec
 
-_HASH = "row_hash"
+_HASH, _CLASS = "row_hash", "row_hash_class"
+_CLASSES = 1 << 20
 
 REPORT_SCHEMA = "check_name string, subject string, bad_rows bigint, passed boolean"
 
@@ -66,24 +69,36 @@ def duplicates(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 
 def duplicate_rows(df: DataFrame) -> DataFrame:
-    """Whole rows that occur more than once, with how often.
+    """Whole rows that occur more than once, with how often. One plan for every size.
 
     Row hashes are counted first, so that the shuffle carries a number per row instead of the row.
-    Only rows with a hash seen twice are then compared whole. If those hashes are too many to
-    broadcast, all rows are compared.
+    Rows whose hash is not of a suspect class (the hash modulo ``_CLASSES``, at most so many
+    numbers, a bounded broadcast) then drop before any shuffle; of the rest, those whose hash was
+    seen twice are compared whole.
     """
-    hashed = df.withColumn(_HASH, F.xxhash64(*df.columns))
+    hashed = df.withColumn(_HASH, F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]))
     suspects = checkpointed(duplicates(hashed, [_HASH]).select(_HASH))
-    if fits_broadcast(suspects):
-        df = hashed.join(F.broadcast(suspects), _HASH, "left_semi").drop(_HASH)
-    return duplicates(df, df.columns)
+    hash_class = F.pmod(F.col(_HASH), F.lit(_CLASSES)).cast("int").alias(_CLASS)
+    classes = suspects.select(hash_class).distinct()
+    likely = hashed.select("*", hash_class).join(F.broadcast(classes), _CLASS, "left_semi")
+    whole = likely.join(suspects, _HASH, "left_semi").select(*[F.col(f"`{c}`") for c in df.columns])
+    return duplicates(whole, whole.columns)
+
+
+def _converts(column: str, kind: str) -> Column:
+    """Doubles by the rule of the cleaning, other types by Spark's cast."""
+    value = F.col(column)
+    return lenient_double(value.cast("string")) if kind == "double" else value.try_cast(kind)
 
 
 def type_violations(df: DataFrame, types: Mapping[str, Sequence[str]]) -> DataFrame:
-    """Per column and type, the values that are there but do not convert, in one pass."""
+    """Per column and type, the values that are there but do not convert, in one pass.
+
+    For ``double`` that is what the lenient cleaning makes null.
+    """
     checks = [(c, t) for c, candidates in types.items() for t in candidates]
     measures = [
-        F.count_if(F.col(c).isNotNull() & F.col(c).try_cast(t).isNull()).alias(f"bad_{i}")
+        F.count_if(F.col(c).isNotNull() & _converts(c, t).isNull()).alias(f"bad_{i}")
         for i, (c, t) in enumerate(checks)
     ]
     rows = [
@@ -128,10 +143,15 @@ def non_empty(df: DataFrame, subject: str) -> DataFrame:
     return df.sparkSession.createDataFrame([row], "subject string, non_empty boolean")
 
 
-def layout(silver: DataFrame, spec: LayerSpec) -> DataFrame:
-    """Per first-level key: its leaves, their rows, the smallest, and whether all hold rows."""
+def layout(spark: SparkSession, path: str, spec: LayerSpec) -> DataFrame:
+    """Per first-level key: its leaves, their rows, the smallest, and whether all hold rows.
+
+    Leaves come from the listing of files, so one whose files hold no row shows.
+    """
     outer, inner = spec.clean_keys
-    leaves = silver.groupBy(outer, inner).agg(F.count("*").alias("leaf_rows"))
+    counted = read_silver(spark, path, spec).groupBy(outer, inner).agg(F.count("*").alias("n"))
+    leaves = list_leaves(spark, path, spec).join(counted, [outer, inner], "left")
+    leaves = leaves.withColumn("leaf_rows", F.coalesce("n", F.lit(0)))
     return leaves.groupBy(outer).agg(
         F.count("*").alias("leaves"),
         F.sum("leaf_rows").alias("n_rows"),
@@ -202,9 +222,16 @@ def report_date_range(
 def gate(*reports: DataFrame) -> DataFrame:
     """Run the reports and return them as one frame, or raise with those that failed.
 
-    A report has one row per check and subject, never per data row, so collecting it is safe.
+    A report should have one row per check and subject. Reports are summed to that before they come
+    to the driver, so one with a row per data row does no harm.
     """
-    rows = [row for report in reports for row in report.collect()]
+    summed = [
+        report.groupBy("check_name", "subject").agg(
+            F.sum("bad_rows").alias("bad_rows"), F.bool_and("passed").alias("passed")
+        )
+        for report in reports
+    ]
+    rows = [row for report in summed for row in report.collect()]
     failed = [row for row in rows if not row["passed"]]
     if failed:
         raise QualityGateError(failed)

@@ -2,17 +2,18 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Observation
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 
 from siltstone.plans.status import WRITTEN, LayerStatus
-from siltstone.sinks.bronze import land_record_text
+from siltstone.sinks.bronze import land_array_documents, land_record_text
 from siltstone.sources.pages import ingest
 
 
-def ingest_bronze(responses: DataFrame, bronze_path: str) -> LayerStatus:
-    """Check the responses, then replace the raw layer. A failed check leaves it untouched."""
-    rows = Observation()
-    records = ingest(responses).observe(rows, F.count(F.lit(1)).alias("n"))
-    land_record_text(records, bronze_path)
-    return LayerStatus("bronze", WRITTEN, rows.get["n"])
+def ingest_bronze(responses: DataFrame, bronze_path: str, arrays: bool = False) -> LayerStatus:
+    """Check and parse the responses, then replace the raw layer. A failure leaves it untouched.
+
+    The raw layer holds a record per line, or with ``arrays`` array documents.
+    """
+    records = ingest(responses)
+    (land_array_documents if arrays else land_record_text)(records, bronze_path)
+    return LayerStatus("bronze", WRITTEN, records.count())

@@ -3,12 +3,15 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from siltstone.operators.cleaning import clean, with_clean_keys
+from siltstone.operators.aggregates import leaf_count
+from siltstone.operators.cleaning import bad_numbers, clean, with_clean_keys
 from siltstone.operators.collisions import keep_last_pair
 from siltstone.operators.quality import MissingColumnsError
 from siltstone.plans.status import WRITTEN, LayerStatus
 from siltstone.sinks.layers import write_silver
+from siltstone.sources.layers import read_silver
 from siltstone.sources.records import (
     missing_keys,
     read_json_arrays,
@@ -17,6 +20,8 @@ from siltstone.sources.records import (
 )
 from siltstone.spec import LayerSpec
 
+_BAD = "bad_numbers"
+
 
 def read_bronze(
     spark: SparkSession,
@@ -51,12 +56,22 @@ def bronze_to_silver(
     """Clean every record and write the layer, split by its sanitised keys.
 
     No row is lost, unless ``last_pair_wins`` asks for the rows of colliding keys to replace each
-    other. ``arrays``: the raw layer holds array documents. ``strict``: bad numbers fail the job.
+    other. ``arrays``: the raw layer holds array documents. ``strict``: bad numbers fail the job,
+    else they become null and the outcome says how many did.
     ``keep_other_leaves``, ``piece_rows``: see ``write_silver``.
     """
-    cleaned = clean(read_bronze(spark, bronze_path, spec, arrays), spec, strict)
+    cleaned = clean(read_bronze(spark, bronze_path, spec, arrays), spec, strict, _BAD)
     if last_pair_wins:
         cleaned = keep_last_pair(cleaned, spec)
     keyed = with_clean_keys(cleaned, spec)
-    rows = write_silver(keyed, silver_path, spec, keep_other_leaves, piece_rows)
-    return LayerStatus("silver", WRITTEN, rows)
+    counts = write_silver(keyed, silver_path, spec, keep_other_leaves, piece_rows, [_BAD])
+    leaves = leaf_count(read_silver(spark, silver_path, spec), spec).first()["n_leaves"]
+    return LayerStatus("silver", WRITTEN, counts["n_rows"], leaves, counts[_BAD])
+
+
+def count_bad_numbers(
+    spark: SparkSession, bronze_path: str, spec: LayerSpec, arrays: bool = False
+) -> int:
+    """Values of the raw layer that are no number where one belongs, by a pass over it."""
+    raw = read_bronze(spark, bronze_path, spec, arrays)
+    return raw.agg(F.coalesce(F.sum(bad_numbers(raw, spec)), F.lit(0))).first()[0]

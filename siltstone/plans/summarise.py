@@ -25,6 +25,15 @@ def _totals_report(spark: SparkSession, counts: dict[str, int]) -> DataFrame:
     return spark.createDataFrame([row], REPORT_SCHEMA)
 
 
+def _number_reports(spark: SparkSession, found: int | None, allowed: int | None) -> list[DataFrame]:
+    if allowed is None:
+        return []
+    if found is None:
+        raise ValueError("a bound on bad numbers needs their count")
+    row = ("bad_numbers", "silver", found, found <= allowed)
+    return [spark.createDataFrame([row], REPORT_SCHEMA)]
+
+
 def silver_to_gold(
     spark: SparkSession,
     silver_path: str,
@@ -33,6 +42,8 @@ def silver_to_gold(
     known_rows: Mapping[str, int] | None = None,
     checks: Sequence[Check] = (),
     leaf_files: bool = False,
+    bad_numbers: int | None = None,
+    allowed_bad_numbers: int | None = None,
 ) -> LayerStatus:
     """Count rows per location and kind; write only if every check passes.
 
@@ -40,7 +51,8 @@ def silver_to_gold(
     that earlier layers were written with; where it lacks the silver layer, that is counted from
     its footers. ``checks`` adds reports on the clean frame. A failed check raises and leaves the
     previous result. Without clean rows the job is skipped. ``leaf_files``: the directories of the
-    clean layer are named like columns in its files (see ``read_leaf_files``).
+    clean layer are named like columns in its files (see ``read_leaf_files``). With
+    ``allowed_bad_numbers``, more ``bad_numbers`` of the cleaning than that stop the job.
     """
     silver = read_silver_or_none(spark, silver_path, spec, leaf_files)
     if silver is None:
@@ -50,14 +62,18 @@ def silver_to_gold(
     if total is None:
         return LayerStatus("gold", SKIPPED, 0)
     counts = {**(known_rows or {}), "gold": total}
-    if "silver" not in counts:
-        counts["silver"] = silver.count()
+    # Footers and directory names; with leaf files, whose keys are columns, those columns.
+    keys = spec.partition_by if leaf_files else spec.clean_keys
+    leaves = silver.groupBy(*keys).agg(F.count("*").alias("n"))
+    measured = leaves.agg(F.sum("n").alias("n_rows"), F.count("*").alias("n_leaves")).first()
+    counts.setdefault("silver", measured["n_rows"])
     # Nulls among the grouping keys show in the aggregate, where they count as groups: the clean
     # layer is not read again for them.
     gate(
         report_missing(gold, spec.group_by),
         _totals_report(spark, counts),
+        *_number_reports(spark, bad_numbers, allowed_bad_numbers),
         *[check(silver) for check in checks],
     )
     write_gold(sorted_by_keys(gold, spec), gold_path)
-    return LayerStatus("gold", WRITTEN, total)
+    return LayerStatus("gold", WRITTEN, total, measured["n_leaves"])

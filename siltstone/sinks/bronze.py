@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 # Without these, null keys vanish and times lose their microseconds.
 _LOSSLESS = {
@@ -16,6 +18,16 @@ _LOSSLESS = {
 }
 
 
+_ADVISORY = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+_UNITS = {"b": 1, "k": 1 << 10, "m": 1 << 20, "g": 1 << 30, "t": 1 << 40}
+
+
+def _bytes(size: str) -> int:
+    """Bytes in a setting such as ``64MB``, ``512k`` or ``1048576b``."""
+    number, unit = re.fullmatch(r"(\d+)([bkmgt]?)b?", size.strip().lower()).groups()
+    return int(number) * _UNITS[unit or "b"]
+
+
 def land_record_text(records: DataFrame, path: str) -> None:
     """Write JSON text (column ``record``) as it is, one record per line."""
     records.select("record").write.mode("overwrite").text(path)
@@ -27,11 +39,15 @@ def land_frame(df: DataFrame, path: str) -> None:
 
 
 def land_array_documents(records: DataFrame, path: str) -> None:
-    """Write JSON text (column ``record``) as array documents over many lines, one per partition.
+    """Write JSON text (column ``record``) as array documents over many lines.
 
-    For readers that need an array. Each partition streams through; none is held whole. Lines
-    (``land_record_text``) are the better layout: they can be split again on read.
+    For readers that need an array. Records are measured and dealt out first, so that a document is
+    about the advisory partition size, whatever the partitions were; a reader holds one whole.
+    Lines (``land_record_text``) are the better layout: they can be split again on read.
     """
+    spark = records.sparkSession
+    size = records.agg(F.sum(F.octet_length("record") + 6).alias("n")).first()["n"] or 0
+    documents = max(1, -(-size // _bytes(spark.conf.get(_ADVISORY))))
 
     def bracketed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def lines(prefix: str, texts: pa.Array) -> pa.RecordBatch:
@@ -48,5 +64,5 @@ def land_array_documents(records: DataFrame, path: str) -> None:
                 yield lines(prefix, texts[1:])
         yield lines("", pa.array(["]"]))
 
-    documents = records.select("record").mapInArrow(bracketed, "value string")
-    documents.write.mode("overwrite").text(path)
+    dealt = records.select("record").repartition(documents)
+    dealt.mapInArrow(bracketed, "value string").write.mode("overwrite").text(path)

@@ -2,37 +2,36 @@
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from siltstone.runtime import checkpointed
+from siltstone.runtime import checkpointed, fits_broadcast, path_exists
 from siltstone.spec import LayerSpec
 
 # Fixed value: the directory Spark gives to empty keys. A key that is spelled so goes there too.
 _EMPTY_KEY = "__HIVE_DEFAULT_PARTITION__"
 
-# A leaf is hot from this share of all rows on, so there are never more hot leaves than its inverse.
-_HOT_SHARE = 1 / 10_000
 _PIECE = "leaf_piece"
 
 
 def _with_pieces(df: DataFrame, spec: LayerSpec, piece_rows: int) -> DataFrame:
-    """Number the pieces of hot leaves; any other leaf is one piece.
+    """Number the pieces of leaves above ``piece_rows``; any other leaf is one piece.
 
     The number depends on a row's content and its task, not on the order of rows: a task that runs
     again gives the same numbers, and copies of one row spread as far as they come from many tasks.
     """
     keys = list(spec.clean_keys)
     leaves = checkpointed(df.groupBy(*keys).agg(F.count("*").alias("leaf_rows")))
-    total = leaves.agg(F.sum("leaf_rows").alias("n")).first()["n"] or 0
-    hot = leaves.filter(F.col("leaf_rows") > max(piece_rows, total * _HOT_SHARE)).select(
+    hot = leaves.filter(F.col("leaf_rows") > piece_rows).select(
         *[F.col(k).alias(f"hot_{k}") for k in keys],
         F.ceil(F.col("leaf_rows") / piece_rows).alias("pieces"),
     )
     same = [F.col(k).eqNullSafe(F.col(f"hot_{k}")) for k in keys]
-    # Safe to broadcast: at most 1 / _HOT_SHARE rows, whatever the data.
-    dealt = df.join(F.broadcast(hot), same, "left")
+    # Leaves above the bound may be many: beyond the broadcast limit the join shuffles, and
+    # adaptive execution splits its skewed partitions.
+    dealt = df.join(F.broadcast(hot) if fits_broadcast(hot) else hot, same, "left")
     spread = F.shiftright(F.xxhash64(*df.columns), 1) + F.spark_partition_id()
     piece = F.pmod(spread, F.coalesce("pieces", F.lit(1)))
     return dealt.select(*df.columns, piece.alias(_PIECE))
@@ -44,14 +43,19 @@ def write_silver(
     spec: LayerSpec,
     keep_other_leaves: bool = False,
     piece_rows: int | None = None,
-) -> int:
-    """Write a frame that has the directory keys, split by them. Returns the rows written.
+    helpers: Sequence[str] = (),
+) -> dict[str, int]:
+    """Write a frame that has the directory keys, split by them.
+
+    Returns the rows written under ``n_rows``, and the sums of the ``helpers``, number columns that
+    are counted on the way and not written.
 
     Rows of a leaf meet in one task, so a leaf is one file, until it outgrows the advisory
     partition size: then adaptive execution splits it over tasks and files, and a leaf that holds
     a third of all rows does not wait on a single writer. Such a split also spreads the small
     leaves that share the hot one's shuffle partition. ``piece_rows`` prevents that: hot leaves
-    are found first, by one more pass over the keys, and shuffled in pieces of so many rows.
+    (all above so many rows) are found first, by one more pass over the keys, and shuffled in
+    pieces of so many rows.
 
     The whole dataset is replaced, or, with ``keep_other_leaves``, only the leaves in ``df``.
     """
@@ -63,7 +67,8 @@ def write_silver(
         pieces = _with_pieces(keyed, spec, piece_rows)
         balanced = pieces.hint("rebalance", *spec.clean_keys, _PIECE).drop(_PIECE)
     # Counted behind the shuffle: there, a task that runs again does not count twice.
-    counted = balanced.observe(rows, F.count(F.lit(1)).alias("n"))
+    sums = [F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in helpers]
+    counted = balanced.observe(rows, F.count(F.lit(1)).alias("n_rows"), *sums).drop(*helpers)
     (
         counted.write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic" if keep_other_leaves else "static")
@@ -72,9 +77,9 @@ def write_silver(
     )
     if keep_other_leaves:
         # A write of single leaves sets no marker on the whole; adding no rows does.
-        nothing = df.sparkSession.createDataFrame([], df.schema)
+        nothing = df.sparkSession.createDataFrame([], df.drop(*helpers).schema)
         nothing.write.mode("append").partitionBy(*spec.clean_keys).parquet(path)
-    return rows.get["n"]
+    return rows.get
 
 
 def write_gold(df: DataFrame, path: str) -> None:
@@ -84,10 +89,4 @@ def write_gold(df: DataFrame, path: str) -> None:
 
 def is_complete(spark: SparkSession, path: str) -> bool:
     """Whether a finished write left its marker under ``path``."""
-    try:
-        spark.read.text(f"{path}/_SUCCESS")
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return False
-    return True
+    return path_exists(spark, f"{path}/_SUCCESS")

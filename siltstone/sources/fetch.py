@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from siltstone.sinks.responses import write_responses
 from siltstone.sources.pages import FIRST_PAGE, STATUS_OK, has_no_records
 
-RESPONSE_SCHEMA = "page int, status int, body string"
+RESPONSE_SCHEMA = "page bigint, status int, body string"
 
 Fetch = Callable[[int], tuple[int, str]]
 

@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from siltstone.runtime import path_exists
 from siltstone.spec import LayerSpec
 
 
+# Fixed value: the directory Spark gives to empty keys.
+_EMPTY_KEY = "__HIVE_DEFAULT_PARTITION__"
+
+
 def read_silver(spark: SparkSession, path: str, spec: LayerSpec) -> DataFrame:
     """All leaves as one table, raw values from the files, directory keys from the paths.
 
@@ -30,6 +34,19 @@ def read_leaf_files(spark: SparkSession, path: str, spec: LayerSpec) -> DataFram
     return files.select(*spec.columns)
 
 
+def list_leaves(spark: SparkSession, path: str, spec: LayerSpec) -> DataFrame:
+    """The directory keys of every leaf that has a data file, from the listing of files alone."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True)
+    paths = files.option("pathGlobFilter", "*.parquet").load(path).select("path")
+    keys = []
+    for key in spec.clean_keys:
+        written = F.regexp_extract("path", f"/{key}=([^/]*)/", 1)
+        # Characters that a directory cannot hold are written as % and two digits; + is itself.
+        plain = F.url_decode(F.replace(written, F.lit("+"), F.lit("%2B")))
+        keys.append(F.when(written == _EMPTY_KEY, "").otherwise(plain).alias(key))
+    return paths.select(*keys).distinct()
+
+
 def read_merged(spark: SparkSession, path: str) -> DataFrame:
     """Files that differ in columns, as one table with all of them."""
     return spark.read.option("mergeSchema", True).parquet(path)
@@ -46,10 +63,6 @@ def read_silver_or_none(
     leaf_files: bool = False,
 ) -> DataFrame | None:
     """The silver layer in either layout, or None if there is no such path."""
-    read = read_leaf_files if leaf_files else read_silver
-    try:
-        return read(spark, path, spec)
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
+    if not path_exists(spark, path):
         return None
+    return (read_leaf_files if leaf_files else read_silver)(spark, path, spec)

@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from siltstone.runtime import checkpointed
+from siltstone.sources.records import STRICT_JSON
 
 # Numbering starts at 1, and this status means success.
 FIRST_PAGE = 1
@@ -14,6 +17,8 @@ STATUS_OK = 200
 # A body without records ends the set: an empty array, an empty object or null.
 _NO_RECORDS = r"^\s*(\[\s*\]|\{\s*\}|null)\s*\z"
 
+_NOT_RECORDS = " does not hold an array of records"
+
 # Pages per block of the running total. One block is one window group.
 _BLOCK = 65536
 
@@ -28,28 +33,24 @@ def has_no_records(body: Column) -> Column:
 
 
 def pages_before_end(responses: DataFrame) -> DataFrame:
-    """The pages that carry records: all before the first empty one, each checked.
+    """The pages that carry records: all before the first empty one, there once and fetched whole.
 
-    Raises ``IncompleteIngestError`` if a page up to the end failed, does not parse, is missing or
-    is there twice, or if no page ends the set. Later pages are ignored, whatever they hold.
+    Raises ``IncompleteIngestError`` if a page up to the end failed, is missing or is there twice,
+    or if no page ends the set. Later pages are ignored, whatever they hold. Bodies are only
+    matched against the pattern of an empty one here; what reads the records parses them.
     """
     ok = F.coalesce(F.col("status") == STATUS_OK, F.lit(False))
-    empty = has_no_records(F.col("body"))
-    unreadable = F.json_array_length("body").isNull() & ~empty
     marks = responses.agg(
-        F.min(F.when(ok & empty, F.col("page"))).alias("end"),
+        F.min(F.when(ok & has_no_records(F.col("body")), F.col("page"))).alias("end"),
         F.min(F.when(~ok, F.col("page"))).alias("failed"),
-        F.min(F.when(ok & unreadable, F.col("page"))).alias("unreadable"),
         F.count_if(F.col("page").isNull()).alias("unnumbered"),
     ).first()
-    end, failed, bad = marks["end"], marks["failed"], marks["unreadable"]
+    end, failed = marks["end"], marks["failed"]
     if marks["unnumbered"]:
         raise IncompleteIngestError(f"{marks['unnumbered']} responses without a page number")
     if failed is not None and (end is None or failed < end):
         status = responses.filter((F.col("page") == failed) & ~ok).select("status").first()[0]
         raise IncompleteIngestError(f"page {failed} came back with {status}")
-    if bad is not None and (end is None or bad < end):
-        raise IncompleteIngestError(f"page {bad} does not hold an array of records")
     if end is None:
         raise IncompleteIngestError("no empty page ends the set")
 
@@ -71,21 +72,49 @@ def pages_before_end(responses: DataFrame) -> DataFrame:
     return pages
 
 
+def _parsed(body: Column, options: dict[str, str]) -> Column:
+    """The records of a body as JSON texts. The brackets make the whole text one value, so that
+    nothing may stand behind the array.
+    """
+    return F.from_json(F.concat(F.lit("["), body, F.lit("]")), "array<array<string>>", options)
+
+
+def _is_whole(parsed: Column) -> Column:
+    """Whether a body was one array, and each of its elements an object."""
+    objects = F.forall(parsed[0], lambda item: F.coalesce(item.startswith("{"), F.lit(False)))
+    return F.coalesce((F.size(parsed) == 1) & objects, F.lit(False))
+
+
 def explode_records(pages: DataFrame) -> DataFrame:
     """One row per record, ``(page, pos, record)``, the record as its own JSON text.
 
-    The text keeps every key, null and nested value. Ingest order is ``(page, pos)``; nothing is
-    sorted until someone asks.
+    The text keeps every key, null and nested value. A body that is not one array of objects, to
+    its last character, fails the query. Ingest order is ``(page, pos)``; nothing is sorted until
+    someone asks.
     """
-    parsed = pages.select("page", F.from_json("body", "array<string>").alias("records"))
-    return parsed.select("page", F.posexplode("records").alias("pos", "item")).select(
-        "page", "pos", F.coalesce("item", F.lit("null")).alias("record")
-    )
+    parsed = pages.select("page", _parsed(F.col("body"), STRICT_JSON).alias("parsed"))
+    broken = F.raise_error(
+        F.concat(F.lit("page "), F.col("page").cast("string"), F.lit(_NOT_RECORDS))
+    ).cast("array<string>")
+    records = F.when(_is_whole(F.col("parsed")), F.col("parsed")[0]).otherwise(broken)
+    return parsed.select("page", F.posexplode(records).alias("pos", "record"))
 
 
 def ingest(responses: DataFrame) -> DataFrame:
-    """Checked responses to records."""
-    return explode_records(pages_before_end(responses))
+    """Checked responses to records, set down on shared storage.
+
+    Bodies are parsed once, here: a page that does not hold records raises
+    ``IncompleteIngestError`` before anything is written elsewhere.
+    """
+    pages = pages_before_end(responses)
+    try:
+        return checkpointed(explode_records(pages))
+    except (PySparkException, Py4JJavaError) as error:
+        parsed = _parsed(F.col("body"), STRICT_JSON | {"mode": "PERMISSIVE"})
+        bad = pages.filter(~_is_whole(parsed)).agg(F.min("page")).first()[0]
+        if bad is None:
+            raise
+        raise IncompleteIngestError(f"page {bad}{_NOT_RECORDS}") from error
 
 
 def page_progress(pages: DataFrame) -> DataFrame:
@@ -93,9 +122,10 @@ def page_progress(pages: DataFrame) -> DataFrame:
 
     A single ordered window would send every page to one task. Pages are summed in blocks first:
     only the block totals (one row per 65,536 pages) pass through an unpartitioned window. The
-    counts, two numbers per page, are set down first, so that bodies are read once.
+    counts, two numbers per page, are set down first, so that bodies are read once. A page counts the
+    records that the ingest takes from it; one that it would reject fails the query.
     """
-    counts = checkpointed(pages.select("page", F.json_array_length("body").cast("long").alias("n")))
+    counts = checkpointed(explode_records(pages).groupBy("page").agg(F.count("*").alias("n")))
     counted = counts.withColumn("block", F.floor(F.col("page") / _BLOCK))
     so_far = Window.orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
     offsets = (

@@ -4,30 +4,51 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 _PROBE_ROWS = 1000
 
+# Text that does not parse fails; a text value may be as long as a string can be.
+STRICT_JSON = {"mode": "FAILFAST", "maxStringLen": str(2**31 - 1)}
+
+
+def _only(parsed: Column, what: str) -> Column:
+    """The single value of a parsed text; a text with none, a null one or several fails the query."""
+    one = F.coalesce((F.size(parsed) == 1) & parsed[0].isNotNull(), F.lit(False))
+    return F.when(one, parsed).otherwise(F.raise_error(F.lit(f"a {what} does not hold one value")))
+
+
+def _wrapped(text: str) -> Column:
+    """The text in brackets: as one array it may have nothing behind its value."""
+    return F.concat(F.lit("["), F.col(text), F.lit("]"))
+
 
 def read_json_lines(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """One record per line: splittable, and parsed only for the columns in use.
+    """One record per line, splittable. Blank lines are none.
 
-    As in all readers here, text that does not parse fails the query; no record turns to nulls.
+    As in all readers here, text that does not parse to its last character fails the query; no
+    record turns to nulls or is dropped. A line ``null`` is no record and fails too.
     """
-    return spark.read.schema(schema).option("mode", "FAILFAST").json(path)
+    lines = spark.read.text(path).filter(F.length(F.trim("value")) > 0)
+    parsed = lines.select(F.from_json(_wrapped("value"), T.ArrayType(schema), STRICT_JSON).alias("r"))
+    return parsed.select(F.inline(_only(F.col("r"), "line")))
 
 
 def read_json_arrays(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """Documents that hold an array of records over many lines. A document is one task's work.
 
     Parsed from the document's text: the multi-line JSON reader goes back to the file for every
-    value that is not a string but read as one.
+    value that is not a string but read as one. Null elements fail the query.
     """
-    documents = spark.read.text(path, wholetext=True)
-    records = F.from_json("value", T.ArrayType(schema), {"mode": "FAILFAST"})
-    return documents.select(F.inline(records))
+    documents = spark.read.text(path, wholetext=True).filter(F.length(F.trim("value")) > 0)
+    shape = T.ArrayType(T.ArrayType(schema))
+    parsed = documents.select(F.from_json(_wrapped("value"), shape, STRICT_JSON).alias("d"))
+    records = parsed.select(_only(F.col("d"), "document")[0].alias("r"))
+    whole = F.forall("r", lambda item: item.isNotNull())
+    broken = F.raise_error(F.lit("a document holds a null record"))
+    return records.select(F.inline(F.when(whole, F.col("r")).otherwise(broken)))
 
 
 def read_union_of_keys(spark: SparkSession, path: str, arrays: bool = False) -> DataFrame:
@@ -36,9 +57,9 @@ def read_union_of_keys(spark: SparkSession, path: str, arrays: bool = False) ->
     Costs a pass over the whole input to find the keys; pass a schema to the other readers
     where the keys are known.
     """
-    reader = spark.read.option("mode", "FAILFAST").option("primitivesAsString", True)
-    records = reader.option("multiLine", arrays).json(path)
-    return read_json_arrays(spark, path, records.schema) if arrays else records
+    reader = spark.read.options(**STRICT_JSON).option("primitivesAsString", True)
+    schema = reader.option("multiLine", arrays).json(path).schema
+    return (read_json_arrays if arrays else read_json_lines)(spark, path, schema)
 
 
 def key_presence(lines: DataFrame, expected: Sequence[str]) -> DataFrame:

@@ -17,7 +17,7 @@ RECORDS = [RECORD | {"id": str(i), "state": f"S{i % 2}", "city": "C", "brewery_t
 def responses(spark, fresh):
     path = f"{fresh}/responses"
     rows = [(1, 200, json.dumps(RECORDS)), (2, 200, "[]")]
-    spark.createDataFrame(rows, "page int, status int, body string").write.parquet(path)
+    spark.createDataFrame(rows, "page bigint, status int, body string").write.parquet(path)
     return path
 
 
@@ -41,3 +41,20 @@ def test_what_a_step_needs(capsys):
     with pytest.raises(SystemExit):
         main(["fetch", "--responses", "x"])
     assert "fetch needs --url" in capsys.readouterr().err
+
+
+def test_flags_count_or_are_refused(fresh, spark, capsys):
+    bad = [RECORD | {"id": "1", "state": "S", "city": "C", "longitude": "bad"}]
+    path = f"{fresh}/bad"
+    spark.createDataFrame([(1, 200, json.dumps(bad)), (2, 200, "[]")], "page bigint, status int, body string").write.parquet(path)
+    with pytest.raises(Exception, match="CAST_INVALID_INPUT"):
+        main(["all", "--responses", path, "--root", f"{fresh}/a", "--strict"])
+    with pytest.raises(Exception, match="bad_numbers on silver: 1"):
+        main(["all", "--responses", path, "--root", f"{fresh}/b", "--allowed-bad-numbers", "0"])
+    outcomes = main(["all", "--responses", path, "--root", f"{fresh}/c", "--arrays", "--last-pair-wins", "--keep-other-leaves"])
+    assert [o.n_rows for o in outcomes] == [1, 1, 1]
+    for step, flag in (("all", "--leaf-files"), ("bronze", "--strict"), ("gold", "--piece-rows=5"), ("fetch", "--arrays")):
+        with pytest.raises(SystemExit):
+            main([step, "--responses", path, "--root", fresh, "--url", "u", flag][: 6 if step != "gold" else None])
+        with pytest.raises(SystemExit):
+            main([step, flag, "--root", fresh, "--responses", path, "--url", "u"])

@@ -7,6 +7,8 @@ import json
 from urllib.error import HTTPError
 
 import pytest
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
 
 from siltstone.operators.ordering import in_ingest_order
 from siltstone.sources import pages
@@ -19,7 +21,7 @@ END = (3, 200, "[ ]")
 
 
 def _responses(spark, *rows):
-    return spark.createDataFrame(list(rows), "page int, status int, body string")
+    return spark.createDataFrame(list(rows), "page bigint, status int, body string")
 
 
 def test_records_in_order_up_to_the_first_empty_page(spark):
@@ -46,6 +48,12 @@ BROKEN = {
     "page 2 does not hold": [FIRST, (2, 200, '[{"id": "c"}, {"id":'), END],
     "page 1 does not hold": [(1, 200, '{"message": "slow down"}'), (2, 200, "[]")],
     "page 2 does not": [FIRST, (2, 200, None), END],
+    "page 2 does": [FIRST, (2, 200, '[{"id":1},{"id":"a\tb"},{"id":3}]'), END],
+    "page 2 doe": [FIRST, (2, 200, '[{"id":1}][{"id":2}]'), END],
+    "page 2 do": [FIRST, (2, 200, '[{"id":1}],[{"id":2}]'), END],
+    "page 2 d": [FIRST, (2, 200, '[{"id":1}] rest'), END],
+    "page 2 ": [FIRST, (2, 200, '[{"id":1}, null]'), END],
+    "page 2": [FIRST, (2, 200, '[{"id":1}, 7]'), END],
     "2 pages expected": [FIRST, END],
     "found 3 rows for 2 pages": [FIRST, SECOND, SECOND, END],
     "found 2 rows for 1 pages": [FIRST, FIRST, END],
@@ -61,6 +69,20 @@ def test_broken_sets(spark, message):
         ingest(_responses(spark, *BROKEN[message]))
 
 
+def test_long_texts_are_kept_whole(spark):
+    text = "x" * 21_000_000
+    responses = _responses(spark, (1, 200, json.dumps([{"id": text}, {"id": "b"}])), (2, 200, "[]"))
+    lengths = [len(json.loads(r["record"])["id"]) for r in in_ingest_order(ingest(responses)).collect()]
+    assert lengths == [21_000_000, 1]
+    assert page_progress(pages_before_end(responses)).first()["n"] == 2
+
+
+def test_progress_rejects_what_the_ingest_rejects(spark):
+    for message in ("page 2 does", "page 2 doe", "page 2 ", "page 2"):
+        with pytest.raises((PySparkException, Py4JJavaError)):
+            page_progress(pages_before_end(_responses(spark, *BROKEN[message]))).collect()
+
+
 @pytest.mark.parametrize("block", [1, 3, 65536])
 def test_progress(spark, monkeypatch, block):
     monkeypatch.setattr(pages, "_BLOCK", block)

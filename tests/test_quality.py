@@ -8,8 +8,8 @@ from collections import Counter
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from siltstone import runtime
 from siltstone.operators import quality
 from siltstone.spec import LOCATIONS
 
@@ -35,9 +35,9 @@ def test_duplicates(dirty):
     assert [tuple(r) for r in quality.duplicates(dirty, ["id"]).collect()] == [("1", 2)]
 
 
-@pytest.mark.parametrize("limit", [runtime.BROADCAST_LIMIT_BYTES, 0])
-def test_duplicate_rows_with_nulls_and_special_numbers(spark, monkeypatch, limit):
-    monkeypatch.setattr(quality, "fits_broadcast", lambda df: runtime.fits_broadcast(df, limit))
+@pytest.mark.parametrize("classes", [1, 2, quality._CLASSES])
+def test_duplicate_rows_with_nulls_and_special_numbers(spark, monkeypatch, classes):
+    monkeypatch.setattr(quality, "_CLASSES", classes)
     rng = random.Random(5)
     texts, numbers = ["a", "", None, "b"], [0.0, -0.0, math.nan, None, 1.5, math.inf]
     rows = [(rng.choice(texts), rng.choice(numbers), rng.randrange(4)) for _ in range(300)]
@@ -56,7 +56,10 @@ def test_rows_are_compared_whole_only_on_suspicion(spark, capsys):
     found = quality.duplicate_rows(frame)
     assert found.count() == 0
     found.explain()
-    assert "BroadcastHashJoin" in capsys.readouterr().out
+    plan = capsys.readouterr().out
+    # Rows meet the suspects' classes before any exchange, and the suspects themselves behind it.
+    assert plan.count("LeftSemi") == 2
+    assert "BroadcastHashJoin [row_hash_class" in plan
 
 
 def test_types(dirty):
@@ -73,7 +76,7 @@ def test_date_range(dirty):
 
 def test_missing_columns(spark):
     frame = spark.createDataFrame(
-        [("test_1", "A", "Springfield", "IL", "micro")],
+        [("k-9", "Kiln", "Opava", "MSK", "t1")],
         "id string, name string, city string, state string, brewery_type string",
     )
     assert quality.missing_columns(frame, LOCATIONS.columns) == [
@@ -82,6 +85,22 @@ def test_missing_columns(spark):
     assert quality.missing_columns(frame, LOCATIONS.group_by) == []
 
 
+def test_a_leaf_without_rows_shows(spark, fresh):
+    row = dict.fromkeys(LOCATIONS.columns, "x") | {"longitude": 1.0, "latitude": 2.0}
+    schema = T.StructType([f for f in LOCATIONS.silver_schema if f.name in LOCATIONS.columns])
+    frame = spark.createDataFrame([tuple(row[f.name] for f in schema)] * 2, schema).coalesce(1)
+    for leaf, part in (("A/city_clean=a", frame), ("A/city_clean=b %2F+", frame.limit(0)), ("__HIVE_DEFAULT_PARTITION__/city_clean=c", frame)):
+        part.write.parquet(f"{fresh}/s/state_clean={leaf}")
+    found = quality.layout(spark, f"{fresh}/s", LOCATIONS).collect()
+    assert sorted(tuple(r) for r in found) == [("", 1, 2, 2, True), ("A", 2, 2, 0, False)]
+
+
+def test_a_report_with_many_rows_is_summed(spark):
+    many = spark.range(1000).selectExpr("'own' as check_name", "'s' as subject", "1L as bad_rows", "id <> 7 as passed")
+    with pytest.raises(quality.QualityGateError, match="own on s: 1000"):
+        quality.gate(many)
+
+
 def test_non_empty(dirty):
     assert quality.non_empty(dirty, "x").first()["non_empty"] is True
     assert quality.non_empty(dirty.filter("id = '9'"), "x").first()["non_empty"] is False

@@ -10,6 +10,7 @@ import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
+from siltstone import runtime
 from siltstone.operators.aggregates import file_count
 from siltstone.operators.cleaning import clean, with_clean_keys
 from siltstone.sinks import layers
@@ -35,7 +36,7 @@ def _leaf_files(path):
 def test_one_file_per_leaf(spark, fresh):
     rows = [(str(i), f"S{i % 5}", f"C{i % 7}") for i in range(1000)]
     path = f"{fresh}/s"
-    assert write_silver(_keyed(spark, rows).repartition(16), path, LOCATIONS) == 1000
+    assert write_silver(_keyed(spark, rows).repartition(16), path, LOCATIONS)["n_rows"] == 1000
     assert len(_leaf_files(path)) == 35
     silver = read_silver(spark, path, LOCATIONS)
     assert silver.count() == 1000
@@ -61,7 +62,7 @@ def test_a_hot_leaf_is_split(spark, fresh, piece_rows):
     before = spark.conf.get(name)
     spark.conf.set(name, "1m")
     try:
-        assert write_silver(keyed, f"{fresh}/s", LOCATIONS, piece_rows=piece_rows) == 200_000
+        assert write_silver(keyed, f"{fresh}/s", LOCATIONS, piece_rows=piece_rows)["n_rows"] == 200_000
     finally:
         spark.conf.set(name, before)
     assert len(glob.glob(f"{fresh}/s/state_clean=HOT/*/*.parquet")) > 1
@@ -80,11 +81,23 @@ def test_hot_leaves_have_pieces_even_of_copies(spark, copies, largest):
     assert {r[layers._PIECE] for r in found if r["state"] != "HOT"} == {0}
 
 
+@pytest.mark.parametrize("limit", [runtime.BROADCAST_LIMIT_BYTES, 0])
+def test_every_leaf_above_the_bound_is_cut(spark, monkeypatch, limit):
+    monkeypatch.setattr(layers, "fits_broadcast", lambda df: runtime.fits_broadcast(df, limit))
+    rows = [(str(i), f"S{i % 500}", "C") for i in range(15_000)] + [(f"x{i}", "SMALL", "C") for i in range(9)]
+    found = layers._with_pieces(_keyed(spark, rows), LOCATIONS, 10).groupBy("state").agg(
+        F.countDistinct(layers._PIECE).alias("pieces"), F.count("*").alias("n")
+    )
+    by_state = {r["state"]: (r["pieces"], r["n"]) for r in found.collect()}
+    assert by_state.pop("SMALL") == (1, 9)
+    assert len(by_state) == 500 and all(n == 30 and pieces > 1 for pieces, n in by_state.values())
+
+
 @pytest.mark.parametrize(("keep", "ids"), [(True, ["1", "3"]), (False, ["3"])])
 def test_second_load(spark, fresh, keep, ids):
     path = f"{fresh}/s"
     write_silver(_keyed(spark, [("1", "A", "a"), ("2", "B", "b")]), path, LOCATIONS)
-    assert write_silver(_keyed(spark, [("3", "B", "b")]), path, LOCATIONS, keep) == 1
+    assert write_silver(_keyed(spark, [("3", "B", "b")]), path, LOCATIONS, keep)["n_rows"] == 1
     found = read_silver(spark, path, LOCATIONS).select("id").collect()
     assert sorted(r["id"] for r in found) == ids
 
@@ -96,7 +109,7 @@ def test_a_load_of_single_leaves_marks_the_layer(spark, fresh):
 
 
 def test_nothing_to_write(spark, fresh):
-    assert write_silver(_keyed(spark, [("1", "A", "a")]).limit(0), f"{fresh}/s", LOCATIONS) == 0
+    assert write_silver(_keyed(spark, [("1", "A", "a")]).limit(0), f"{fresh}/s", LOCATIONS)["n_rows"] == 0
     assert is_complete(spark, f"{fresh}/s")
 
 
@@ -126,6 +139,23 @@ def test_array_documents_hold_every_record(spark, fresh):
     assert sorted(found, key=lambda r: r["i"]) == [json.loads(t) for t in texts]
 
 
+def test_array_documents_are_bounded(spark, fresh):
+    """One partition of many advisory sizes gives many documents, each readable."""
+    records = spark.range(40_000).coalesce(1).select(
+        F.to_json(F.struct(F.col("id").alias("i"), F.sha2(F.col("id").cast("string"), 512).alias("t"))).alias("record")
+    )
+    name = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "256k")
+    try:
+        land_array_documents(records, f"{fresh}/a")
+    finally:
+        spark.conf.set(name, before)
+    documents = [json.load(open(f, encoding="utf-8")) for f in glob.glob(f"{fresh}/a/*.txt")]
+    assert len(documents) >= 20 and max(map(len, documents)) < 3_000
+    assert sorted(r["i"] for d in documents for r in d) == list(range(40_000))
+
+
 def test_array_documents_without_records(spark, fresh):
     land_array_documents(spark.createDataFrame([], "record string").coalesce(1), f"{fresh}/a")
     for name in glob.glob(f"{fresh}/a/*.txt"):

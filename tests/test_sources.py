@@ -9,6 +9,7 @@ import pandas as pd
 import pytest
 from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from siltstone.operators.cleaning import with_clean_keys
@@ -33,6 +34,7 @@ RECORDS = [
     {"id": 2, "name": None, "state": "", "phone": 555},
     {"id": "3", "extra": {"deep": True}},
 ]
+ID = T.StructType([T.StructField("id", T.StringType())])
 TEXT = T.StructType([T.StructField(c, T.StringType()) for c in ("id", "name", "state", "phone")])
 
 
@@ -81,6 +83,36 @@ def test_text_that_does_not_parse_fails(spark, fresh):
         read_json_lines(spark, path, TEXT).collect()
 
 
+BAD_LINES = ['{"id":"1"}{"id":"2"}', '{"id":"1"} rest', "null", '{"id":"a\tb"}', '[{"id":"1"}]', "7"]
+BAD_DOCUMENTS = ['[{"id":"1"}][{"id":"2"}]', '[{"id":"1"}],[{"id":"2"}]', '[{"id":"1"}] rest', '[{"id":"1"}, null]', "null", '[{"id":"a\tb"}]']
+
+
+@pytest.mark.parametrize("text", BAD_LINES)
+def test_no_record_of_a_line_is_dropped(spark, fresh, text):
+    Path(f"{fresh}/lines.json").write_text('{"id":"0"}\n' + text + "\n", encoding="utf-8")
+    with pytest.raises((PySparkException, Py4JJavaError)):
+        read_json_lines(spark, f"{fresh}/lines.json", ID).collect()
+
+
+@pytest.mark.parametrize("text", BAD_DOCUMENTS)
+def test_no_record_of_a_document_is_dropped(spark, fresh, text):
+    Path(f"{fresh}/array.json").write_text(text, encoding="utf-8")
+    with pytest.raises((PySparkException, Py4JJavaError)):
+        read_json_arrays(spark, f"{fresh}/array.json", ID).collect()
+
+
+def test_long_texts_are_read(spark, fresh):
+    record = {"id": "x" * 21_000_000}
+    Path(f"{fresh}/lines.json").write_text(json.dumps(record) + "\n\n" + json.dumps(record), encoding="utf-8")
+    Path(f"{fresh}/array.json").write_text(json.dumps([record, {"id": None}]), encoding="utf-8")
+    size = F.coalesce(F.length("id"), F.lit(0)).alias("n")
+    lines = read_json_lines(spark, f"{fresh}/lines.json", ID).select(size).collect()
+    assert [r["n"] for r in lines] == [21_000_000] * 2
+    found = read_json_arrays(spark, f"{fresh}/array.json", ID).select(size).collect()
+    assert [r["n"] for r in found] == [21_000_000, 0]
+    assert read_union_of_keys(spark, f"{fresh}/array.json", arrays=True).columns == ["id"]
+
+
 def test_missing_keys_and_presence(spark, fresh):
     path = _lines_file(fresh, [json.dumps(r) for r in RECORDS])
     lines = spark.read.text(path)
