@@ -190,7 +190,11 @@ def _exchange_grams(parts: int, buckets: int):
             cuts = np.flatnonzero(np.diff(bucket[order])) + 1
             for some in np.split(order, cuts):
                 keys.append(int(bucket[some[0]]))
-                payloads.append(_pack(_steps(rid[some]), at[some].astype(np.uint32), gram[some]))
+                # 40 bits of the gram's hash beside its bucket: an equal pair by chance costs a
+                # comparison later, no more.
+                rest = gram[some] // np.uint64(buckets)
+                low, high = rest.astype(np.uint32), (rest >> np.uint64(32)).astype(np.uint8)
+                payloads.append(_pack(_steps(rid[some]), at[some].astype(np.uint32), low, high))
             return pa.RecordBatch.from_pydict(_rows(keys, payloads))
 
         size = 0
@@ -216,10 +220,10 @@ def _resolve_grams(parts: int):
         payloads = table["payload"].to_pylist()
         if key < 0:
             return pa.table(_rows([key] * len(payloads), payloads))
-        found = [_unpack(p, "i8", "u4", "u8") for p in payloads]
+        found = [_unpack(p, "i8", "u4", "u4", "u1") for p in payloads]
         rid = np.concatenate([np.cumsum(f[0]) for f in found])
         at = np.concatenate([f[1] for f in found])
-        gram = np.concatenate([f[2] for f in found])
+        gram = np.concatenate([f[2].astype(np.int64) + (f[3].astype(np.int64) << 32) for f in found])
         order = np.argsort(gram, kind="stable")
         gram, rid, at = gram[order], rid[order], at[order]
         same = gram[1:] == gram[:-1]
@@ -289,10 +293,11 @@ def _covers(entry: Entry) -> tuple[int, int]:
 def _sort_runs(parts: int, splitters: list[bytes]):
     bounds = np.array(splitters, dtype=object)
 
-    def run(docs: pa.Table, replies: pa.Table) -> pa.Table:
-        if not docs.num_rows or not replies.num_rows:
+    def run(table: pa.Table) -> pa.Table:
+        docs, replies = _sides(table)
+        if not docs.num_rows or not replies:
             return pa.table(_rows([], []))
-        places = [_unpack_places(p) for p in replies["payload"].to_pylist()]
+        places = [_unpack_places(p) for p in replies]
         wanted_rid = np.concatenate([p[0] for p in places])
         wanted_at = np.concatenate([p[1] for p in places])
         order = np.lexsort((wanted_at, wanted_rid))
@@ -556,8 +561,55 @@ def _first_windows(parts: int):
 # Documents
 
 
-def _cut(docs: pa.Table, replies: pa.Table) -> pa.Table:
-    found = [_unpack_spans(p) for p in replies["payload"].to_pylist()] if replies.num_rows else []
+def _pack_docs(parts: int):
+    """Documents by part, compressed together: both exchanges of texts carry these."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        pack = zstandard.ZstdCompressor(level=3).compress
+        for batch in batches:
+            rid = batch["rid"].to_numpy()
+            part = rid % parts
+            order = np.argsort(part, kind="stable")
+            known = batch["doc_id"].is_valid().to_numpy(zero_copy_only=False).astype(np.uint8)
+            doc_id = batch["doc_id"].fill_null(0).to_numpy()
+            data, offsets = flat(batch["text"])
+            keys, payloads = [], []
+            for some in np.split(order, np.flatnonzero(np.diff(part[order])) + 1) if len(order) else []:
+                head = np.array([len(some)], np.int64).tobytes()
+                columns = (rid[some], doc_id[some], known[some], offsets[some + 1] - offsets[some])
+                texts = b"".join(data[offsets[k] : offsets[k + 1]].tobytes() for k in some)
+                keys.append(int(part[some[0]]))
+                payloads.append(pack(head + b"".join(c.tobytes() for c in columns) + texts))
+            yield pa.RecordBatch.from_pydict(_rows(keys, payloads))
+
+    return run
+
+
+def _unpack_docs(payload: bytes) -> pa.Table:
+    raw = zstandard.ZstdDecompressor().decompress(payload)
+    n, at, columns = int(np.frombuffer(raw, np.int64, 1)[0]), 8, []
+    for kind in ("i8", "i8", "u1", "i8"):
+        columns.append(np.frombuffer(raw, kind, n, at))
+        at += n * np.dtype(kind).itemsize
+    rid, doc_id, known, lengths = columns
+    offsets = np.concatenate([[0], np.cumsum(lengths)])
+    text = pa.LargeStringArray.from_buffers(n, pa.py_buffer(offsets.astype(np.int64)), pa.py_buffer(raw[at:]))
+    return pa.table({"rid": rid, "doc_id": pa.array(doc_id, mask=known == 0), "text": text})
+
+
+def _sides(table: pa.Table) -> tuple[pa.Table, list[bytes]]:
+    """The documents of a part, and what else was sent there."""
+    payloads = table["payload"].to_pylist()
+    is_docs = table["docs"].to_pylist()
+    docs = [_unpack_docs(p) for p, d in zip(payloads, is_docs, strict=True) if d]
+    empty = pa.schema([("rid", pa.int64()), ("doc_id", pa.int64()), ("text", pa.large_string())])
+    others = [p for p, d in zip(payloads, is_docs, strict=True) if not d]
+    return (pa.concat_tables(docs) if docs else empty.empty_table()), others
+
+
+def _cut(table: pa.Table) -> pa.Table:
+    docs, replies = _sides(table)
+    found = [_unpack_spans(p) for p in replies]
     rid, start, end = (np.concatenate(x) for x in zip(*found, strict=True)) if found else [np.zeros(0, np.int64)] * 3
     order = np.argsort(rid, kind="stable")
     rid, start, end = rid[order], start[order], end[order]
@@ -635,19 +687,18 @@ def find_repeats(docs: DataFrame) -> DataFrame:
     splitters = _splitters(rows, parts)
     grams = rows.select("rid", "text").mapInArrow(_exchange_grams(parts, parts), _ROWS)
     replies = grams.groupBy("key").applyInArrow(_resolve_grams(parts), _ROWS)
-    dealt = rows.select(F.pmod("rid", F.lit(parts)).alias("part"), "rid", "doc_id", "text")
+    packed = rows.select("rid", "doc_id", "text").mapInArrow(_pack_docs(parts), _ROWS)
 
-    def part_of(payloads: DataFrame) -> DataFrame:
-        return payloads.select((-1 - F.col("key")).alias("part"), "payload")
+    def by_part(payloads: DataFrame):
+        """Documents and payloads of each part together."""
+        sent = payloads.select((-1 - F.col("key")).alias("key"), "payload", F.lit(False).alias("docs"))
+        return packed.withColumn("docs", F.lit(True)).union(sent).groupBy("key")
 
-    runs = (
-        dealt.select("part", "rid", "text").groupBy("part").cogroup(part_of(replies).groupBy("part"))
-        .applyInArrow(_sort_runs(parts, splitters), _ROWS)
-    )
+    runs = by_part(replies).applyInArrow(_sort_runs(parts, splitters), _ROWS)
     merged = runs.groupBy("key").applyInArrow(_merge_range(parts, parts, splitters), _ROWS)
     spans = checkpointed(merged.groupBy("key").applyInArrow(_first_windows(parts), _ROWS))
     schema = "doc_id long, n_bytes long, n_removed long, spans array<struct<start:long,end:long>>, kept binary"
-    return dealt.groupBy("part").cogroup(part_of(spans).groupBy("part")).applyInArrow(_cut, schema)
+    return by_part(spans).applyInArrow(_cut, schema)
 
 
 def report(docs: DataFrame) -> DataFrame:
