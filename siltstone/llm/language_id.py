@@ -24,7 +24,7 @@ import sentencepiece
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from siltstone.llm.texts import blocks, flat, lowered, prefix_sums, range_hash, word_spans
+from siltstone.llm.texts import blocks, bound_batches, flat, lowered, prefix_sums, range_hash, word_spans
 
 VOCABULARY = "/opt/tokenizers/piece_bpe_32k.model"
 UNKNOWN = "und"
@@ -216,7 +216,7 @@ def predictor(languages: list[str], probs: np.ndarray, prior: np.ndarray, words:
 
 def identify(docs: DataFrame, vocabulary: str = VOCABULARY) -> DataFrame:
     """(doc_id, held_out, lang_pred, score) per document."""
-    samples = sample_of(docs)
+    samples = sample_of(bound_batches(docs))
     words = vocabulary_pieces(vocabulary)
     languages, probs = fit({k: v for k, (_, v) in samples.items()}, Pieces(words)) if samples else ([], None)
     readable = F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False))

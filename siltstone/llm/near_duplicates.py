@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from siltstone.llm.components import components
-from siltstone.llm.texts import mixed, word_hashes
+from siltstone.llm.texts import bound_batches, mixed, word_hashes
 from siltstone.runtime import checkpointed, fits_broadcast, has_rows
 
 # Words to a shingle, and the least similarity as a percentage.
@@ -390,7 +390,7 @@ def _settle_regions(links: _Links, rows: DataFrame) -> None:
 
 def _classed(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Documents (doc_id, text_hash, n_shingles, k1, k2), and classes with a component each."""
-    keyed = docs.select("doc_id", F.xxhash64("text").alias("text_hash"), "text")
+    keyed = bound_batches(docs).select("doc_id", F.xxhash64("text").alias("text_hash"), "text")
     signed = checkpointed(
         keyed.mapInArrow(
             _sign, "doc_id long, text_hash long, n_shingles long, k1 long, k2 long, minima binary"

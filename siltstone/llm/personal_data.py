@@ -21,7 +21,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from siltstone.llm.texts import flat
+from siltstone.llm.texts import bound_batches, flat
 
 # Kinds in the order of the digest.
 KINDS = ("email", "ip", "card", "phone")
@@ -208,6 +208,6 @@ def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def scan(docs: DataFrame) -> DataFrame:
     """(doc_id, n_email, n_ip, n_card, n_phone, base_sha256, spans) per document."""
     counts = ", ".join(f"n_{k} long" for k in KINDS)
-    return docs.selectExpr("cast(doc_id as long) as doc_id", "text").mapInArrow(
+    return bound_batches(docs).selectExpr("cast(doc_id as long) as doc_id", "text").mapInArrow(
         _scan, f"doc_id long, {counts}, base_sha256 string, spans string"
     )

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from siltstone.llm.texts import blocks, flat, lowered, prefix_sums, range_hash, slices, word_spans
+from siltstone.llm.texts import blocks, bound_batches, flat, lowered, prefix_sums, range_hash, slices, word_spans
 from siltstone.runtime import checkpointed
 
 SAMPLE_DOCS = 6000
@@ -233,7 +233,7 @@ def site_posteriors(scored: DataFrame) -> DataFrame:
 
 def score(docs: DataFrame, labels: DataFrame, host: Column, path: Column) -> DataFrame:
     """The documents in a column ``doc`` with evidence, host_rate, path_rate, quality and keep."""
-    model = learn(docs, labels)
+    model = learn(bound_batches(docs), labels)
     rows = docs.select(
         F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"),
         host.cast("string").alias("host"),

@@ -36,7 +36,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from siltstone.llm.texts import BLOCK_BYTES, flat, mixed, powers, prefix_sums
+from siltstone.llm.texts import BLOCK_BYTES, bound_batches, flat, mixed, powers, prefix_sums
 from siltstone.runtime import checkpointed
 
 # Fixed value: length of a repeated string.
@@ -45,6 +45,7 @@ SPAN = 100
 GRAM = 24
 WINDOW = SPAN - GRAM + 1
 PART_BYTES = 6 << 20
+PACK_BYTES = 16 << 20
 SAMPLE_DOCS = 400
 FAN_IN = 256
 FEW = 12
@@ -564,23 +565,34 @@ def _first_windows(parts: int):
 def _pack_docs(parts: int):
     """Documents by part, compressed together: both exchanges of texts carry these."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def packed(held: list[pa.RecordBatch]) -> pa.RecordBatch:
         pack = zstandard.ZstdCompressor(level=3).compress
+        table = pa.Table.from_batches(held)
+        rid = table["rid"].to_numpy()
+        part = rid % parts
+        order = np.argsort(part, kind="stable")
+        known = table["doc_id"].is_valid().to_numpy().astype(np.uint8)
+        doc_id = table["doc_id"].fill_null(0).to_numpy()
+        data, offsets = flat(table["text"])
+        keys, payloads = [], []
+        for some in np.split(order, np.flatnonzero(np.diff(part[order])) + 1):
+            head = np.array([len(some)], np.int64).tobytes()
+            columns = (rid[some], doc_id[some], known[some], offsets[some + 1] - offsets[some])
+            texts = b"".join(data[offsets[k] : offsets[k + 1]].tobytes() for k in some)
+            keys.append(int(part[some[0]]))
+            payloads.append(pack(head + b"".join(c.tobytes() for c in columns) + texts))
+        return pa.RecordBatch.from_pydict(_rows(keys, payloads))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, size = [], 0
         for batch in batches:
-            rid = batch["rid"].to_numpy()
-            part = rid % parts
-            order = np.argsort(part, kind="stable")
-            known = batch["doc_id"].is_valid().to_numpy(zero_copy_only=False).astype(np.uint8)
-            doc_id = batch["doc_id"].fill_null(0).to_numpy()
-            data, offsets = flat(batch["text"])
-            keys, payloads = [], []
-            for some in np.split(order, np.flatnonzero(np.diff(part[order])) + 1) if len(order) else []:
-                head = np.array([len(some)], np.int64).tobytes()
-                columns = (rid[some], doc_id[some], known[some], offsets[some + 1] - offsets[some])
-                texts = b"".join(data[offsets[k] : offsets[k + 1]].tobytes() for k in some)
-                keys.append(int(part[some[0]]))
-                payloads.append(pack(head + b"".join(c.tobytes() for c in columns) + texts))
-            yield pa.RecordBatch.from_pydict(_rows(keys, payloads))
+            held.append(batch)
+            size += batch.nbytes
+            if size > PACK_BYTES:
+                yield packed(held)
+                held, size = [], 0
+        if sum(b.num_rows for b in held):
+            yield packed(held)
 
     return run
 
@@ -682,7 +694,7 @@ def _splitters(docs: DataFrame, ranges: int) -> list[bytes]:
 
 def find_repeats(docs: DataFrame) -> DataFrame:
     """(doc_id, n_bytes, n_removed, spans, kept) per document: the byte ranges removed, what is left."""
-    rows, total = _numbered(docs)
+    rows, total = _numbered(bound_batches(docs))
     parts = _prime_above(-(-total // PART_BYTES))
     splitters = _splitters(rows, parts)
     grams = rows.select("rid", "text").mapInArrow(_exchange_grams(parts, parts), _ROWS)

@@ -22,6 +22,9 @@ from collections.abc import Iterator
 import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from siltstone.llm.texts import bound_batches
 
 VOCABULARY = "/opt/tokenizers/byte_bpe_50k.json"
 DICTIONARY_BYTES = 64 << 10
@@ -151,7 +154,7 @@ def _scan(dictionary: bytes):
 def scan(docs: DataFrame, vocabulary: str = VOCABULARY) -> DataFrame:
     """(doc_id, n_assign, n_access, n_hex, base_sha256, spans, n_novel) per document."""
     counts = ", ".join(f"n_{k} long" for k in KINDS)
-    return docs.selectExpr("cast(doc_id as long) as doc_id", "text").mapInArrow(
+    return bound_batches(docs).selectExpr("cast(doc_id as long) as doc_id", "text").mapInArrow(
         _scan(identifier_dictionary(vocabulary)),
         f"doc_id long, {counts}, base_sha256 string, spans string, n_{NOVEL} long",
     )
@@ -159,8 +162,6 @@ def scan(docs: DataFrame, vocabulary: str = VOCABULARY) -> DataFrame:
 
 def redact(docs: DataFrame, vocabulary: str = VOCABULARY, mask: str = "[SECRET]") -> DataFrame:
     """The documents with every span found, base or added, replaced by ``mask``; columns stay."""
-    from pyspark.sql import functions as F
-
     dictionary = identifier_dictionary(vocabulary)
 
     @F.arrow_udf("string")
@@ -178,4 +179,4 @@ def redact(docs: DataFrame, vocabulary: str = VOCABULARY, mask: str = "[SECRET]"
             out.append(text)
         return pa.array(out, pa.string())
 
-    return docs.withColumn("text", masked("text"))
+    return bound_batches(docs).withColumn("text", masked("text"))

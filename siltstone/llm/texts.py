@@ -7,12 +7,16 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark.sql import DataFrame
 
 # The bytes that part words.
 SPACES = b"\x20\x09\x0a\x0b\x0c\x0d"
 
+BATCH_ROWS = 1000
+_BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
 # Bytes worked on at a time; a word is never cut, so a longer one makes a longer block.
-BLOCK_BYTES = 2 << 20
+BLOCK_BYTES = 1 << 19
 
 _IS_SPACE = np.zeros(256, dtype=bool)
 _IS_SPACE[list(SPACES)] = True
@@ -36,6 +40,17 @@ def flat(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return raw[bounds[0] : bounds[-1]], bounds - bounds[0]
 
 
+def bound_batches(df: DataFrame) -> DataFrame:
+    """``df``, with the session's Arrow batches bounded, as rows with whole texts go to Python.
+
+    A lower bound that the session has already is kept.
+    """
+    conf = df.sparkSession.conf
+    rows = int(conf.get(_BATCH_ROWS))
+    conf.set(_BATCH_ROWS, str(min(rows, BATCH_ROWS) if rows > 0 else BATCH_ROWS))
+    return df
+
+
 def slices(texts: pa.Array) -> Iterator[pa.Array]:
     """The texts in order, in slices of a few blocks each."""
     offsets = flat(texts)[1]
