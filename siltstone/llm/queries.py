@@ -29,7 +29,9 @@ def op3_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return decontaminate.report(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+    """The documents found contaminated, with their items; all others are clean."""
+    found = decontaminate.report(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+    return found.filter("contaminated")
 
 
 def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -123,9 +125,8 @@ hits AS (SELECT c.doc_id, c.text, c.item_id, c.coverage FROM covered c JOIN runs
   WHERE c.coverage >= {_D.COVERAGE} OR r.run >= {_D.RUN}),
 per AS (SELECT doc_id, text, count(*) AS n_items, max(coverage) AS coverage,
   array_to_string(list_sort(list(item_id::VARCHAR)), ',') AS items FROM hits GROUP BY ALL)
-SELECT documents.doc_id, coalesce(n_items, 0) AS n_items, coalesce(items, '') AS items,
-  round(coalesce(coverage, 0.0), 6)::DOUBLE AS coverage, n_items IS NOT NULL AS contaminated
-FROM documents LEFT JOIN per ON per.doc_id IS NOT DISTINCT FROM documents.doc_id AND per.text = documents.text
+SELECT documents.doc_id, n_items, items, round(coverage, 6)::DOUBLE AS coverage, true AS contaminated
+FROM documents JOIN per ON per.doc_id IS NOT DISTINCT FROM documents.doc_id AND per.text = documents.text
 """,
     "op5_mixing": """
 WITH sized AS (SELECT doc_id, source,
