@@ -3,8 +3,9 @@
 On a bounded sample, each vector is linked with its nearest ones; the graph is cut into parts of
 equal size by bisection along the widest direction, refined by swaps that reduce the links cut. A
 small neural classifier learns in which parts a vector's neighbours lie. It gives every row of the
-table its part, and routes each query to its most probable parts, as many as reach ``RECALL`` in a
-search of the sample against brute force. Candidates are then scored exactly, in double precision.
+table its part, and routes each query to its most probable parts, as many as reach ``RECALL`` against
+brute force among vectors of the sample that it was not fitted on. Vectors without any structure need
+most parts for that, clustered ones a few. Candidates are scored exactly, in double precision.
 
 Rows of a part are dealt over blocks of bounded size, queries of a part over chunks, and a task gets
 one block and one chunk, so a part with a third of all rows is many tasks. Equal vectors of a block
@@ -24,14 +25,15 @@ from pyspark.sql import functions as F
 
 from siltstone.runtime import checkpointed
 
-SAMPLE_ROWS = 6144
+SAMPLE_ROWS = 12288
 SAMPLE_FLOATS = 4 << 20
 LINKS = 12
-PART_ROWS = 4096
+PART_ROWS = 2048
 MAX_PARTS = 64
 LEAST_SAMPLE_PER_PART = 96
-RECALL = 0.985
-PROBE_QUERIES = 256
+RECALL = 0.95
+HELD_BACK = 3
+PROBE_QUERIES = 512
 BLOCK_FLOATS = 1 << 20
 QUERY_ROWS = 2048
 HIDDEN = 64
@@ -139,6 +141,8 @@ class Router:
 
 def learn(sample: np.ndarray, rows: int, k: int) -> tuple[Router | None, int, int]:
     """The router, the number of parts, and how many parts a query is routed to."""
+    fresh = np.arange(len(sample)) % HELD_BACK == 0
+    held, sample = sample[fresh], sample[~fresh]
     room = min(MAX_PARTS, max(1, rows // PART_ROWS), len(sample) // LEAST_SAMPLE_PER_PART)
     parts = 1 << max(0, room.bit_length() - 1) if room else 1
     if parts < 2:
@@ -151,12 +155,11 @@ def learn(sample: np.ndarray, rows: int, k: int) -> tuple[Router | None, int, in
     np.add.at(target, (np.arange(len(sample))[:, None], part[near]), 0.5 / near.shape[1])
     target[np.arange(len(sample)), part] += 0.5
     router = Router(sample, target)
-    chances = router.chances(sample)
-    own = chances.argmax(axis=1)
-    probes = np.linspace(0, len(sample) - 1, min(PROBE_QUERIES, len(sample))).astype(int)
-    order = np.argsort(-chances[probes], axis=1, kind="stable")
+    chances = router.chances(held)
+    near = nearest_links(held, held, min(k, len(held) - 1), True)[:PROBE_QUERIES]
+    order = np.argsort(-chances[:PROBE_QUERIES], axis=1, kind="stable")
     place = np.argsort(order, axis=1)
-    found = np.take_along_axis(place, own[near[probes]], axis=1)
+    found = np.take_along_axis(place, chances.argmax(axis=1)[near], axis=1)
     for probed in range(1, parts + 1):
         if (found < probed).mean() >= RECALL:
             return router, parts, probed

@@ -70,3 +70,13 @@ def test_parts_are_balanced_and_cut_few_links():
     links = neighbours.nearest_links(x, x, 6, True)
     part = neighbours.balanced_parts(x, links, 4)
     assert np.bincount(part).tolist() == [100] * 4
+
+
+def test_clustered_vectors_need_few_parts():
+    rng = np.random.default_rng(8)
+    centres = rng.standard_normal((64, 16)) * 3
+    sample = centres[rng.integers(0, 64, 6000)] + rng.standard_normal((6000, 16)) * 0.1
+    router, parts, probed = neighbours.learn(sample, 10**6, 20)
+    assert parts >= 16 and probed <= parts // 4
+    sizes = np.bincount(router.chances(sample).argmax(axis=1), minlength=parts)
+    assert sizes.max() < 4 * len(sample) / parts

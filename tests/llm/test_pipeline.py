@@ -38,3 +38,17 @@ def test_stages_take_effect_on_what_came_before(spark, sample, fresh):
     assert ids(after) == Counter({r["doc_id"]: r["copies"] for r in mixing.plan_mix(before).filter("copies > 0").collect()})
     final = corpus_pipeline.run(spark, SF_DIR)
     assert sorted(map(tuple, final.collect())) == sorted(map(tuple, after.collect()))
+
+
+def test_stages_on_odd_and_empty_documents(spark, odd, empty, fresh):
+    for name, docs in (("odd", odd), ("empty", empty)):
+        frame = docs
+        for k, (_, stage) in enumerate(corpus_pipeline.STAGES):
+            stage(spark, frame, SF_DIR).write.parquet(f"{fresh}/{name}/{k}")
+            after = spark.read.parquet(f"{fresh}/{name}/{k}")
+            assert after.dtypes == docs.dtypes
+            if k in (1, 3):
+                rows = after.select("doc_id", "text").collect()
+                assert k == 3 or len({r["text"] for r in rows if r["text"]}) == sum(bool(r["text"]) for r in rows)
+            frame = after
+    assert frame.count() == 0
