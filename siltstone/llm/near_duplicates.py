@@ -30,7 +30,7 @@ import zstandard
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from siltstone.llm.components import components
+from siltstone.llm.components import compact, components
 from siltstone.llm.texts import bound_batches, mixed, word_hashes
 from siltstone.runtime import checkpointed, fits_broadcast, has_rows
 
@@ -259,6 +259,12 @@ def _packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_pydict({"cid": batch["cid"], "body": pa.array(bodies, pa.binary())})
 
 
+def _set_down(df: DataFrame) -> DataFrame:
+    """A small table on shared storage, in as few partitions as its rows fill."""
+    kept = checkpointed(df)
+    return compact(kept, kept.count())
+
+
 class _Links:
     """Confirmed components of the classes, grown round by round."""
 
@@ -280,6 +286,7 @@ class _Links:
         return pairs
 
     def confirm(self, pairs: DataFrame) -> None:
+        pairs = _set_down(pairs)
         sides = {s: self.bodies.select(F.col("cid").alias(s), F.col("body").alias(f"body_{s}")) for s in ("a", "b")}
         joined = pairs.select("a", "b").join(sides["a"], "a").join(sides["b"], "b").select("a", "b", "body_a", "body_b")
         judged = checkpointed(joined.mapInArrow(_confirm, "a long, b long, linked boolean"))
@@ -292,7 +299,7 @@ class _Links:
         if has_rows(found):
             # Components so far stand as links from each node to its root.
             so_far = found if self.of is None else found.union(self.of.select(F.col("node").alias("a"), F.col("component").alias("b")))
-            self.of = checkpointed(components(so_far))
+            self.of = _set_down(components(so_far))
 
 
 def _settle_pairs(links: _Links, pairs: DataFrame) -> None:
@@ -410,9 +417,8 @@ def _classed(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
         .sortWithinPartitions("place", "cid")
     )
     looked = checkpointed(order.mapInArrow(_look, _PAIRS))
-    pairs = checkpointed(
-        looked.filter("region is null").groupBy("a", "b").agg(F.max("agree").alias("agree"), F.max("small").alias("small"))
-    )
+    found = looked.filter("region is null")
+    pairs = _set_down(found.groupBy("a", "b").agg(F.max("agree").alias("agree"), F.max("small").alias("small")))
     regions = looked.filter("region is not null").select("region", F.col("a").alias("cid"), "sketch").distinct()
     wanted = (
         looked.select(F.explode(F.array("a", F.coalesce("b", "a"))).alias("cid")).distinct()
@@ -454,21 +460,31 @@ def report(docs: DataFrame) -> DataFrame:
 
 def keep_one(docs: DataFrame) -> DataFrame:
     """The documents without near-duplicates: of each component the one with the smallest id."""
-    grouped = checkpointed(group(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")))
-    linked = grouped.filter("n_shingles > 0")
-    first = linked.groupBy("component").agg(
+    grouped = group(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")).filter("n_shingles > 0")
+    keys = checkpointed(grouped.groupBy("component", "doc_id", "text_hash").agg(F.count("*").alias("copies")))
+    first = keys.groupBy("component").agg(
         F.min_by(F.struct("doc_id", "text_hash"), F.struct(F.col("doc_id").isNull(), "doc_id", "text_hash")).alias("one")
     )
-    stay = checkpointed(
-        first.select(F.col("one.doc_id").alias("s_id"), F.col("one.text_hash").alias("s_hash")).withColumn("s_empty", F.lit(False))
+    chosen = keys.join(first, "component").withColumn(
+        "chosen", F.col("doc_id").eqNullSafe(F.col("one.doc_id")) & (F.col("text_hash") == F.col("one.text_hash"))
+    )
+    listed = checkpointed(
+        chosen.filter("not chosen or copies > 1").select(F.col("doc_id").alias("l_id"), F.col("text_hash").alias("l_hash"), "chosen")
     )
     rows = docs.select(
         F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"),
         F.col("doc_id").cast("long").alias("key_id"),
         F.xxhash64("text").alias("key_hash"),
-        (~F.coalesce(F.col("text").rlike(r"[^\x20\x09-\x0D]"), F.lit(False))).alias("empty"),
     )
-    same = F.col("key_id").eqNullSafe(F.col("s_id")) & (F.col("key_hash") == F.col("s_hash"))
-    kept = rows.filter("not empty").join(stay, same, "left_semi")
-    once = kept.dropDuplicates(["key_id", "key_hash"])
-    return once.select("doc.*").union(rows.filter("empty").select("doc.*"))
+    same = F.col("key_id").eqNullSafe(F.col("l_id")) & (F.col("key_hash") == F.col("l_hash"))
+
+    def held(keys: DataFrame, how: str) -> DataFrame:
+        return rows.join(F.broadcast(keys) if fits_broadcast(keys) else keys, same, how)
+
+    # Only documents that go, or stand there several times, are listed; all others just pass.
+    kept = held(listed.drop("chosen"), "left_anti").select("doc.*")
+    several = listed.filter("chosen").drop("chosen")
+    if has_rows(several):
+        once = held(several, "left_semi").dropDuplicates(["key_id", "key_hash"])
+        kept = kept.union(once.select("doc.*"))
+    return kept
