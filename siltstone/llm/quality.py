@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from siltstone.llm.texts import blocks, bound_batches, flat, lowered, prefix_sums, range_hash, slices, word_spans
-from siltstone.runtime import checkpointed
+from siltstone.runtime import checkpointed, fits_broadcast
 
 SAMPLE_DOCS = 6000
 KEEP_ODDS = 0.0
@@ -228,7 +228,11 @@ def site_posteriors(scored: DataFrame) -> DataFrame:
     )
     b = _strength(below, F.col("host_rate"))
     rate = (F.col("good") + b * F.col("host_rate")) / (F.col("n") + b)
-    return below.select("host", "path", "host_rate", rate.alias("path_rate"))
+    return checkpointed(below.select("host", "path", "host_rate", rate.alias("path_rate")))
+
+
+def _same() -> Column:
+    return F.col("host").eqNullSafe(F.col("h")) & F.col("path").eqNullSafe(F.col("p"))
 
 
 def score(docs: DataFrame, labels: DataFrame, host: Column, path: Column) -> DataFrame:
@@ -242,6 +246,9 @@ def score(docs: DataFrame, labels: DataFrame, host: Column, path: Column) -> Dat
         F.pmod(F.xxhash64("doc_id", F.length("text")), F.lit(_SALTS)).cast("int").alias("salt"),
     )
     sites = site_posteriors(rows.select("host", "path", "ratio", "salt"))
+    if fits_broadcast(sites):
+        renamed = F.broadcast(sites.withColumnsRenamed({"host": "h", "path": "p"}))
+        return _judged(rows.join(renamed, _same()))
     key = F.xxhash64(F.coalesce(F.concat(F.lit("="), "host"), F.lit("")), F.coalesce(F.concat(F.lit("="), "path"), F.lit("")))
     # Each site's row is dealt over the salts, so that a site with a third of all rows is no one task's.
     dealt = sites.select(
@@ -252,9 +259,11 @@ def score(docs: DataFrame, labels: DataFrame, host: Column, path: Column) -> Dat
         key.alias("k"),
         F.explode(F.sequence(F.lit(0), F.lit(_SALTS - 1))).alias("s"),
     )
-    same = F.col("host").eqNullSafe(F.col("h")) & F.col("path").eqNullSafe(F.col("p"))
     keyed = rows.withColumn("key", key)
-    joined = keyed.join(dealt, (F.col("key") == F.col("k")) & (F.col("salt") == F.col("s")) & same)
+    return _judged(keyed.join(dealt, (F.col("key") == F.col("k")) & (F.col("salt") == F.col("s")) & _same()))
+
+
+def _judged(joined: DataFrame) -> DataFrame:
     odds = _odds(F.col("path_rate")) + F.col("ratio")
     return joined.select(
         "doc",

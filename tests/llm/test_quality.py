@@ -15,6 +15,15 @@ def test_held_back_labels(spark, sample):
     assert np.mean(good) > 0.98 and np.mean(bad) < 0.1
 
 
+def test_sites_too_many_to_broadcast(spark, sample, odd, monkeypatch):
+    labels = spark.read.parquet("/root/testdata/sf0.01/labels.parquet")
+    for docs in (sample, odd):
+        plain = sorted(map(str, quality.classify(docs, labels).collect()))
+        with monkeypatch.context() as patch:
+            patch.setattr(quality, "fits_broadcast", lambda df: False)
+            assert sorted(map(str, quality.classify(docs, labels).collect())) == plain
+
+
 def test_sparse_sites_shrink_towards_their_parents(spark):
     rows = [("big", "a", -3.0, 0)] * 900 + [("big", "b", 3.0, 0)] * 100 + [("tiny", "a", -3.0, 0)]
     rows += [(f"h{k}", "a", 3.0 if k % 3 else -3.0, 0) for k in range(60) for _ in range(50)]
