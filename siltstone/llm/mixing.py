@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from siltstone.runtime import checkpointed
+from siltstone.runtime import checkpointed, fits_broadcast
 
 # The weights in turn, and the bound on a target in sizes of its source.
 WEIGHTS = (1, 2, 3)
@@ -97,18 +97,17 @@ def _rated(docs: DataFrame) -> DataFrame:
         F.col("source"),
         size_of(F.col("text")).alias("size"),
     )
-    plan = targets(sized.select("doc_id", "source", "size")).select(
-        F.coalesce(F.concat(F.lit("="), "source"), F.lit("null")).alias("key"),
-        F.explode(F.sequence(F.lit(0), F.lit(_SALTS - 1))).alias("salt"),
-        "source_size",
-        "target",
-    )
-    # A source with a third of all rows is dealt over the salts, so no task gets all of it.
-    keyed = sized.withColumn("key", F.coalesce(F.concat(F.lit("="), "source"), F.lit("null"))).withColumn(
-        "salt", F.pmod(F.xxhash64("doc_id", "size"), F.lit(_SALTS)).cast("int")
-    )
+    key = F.coalesce(F.concat(F.lit("="), "source"), F.lit("null")).alias("key")
+    plan = checkpointed(targets(sized.select("doc_id", "source", "size")).select(key, "source_size", "target"))
+    if fits_broadcast(plan):
+        joined = sized.select("*", key).join(F.broadcast(plan), "key")
+    else:
+        # A source with a third of all rows is dealt over the salts, so no task gets all of it.
+        dealt = plan.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(_SALTS - 1))))
+        salt = F.pmod(F.xxhash64("doc_id", "size"), F.lit(_SALTS)).cast("int").alias("salt")
+        joined = sized.select("*", key, salt).join(dealt, ["key", "salt"])
     rate = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0))
-    joined = keyed.join(plan, ["key", "salt"]).withColumn("rate", rate)
+    joined = joined.withColumn("rate", rate)
     extra = (drawn(F.col("doc_id")) < F.col("rate") - F.floor("rate")).cast("long")
     return joined.withColumn("copies", F.floor("rate") + extra)
 

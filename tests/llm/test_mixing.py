@@ -43,6 +43,12 @@ def test_targets_and_copies(sample):
     assert sorted(map(tuple, rows)) == sorted(map(tuple, again))
 
 
+def test_sources_too_many_to_broadcast(sample, odd, monkeypatch):
+    monkeypatch.setattr(mixing, "fits_broadcast", lambda df: False)
+    check(sample)
+    check(odd)
+
+
 def test_small_sources_stop_at_three_times(spark):
     docs = spark.createDataFrame(
         [(k, "w " * n, None, s, 0) for k, (s, n) in enumerate([("a", 1000), ("b", 10), ("é", 3), ("z", 5), (None, 0), (None, 7)])],
