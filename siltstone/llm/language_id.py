@@ -34,6 +34,8 @@ SAMPLE_DOCS = 600
 SAMPLE_BYTES = 4 << 20
 MAX_LANGUAGES = 256
 ROUNDS = 3
+# Larger than elsewhere: the more text, the fewer of its words are distinct.
+WORD_BLOCK = 4 << 20
 _SLOTS = 1 << 18
 
 
@@ -201,7 +203,7 @@ def predictor(languages: list[str], probs: np.ndarray, prior: np.ndarray, words:
         pieces = Pieces(words)
         data, offsets = flat(texts)
         total = np.tile(prior, (len(texts), 1))
-        for start, end in blocks(data, offsets):
+        for start, end in blocks(data, offsets, WORD_BLOCK):
             sums, starts, lengths, rows, which = distinct_words(data, offsets, start, end)
             scores = word_scores(pieces, sums, starts, lengths, probs)
             for column in range(len(languages)):

@@ -101,11 +101,12 @@ def range_hash(sums: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarr
     return mixed((sums[end] - sums[start]) * inverse[start] + length * np.uint64(0x2545F4914F6CDD1D))
 
 
-def blocks(data: np.ndarray, offsets: np.ndarray) -> Iterator[tuple[int, int]]:
-    """Cuts of the bytes at which no word is cut, about ``BLOCK_BYTES`` apart."""
+def blocks(data: np.ndarray, offsets: np.ndarray, size: int | None = None) -> Iterator[tuple[int, int]]:
+    """Cuts of the bytes at which no word is cut, about ``size`` or ``BLOCK_BYTES`` apart."""
+    size = size or BLOCK_BYTES
     start, n = 0, len(data)
     while start < n:
-        end = min(start + BLOCK_BYTES, n)
+        end = min(start + size, n)
         while end < n:
             step = min(end + 65536, n)
             gap = np.flatnonzero(_IS_SPACE[data[end:step]])
