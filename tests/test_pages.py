@@ -77,6 +77,12 @@ def test_long_texts_are_kept_whole(spark):
     assert page_progress(pages_before_end(responses)).first()["n"] == 2
 
 
+def test_numbers_are_written_anew(spark):
+    body = '[{"a": 1.10, "b": 0.1234567890123456789012, "c": 1e400, "d": 12345678901234567890}]'
+    found = ingest(_responses(spark, (1, 200, body), (2, 200, "[]"))).first()["record"]
+    assert found == '{"a":1.1,"b":0.12345678901234568,"c":"Infinity","d":12345678901234567890}'
+
+
 def test_progress_rejects_what_the_ingest_rejects(spark):
     for message in ("page 2 does", "page 2 doe", "page 2 ", "page 2"):
         with pytest.raises((PySparkException, Py4JJavaError)):
