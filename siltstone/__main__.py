@@ -30,10 +30,10 @@ _CLEANING = {"arrays", "strict", "keep_other_leaves", "piece_rows", "last_pair_w
 # Options of each step; any other is refused.
 TAKES = {
     "fetch": {"url", "responses"},
-    "bronze": {"responses", "root", "arrays"},
+    "bronze": {"responses", "root", "arrays", "progress"},
     "silver": {"root"} | _CLEANING,
     "gold": {"root", "leaf_files", "arrays", "last_pair_wins", "keep_other_leaves", "allowed_bad_numbers"},
-    "all": {"responses", "root", "allowed_bad_numbers"} | _CLEANING,
+    "all": {"responses", "root", "allowed_bad_numbers", "progress"} | _CLEANING,
 }
 
 
@@ -56,6 +56,7 @@ def _arguments(argv: Sequence[str] | None) -> argparse.Namespace:
     parser.add_argument(
         "--allowed-bad-numbers", type=int, help="values that may become null before gold is refused"
     )
+    parser.add_argument("--progress", help="where to write the records per page and so far")
     given = parser.parse_args(argv)
     needs = {"fetch": ("url", "responses"), "bronze": ("responses", "root"), "all": ("responses", "root")}
     for name in needs.get(given.step, ("root",)):
@@ -79,10 +80,16 @@ def _run(spark: SparkSession, given: argparse.Namespace) -> list[LayerStatus]:
         return [_gold(spark, given, paths)]
     responses = spark.read.parquet(given.responses)
     if given.step == "bronze":
-        return [ingest_bronze(responses, paths["bronze"], given.arrays)]
+        return [ingest_bronze(responses, paths["bronze"], given.arrays, given.progress)]
     allowed = given.allowed_bad_numbers
     return build_layers(
-        spark, responses, given.root, LOCATIONS, allowed_bad_numbers=allowed, **cleaning
+        spark,
+        responses,
+        given.root,
+        LOCATIONS,
+        allowed_bad_numbers=allowed,
+        progress_path=given.progress,
+        **cleaning,
     )
 
 

@@ -6,14 +6,22 @@ from pyspark.sql import DataFrame
 
 from siltstone.plans.status import WRITTEN, LayerStatus
 from siltstone.sinks.bronze import land_array_documents, land_record_text
-from siltstone.sources.pages import ingest
+from siltstone.sources.pages import ingest, running_totals
 
 
-def ingest_bronze(responses: DataFrame, bronze_path: str, arrays: bool = False) -> LayerStatus:
+def ingest_bronze(
+    responses: DataFrame,
+    bronze_path: str,
+    arrays: bool = False,
+    progress_path: str | None = None,
+) -> LayerStatus:
     """Check and parse the responses, then replace the raw layer. A failure leaves it untouched.
 
-    The raw layer holds a record per line, or with ``arrays`` array documents.
+    The raw layer holds a record per line, or with ``arrays`` array documents. Under
+    ``progress_path`` goes a table of the records per page and the records so far.
     """
     records = ingest(responses)
+    if progress_path is not None:
+        running_totals(records).write.mode("overwrite").parquet(progress_path)
     (land_array_documents if arrays else land_record_text)(records, bronze_path)
     return LayerStatus("bronze", WRITTEN, records.count())

@@ -30,6 +30,7 @@ def build_layers(
     keep_other_leaves: bool = False,
     last_pair_wins: bool = False,
     allowed_bad_numbers: int | None = None,
+    progress_path: str | None = None,
 ) -> list[LayerStatus]:
     """Bring the three layers under ``root`` up to date and say what was done.
 
@@ -45,7 +46,7 @@ def build_layers(
     done = max(whole, default=-1)
     outcomes = [LayerStatus(layer, SKIPPED, None) for layer in layers[: done + 1]]
     if done < 0:
-        outcomes.append(ingest_bronze(responses, paths["bronze"], arrays))
+        outcomes.append(ingest_bronze(responses, paths["bronze"], arrays, progress_path))
     if done < 1:
         outcomes.append(
             bronze_to_silver(

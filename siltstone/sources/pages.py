@@ -120,12 +120,20 @@ def ingest(responses: DataFrame) -> DataFrame:
 def page_progress(pages: DataFrame) -> DataFrame:
     """Records per page and records so far, ``(page, n, running_total)``.
 
+    A page counts the records that the ingest takes from it; one that it would reject fails the
+    query.
+    """
+    return running_totals(explode_records(pages))
+
+
+def running_totals(records: DataFrame) -> DataFrame:
+    """``page_progress`` from records that have their ``page``.
+
     A single ordered window would send every page to one task. Pages are summed in blocks first:
     only the block totals (one row per 65,536 pages) pass through an unpartitioned window. The
-    counts, two numbers per page, are set down first, so that bodies are read once. A page counts the
-    records that the ingest takes from it; one that it would reject fails the query.
+    counts, two numbers per page, are set down first, so that records are read once.
     """
-    counts = checkpointed(explode_records(pages).groupBy("page").agg(F.count("*").alias("n")))
+    counts = checkpointed(records.groupBy("page").agg(F.count("*").alias("n")))
     counted = counts.withColumn("block", F.floor(F.col("page") / _BLOCK))
     so_far = Window.orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
     offsets = (

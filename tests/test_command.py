@@ -37,6 +37,11 @@ def test_all_and_again(fresh, responses, capsys):
     assert "gold: skipped" in capsys.readouterr().out
 
 
+def test_progress_of_the_ingest(spark, fresh, responses):
+    main(["all", "--responses", responses, "--root", fresh, "--progress", f"{fresh}/progress"])
+    assert [tuple(r) for r in spark.read.parquet(f"{fresh}/progress").collect()] == [(1, 5, 5)]
+
+
 def test_what_a_step_needs(capsys):
     with pytest.raises(SystemExit):
         main(["fetch", "--responses", "x"])
