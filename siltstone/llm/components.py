@@ -35,7 +35,8 @@ def components(links: DataFrame) -> DataFrame:
         least = compact(down.groupBy("a").agg(F.min("b").alias("m")), n)
         small = down.join(least, "a")
         moved = small.filter("b != m").select(F.col("b").alias("a"), F.col("m").alias("b"))
-        edges = checkpointed(compact(compact(moved.union(least.select("a", F.col("m").alias("b"))), 2 * n).distinct(), n))
+        pointed = compact(moved.union(least.select("a", F.col("m").alias("b"))), 2 * n)
+        edges = checkpointed(compact(pointed.distinct(), n))
         state = edges.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
         if state == before:
             break

@@ -36,7 +36,9 @@ UNITS = (
     "percent km cm mm miles mile meters metres feet inches kg mg grams pounds tons liters litres ml "
     "hours hour minutes minute seconds days day weeks months years year mph kmh usd eur dollars euros cents"
 ).split()
-NUMBER_WORDS = "one two three four five six seven eight nine ten eleven twelve twenty thirty forty fifty hundred thousand".split()
+NUMBER_WORDS = (
+    "one two three four five six seven eight nine ten eleven twelve twenty thirty forty fifty hundred thousand"
+).split()
 
 _NAME = r"([\p{Ll}0-9,;] )(\p{Lu}\p{L}*)"
 _UNIT = rf"(?i)([0-9]) ?({'|'.join(UNITS)})\b"
@@ -73,6 +75,10 @@ def windows(rows: DataFrame, keys: list[str]) -> DataFrame:
     )
 
 
+def _window() -> Column:
+    return F.array(*[f"w{k}" for k in range(WINDOW)])
+
+
 def _hash() -> Column:
     return F.xxhash64(*[template(F.col(f"w{k}")) for k in range(WINDOW)])
 
@@ -82,10 +88,11 @@ def benchmark_windows(benchmark: DataFrame) -> DataFrame:
     slots = sum((_is_slot(F.col(f"w{k}")).cast("int") for k in range(WINDOW)), F.lit(0))
     rows = windows(benchmark.select("item_id", "text").distinct(), ["item_id"]).filter(slots <= MAX_SLOTS)
     rows = checkpointed(
-        rows.select("item_id", "at", _hash().alias("template"), F.array(*[f"w{k}" for k in range(WINDOW)]).alias("item_words"))
+        rows.select("item_id", "at", _hash().alias("template"), _window().alias("item_words"))
     )
     sizes = rows.groupBy("item_id").agg(F.countDistinct("at").alias("n"))
-    return checkpointed(rows.join(sizes.withColumnRenamed("item_id", "i"), F.col("item_id").eqNullSafe(F.col("i"))).drop("i"))
+    sizes = sizes.withColumnRenamed("item_id", "i")
+    return checkpointed(rows.join(sizes, F.col("item_id").eqNullSafe(F.col("i"))).drop("i"))
 
 
 def matches(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
@@ -107,7 +114,7 @@ def matches(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
             "item_at",
             (F.col("at") - F.col("item_at")).alias("line"),
             F.filter(
-                F.arrays_zip(F.col("item_words").alias("item"), F.array(*[f"w{k}" for k in range(WINDOW)]).alias("doc")),
+                F.arrays_zip(F.col("item_words").alias("item"), _window().alias("doc")),
                 lambda pair: _is_slot(pair["item"]),
             ).alias("slots"),
         )
@@ -140,7 +147,9 @@ def _per_document(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
         F.max("coverage").alias("coverage"),
     )
     return checkpointed(
-        found.select(F.col("doc_id").alias("c_doc_id"), F.col("text_hash").alias("c_hash"), "items", "n_items", "coverage")
+        found.withColumnsRenamed({"doc_id": "c_doc_id", "text_hash": "c_hash"}).select(
+            "c_doc_id", "c_hash", "items", "n_items", "coverage"
+        )
     )
 
 

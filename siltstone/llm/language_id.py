@@ -174,10 +174,9 @@ def fit(samples: dict[str, list[str]], pieces: Pieces) -> tuple[list[str], np.nd
 def sample_of(docs: DataFrame) -> dict[str, tuple[int, list[str]]]:
     """Per language, the number of labelled texts and a bounded sample of them, chosen by hash."""
     learn = docs.filter(~held_out(F.col("doc_id")) & F.col("lang").isNotNull() & F.col("text").isNotNull())
-    counts = {
-        r["lang"]: r["n"]
-        for r in learn.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(MAX_LANGUAGES).collect()
-    }
+    per_language = learn.groupBy("lang").agg(F.count("*").alias("n"))
+    largest = per_language.orderBy(F.desc("n"), "lang").limit(MAX_LANGUAGES)
+    counts = {r["lang"]: r["n"] for r in largest.collect()}
     if not counts:
         return {}
     share = F.lit(0.0)
@@ -234,14 +233,14 @@ def identify(docs: DataFrame, vocabulary: str = VOCABULARY) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            names, scores = predict(batch["text"])
-            known = batch["text"].is_valid().to_pylist()
+            predicted = zip(*predict(batch["text"]), batch["text"].is_valid().to_pylist(), strict=True)
+            judged = [(name, score) if known else (UNKNOWN, 0.0) for name, score, known in predicted]
             yield pa.RecordBatch.from_pydict(
                 {
                     "doc_id": batch["doc_id"],
                     "held_out": batch["held_out"],
-                    "lang_pred": pa.array([n if k else UNKNOWN for n, k in zip(names, known, strict=True)], pa.string()),
-                    "score": pa.array([s if k else 0.0 for s, k in zip(scores, known, strict=True)], pa.float64()),
+                    "lang_pred": pa.array([name for name, _ in judged], pa.string()),
+                    "score": pa.array([score for _, score in judged], pa.float64()),
                 }
             )
 

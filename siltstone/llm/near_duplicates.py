@@ -200,10 +200,10 @@ def _look(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield rows(np.minimum(a, b), np.maximum(a, b), agree, small, none, none)
         again = np.flatnonzero(np.repeat((ends - starts > REGION) | edge, ends - starts))
         if len(again):
-            none = pa.nulls(len(again), pa.int64())
+            n = len(again)
             region = [place[k, :_ROOT].tobytes() for k in again]
             sketch = [bits[k].tobytes() for k in again]
-            yield rows(cid[again], none, pa.nulls(len(again), pa.int32()), pa.nulls(len(again), pa.bool_()), region, sketch)
+            yield rows(cid[again], pa.nulls(n, pa.int64()), pa.nulls(n, pa.int32()), pa.nulls(n, pa.bool_()), region, sketch)
 
     held, first = None, True
     for batch in batches:
@@ -297,9 +297,10 @@ class _Links:
     def join(self, found: DataFrame) -> None:
         """Merges the components of confirmed links (a, b)."""
         if has_rows(found):
-            # Components so far stand as links from each node to its root.
-            so_far = found if self.of is None else found.union(self.of.select(F.col("node").alias("a"), F.col("component").alias("b")))
-            self.of = _set_down(components(so_far))
+            if self.of is not None:
+                # Components so far stand as links from each node to its root.
+                found = found.union(self.of.select("node", "component"))
+            self.of = _set_down(components(found))
 
 
 def _settle_pairs(links: _Links, pairs: DataFrame) -> None:
@@ -388,11 +389,17 @@ def _settle_regions(links: _Links, rows: DataFrame) -> None:
     dealt = placed.join(several, "region").withColumn("block", F.pmod(F.xxhash64("cid"), "blocks").cast("int"))
     # Blocks meet in both orders of their numbers once: the lower one is the own one.
     met = dealt.join(links.bodies, "cid").withColumn("mate", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    own = met.filter("block <= mate").select("region", "block", "mate", "cid", "component", "sketch", "body", F.lit(True).alias("own"))
-    other = met.filter("block > mate").select(
-        "region", F.col("mate").alias("block"), F.col("block").alias("mate"), "cid", "component", "sketch", "body", F.lit(False).alias("own")
+    met = met.select(
+        "region",
+        F.least("block", "mate").alias("low"),
+        F.greatest("block", "mate").alias("high"),
+        (F.col("block") <= F.col("mate")).alias("own"),
+        "cid",
+        "component",
+        "sketch",
+        "body",
     )
-    links.join(checkpointed(own.union(other).groupBy("region", "block", "mate").applyInArrow(_compare_blocks, "a long, b long")))
+    links.join(checkpointed(met.groupBy("region", "low", "high").applyInArrow(_compare_blocks, "a long, b long")))
 
 
 def _classed(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -420,11 +427,9 @@ def _classed(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     found = looked.filter("region is null")
     pairs = _set_down(found.groupBy("a", "b").agg(F.max("agree").alias("agree"), F.max("small").alias("small")))
     regions = looked.filter("region is not null").select("region", F.col("a").alias("cid"), "sketch").distinct()
-    wanted = (
-        looked.select(F.explode(F.array("a", F.coalesce("b", "a"))).alias("cid")).distinct()
-        .join(classes.select("cid", F.col("one.doc_id").alias("one_id"), F.col("one.text_hash").alias("one_hash")), "cid")
-    )
-    wanted = checkpointed(wanted)
+    seen = looked.select(F.explode(F.array("a", F.coalesce("b", "a"))).alias("cid")).distinct()
+    texts_of = classes.select("cid", F.col("one.doc_id").alias("one_id"), F.col("one.text_hash").alias("one_hash"))
+    wanted = checkpointed(seen.join(texts_of, "cid"))
     same = F.col("doc_id").eqNullSafe(F.col("one_id")) & (F.col("text_hash") == F.col("one_hash"))
     texts = keyed.join(F.broadcast(wanted) if fits_broadcast(wanted) else wanted, same).select("cid", "text")
     bodies = checkpointed(texts.mapInArrow(_packed, "cid long, body binary").dropDuplicates(["cid"]))
@@ -462,15 +467,13 @@ def keep_one(docs: DataFrame) -> DataFrame:
     """The documents without near-duplicates: of each component the one with the smallest id."""
     grouped = group(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")).filter("n_shingles > 0")
     keys = checkpointed(grouped.groupBy("component", "doc_id", "text_hash").agg(F.count("*").alias("copies")))
-    first = keys.groupBy("component").agg(
-        F.min_by(F.struct("doc_id", "text_hash"), F.struct(F.col("doc_id").isNull(), "doc_id", "text_hash")).alias("one")
-    )
+    order = F.struct(F.col("doc_id").isNull(), "doc_id", "text_hash")
+    first = keys.groupBy("component").agg(F.min_by(F.struct("doc_id", "text_hash"), order).alias("one"))
     chosen = keys.join(first, "component").withColumn(
         "chosen", F.col("doc_id").eqNullSafe(F.col("one.doc_id")) & (F.col("text_hash") == F.col("one.text_hash"))
     )
-    listed = checkpointed(
-        chosen.filter("not chosen or copies > 1").select(F.col("doc_id").alias("l_id"), F.col("text_hash").alias("l_hash"), "chosen")
-    )
+    listed = chosen.filter("not chosen or copies > 1").withColumnsRenamed({"doc_id": "l_id", "text_hash": "l_hash"})
+    listed = checkpointed(listed.select("l_id", "l_hash", "chosen"))
     rows = docs.select(
         F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"),
         F.col("doc_id").cast("long").alias("key_id"),

@@ -45,9 +45,9 @@ def usable(vectors: DataFrame) -> DataFrame:
     """(vec_id, embedding) of the rows that take part."""
     v = F.col("embedding")
     bad = F.exists(v, lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf")))
-    rows = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), v.cast("array<double>").alias("embedding")).filter(
-        F.col("vec_id").isNotNull() & v.isNotNull() & ~bad & F.exists(v, lambda x: x != 0)
-    )
+    rows = vectors.select(
+        F.col("vec_id").cast("long").alias("vec_id"), v.cast("array<double>").alias("embedding")
+    ).filter(F.col("vec_id").isNotNull() & v.isNotNull() & ~bad & F.exists(v, lambda x: x != 0))
     once = rows.groupBy("vec_id").agg(F.min("embedding").alias("embedding"))
     sizes = once.groupBy(F.size("embedding").alias("d")).agg(F.count("*").alias("n"))
     common = sizes.orderBy(F.desc("n"), F.desc("d")).first()
@@ -245,9 +245,13 @@ def search(vectors: DataFrame, is_query, k: int = 20) -> DataFrame:
         F.explode(routed(probed)("embedding")).alias("part"),
     )
     block_rows = max(64, BLOCK_FLOATS // d)
-    # At most one row per part: two numbers each.
-    blocks = {r["part"]: -(-r["n"] // block_rows) for r in placed.groupBy("part").agg(F.count("*").alias("n")).collect()}
-    chunks = {r["part"]: -(-r["n"] // QUERY_ROWS) for r in asked.groupBy("part").agg(F.count("*").alias("n")).collect()}
+
+    def pieces(df: DataFrame, size: int) -> dict[int, int]:
+        # At most one row per part: two numbers each.
+        counts = df.groupBy("part").agg(F.count("*").alias("n")).collect()
+        return {r["part"]: -(-r["n"] // size) for r in counts}
+
+    blocks, chunks = pieces(placed, block_rows), pieces(asked, QUERY_ROWS)
 
     def of(counts: dict[int, int]):
         return F.element_at(F.array(*[F.lit(counts.get(p, 0)) for p in range(parts)]), F.col("part") + 1)

@@ -120,7 +120,8 @@ def _edits(text: str) -> list[tuple[int, int, str]]:
     if not text.isascii():
         found += [(m.start(), m.end(), _GLYPHS[m.group()]) for m in _GLYPH.finditer(text)]
     if _LOOKS.search(low):
-        found += [(m.start(), m.end(), "@" if m.group(1).lower() == "at" else ".") for m in _SIGN.finditer(text) if m.group(1)]
+        signs = [m for m in _SIGN.finditer(text) if m.group(1)]
+        found += [(m.start(), m.end(), "@" if m.group(1).lower() == "at" else ".") for m in signs]
     if " dot " in low or _DOT.search(low):
         # Bare words count only in a whole "name at host dot tld", else every "at" would.
         for chain in _CHAIN.finditer(text):

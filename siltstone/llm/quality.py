@@ -249,7 +249,7 @@ def score(docs: DataFrame, labels: DataFrame, host: Column, path: Column) -> Dat
     if fits_broadcast(sites):
         renamed = F.broadcast(sites.withColumnsRenamed({"host": "h", "path": "p"}))
         return _judged(rows.join(renamed, _same()))
-    key = F.xxhash64(F.coalesce(F.concat(F.lit("="), "host"), F.lit("")), F.coalesce(F.concat(F.lit("="), "path"), F.lit("")))
+    key = F.xxhash64(*[F.coalesce(F.concat(F.lit("="), c), F.lit("")) for c in ("host", "path")])
     # Each site's row is dealt over the salts, so that a site with a third of all rows is no one task's.
     dealt = sites.select(
         F.col("host").alias("h"),

@@ -7,7 +7,18 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
-from siltstone.llm import decontaminate, language_id, mixing, near_duplicates, neighbours, personal_data, quality, repeats, secret_scan, url_filter
+from siltstone.llm import (
+    decontaminate,
+    language_id,
+    mixing,
+    near_duplicates,
+    neighbours,
+    personal_data,
+    quality,
+    repeats,
+    secret_scan,
+    url_filter,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -135,11 +146,13 @@ sums AS (SELECT source, sum(size)::BIGINT AS source_size,
     row_number() OVER (ORDER BY source NULLS LAST) - 1 AS place FROM sized GROUP BY source),
 weighed AS (SELECT *, place % 3 + 1 AS weight, 3 * source_size AS cap FROM sums),
 stepped AS (SELECT *,
-    (SELECT sum(source_size) FROM weighed) - coalesce(sum(cap) OVER before, 0) AS share, sum(weight) OVER rest AS weights
+    (SELECT sum(source_size) FROM weighed) - coalesce(sum(cap) OVER before, 0) AS share,
+    sum(weight) OVER rest AS weights
   FROM weighed WINDOW
     before AS (ORDER BY 6 * cap // weight, place ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING),
     rest AS (ORDER BY 6 * cap // weight, place ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING)),
-open AS (SELECT share, weights FROM stepped WHERE cap * weights > weight * share ORDER BY 6 * cap // weight, place LIMIT 1),
+open AS (SELECT share, weights FROM stepped WHERE cap * weights > weight * share
+  ORDER BY 6 * cap // weight, place LIMIT 1),
 plan AS (SELECT source, source_size, CASE WHEN share IS NULL OR cap * weights <= weight * share THEN cap::DOUBLE
     ELSE (weight * share)::DOUBLE / weights::DOUBLE END AS target
   FROM weighed LEFT JOIN open ON true),

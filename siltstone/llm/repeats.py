@@ -113,7 +113,8 @@ def units(data: np.ndarray, offsets: np.ndarray) -> Iterator[tuple[np.ndarray, .
 def _pack(*columns: np.ndarray) -> bytes:
     """Columns of equal length, compressed; ids sorted beforehand shrink to their steps."""
     head = np.array([len(columns[0])], dtype=np.int64).tobytes()
-    return zstandard.ZstdCompressor(level=1).compress(head + b"".join(np.ascontiguousarray(c).tobytes() for c in columns))
+    body = b"".join(np.ascontiguousarray(c).tobytes() for c in columns)
+    return zstandard.ZstdCompressor(level=1).compress(head + body)
 
 
 def _unpack(payload: bytes, *kinds: str) -> list[np.ndarray]:
@@ -321,9 +322,7 @@ def _sort_runs(parts: int, splitters: list[bytes]):
             raw = data[int(low[0]) if len(low) else 0 : (int(high[-1]) + SPAN) if len(high) else 0].tobytes()
             shift = int(low[0]) if len(low) else 0
             kept = np.flatnonzero(keep)
-            for r, b, p, s, e in zip(
-                rid[kept].tolist(), base[kept].tolist(), at[kept].tolist(), low[kept].tolist(), high[kept].tolist(), strict=True
-            ):
+            for r, b, p, s, e in zip(*[c[kept].tolist() for c in (rid, base, at, low, high)], strict=True):
                 unit = (raw[p - shift : e + SPAN - shift], raw[s - shift : p - shift])
                 place = (r, p - b)
                 known = first.get(unit)
@@ -452,10 +451,12 @@ def _later_windows(group: list[Entry], common: list[int]) -> list[tuple[int, int
                     rid, at = max(pa_, pb_)
                     spans.append((rid, at - high, at - low + SPAN))
         return spans
-    return [s for _, s in _windows_by_content(group)[1]]
+    return _windows_by_content(group)[1]
 
 
-def _windows_by_content(group: list[Entry]) -> tuple[list[tuple[bytes, int, int]], list[tuple[int, tuple[int, int, int]]]]:
+def _windows_by_content(
+    group: list[Entry],
+) -> tuple[list[tuple[bytes, int, int]], list[tuple[int, int, int]]]:
     """The first (content, rid, start) of each window content, and the spans of all others."""
     firsts, later = [], []
     widest = max(len(e[1]) for e in group)
@@ -471,10 +472,10 @@ def _windows_by_content(group: list[Entry]) -> tuple[list[tuple[bytes, int, int]
             if known is None:
                 seen[content] = place
             elif known < place:
-                later.append((o, (rid, at - o, at - o + SPAN)))
+                later.append((rid, at - o, at - o + SPAN))
             elif place < known:
                 seen[content] = place
-                later.append((o, (known[0], known[1], known[1] + SPAN)))
+                later.append((known[0], known[1], known[1] + SPAN))
         firsts += [(content, *place) for content, place in seen.items()]
     return firsts, later
 
@@ -518,13 +519,14 @@ def _merge_range(parts: int, buckets: int, splitters: list[bytes]):
                 if cut:
                     firsts, later = _windows_by_content(once)
                     crossing += firsts
-                    spans += [s for _, s in later]
+                    spans += later
                 elif len(once) > 1:
                     spans += _later_windows(once, kept)
             start = end
         keys, packed = _span_rows(spans, parts)
         if crossing:
-            digests = np.frombuffer(b"".join(hashlib.blake2b(c, digest_size=16).digest() for c, _, _ in crossing), np.uint64).reshape(-1, 2)
+            digest = b"".join(hashlib.blake2b(c, digest_size=16).digest() for c, _, _ in crossing)
+            digests = np.frombuffer(digest, np.uint64).reshape(-1, 2)
             rid = np.array([r for _, r, _ in crossing], np.int64)
             at = np.array([s for _, _, s in crossing], np.uint32)
             bucket = (digests[:, 0] % np.uint64(buckets)).astype(np.int64)
@@ -655,10 +657,12 @@ def _numbered(docs: DataFrame) -> tuple[DataFrame, int]:
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     hashed = F.xxhash64("text")
     ids = rows.groupBy("doc_id").agg(
-        (F.min(hashed) != F.max(hashed)).alias("several"), F.sum(F.octet_length(F.coalesce("text", F.lit("")))).alias("bytes")
+        (F.min(hashed) != F.max(hashed)).alias("several"),
+        F.sum(F.octet_length(F.coalesce("text", F.lit("")))).alias("bytes"),
     )
+    unfit = F.col("several") | F.col("doc_id").isNull() | (F.col("doc_id") < 0)
     row = ids.agg(
-        F.coalesce(F.max(F.col("several") | F.col("doc_id").isNull() | (F.col("doc_id") < 0)), F.lit(False)).alias("mixed"),
+        F.coalesce(F.max(unfit), F.lit(False)).alias("mixed"),
         F.coalesce(F.sum("bytes"), F.lit(0)).alias("bytes"),
     ).first()
     if not row["mixed"]:
@@ -686,8 +690,8 @@ def _splitters(docs: DataFrame, ranges: int) -> list[bytes]:
     if not rows.num_rows or ranges < 2:
         return []
     data, offsets = flat(rows["text"])
-    suffixes = [data[p : e + SPAN].tobytes() for _, _, at, _, high in units(data, offsets) for p, e in zip(at, high, strict=True)]
-    suffixes = sorted(set(suffixes))
+    found = [(p, e) for _, _, at, _, high in units(data, offsets) for p, e in zip(at, high, strict=True)]
+    suffixes = sorted({data[p : e + SPAN].tobytes() for p, e in found})
     picks = np.linspace(0, len(suffixes), ranges + 1)[1:-1].astype(int)
     return sorted({suffixes[k] for k in picks})
 
@@ -716,5 +720,9 @@ def find_repeats(docs: DataFrame) -> DataFrame:
 def report(docs: DataFrame) -> DataFrame:
     """(doc_id, n_bytes, n_removed, n_spans, kept_sha256) per document."""
     return find_repeats(docs).select(
-        "doc_id", "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256")
+        "doc_id",
+        "n_bytes",
+        "n_removed",
+        F.size("spans").cast("long").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
     )

@@ -176,9 +176,8 @@ def judge(pages: DataFrame, vocabulary: str = VOCABULARY, rules=RULES) -> DataFr
     def scored(hosts: pa.Array, paths: pa.Array) -> pa.Array:
         seen: dict[str, list[str]] = {}
         pairs = zip(hosts.to_pylist(), paths.to_pylist(), strict=True)
-        return pa.array(
-            [math.fsum(weights.get(w, 0.0) for w in (_URL, *url_words(h, p, costs, seen))) for h, p in pairs], pa.float64()
-        )
+        words = ((_URL, *url_words(h, p, costs, seen)) for h, p in pairs)
+        return pa.array([math.fsum(weights.get(w, 0.0) for w in some) for some in words], pa.float64())
 
     ruled = urls.withColumn("ruled", rule_of(F.col("host"), F.col("path"), rules)).withColumn(
         "score", scored("host", "path")
