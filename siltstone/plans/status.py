@@ -28,5 +28,6 @@ class LayerStatus:
 
 def status_frame(spark: SparkSession, outcomes: Sequence[LayerStatus]) -> DataFrame:
     return spark.createDataFrame(
-        [astuple(o) for o in outcomes], "layer string, status string, n_rows bigint, n_leaves bigint, bad_numbers bigint"
+        [astuple(o) for o in outcomes],
+        "layer string, status string, n_rows bigint, n_leaves bigint, bad_numbers bigint",
     )
