@@ -203,7 +203,8 @@ def _look(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             n = len(again)
             region = [place[k, :_ROOT].tobytes() for k in again]
             sketch = [bits[k].tobytes() for k in again]
-            yield rows(cid[again], pa.nulls(n, pa.int64()), pa.nulls(n, pa.int32()), pa.nulls(n, pa.bool_()), region, sketch)
+            b, agree, small = (pa.nulls(n, kind) for kind in (pa.int64(), pa.int32(), pa.bool_()))
+            yield rows(cid[again], b, agree, small, region, sketch)
 
     held, first = None, True
     for batch in batches:
