@@ -6,10 +6,12 @@ the benchmark, so a question asked again with other numbers or names still match
 document and an item are lined up by their distance; a line-up counts only if its slots are
 consistent: every value of the item stands for one value in the document. A document is contaminated
 by an item if the consistent windows make up ``COVERAGE`` of the item's, or ``RUN`` of them lie on
-one line (13 words).
+one line (13 words). Windows whose plain lower-cased words agree are counted apart, out of all windows
+of the item, whatever their slots: ``COVERAGE`` of them, or ``RUN`` in a row on a line, count even if the
+slots of the line-up are not consistent.
 
 A name is a capitalised word after a lower-case letter, digit or comma and a blank. Windows with more
-than ``MAX_SLOTS`` slots are too general and not searched; items with fewer than ``WINDOW`` words have
+than ``MAX_SLOTS`` slots are too general for their template and searched by their plain words alone; items with fewer than ``WINDOW`` words have
 no window. The benchmark's windows are broadcast if their measured size allows, else the join
 shuffles. Null texts count as empty, null ids are kept, equal rows get equal verdicts, rows with one
 id but other texts are judged apart, extra columns pass through ``remove``; an empty table on either
@@ -18,6 +20,7 @@ side gives no contamination.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -75,44 +78,128 @@ def windows(rows: DataFrame, keys: list[str]) -> DataFrame:
     )
 
 
+def plain(word: Column) -> Column:
+    """The word without its mark."""
+    return F.when(F.substring(word, 1, 1).isin(NUMBER, NAME, UNIT), F.substring(word, 2, 1 << 30)).otherwise(word)
+
+
 def _window() -> Column:
     return F.array(*[f"w{k}" for k in range(WINDOW)])
 
 
-def _hash() -> Column:
-    return F.xxhash64(*[template(F.col(f"w{k}")) for k in range(WINDOW)])
+def _hash(form: Callable[[Column], Column]) -> Column:
+    return F.xxhash64(*[form(F.col(f"w{k}")) for k in range(WINDOW)])
 
 
 def benchmark_windows(benchmark: DataFrame) -> DataFrame:
-    """(item_id, at, template, item_words, n) of the windows searched for; n of them per item."""
+    """(item_id, at, template, exact, few, item_words, n, n_all) of all windows: whether one has few
+    enough slots for its template to be searched, how many of the item's have, and how many there are.
+    """
     slots = sum((_is_slot(F.col(f"w{k}")).cast("int") for k in range(WINDOW)), F.lit(0))
-    rows = windows(benchmark.select("item_id", "text").distinct(), ["item_id"]).filter(slots <= MAX_SLOTS)
+    rows = windows(benchmark.select("item_id", "text").distinct(), ["item_id"])
     rows = checkpointed(
-        rows.select("item_id", "at", _hash().alias("template"), _window().alias("item_words"))
+        rows.select(
+            "item_id",
+            "at",
+            _hash(template).alias("template"),
+            _hash(plain).alias("exact"),
+            (slots <= MAX_SLOTS).alias("few"),
+            _window().alias("item_words"),
+        )
+    )
+    sizes = rows.groupBy("item_id").agg(
+        F.countDistinct(F.when(F.col("few"), F.col("at"))).alias("n"), F.countDistinct("at").alias("n_all")
     )
-    sizes = rows.groupBy("item_id").agg(F.countDistinct("at").alias("n"))
     sizes = sizes.withColumnRenamed("item_id", "i")
     return checkpointed(rows.join(sizes, F.col("item_id").eqNullSafe(F.col("i"))).drop("i"))
 
 
+PAIR = ["doc_id", "text_hash", "item_id"]
+
+
+def _joined(left: DataFrame, right: DataFrame, keys: list[str], how: str) -> DataFrame:
+    """Joined on keys that may be null; the right side's keys go."""
+    other = right.withColumnsRenamed({c: f"r_{c}" for c in keys})
+    same = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"r_{c}")) for c in keys])
+    return left.join(other, same, how).drop(*[f"r_{c}" for c in keys])
+
+
+def _by_template(found: DataFrame) -> DataFrame:
+    """(doc_id, text_hash, item_id, coverage, run) by windows with equal templates, slots consistent."""
+    line = [*PAIR, "line"]
+    values = (
+        found.select(*line, F.explode("slots").alias("slot"))
+        .groupBy(*line, F.col("slot.item").alias("item"))
+        .agg((F.min("slot.doc") != F.max("slot.doc")).alias("twofold"))
+    )
+    broken = values.filter("twofold").select(*line).distinct()
+    kept = _joined(found.drop("slots"), broken, line, "left_anti")
+    lines = kept.groupBy(*line).agg(F.countDistinct("item_at").alias("run"))
+    longest = lines.groupBy(*PAIR).agg(F.max("run").alias("run"))
+    covered = kept.groupBy(*PAIR).agg((F.countDistinct("item_at") / F.first("n")).alias("coverage"))
+    both = _joined(covered, longest, PAIR, "inner")
+    return both.filter((F.col("coverage") >= COVERAGE) | (F.col("run") >= RUN)).select(*PAIR, "coverage", "run")
+
+
+def _longest_run(places: Column) -> Column:
+    """The most places in a row, of sorted places."""
+    start = F.struct(F.lit(-2).alias("last"), F.lit(0).alias("run"), F.lit(0).alias("best"))
+
+    def step(state: Column, at: Column) -> Column:
+        run = F.when(at == state["last"] + 1, state["run"] + 1).otherwise(F.lit(1))
+        return F.struct(at.alias("last"), run.alias("run"), F.greatest(state["best"], run).alias("best"))
+
+    return F.aggregate(places, start, step, lambda state: state["best"])
+
+
+def _by_words(found: DataFrame) -> DataFrame:
+    """(doc_id, text_hash, item_id, coverage, run) by windows with equal plain words."""
+    lines = found.groupBy(*PAIR, "line").agg(
+        F.sort_array(F.collect_set("item_at")).alias("places"), F.first("n_all").alias("n_all")
+    )
+    pairs = lines.groupBy(*PAIR).agg(
+        (F.size(F.array_distinct(F.flatten(F.collect_list("places")))) / F.first("n_all")).alias("coverage"),
+        F.max(_longest_run(F.col("places"))).cast("long").alias("run"),
+    )
+    return pairs.filter((F.col("coverage") >= COVERAGE) | (F.col("run") >= RUN))
+
+
 def matches(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """(doc_id, text_hash, item_id, coverage, run) of every contaminating item of a document."""
+    """(doc_id, text_hash, item_id, coverage, run) of every contaminating item of a document.
+
+    Coverage and run are those of the templates where these suffice, else those of the plain words.
+    """
     items = benchmark_windows(benchmark)
     keyed = docs.select("doc_id", F.xxhash64("text").alias("text_hash"), "text")
-    sought = items.withColumnRenamed("at", "item_at")
+    # A window without slots has one hash in both forms, so it is sought once.
+    keys = F.array_distinct(F.array(F.when(F.col("few"), F.col("template")).otherwise(F.col("exact")), F.col("exact")))
+    sought = items.select(
+        "item_id",
+        "n",
+        "n_all",
+        "item_words",
+        "few",
+        F.col("at").alias("item_at"),
+        F.col("template").alias("item_template"),
+        F.col("exact").alias("item_exact"),
+        F.explode(keys).alias("key"),
+    )
     if fits_broadcast(items):
         sought = F.broadcast(sought)
+    by_template = F.col("few") & (F.col("template") == F.col("item_template"))
     found = (
         windows(keyed, ["doc_id", "text_hash"])
-        .withColumn("template", _hash())
-        .join(sought, "template")
+        .withColumns({"template": _hash(template), "exact": _hash(plain)})
+        .withColumn("key", F.explode(F.array_distinct(F.array("template", "exact"))))
+        .join(sought, "key")
         .select(
-            "doc_id",
-            "text_hash",
-            "item_id",
+            *PAIR,
             "n",
+            "n_all",
             "item_at",
             (F.col("at") - F.col("item_at")).alias("line"),
+            by_template.alias("by_template"),
+            (F.col("exact") == F.col("item_exact")).alias("by_words"),
             F.filter(
                 F.arrays_zip(F.col("item_words").alias("item"), _window().alias("doc")),
                 lambda pair: _is_slot(pair["item"]),
@@ -120,24 +207,11 @@ def matches(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
         )
     )
     found = checkpointed(found)
-    line = ["doc_id", "text_hash", "item_id", "line"]
-    values = (
-        found.select(*line, F.explode("slots").alias("slot"))
-        .groupBy(*line, F.col("slot.item").alias("item"))
-        .agg((F.min("slot.doc") != F.max("slot.doc")).alias("twofold"))
-    )
-    broken = values.filter("twofold").select(*[F.col(c).alias(f"b_{c}") for c in line]).distinct()
-    same = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"b_{c}")) for c in line])
-    kept = found.drop("slots").join(broken, same, "left_anti")
-    lines = kept.groupBy(*line).agg(F.countDistinct("item_at").alias("run"))
-    longest = lines.groupBy("doc_id", "text_hash", "item_id").agg(F.max("run").alias("run"))
-    covered = kept.groupBy("doc_id", "text_hash", "item_id").agg(
-        (F.countDistinct("item_at") / F.first("n")).alias("coverage")
-    )
-    pair = ["doc_id", "text_hash", "item_id"]
-    right = longest.select(*[F.col(c).alias(f"l_{c}") for c in pair], "run")
-    both = covered.join(right, reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"l_{c}")) for c in pair]))
-    return both.filter((F.col("coverage") >= COVERAGE) | (F.col("run") >= RUN)).select(*pair, "coverage", "run")
+    first = _by_template(found.filter("by_template"))
+    second = _by_words(found.filter("by_words"))
+    ranked = first.withColumn("rank", F.lit(0)).unionByName(second.withColumn("rank", F.lit(1)))
+    best = ranked.groupBy(*PAIR).agg(F.min_by(F.struct("coverage", "run"), "rank").alias("best"))
+    return best.select(*PAIR, "best.coverage", "best.run")
 
 
 def _per_document(docs: DataFrame, benchmark: DataFrame) -> DataFrame:

@@ -61,3 +61,12 @@ def test_sql_agrees_on_templates(spark, texts):
     rows = judged(spark, texts)
     got = {k: (r["n_items"], r["items"], r["coverage"], True) for k, r in rows.items() if r["contaminated"]}
     assert got == want
+
+
+def test_exact_words_count_despite_one_inconsistent_slot(spark):
+    tail = " and then all of them sat down by the river to eat bread and cheese until the sun went down"
+    item = ITEM + tail
+    docs = [item.replace("travels 120", "travels 75"), item.lower(), item.replace(" Anna", "\nAnna"), BROKEN]
+    rows = judged(spark, docs, [item])
+    assert [rows[k]["contaminated"] for k in range(4)] == [True, True, True, False]
+    assert rows[0]["coverage"] > 0.8
