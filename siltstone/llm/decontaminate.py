@@ -11,8 +11,11 @@ of the item, whatever their slots: ``COVERAGE`` of them, or ``RUN`` in a row on
 slots of the line-up are not consistent.
 
 A name is a capitalised word after a lower-case letter, digit or comma and a blank. Windows with more
-than ``MAX_SLOTS`` slots are too general for their template and searched by their plain words alone; items with fewer than ``WINDOW`` words have
-no window. The benchmark's windows are broadcast if their measured size allows, else the join
+than ``MAX_SLOTS`` slots are too general for their template and searched by their plain words. Items
+all of whose windows are such are searched whole by their template too, if any word is no slot, and
+their slots must be consistent. Items with fewer than ``WINDOW`` words are one whole window of plain
+words; of one or two words they must be all the words of the document, as they stand in many texts.
+The benchmark's windows are broadcast if their measured size allows, else the join
 shuffles. Null texts count as empty, null ids are kept, equal rows get equal verdicts, rows with one
 id but other texts are judged apart, extra columns pass through ``remove``; an empty table on either
 side gives no contamination.
@@ -164,12 +167,62 @@ def _by_words(found: DataFrame) -> DataFrame:
     return pairs.filter((F.col("coverage") >= COVERAGE) | (F.col("run") >= RUN))
 
 
+def whole_items(benchmark: DataFrame) -> DataFrame:
+    """(item_id, item_words, size, key) of the items without a window whose template is searched."""
+    rows = benchmark.select("item_id", words(F.col("text")).alias("item_words")).distinct()
+    rows = rows.withColumn("size", F.size("item_words")).filter("size > 0")
+    slots = F.transform("item_words", lambda w: _is_slot(w).cast("int"))
+    counts = F.transform(
+        F.sequence(F.lit(1), F.greatest(F.col("size") - (WINDOW - 1), F.lit(1))),
+        lambda at: F.aggregate(F.slice(slots, at, F.lit(WINDOW)), F.lit(0), lambda a, b: a + b),
+    )
+    short = F.col("size") < WINDOW
+    dense = ~F.exists(counts, lambda n: n <= MAX_SLOTS) & F.exists("item_words", lambda w: ~_is_slot(w))
+    key = F.when(short, _whole_key(F.col("item_words"), plain)).otherwise(_whole_key(F.col("item_words"), template))
+    return checkpointed(rows.filter(short | dense).withColumn("key", key))
+
+
+def _whole_key(listed: Column, form: Callable[[Column], Column]) -> Column:
+    return F.xxhash64(F.transform(listed, form))
+
+
+def _by_whole(docs: DataFrame, items: DataFrame) -> DataFrame | None:
+    """(doc_id, text_hash, item_id, coverage, run) of the items found in one piece; None without items."""
+    sizes = sorted(r["size"] for r in items.select("size").distinct().collect())
+    if not sizes:
+        return None
+    listed = docs.select("doc_id", F.xxhash64("text").alias("text_hash"), words(F.col("text")).alias("words"))
+    found = []
+    for size in sizes:
+        form = plain if size < WINDOW else template
+        sought = items.filter(F.col("size") == size).drop("size")
+        enough = F.size("words") == size if size < 3 else F.size("words") >= size
+        length = F.lit(size)
+        starts = F.sequence(F.lit(1), F.size("words") - (size - 1))
+        pieces = F.transform(starts, lambda at: F.slice("words", at, length))  # noqa: B023
+        found.append(
+            listed.filter(enough)
+            .select("doc_id", "text_hash", F.explode(pieces).alias("piece"))
+            .withColumn("key", _whole_key(F.col("piece"), form))
+            .join(F.broadcast(sought) if fits_broadcast(sought) else sought, "key")
+            .select(*PAIR, F.arrays_zip(F.col("item_words").alias("item"), F.col("piece").alias("doc")).alias("pairs"))
+        )
+    rows = reduce(DataFrame.unionByName, found)
+    # Consistent: as many distinct pairs as distinct values of the item, among slots.
+    slots = F.filter("pairs", lambda pair: _is_slot(pair["item"]))
+    values = F.array_distinct(F.transform(slots, lambda pair: pair["item"]))
+    equal = F.forall("pairs", lambda pair: plain(pair["item"]) == plain(pair["doc"]))
+    kept = rows.filter(equal | (F.size(F.array_distinct(slots)) == F.size(values)))
+    return checkpointed(kept.select(*PAIR, F.lit(1.0).alias("coverage"), F.lit(1).cast("long").alias("run")).distinct())
+
+
 def matches(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """(doc_id, text_hash, item_id, coverage, run) of every contaminating item of a document.
 
     Coverage and run are those of the templates where these suffice, else those of the plain words.
     """
     items = benchmark_windows(benchmark)
+    whole = _by_whole(docs, whole_items(benchmark))
     keyed = docs.select("doc_id", F.xxhash64("text").alias("text_hash"), "text")
     # A window without slots has one hash in both forms, so it is sought once.
     keys = F.array_distinct(F.array(F.when(F.col("few"), F.col("template")).otherwise(F.col("exact")), F.col("exact")))
@@ -210,6 +263,8 @@ def matches(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     first = _by_template(found.filter("by_template"))
     second = _by_words(found.filter("by_words"))
     ranked = first.withColumn("rank", F.lit(0)).unionByName(second.withColumn("rank", F.lit(1)))
+    if whole is not None:
+        ranked = ranked.unionByName(whole.withColumn("rank", F.lit(2)))
     best = ranked.groupBy(*PAIR).agg(F.min_by(F.struct("coverage", "run"), "rank").alias("best"))
     return best.select(*PAIR, "best.coverage", "best.run")
 

@@ -70,3 +70,21 @@ def test_exact_words_count_despite_one_inconsistent_slot(spark):
     rows = judged(spark, docs, [item])
     assert [rows[k]["contaminated"] for k in range(4)] == [True, True, True, False]
     assert rows[0]["coverage"] > 0.8
+
+
+def test_items_of_many_slots_and_short_items_are_found(spark):
+    sums, trip, german = "What is 12 + 45 * 3 - 7?", "60 km in 2 hours", "wo Anna Haus Hof Baum Wald Feld Wiese sieht"
+    texts = [
+        f"some words before. {sums} and after",
+        "some words before. What is 8 + 31 * 2 - 9? and after",
+        f"they went {trip} at most",
+        german.upper() + " heute",
+        "And so: who wrote Hamlet? Nobody knows.",
+        "yes they can", "Yes.", "What is 8 + 31?", "what was 8 + 31 * 2 - 9",
+        "What is 12 + 45 * 12 - 7?",
+    ]
+    rows = judged(spark, texts, [sums, trip, german, "Who wrote Hamlet?", "yes"])
+    found = [rows[k]["items"] for k in range(len(texts))]
+    assert found == ["0", "0", "1", "2", "3", "", "4", "", "", "0"]
+    twice = judged(spark, ["What is 8 + 31 * 2 - 9?", "What is 8 + 31 * 8 - 9?"], ["What is 12 + 45 * 12 - 7?"])
+    assert [twice[k]["contaminated"] for k in range(2)] == [False, True]
