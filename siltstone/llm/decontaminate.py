@@ -8,7 +8,8 @@ consistent: every value of the item stands for one value in the document. A docu
 by an item if the consistent windows make up ``COVERAGE`` of the item's, or ``RUN`` of them lie on
 one line (13 words). Windows whose plain lower-cased words agree are counted apart, out of all windows
 of the item, whatever their slots: ``COVERAGE`` of them, or ``RUN`` in a row on a line, count even if the
-slots of the line-up are not consistent.
+slots of the line-up are not consistent. Templates in which every capitalised word is a name, those at
+a sentence's start and behind any white space too, are lined up in the same way as a third form.
 
 A name is a capitalised word after a lower-case letter, digit or comma and a blank. Windows with more
 than ``MAX_SLOTS`` slots are too general for their template and searched by their plain words. Items
@@ -46,19 +47,35 @@ NUMBER_WORDS = (
     "one two three four five six seven eight nine ten eleven twelve twenty thirty forty fifty hundred thousand"
 ).split()
 
+# Before a capitalised word that is a slot in wide templates alone.
+CAPITAL = "\ue003"
+_CAPITAL = r"(?<![\p{L}\p{Co}])(\p{Lu}\p{L}*)"
 _NAME = r"([\p{Ll}0-9,;] )(\p{Lu}\p{L}*)"
 _UNIT = rf"(?i)([0-9]) ?({'|'.join(UNITS)})\b"
 _NUMBER = r"([0-9]+([.,][0-9]+)*)"
 _WORD = rf"[{NUMBER}{NAME}{UNIT}]?([\p{{L}}]+|[0-9]+([.,][0-9]+)*)"
 
 
-def words(text: Column) -> Column:
-    """The words of a text, lower-cased, slots with their mark in front."""
+def _named(text: Column) -> Column:
     units = F.regexp_replace(F.coalesce(text, F.lit("")), _UNIT, f"$1 {UNIT}$2")
     # A second pass marks the names whose blank the first one used up.
-    named = reduce(lambda t, _: F.regexp_replace(t, _NAME, f"$1{NAME}$2"), range(2), units)
+    return reduce(lambda t, _: F.regexp_replace(t, _NAME, f"$1{NAME}$2"), range(2), units)
+
+
+def _words(named: Column, word: str) -> Column:
     marked = F.regexp_replace(F.lower(named), _NUMBER, f"{NUMBER}$1")
-    return F.regexp_extract_all(marked, F.lit(_WORD), F.lit(0))
+    return F.regexp_extract_all(marked, F.lit(word), F.lit(0))
+
+
+def words(text: Column) -> Column:
+    """The words of a text, lower-cased, slots with their mark in front."""
+    return _words(_named(text), _WORD)
+
+
+def marked_words(text: Column) -> Column:
+    """The same words, the other capitalised ones with the mark ``CAPITAL``."""
+    capitals = F.regexp_replace(_named(text), _CAPITAL, f"{CAPITAL}$1")
+    return _words(capitals, f"{CAPITAL}?{_WORD}")
 
 
 def template(word: Column) -> Column:
@@ -67,13 +84,28 @@ def template(word: Column) -> Column:
     return F.when(mark.isin(NUMBER, NAME, UNIT), mark).when(word.isin(NUMBER_WORDS), F.lit(NUMBER)).otherwise(word)
 
 
+def _narrow(word: Column) -> Column:
+    return F.when(F.substring(word, 1, 1) == CAPITAL, F.substring(word, 2, 1 << 30)).otherwise(word)
+
+
+def narrow(word: Column) -> Column:
+    """What a marked word counts as where only names inside a sentence are slots."""
+    return template(_narrow(word))
+
+
+def wide(word: Column) -> Column:
+    """What a marked word counts as where every capitalised word is a name."""
+    number = _narrow(word).isin(NUMBER_WORDS)
+    return F.when((F.substring(word, 1, 1) == CAPITAL) & ~number, F.lit(NAME)).otherwise(narrow(word))
+
+
 def _is_slot(word: Column) -> Column:
     return template(word).isin(NUMBER, NAME, UNIT)
 
 
 def windows(rows: DataFrame, keys: list[str]) -> DataFrame:
-    """``keys``, ``at`` and ``w0`` to ``w4``: every run of ``WINDOW`` words of ``text``."""
-    listed = rows.select(*keys, words(F.col("text")).alias("words"))
+    """``keys``, ``at`` and ``w0`` to ``w4``: every run of ``WINDOW`` marked words of ``text``."""
+    listed = rows.select(*keys, marked_words(F.col("text")).alias("words"))
     count = F.size("words") - (WINDOW - 1)
     shifted = [F.slice("words", F.lit(k + 1), F.greatest(count, F.lit(0))).alias(f"w{k}") for k in range(WINDOW)]
     return listed.select(*keys, F.posexplode(F.arrays_zip(*shifted)).alias("at", "w")).select(
@@ -83,7 +115,7 @@ def windows(rows: DataFrame, keys: list[str]) -> DataFrame:
 
 def plain(word: Column) -> Column:
     """The word without its mark."""
-    return F.when(F.substring(word, 1, 1).isin(NUMBER, NAME, UNIT), F.substring(word, 2, 1 << 30)).otherwise(word)
+    return F.when(F.substring(word, 1, 1).isin(NUMBER, NAME, UNIT, CAPITAL), F.substring(word, 2, 1 << 30)).otherwise(word)
 
 
 def _window() -> Column:
@@ -94,24 +126,35 @@ def _hash(form: Callable[[Column], Column]) -> Column:
     return F.xxhash64(*[form(F.col(f"w{k}")) for k in range(WINDOW)])
 
 
+def _few(form: Callable[[Column], Column]) -> Column:
+    slots = [form(F.col(f"w{k}")).isin(NUMBER, NAME, UNIT).cast("int") for k in range(WINDOW)]
+    return sum(slots, F.lit(0)) <= MAX_SLOTS
+
+
+# Name of a form of a window, and what a word counts as in it.
+FORMS = {"template": narrow, "wide": wide, "exact": plain}
+
+
 def benchmark_windows(benchmark: DataFrame) -> DataFrame:
-    """(item_id, at, template, exact, few, item_words, n, n_all) of all windows: whether one has few
-    enough slots for its template to be searched, how many of the item's have, and how many there are.
+    """(item_id, at, template, wide, exact, few, few_wide, item_words, n, n_wide, n_all) of all windows:
+    whether one has few enough slots for its template to be searched, how many of the item's have, and
+    how many there are.
     """
-    slots = sum((_is_slot(F.col(f"w{k}")).cast("int") for k in range(WINDOW)), F.lit(0))
     rows = windows(benchmark.select("item_id", "text").distinct(), ["item_id"])
     rows = checkpointed(
         rows.select(
             "item_id",
             "at",
-            _hash(template).alias("template"),
-            _hash(plain).alias("exact"),
-            (slots <= MAX_SLOTS).alias("few"),
+            *[_hash(form).alias(name) for name, form in FORMS.items()],
+            _few(narrow).alias("few"),
+            _few(wide).alias("few_wide"),
             _window().alias("item_words"),
         )
     )
     sizes = rows.groupBy("item_id").agg(
-        F.countDistinct(F.when(F.col("few"), F.col("at"))).alias("n"), F.countDistinct("at").alias("n_all")
+        F.countDistinct(F.when(F.col("few"), F.col("at"))).alias("n"),
+        F.countDistinct(F.when(F.col("few_wide"), F.col("at"))).alias("n_wide"),
+        F.countDistinct("at").alias("n_all"),
     )
     sizes = sizes.withColumnRenamed("item_id", "i")
     return checkpointed(rows.join(sizes, F.col("item_id").eqNullSafe(F.col("i"))).drop("i"))
@@ -219,52 +262,61 @@ def _by_whole(docs: DataFrame, items: DataFrame) -> DataFrame | None:
 def matches(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """(doc_id, text_hash, item_id, coverage, run) of every contaminating item of a document.
 
-    Coverage and run are those of the templates where these suffice, else those of the plain words.
+    Coverage and run are those of the templates where these suffice, else those of the plain words, of
+    the wide templates, of the whole item.
     """
     items = benchmark_windows(benchmark)
     whole = _by_whole(docs, whole_items(benchmark))
     keyed = docs.select("doc_id", F.xxhash64("text").alias("text_hash"), "text")
-    # A window without slots has one hash in both forms, so it is sought once.
-    keys = F.array_distinct(F.array(F.when(F.col("few"), F.col("template")).otherwise(F.col("exact")), F.col("exact")))
-    sought = items.select(
-        "item_id",
-        "n",
-        "n_all",
-        "item_words",
-        "few",
-        F.col("at").alias("item_at"),
-        F.col("template").alias("item_template"),
-        F.col("exact").alias("item_exact"),
-        F.explode(keys).alias("key"),
+    # A window without slots has one hash in all forms, so it is sought once.
+    keys = F.array_distinct(
+        F.array(
+            F.when(F.col("few"), F.col("template")).otherwise(F.col("exact")),
+            F.when(F.col("few_wide"), F.col("wide")).otherwise(F.col("exact")),
+            F.col("exact"),
+        )
+    )
+    sought = items.withColumn("key", F.explode(keys)).withColumnsRenamed(
+        {"at": "item_at"} | {name: f"item_{name}" for name in FORMS}
     )
     if fits_broadcast(items):
         sought = F.broadcast(sought)
-    by_template = F.col("few") & (F.col("template") == F.col("item_template"))
+    pairs = F.arrays_zip(F.col("item_words").alias("item"), _window().alias("doc"))
+
+    def slots(form: Callable[[Column], Column], value: Callable[[Column], Column]) -> Column:
+        kept = F.filter(pairs, lambda pair: form(pair["item"]).isin(NUMBER, NAME, UNIT))
+        return F.transform(kept, lambda pair: F.struct(value(pair["item"]).alias("item"), value(pair["doc"]).alias("doc")))
+
     found = (
         windows(keyed, ["doc_id", "text_hash"])
-        .withColumns({"template": _hash(template), "exact": _hash(plain)})
-        .withColumn("key", F.explode(F.array_distinct(F.array("template", "exact"))))
+        .withColumns({name: _hash(form) for name, form in FORMS.items()})
+        .withColumn("key", F.explode(F.array_distinct(F.array(*FORMS))))
         .join(sought, "key")
         .select(
             *PAIR,
             "n",
+            "n_wide",
             "n_all",
             "item_at",
             (F.col("at") - F.col("item_at")).alias("line"),
-            by_template.alias("by_template"),
+            (F.col("few") & (F.col("template") == F.col("item_template"))).alias("by_template"),
+            (F.col("few_wide") & (F.col("wide") == F.col("item_wide"))).alias("by_wide"),
             (F.col("exact") == F.col("item_exact")).alias("by_words"),
-            F.filter(
-                F.arrays_zip(F.col("item_words").alias("item"), _window().alias("doc")),
-                lambda pair: _is_slot(pair["item"]),
-            ).alias("slots"),
+            slots(narrow, _narrow).alias("slots"),
+            slots(wide, plain).alias("wide_slots"),
         )
     )
     found = checkpointed(found)
-    first = _by_template(found.filter("by_template"))
-    second = _by_words(found.filter("by_words"))
-    ranked = first.withColumn("rank", F.lit(0)).unionByName(second.withColumn("rank", F.lit(1)))
+    lined = [*PAIR, "item_at", "line"]
+    wider = found.filter("by_wide").select(*lined, F.col("n_wide").alias("n"), F.col("wide_slots").alias("slots"))
+    ways = [
+        _by_template(found.filter("by_template").select(*lined, "n", "slots")),
+        _by_words(found.filter("by_words")),
+        _by_template(wider),
+    ]
+    ranked = reduce(DataFrame.unionByName, [way.withColumn("rank", F.lit(k)) for k, way in enumerate(ways)])
     if whole is not None:
-        ranked = ranked.unionByName(whole.withColumn("rank", F.lit(2)))
+        ranked = ranked.unionByName(whole.withColumn("rank", F.lit(len(ways))))
     best = ranked.groupBy(*PAIR).agg(F.min_by(F.struct("coverage", "run"), "rank").alias("best"))
     return best.select(*PAIR, "best.coverage", "best.run")
 

@@ -88,3 +88,13 @@ def test_items_of_many_slots_and_short_items_are_found(spark):
     assert found == ["0", "0", "1", "2", "3", "", "4", "", "", "0"]
     twice = judged(spark, ["What is 8 + 31 * 2 - 9?", "What is 8 + 31 * 8 - 9?"], ["What is 12 + 45 * 12 - 7?"])
     assert [twice[k]["contaminated"] for k in range(2)] == [False, True]
+
+
+def test_names_at_a_sentence_start_are_slots(spark):
+    item = "Tom has 3 apples. Ann gives him 4 more. How many apples does Tom have?"
+    again = item.replace("Tom", "Bob").replace("Ann", "Sue").replace("3", "8")
+    docs = [again, "Text before. " + again.replace(" ", "\n")]
+    home = "Tom runs home to his mother. Then the cat sees the dog. Tom runs home to his father."
+    docs += [home.replace("Tom", "Bob"), home.replace("Tom", "Bob", 1).replace("Tom", "Kim")]
+    rows = judged(spark, docs, [item, home])
+    assert [rows[k]["items"] for k in range(4)] == ["0", "0", "1", ""]
