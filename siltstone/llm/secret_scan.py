@@ -1,10 +1,11 @@
 """Secret scan: fixed patterns, and strings that a primed compressor finds new.
 
 Patterns give the base spans. The method adds strings in a sensitive context (a word such as
-"secret" or "bearer" shortly before) that cannot be predicted: a zstandard compressor is primed with
+"secret" or "bearer" within ``CONTEXT`` characters of either end, or inside) that cannot be predicted: a zstandard compressor is primed with
 a dictionary of identifiers, and a candidate's novelty is what it adds to the compressed size of
 the text around it, per character. Names, paths and repeated strings add little; random keys add
-about their entropy.
+about their entropy. Every whole candidate is judged, and those that adjoin one in context, as the
+lines of a key block do, are in context too.
 
 The identifier dictionary is made by rule from a public vocabulary (its alphabetic pieces, most
 frequent last, up to ``DICTIONARY_BYTES``). Null text counts as empty; offsets are code points, end
@@ -17,7 +18,9 @@ from __future__ import annotations
 import hashlib
 import json
 import re
+from bisect import bisect_left, bisect_right
 from collections.abc import Iterator
+from itertools import pairwise
 
 import pyarrow as pa
 import zstandard
@@ -44,12 +47,16 @@ SENSITIVE = (
     "password passwd passphrase pwd secret token apikey api_key api-key auth bearer credential private "
     "access_key signature client_id encryption webhook"
 ).split()
-REACH = 64
+CONTEXT = 128
 AROUND = 512
 LEAST_CHARS = 16
 LEAST_NOVELTY = 0.8
+# Names are as new as keys to the compressor: without a digit, this share of letters must change case.
+LEAST_CHANGES = 0.3
 LEVEL = 15
 _CANDIDATE = re.compile(r"[A-Za-z0-9+/_=-]{16,}")
+# What parts the lines of one block: a line end, indents, quotes, an escaped line end, a comment mark.
+_JOINT = re.compile(r"(?:\\[rn]|[\s\"',;:+#>*|-]){1,64}")
 _SENSITIVE = re.compile("|".join(map(re.escape, SENSITIVE)), re.IGNORECASE)
 
 Span = tuple[str, int, int]
@@ -80,9 +87,10 @@ class Novelty:
             dict_data=primed, write_content_size=False, write_dict_id=False
         ).compress
 
-    def of(self, text: str, start: int, end: int) -> float:
-        """What text[start:end] adds to its surroundings, all but itself as context first."""
-        left, right = text[max(0, start - AROUND) : start], text[end : end + AROUND]
+    def of(self, text: str, start: int, end: int, block: tuple[int, int] | None = None) -> float:
+        """What text[start:end] adds to its surroundings, all but itself, or its block, as context first."""
+        first, last = block or (start, end)
+        left, right = text[max(0, first - AROUND) : first], text[last : last + AROUND]
         context = (right + "\n" + left).encode()
         candidate = text[start:end].encode()
         return (len(self._compress(context + candidate)) - len(self._compress(context))) / (end - start)
@@ -104,20 +112,56 @@ def _order(span: Span) -> tuple[int, int, int]:
     return span[1], kinds.index(span[0]), span[2]
 
 
+def _may_be_key(candidate: str) -> bool:
+    if any(c.isdigit() for c in candidate):
+        return True
+    changes = sum(a.isalpha() and b.isalpha() and a.isupper() != b.isupper() for a, b in pairwise(candidate))
+    return changes >= LEAST_CHANGES * (len(candidate) - 1)
+
+
+def _blocks(text: str) -> Iterator[list[tuple[int, int]]]:
+    """Whole candidates by block: those with nothing but ``_JOINT`` between, as the lines of a key have.
+    Blocks with a candidate that holds a sensitive word, or is within ``CONTEXT`` of one on either side.
+    """
+    words = [m.span() for m in _SENSITIVE.finditer(text)]
+    begins, ends = [s for s, _ in words], [e for _, e in words]
+
+    def near(start: int, end: int) -> bool:
+        # The first word that ends within reach of the start must begin within reach of the end.
+        k = bisect_left(ends, start - CONTEXT)
+        return k < len(ends) and begins[k] <= end + CONTEXT
+
+    block: list[tuple[int, int]] = []
+    close = False
+    for m in _CANDIDATE.finditer(text):
+        if block and not _JOINT.fullmatch(text, block[-1][1], m.start()):
+            if close:
+                yield block
+            block, close = [], False
+        block.append(m.span())
+        close = close or near(*m.span())
+    if close:
+        yield block
+
+
 def find_novel(text: str, low: str, novelty: Novelty) -> list[Span]:
     """Strings near a sensitive word that cost nearly their full length to compress."""
     if not any(w in low for w in SENSITIVE):
         return []
-    found, done = [], 0
-    for word in _SENSITIVE.finditer(text):
-        for m in _CANDIDATE.finditer(text, max(word.end(), done), word.end() + REACH):
-            start, end = m.span()
-            while end < len(text) and _CANDIDATE.fullmatch(text, end - LEAST_CHARS + 1, end + 1):
-                end += 1
-            if start < done or not any(c.isdigit() for c in text[start:end]):
+    found = []
+    for block in _blocks(text):
+        seen: set[str] = set()
+        bounds = block[0][0], block[-1][1]
+        for start, end in block:
+            candidate = text[start:end]
+            if not _may_be_key(candidate):
                 continue
-            done = end
-            if novelty.of(text, start, end) >= LEAST_NOVELTY:
+            new = novelty.of(text, start, end) >= LEAST_NOVELTY
+            # Lines of a key make each other's characters cheap, so they are held against the rest too.
+            if not new and len(block) > 1 and candidate not in seen:
+                new = novelty.of(text, start, end, bounds) >= LEAST_NOVELTY
+            seen.add(candidate)
+            if new:
                 found.append((NOVEL, start, end))
     return found
 
