@@ -4,7 +4,9 @@ Base kinds are found in the text as it is. Then transducers rewrite the text, ke
 character written the range of source characters it stands for: homoglyphs and full-width forms to
 ASCII, spelled digits ("five five") to digits, "(at)", "[dot]", " at ... dot " to "@" and ".". The
 same detectors run on the rewritten text, and their spans are mapped back to source characters. A
-span found this way is added if it overlaps no base span of its kind.
+span found this way is added if it overlaps no base span of its kind, or is an email that goes on from
+one over spelled signs. Bare " at " and " dot " count in a whole chain of name, host and signs in any mix;
+if the at alone is spelled, the chain must end like a domain and not start with "www.".
 
 Null text counts as empty; offsets are code points, end exclusive. Rows repeat as they come, other
 columns are not read, an empty table gives no rows. Patterns take time in proportion to the text,
@@ -106,11 +108,48 @@ _DIGIT_RUN = re.compile(
 )
 _DIGIT = re.compile(rf"({_WORDS}|oh)", re.IGNORECASE)
 _LOOKS = re.compile(r"[\[({<]\s{0,2}(?:at|dot|punkt|punto|point)\s{0,2}[\])}>]", re.IGNORECASE)
-_DOT = re.compile(r"\sdot\s", re.IGNORECASE)
-_CHAIN = re.compile(
-    r"[A-Za-z0-9._%+-]{1,64}\s{1,3}at\s{1,3}[A-Za-z0-9-]{1,63}(?:(?:\s{1,3}dot\s{1,3}|\.)[A-Za-z0-9-]{1,63}){1,8}",
-    re.IGNORECASE | re.ASCII,
-)
+_BARE = re.compile(r"\s(?:at|dot)\s", re.IGNORECASE)
+_OPEN, _CLOSE = r"\s{0,3}[\[({<]\s{0,2}", r"\s{0,2}[\])}>]\s{0,3}"
+_AT = rf"(?:{_OPEN}at{_CLOSE}|\s{{1,3}}at\s{{1,3}}|@)"
+_DOT = rf"(?:{_OPEN}(?:dot|punkt|punto|point){_CLOSE}|\s{{1,3}}dot\s{{1,3}}|\.)"
+# One sign after another: each is read once, and what stands on its sides is checked after.
+_CHAIN_SIGN = re.compile(rf"(?P<at>{_AT})|(?P<dot>{_DOT})", re.IGNORECASE | re.ASCII)
+_LOCAL_PART = re.compile(r"[A-Za-z0-9_%+-]{1,64}", re.ASCII)
+_TLD = re.compile(r"(?:[a-z]{2,24}|[A-Z]{2,24})(?![A-Za-z0-9])", re.ASCII)
+_HOST_PART = re.compile(r"[A-Za-z0-9-]{1,63}", re.ASCII)
+
+
+def _chains(text: str) -> Iterator[list[tuple[int, int, str]]]:
+    """The signs, as (start, end, "@" or "."), of every "name at host dot tld", signs in any mix."""
+    signs = [(m.start(), m.end(), "@" if m.group("at") else ".") for m in _CHAIN_SIGN.finditer(text)]
+    for k, (start, end, sign) in enumerate(signs):
+        if sign != "@":
+            continue
+        # Bare dots of the local part need no sign of their own, but a part must stand before each.
+        first = k
+        while first and signs[first - 1][2] == "." and _LOCAL_PART.fullmatch(text, signs[first - 1][1], signs[first][0]):
+            first -= 1
+        before = max(0, signs[first][0] - 1)
+        if not _LOCAL_PART.match(text, before, signs[first][0]):
+            first += 1
+        if first > k:
+            continue
+        last, at = k, end
+        while last + 1 < len(signs) and signs[last + 1][2] == "." and _HOST_PART.fullmatch(text, at, signs[last + 1][0]):
+            last, at = last + 1, signs[last + 1][1]
+        if last > k and not _HOST_PART.match(text, at):
+            last -= 1
+        if last > k:
+            yield signs[first : last + 1]
+
+
+def _is_disguise(text: str, chain: list[tuple[int, int, str]]) -> bool:
+    """Whether any sign is spelled out, and not just the at of a site or a time ("at www.example.com")."""
+    spelled = [sign for start, end, sign in chain if text[start:end] != sign]
+    if spelled != ["@"] or not text[next(s for s, _, sign in chain if sign == "@")].isspace():
+        return bool(spelled)
+    host = next(end for _, end, sign in chain if sign == "@")
+    return bool(_TLD.match(text, chain[-1][1])) and text[host : host + 4].lower() != "www."
 
 
 def _edits(text: str) -> list[tuple[int, int, str]]:
@@ -122,15 +161,11 @@ def _edits(text: str) -> list[tuple[int, int, str]]:
     if _LOOKS.search(low):
         signs = [m for m in _SIGN.finditer(text) if m.group(1)]
         found += [(m.start(), m.end(), "@" if m.group(1).lower() == "at" else ".") for m in signs]
-    if " dot " in low or _DOT.search(low):
+    if _BARE.search(low):
         # Bare words count only in a whole "name at host dot tld", else every "at" would.
-        for chain in _CHAIN.finditer(text):
-            if re.search(r"\sdot\s", chain.group(), re.IGNORECASE):
-                found += [
-                    (m.start(), m.end(), "@" if m.group(2).lower() == "at" else ".")
-                    for m in _SIGN.finditer(text, chain.start(), chain.end())
-                    if m.group(2)
-                ]
+        for chain in _chains(text):
+            if _is_disguise(text, chain):
+                found += chain
     if sum(low.count(w) for w in _NUMBERS) >= 2:
         for run in _DIGIT_RUN.finditer(text):
             found += [
@@ -167,10 +202,16 @@ def find_disguised(text: str) -> list[Span]:
 def all_spans(text: str) -> tuple[list[Span], list[Span]]:
     """Base spans, and base with the disguised ones, both by start, then kind."""
     base = find(text)
+
+    def wider(span: Span, s: int, e: int) -> bool:
+        kind, start, end = span
+        rest = text[start:s] + " | " + text[e:end]
+        return kind == "email" and start <= s and e <= end and bool(_BARE.search(rest) or _LOOKS.search(rest))
+
     added = [
         (kind, start, end)
         for kind, start, end in find_disguised(text)
-        if not any(k == kind and s < end and start < e for k, s, e in base)
+        if not any(k == kind and s < end and start < e and not wider((kind, start, end), s, e) for k, s, e in base)
     ]
     return base, sorted(base + added, key=_order)
 

@@ -65,3 +65,26 @@ def test_odd_rows(odd, empty):
 def test_long_runs_take_linear_time():
     for text in ("1" * 200_000, "a" * 200_000, "+1" * 100_000, "1." * 100_000, "@a" * 100_000, "one " * 50_000):
         personal_data.all_spans(text)
+
+
+def test_disguises_in_any_mix():
+    at = ["@", " at ", " (at) ", "[at]", " AT "]
+    dot = [".", " dot ", " [dot] ", "(dot)", "\tDot "]
+    for a in at:
+        for d in dot:
+            for e in dot:
+                for name in ("john", f"john{e}smith"):
+                    piece = f"{name}{a}mail{d}example{e}com"
+                    text = f"write to: {piece}, or call"
+                    _, spans = personal_data.all_spans(text)
+                    assert ("email", 10, 10 + len(piece)) in spans, (piece, spans)
+
+
+def test_plain_words_are_no_disguise():
+    for text in ("we met at noon", "see us at www.example.com", "we met at noon.Then it rained", "he came at 10.30", "a dot at noon", "he arrived at 10.", "at dot at dot"):
+        assert personal_data.all_spans(text)[1] == [], text
+
+
+def test_many_signs_take_linear_time():
+    for text in ("a at " * 50_000, "a dot " * 50_000, "a at b dot " * 30_000, " at dot" * 40_000, "a." * 100_000 + " at b dot c"):
+        personal_data.all_spans(text)
