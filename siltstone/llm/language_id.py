@@ -1,6 +1,6 @@
 """Language identification: unigram pieces, all segmentations summed.
 
-Pieces are those of a fixed public vocabulary, up to ``MAX_PIECE`` bytes, and every single byte. Each
+Pieces are those of a fixed public vocabulary, all of them, and every single byte. Each
 language gives each piece a probability, and a word's probability is the sum over all its
 segmentations, by the forward algorithm. Probabilities come from a few rounds of
 expectation-maximisation over the words of a bounded sample of labelled texts, at most about
@@ -9,8 +9,9 @@ word worked out once per block; with the languages' shares as prior this gives t
 posterior of the language predicted.
 
 Null text, and text without a letter, gets "und" and score 0. Ties go to the smaller language
-name. Null languages are not learned; with no labelled text every prediction is "und". Words above
-``MAX_RUN`` bytes are scored in pieces of that length. Rows repeat as they come, extra columns are
+name. Null languages are not learned, all others are; with no labelled text every prediction is "und".
+Words of any length are scored whole; those above ``MAX_RUN`` bytes are learned from in parts of about that
+length, cut between characters. Rows repeat as they come, extra columns are
 not read, an empty table gives no rows.
 """
 
@@ -25,15 +26,16 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from siltstone.llm.texts import blocks, bound_batches, flat, lowered, prefix_sums, range_hash, word_spans
+from siltstone.runtime import checkpointed, fits_broadcast
 
 VOCABULARY = "/opt/tokenizers/piece_bpe_32k.model"
 UNKNOWN = "und"
-MAX_PIECE = 6
 MAX_RUN = 32
 SAMPLE_DOCS = 600
 SAMPLE_BYTES = 4 << 20
-MAX_LANGUAGES = 256
 ROUNDS = 3
+# Languages scored at a time.
+_COLUMNS = 32
 # Larger than elsewhere: the more text, the fewer of its words are distinct.
 WORD_BLOCK = 4 << 20
 _SLOTS = 1 << 18
@@ -45,10 +47,10 @@ def held_out(doc_id: Column) -> Column:
 
 
 def vocabulary_pieces(path: str = VOCABULARY) -> list[bytes]:
-    """Every byte, then the vocabulary's pieces of 2 to ``MAX_PIECE`` bytes, A-Z lower-cased."""
+    """Every byte, then the vocabulary's pieces of 2 bytes and more, lower-cased."""
     model = sentencepiece.SentencePieceProcessor(model_file=path)
     pieces = {model.id_to_piece(k).removeprefix("▁").lower().encode() for k in range(model.get_piece_size())}
-    longer = sorted(p for p in pieces if 2 <= len(p) <= MAX_PIECE and not p.startswith(b"<0x"))
+    longer = sorted(p for p in pieces if len(p) >= 2 and not p.startswith(b"<0x"))
     return [bytes([b]) for b in range(256)] + longer
 
 
@@ -59,6 +61,7 @@ class Pieces:
         data, offsets = flat(pa.array(pieces, pa.binary()).cast(pa.large_binary()).view(pa.large_string()))
         hashes = range_hash(prefix_sums(data), offsets[:-1], offsets[1:])
         self.size = len(pieces) + 1
+        self.longest = max(map(len, pieces))
         self._keys = np.zeros(4 * _SLOTS, dtype=np.uint64)
         self._ids = np.zeros(4 * _SLOTS, dtype=np.int32)
         for h, k in zip(hashes, range(1, self.size), strict=True):
@@ -83,19 +86,29 @@ class Pieces:
 
 
 def distinct_words(
-    data: np.ndarray, offsets: np.ndarray, start: int, end: int
+    data: np.ndarray, offsets: np.ndarray, start: int, end: int, cut: bool = False
 ) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Sums for hashing, starts and lengths of the block's distinct words, and for every word its
-    row and which distinct word it is. Longer words are cut every ``MAX_RUN`` bytes.
+    row and which distinct word it is. With ``cut``, longer words are cut at most every ``MAX_RUN``
+    bytes, between characters.
     """
     first, last = word_spans(data, offsets, start, end)
     rows = np.searchsorted(offsets, first + start, side="right") - 1
-    if len(first) and int((last - first).max()) > MAX_RUN:
-        parts = -(-(last - first) // MAX_RUN)
+    if cut and len(first) and int((last - first).max()) > MAX_RUN:
+        # Parts of MAX_RUN - 3 bytes: a cut goes on over at most 3 bytes within a character.
+        step = MAX_RUN - 3
+        parts = -(-(last - first) // step)
         nth = np.arange(parts.sum()) - np.repeat(np.cumsum(parts) - parts, parts)
-        first = np.repeat(first, parts) + nth * MAX_RUN
-        last = np.minimum(first + MAX_RUN, np.repeat(last, parts))
+        ends = np.repeat(last, parts)
+        first = np.repeat(first, parts) + nth * step
         rows = np.repeat(rows, parts)
+        inside = np.append((data[start:end] & 0xC0) == 0x80, False)
+        for _ in range(3):
+            first = np.where((nth > 0) & (first < ends) & inside[np.minimum(first, len(inside) - 1)], first + 1, first)
+        more = np.append(nth[1:] > 0, False)
+        last = np.where(more, np.append(first[1:], 0), ends)
+        some = last > first
+        first, last, rows = first[some], last[some], rows[some]
     sums = prefix_sums(lowered(data[start:end]))
     _, index, which = np.unique(range_hash(sums, first, last), return_index=True, return_inverse=True)
     return sums, first[index], last[index] - first[index], rows, which
@@ -112,7 +125,7 @@ def _by_length(lengths: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
 def _lattice(pieces: Pieces, sums: np.ndarray, starts: np.ndarray, size: int) -> list[list[np.ndarray]]:
     """ids[j][n - 1]: the piece that covers bytes [j - n, j) of each word."""
     return [
-        [pieces.find(range_hash(sums, starts + j - n, starts + j)) for n in range(1, min(j, MAX_PIECE) + 1)]
+        [pieces.find(range_hash(sums, starts + j - n, starts + j)) for n in range(1, min(j, pieces.longest) + 1)]
         for j in range(1, size + 1)
     ]
 
@@ -138,8 +151,50 @@ def backward(lattice: list[list[np.ndarray]], probs: np.ndarray) -> list[np.ndar
 def word_scores(pieces: Pieces, sums, starts, lengths, probs: np.ndarray) -> np.ndarray:
     """Log probability of each word under each language."""
     out = np.zeros((len(starts), probs.shape[1]))
-    for size, group in _by_length(lengths):
+    short = np.flatnonzero(lengths <= MAX_RUN)
+    for size, group in _by_length(lengths[short]):
+        group = short[group]
         out[group] = np.log(forward(_lattice(pieces, sums, starts[group], size), probs)[-1])
+    # Words of like length go together, the longest first, few at a time.
+    far = np.flatnonzero(lengths > MAX_RUN)
+    far = far[np.argsort(-lengths[far], kind="stable")]
+    for k in range(0, len(far), 256):
+        group = far[k : k + 256]
+        out[group] = _long_scores(pieces, sums, starts[group], lengths[group], probs)
+    return out
+
+
+def _long_scores(pieces: Pieces, sums, starts, lengths, probs: np.ndarray) -> np.ndarray:
+    """The same for long words, by falling length: alpha is carried on, scaled anew every ``MAX_RUN`` bytes."""
+    reach, out = pieces.longest, np.zeros((len(starts), probs.shape[1]))
+    # Extended range, as an unlikely stretch of a piece's length must not become 0.
+    likely = probs.astype(np.longdouble)
+    back = np.arange(1, reach + 1)
+    last = np.zeros((len(starts), reach, probs.shape[1]), dtype=np.longdouble)
+    last[:, 0] = 1
+    scale = np.zeros((len(starts), probs.shape[1]))
+    for at in range(0, int(lengths[0]), MAX_RUN):
+        n = int(np.searchsorted(-lengths, -at))
+        last, scale = last[:n], scale[:n]
+        steps = np.arange(at + 1, min(at + MAX_RUN, int(lengths[0])) + 1)
+        ends = np.minimum(steps, lengths[:n, None])
+        begins = ends[:, :, None] - back
+        known = (begins >= 0) & (steps <= lengths[:n, None])[:, :, None]
+        base = starts[:n, None, None]
+        low = base + np.maximum(begins, 0)
+        high = np.broadcast_to(base + ends[:, :, None], low.shape)
+        ids = np.where(known, pieces.find(range_hash(sums, low.ravel(), high.ravel())).reshape(low.shape), 0)
+        for k, j in enumerate(steps):
+            used = np.flatnonzero(ids[:, k].any(axis=0))
+            alpha = (last[:, used] * likely[ids[:, k][:, used]]).sum(axis=1)
+            done = np.flatnonzero(lengths[:n] == j)
+            if len(done):
+                out[done] = (np.log(alpha[done]) + scale[done]).astype(float)
+            last = np.concatenate([alpha[:, None], last[:, :-1]], axis=1)
+        most = last.max(axis=1)
+        most[most == 0] = 1
+        last /= most[:, None]
+        scale = scale + np.log(most).astype(float)
     return out
 
 
@@ -155,7 +210,7 @@ def fit(samples: dict[str, list[str]], pieces: Pieces) -> tuple[list[str], np.nd
         for _ in range(ROUNDS):
             counts[:] = 0
             for start, end in blocks(data, offsets):
-                sums, starts, lengths, _, which = distinct_words(data, offsets, start, end)
+                sums, starts, lengths, _, which = distinct_words(data, offsets, start, end, cut=True)
                 times = np.bincount(which, minlength=len(starts)).astype(float)
                 for size, group in _by_length(lengths):
                     lattice = _lattice(pieces, sums, starts[group], size)
@@ -175,16 +230,17 @@ def sample_of(docs: DataFrame) -> dict[str, tuple[int, list[str]]]:
     """Per language, the number of labelled texts and a bounded sample of them, chosen by hash."""
     learn = docs.filter(~held_out(F.col("doc_id")) & F.col("lang").isNotNull() & F.col("text").isNotNull())
     per_language = learn.groupBy("lang").agg(F.count("*").alias("n"))
-    largest = per_language.orderBy(F.desc("n"), "lang").limit(MAX_LANGUAGES)
-    counts = {r["lang"]: r["n"] for r in largest.collect()}
+    per_language = checkpointed(per_language)
+    counts = {r["lang"]: r["n"] for r in per_language.collect()}
     if not counts:
         return {}
-    share = F.lit(0.0)
-    for lang, n in counts.items():
-        share = F.when(F.col("lang") == lang, F.lit(min(1.0, SAMPLE_DOCS / n))).otherwise(share)
+    shares = per_language.select("lang", F.least(F.lit(1.0), F.lit(float(SAMPLE_DOCS)) / F.col("n")).alias("share"))
+    if fits_broadcast(per_language):
+        shares = F.broadcast(shares)
     chance = F.pmod(F.xxhash64("doc_id", F.length("text")), F.lit(1 << 20)) / F.lit(float(1 << 20))
     bound = 2 * SAMPLE_DOCS * len(counts)
-    rows = learn.filter(chance < share).select("lang", "text").limit(bound)
+    rows = learn.select("lang", "text", chance.alias("chance")).join(shares, "lang")
+    rows = rows.filter("chance < share").select("lang", "text").limit(bound)
     out: dict[str, tuple[int, list[str]]] = {lang: (n, []) for lang, n in counts.items()}
     room = dict.fromkeys(counts, SAMPLE_BYTES)
     for row in rows.toLocalIterator():
@@ -204,9 +260,11 @@ def predictor(languages: list[str], probs: np.ndarray, prior: np.ndarray, words:
         total = np.tile(prior, (len(texts), 1))
         for start, end in blocks(data, offsets, WORD_BLOCK):
             sums, starts, lengths, rows, which = distinct_words(data, offsets, start, end)
-            scores = word_scores(pieces, sums, starts, lengths, probs)
-            for column in range(len(languages)):
-                total[:, column] += np.bincount(rows, weights=scores[which, column], minlength=len(texts))
+            for left in range(0, len(languages), _COLUMNS):
+                scores = word_scores(pieces, sums, starts, lengths, probs[:, left : left + _COLUMNS])
+                for column in range(scores.shape[1]):
+                    weights = scores[which, column]
+                    total[:, left + column] += np.bincount(rows, weights=weights, minlength=len(texts))
         best = total.argmax(axis=1)
         weight = np.exp(total - total.max(axis=1, keepdims=True))
         posterior = 1.0 / weight.sum(axis=1)

@@ -54,3 +54,40 @@ def test_odd_rows(odd, empty):
     assert language_id.identify(empty).count() == 0
     unlabelled = odd.drop("lang").selectExpr("*", "cast(null as string) as lang")
     assert {r["lang_pred"] for r in language_id.identify(unlabelled).collect()} == {"und"}
+
+
+def test_whole_vocabulary_and_long_words():
+    import pyarrow as pa
+
+    from siltstone.llm.texts import prefix_sums
+
+    names = language_id.vocabulary_pieces()
+    assert max(map(len, names)) > 12 and len(names) > 20_000
+    table = [bytes([b]) for b in range(256)] + [b"abcabcabcabc", "\u4e2d\u6587\u5b57".encode(), b"cab"]
+    pieces = language_id.Pieces(table)
+    probs = np.random.default_rng(5).random((pieces.size, 3)) / 10
+    probs[0] = 0
+    words = ["abc" * 40, "abc" * 11 + "a", "\u4e2d\u6587\u5b57" * 30, "x" * 2000, "abc"]
+    data, offsets = flat(pa.array([" ".join(words)]))
+    sums, starts, lengths, _, which = language_id.distinct_words(data, offsets, 0, len(data))
+    assert sorted(lengths[which]) == sorted(len(w.encode()) for w in words)
+    scores = language_id.word_scores(pieces, sums, starts, lengths, probs)[which]
+    for k, word in enumerate(words):
+        raw = word.encode()
+        for column in range(3):
+            alpha = [np.longdouble(1)]
+            for j in range(1, len(raw) + 1):
+                ways = [(n, raw[j - n : j]) for n in range(1, min(j, 12) + 1)]
+                alpha.append(sum(alpha[j - n] * probs[table.index(p) + 1, column] for n, p in ways if p in table))
+            assert np.isclose(float(np.log(alpha[-1])), scores[k, column])
+    _, _, parts, _, which = language_id.distinct_words(data, offsets, 0, len(data), cut=True)
+    assert parts.max() <= language_id.MAX_RUN and parts[which].sum() == sum(len(w.encode()) for w in words)
+
+
+def test_every_language_is_learned(spark):
+    from pyspark.sql import functions as F
+
+    rows = [(k, f"w{n}x" * 3, f"l{n}") for n in range(300) for k in (2 * n, 2 * n + 1)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    learned = docs.filter(~language_id.held_out(F.col("doc_id"))).select("lang").distinct().count()
+    assert len(language_id.sample_of(docs)) == learned > 256
