@@ -46,7 +46,8 @@ GRAM = 24
 WINDOW = SPAN - GRAM + 1
 PART_BYTES = 6 << 20
 PACK_BYTES = 16 << 20
-SAMPLE_DOCS = 400
+SAMPLE_GRAMS = 1 << 15
+_SAMPLED = np.uint64(0x5851F42D4C957F2D)
 FAN_IN = 256
 FEW = 12
 _PLACE_BITS = 23
@@ -683,15 +684,36 @@ def _prime_above(n: int) -> int:
     return n
 
 
-def _splitters(docs: DataFrame, ranges: int) -> list[bytes]:
-    """Bounds of the ranges of the order, from the suffixes of a bounded sample."""
-    sample = docs.filter(F.octet_length("text").between(SPAN, 1 << 16)).select("text")
-    rows = sample.orderBy(F.xxhash64("text")).limit(SAMPLE_DOCS).toArrow()
-    if not rows.num_rows or ranges < 2:
+def _sample_suffixes(bound: int):
+    """Suffixes at anchors whose gram's hash, mixed anew, is at most ``bound``; one per gram and batch."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            data, offsets = flat(batch["text"])
+            found: dict[int, bytes] = {}
+            for _, gram, at, _, high in units(data, offsets):
+                some = np.flatnonzero(mixed(gram ^ _SAMPLED) <= np.uint64(bound))
+                for k in some[np.unique(gram[some], return_index=True)[1]]:
+                    found.setdefault(int(gram[k].view(np.int64)), data[at[k] : high[k] + SPAN].tobytes())
+            yield pa.RecordBatch.from_pydict(_rows(list(found), list(found.values())))
+
+    return run
+
+
+def _splitters(docs: DataFrame, ranges: int, total: int) -> list[bytes]:
+    """Bounds of the ranges of the order, from about ``SAMPLE_GRAMS`` suffixes: those of all texts,
+    whatever their length, chosen by hash among the distinct anchor grams.
+    """
+    if ranges < 2:
+        return []
+    # About one byte in forty is an anchor.
+    share = min(1.0, SAMPLE_GRAMS / max(total / 40, 1.0))
+    bound = min(int(share * 2.0**64), (1 << 64) - 1)
+    sample = docs.select("text").mapInArrow(_sample_suffixes(bound), _ROWS)
+    rows = sample.groupBy("key").agg(F.min("payload").alias("payload")).select("payload").toArrow()
+    suffixes = sorted(set(rows["payload"].to_pylist()))
+    if not suffixes:
         return []
-    data, offsets = flat(rows["text"])
-    found = [(p, e) for _, _, at, _, high in units(data, offsets) for p, e in zip(at, high, strict=True)]
-    suffixes = sorted({data[p : e + SPAN].tobytes() for p, e in found})
     picks = np.linspace(0, len(suffixes), ranges + 1)[1:-1].astype(int)
     return sorted({suffixes[k] for k in picks})
 
@@ -700,7 +722,7 @@ def find_repeats(docs: DataFrame) -> DataFrame:
     """(doc_id, n_bytes, n_removed, spans, kept) per document: the byte ranges removed, what is left."""
     rows, total = _numbered(bound_batches(docs))
     parts = _prime_above(-(-total // PART_BYTES))
-    splitters = _splitters(rows, parts)
+    splitters = _splitters(rows, parts, total)
     grams = rows.select("rid", "text").mapInArrow(_exchange_grams(parts, parts), _ROWS)
     replies = grams.groupBy("key").applyInArrow(_resolve_grams(parts), _ROWS)
     packed = rows.select("rid", "doc_id", "text").mapInArrow(_pack_docs(parts), _ROWS)

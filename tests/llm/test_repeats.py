@@ -1,4 +1,5 @@
 import hashlib
+import bisect
 import random
 
 import numpy as np
@@ -167,3 +168,17 @@ def found_ids(spark, rows):
     for r in repeats.report(spark.createDataFrame(rows, "doc_id long, text string")).collect():
         out.setdefault(r["doc_id"], []).append(r["n_removed"])
     return out
+
+
+def test_bounds_follow_the_suffixes_of_texts_of_any_length(spark):
+    rng = random.Random(13)
+    long = "".join(chr(rng.randrange(97, 123)) for _ in range(200_000))
+    copies = [(k + 1, long[:300]) for k in range(500)]
+    for rows in ([(0, long)], [(0, long), *copies]):
+        docs = spark.createDataFrame([(k, t) for k, t in rows], "rid long, text string")
+        bounds = repeats._splitters(docs, 20, sum(len(t) for _, t in rows))
+        assert len(bounds) == 19
+        # Random letters: each range of the order holds about a twentieth of the suffixes.
+        suffixes = sorted(long[k : k + 30].encode() for k in range(len(long) - 100))
+        places = [0, *[bisect.bisect_left(suffixes, b[:30]) for b in bounds], len(suffixes)]
+        assert max(b - a for a, b in zip(places, places[1:])) < len(suffixes) / 5
