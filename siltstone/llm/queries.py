@@ -18,6 +18,7 @@ from siltstone.llm import (
     repeats,
     secret_scan,
     url_filter,
+    warc,
 )
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -69,6 +70,10 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge(_table(spark, sf_dir, "pages"))
 
 
+def op11_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.round_trip(_table(spark, sf_dir, "pages"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_quality": op1_quality,
     "op2_repeats": op2_repeats,
@@ -80,6 +85,7 @@ QUERIES: dict[str, Query] = {
     "op8_personal_data": op8_personal_data,
     "op9_language": op9_language,
     "op10_url_filter": op10_url_filter,
+    "op11_warc": op11_warc,
     "pipeline": corpus_pipeline.run,
 }
 
@@ -162,5 +168,16 @@ rated AS (SELECT doc_id, size, source_size, target,
   FROM sized JOIN plan ON plan.source IS NOT DISTINCT FROM sized.source)
 SELECT doc_id, size, source_size, target, (size * copies)::BIGINT AS taken, copies
 FROM (SELECT *, floor(rate)::BIGINT + (drawn < rate - floor(rate))::BIGINT AS copies FROM rated)
+""",
+    "op11_warc": f"""
+WITH p AS (SELECT page_id, coalesce(html, '') AS payload FROM pages),
+g AS (SELECT payload, max(page_id) AS kept, sha1(payload) AS hexadecimal FROM p GROUP BY payload),
+d AS (SELECT payload, kept, array_to_string(list_transform(range(32), lambda k: substr('{warc.BASE32}',
+  1 + (('0x' || substr(hexadecimal, 5 * (k // 4)::INT + 1, 5))::BIGINT >> (15 - 5 * (k % 4))::INT) % 32, 1)), '')
+  AS digest FROM g)
+SELECT page_id, strlen(payload)::BIGINT AS payload_bytes, digest AS payload_digest,
+  CASE WHEN page_id IS DISTINCT FROM kept THEN 'revisit' ELSE 'response' END AS record_type,
+  CASE WHEN page_id IS DISTINCT FROM kept THEN kept END AS refers_to
+FROM p JOIN d USING (payload)
 """,
 }
