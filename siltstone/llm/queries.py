@@ -5,10 +5,12 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from siltstone.llm import (
     decontaminate,
+    hard_negatives,
     language_id,
     mixing,
     near_duplicates,
@@ -74,6 +76,12 @@ def op11_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.round_trip(_table(spark, sf_dir, "pages"))
 
 
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = _table(spark, sf_dir, "embeddings")
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.mine(vectors.withColumn("label", label), lambda vec_id: vec_id % 100 == 0)
+
+
 QUERIES: dict[str, Query] = {
     "op1_quality": op1_quality,
     "op2_repeats": op2_repeats,
@@ -86,6 +94,7 @@ QUERIES: dict[str, Query] = {
     "op9_language": op9_language,
     "op10_url_filter": op10_url_filter,
     "op11_warc": op11_warc,
+    "op13_hard_negatives": op13_hard_negatives,
     "pipeline": corpus_pipeline.run,
 }
 
@@ -179,5 +188,21 @@ SELECT page_id, strlen(payload)::BIGINT AS payload_bytes, digest AS payload_dige
   CASE WHEN page_id IS DISTINCT FROM kept THEN 'revisit' ELSE 'response' END AS record_type,
   CASE WHEN page_id IS DISTINCT FROM kept THEN kept END AS refers_to
 FROM p JOIN d USING (payload)
+""",
+    "op13_hard_negatives": """
+WITH v AS (SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+    list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS x
+  FROM embeddings WHERE label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (SELECT a.vec_id AS anchor_id, o.vec_id, a.label = o.label AS same,
+    list_dot_product(a.x, o.x)::BIGINT AS score
+  FROM v a JOIN v o ON a.vec_id % 100 = 0 AND a.vec_id <> o.vec_id),
+p AS (SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM s WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5)
+SELECT anchor_id, positive_id, (row_number() OVER best)::INT AS rank, vec_id AS negative_id, positive_score,
+  score AS negative_score
+FROM p JOIN s USING (anchor_id) WHERE NOT same AND 30 * positive_score <= 100 * score AND 100 * score <= 90 * positive_score
+WINDOW best AS (PARTITION BY anchor_id, positive_id ORDER BY score DESC, vec_id)
+QUALIFY row_number() OVER best <= 10
 """,
 }
