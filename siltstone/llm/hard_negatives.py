@@ -208,29 +208,34 @@ FOUND = "query_id long, near long, vec_id long, score long"
 def _search(candidates: DataFrame, queries: DataFrame, k: int, same_label: bool, low: int, high: int) -> DataFrame:
     """(query_id, near, vec_id, score): the best of each block for each anchor and window.
 
-    Both sides have a ``bucket``, and meet within it. A query has ``own_label``, ``query`` and ``near``; its windows are
-    ``low`` to ``high`` hundredths of the scores in ``near``; null stands for one window without bounds.
+    A query has ``own_label``, ``query`` and ``near``; its windows are ``low`` to ``high`` hundredths of
+    the scores in ``near``; null stands for one window without bounds. With ``same_label`` it meets the
+    rows of its label, otherwise all rows, of which those of other labels count.
     """
-    per = candidates.groupBy("bucket").agg(F.count("*").alias("rows"))
-    asking = queries.groupBy("bucket").agg(F.count("*").alias("asking"))
-    sizes = checkpointed(
-        per.join(asking, "bucket").select(
-            "bucket", "rows", "asking",
-            F.ceil(F.col("rows") / BLOCK_ROWS).cast("long").alias("blocks"),
-            F.ceil(F.col("asking") / CHUNK_ROWS).cast("long").alias("chunks"),
+    blocks = F.ceil(F.col("rows") / BLOCK_ROWS).cast("long").alias("blocks")
+    chunks = F.ceil(F.col("asking") / CHUNK_ROWS).cast("long").alias("chunks")
+    if same_label:
+        per = candidates.groupBy(F.col("label").alias("bucket")).agg(F.count("*").alias("rows"))
+        asking = queries.groupBy(F.col("own_label").alias("bucket")).agg(F.count("*").alias("asking"))
+        sizes = checkpointed(per.join(asking, "bucket").select("bucket", "rows", "asking", blocks, chunks))
+        left = candidates.withColumn("bucket", F.col("label"))
+        left = attach(left, sizes.drop("asking"), ["bucket"], "rows").filter("chunks IS NOT NULL")
+        right = queries.withColumn("bucket", F.col("own_label"))
+        right = attach(right, sizes.drop("rows"), ["bucket"], "asking").filter("blocks IS NOT NULL")
+    else:
+        counted = {"bucket": F.lit(0), "rows": F.lit(candidates.count()), "asking": F.lit(queries.count())}
+        left, right = (
+            df.withColumns(counted).select(*df.columns, "bucket", blocks, chunks) for df in (candidates, queries)
         )
-    )
 
     def dealt(ids: str, n: str) -> Column:
-        return F.pmod(F.xxhash64(ids), F.col(n))
+        return F.pmod(F.xxhash64(ids), F.greatest(F.col(n), F.lit(1)))
 
     def each(n: str) -> Column:
-        return F.explode(F.sequence(F.lit(0).cast("long"), F.col(n) - 1))
+        return F.explode(F.filter(F.sequence(F.lit(0).cast("long"), F.col(n)), lambda i: i < F.col(n)))
 
     keys = ["bucket", "block", "chunk"]
-    left = attach(candidates, sizes.drop("asking"), ["bucket"], "rows").filter("chunks IS NOT NULL")
     left = left.withColumn("block", dealt("vec_id", "blocks")).withColumn("chunk", each("chunks"))
-    right = attach(queries, sizes.drop("rows"), ["bucket"], "asking").filter("blocks IS NOT NULL")
     right = right.withColumn("chunk", dealt("query_id", "chunks")).withColumn("block", each("blocks"))
 
     def searched(rows: pa.Table, asked: pa.Table) -> pa.Table:
@@ -277,18 +282,13 @@ def mine(
     anchors = rows.filter(is_anchor(F.col("vec_id"))).select(
         F.col("vec_id").alias("query_id"), F.col("label").alias("own_label"), F.col("vector").alias("query")
     )
-    no_window = F.lit(None).cast("array<long>").alias("near")
-    own = _search(
-        rows.select(F.col("label").alias("bucket"), "*"),
-        anchors.select(F.col("own_label").alias("bucket"), "*", no_window),
-        positives, True, low, high,
-    )
+    no_window = F.lit(None).cast("array<long>")
+    own = _search(rows, anchors.withColumn("near", no_window), positives, True, low, high)
     best = _first(own, ["query_id"], positives)
     near = checkpointed(best.select("query_id", F.col("vec_id").alias("positive_id"), F.col("score").alias("near")))
     # At most ``positives`` numbers an anchor.
     windows = near.groupBy("query_id").agg(F.sort_array(F.collect_set("near")).alias("near"))
-    asked = anchors.join(windows, "query_id").select(F.lit(0).alias("bucket"), "*")
-    others = _search(rows.select(F.lit(0).alias("bucket"), "*"), asked, negatives, False, low, high)
+    others = _search(rows, checkpointed(anchors.join(windows, "query_id")), negatives, False, low, high)
     ranked = _first(others, ["query_id", "near"], negatives)
     return near.join(ranked, ["query_id", "near"]).select(
         F.col("query_id").alias("anchor_id"),
