@@ -16,6 +16,7 @@ from siltstone.llm import (
     near_duplicates,
     neighbours,
     personal_data,
+    phrases,
     quality,
     repeats,
     secret_scan,
@@ -76,6 +77,10 @@ def op11_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.round_trip(_table(spark, sf_dir, "pages"))
 
 
+def op12_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.collocations(_table(spark, sf_dir, "documents"))
+
+
 def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = _table(spark, sf_dir, "embeddings")
     label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
@@ -94,6 +99,7 @@ QUERIES: dict[str, Query] = {
     "op9_language": op9_language,
     "op10_url_filter": op10_url_filter,
     "op11_warc": op11_warc,
+    "op12_phrases": op12_phrases,
     "op13_hard_negatives": op13_hard_negatives,
     "pipeline": corpus_pipeline.run,
 }
@@ -188,6 +194,27 @@ SELECT page_id, strlen(payload)::BIGINT AS payload_bytes, digest AS payload_dige
   CASE WHEN page_id IS DISTINCT FROM kept THEN 'revisit' ELSE 'response' END AS record_type,
   CASE WHEN page_id IS DISTINCT FROM kept THEN kept END AS refers_to
 FROM p JOIN d USING (payload)
+""",
+    "op12_phrases": r"""
+WITH p AS (SELECT coalesce(lang, 'und') AS lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM documents,
+  unnest(regexp_split_to_array(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[.,;:!?\x0A-\x0D]')) AS t(piece)),
+g AS (SELECT lang, m, array_to_string(w[i:i + m - 1], ' ') AS phrase
+  FROM p, unnest(range(1, 5)) AS s(m), unnest(range(1, len(w) - m + 2)) AS t(i)),
+words AS (SELECT lang, count(*) AS n FROM g WHERE m = 1 GROUP BY lang),
+f AS (SELECT lang, m, phrase, string_split(phrase, ' ') AS w, count(*) AS f FROM g GROUP BY ALL HAVING count(*) >= 30),
+cut AS (SELECT c.lang, c.phrase, c.f AS a, x.f AS l, y.f AS r, k, (2000000::HUGEINT * c.f // (x.f + y.f))::BIGINT AS score
+  FROM (SELECT *, unnest(range(1, m)) AS k FROM f WHERE m > 1) c
+  JOIN f x ON x.lang = c.lang AND x.phrase = array_to_string(c.w[1:k], ' ')
+  JOIN f y ON y.lang = c.lang AND y.phrase = array_to_string(c.w[k + 1:], ' ')),
+worst AS (SELECT * FROM cut QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+longer AS (SELECT lang, array_to_string(w[i:i + s - 1], ' ') AS phrase, max(f) AS f
+  FROM (SELECT *, unnest(range(2, m)) AS s FROM f WHERE m > 2), unnest(range(1, m - s + 2)) AS t(i) GROUP BY ALL),
+kept AS (SELECT worst.* FROM worst LEFT JOIN longer o ON o.lang = worst.lang AND o.phrase = worst.phrase
+  WHERE o.f IS NULL OR 100 * o.f < 80 * a)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n, score
+FROM kept JOIN words USING (lang)
+QUALIFY row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) <= 2000
 """,
     "op13_hard_negatives": """
 WITH v AS (SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
