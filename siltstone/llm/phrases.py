@@ -1,15 +1,15 @@
 """Phrases that stand together more often than their parts would, by Toivonen's method.
 
 A sample of the documents proposes the phrases that may be frequent, with a lowered threshold. One pass
-over all documents counts them exactly, together with their negative border: the phrases that were not
-proposed though both of their parts without the last and without the first word were. If a phrase of the
-border turns out to be frequent, those that it makes possible have not been counted yet, and a further
-pass counts them, until none is left. Each such pass is about longer phrases than the one before, so
-there are never more of them than the longest phrase has words. The result is exact whatever the sample.
+over all documents counts them, together with their negative border: the phrases that were not proposed
+though both of their parts, without the last and without the first word, were. If a phrase of the border
+turns out to be frequent, those that it makes possible have not been counted yet, and a further pass
+counts them, until none is left. The result is exact whatever the sample was.
 
-In a pass, every task looks the words and phrases of its texts up in a Bloom filter of the proposed ones,
-of bounded size. It may let further phrases in, which are then counted too, exactly, and change nothing.
-Tasks add up equal phrases before the shuffle, by 128-bit hashes; the shuffle groups by the phrase itself.
+These passes know phrases by 64-bit hashes: a task adds its own up and sends hash and number, packed by
+part of the hash space, not the text. Chance matches only let more phrases in. A last pass counts what was
+frequent by the words themselves. In all of them a task looks phrases up in a Bloom filter of bounded size;
+what that lets in needlessly is counted too, and changes nothing.
 
 A phrase's words stand in one piece of a text, between ``.,;:!?`` and line ends. A null lang counts as
 ``und``, a null text as empty. Texts of any length are worked on in blocks, across which phrases go on.
@@ -39,7 +39,9 @@ SAMPLE_ONE_IN = 8
 SAMPLE_LEAST = 2
 FILTER_BITS = (1 << 16, 1 << 27)
 BITS_PER_PHRASE = 16
-HELD_ROWS = 1 << 19
+# Text whose phrases a part of the hash space has on average, all in one task.
+PART_BYTES = 1 << 25
+HELD_ROWS = 1 << 20
 EMITTED_ROWS = 1 << 16
 SALTS = 64
 
@@ -52,37 +54,51 @@ _IS_BREAK[list(BREAKS)] = True
 _IS_GAP = _IS_BREAK.copy()
 _IS_GAP[list(GAPS)] = True
 _LANES = np.random.default_rng(23).integers(0, 1 << 64, (2, 256), dtype=np.uint64)
+_STEP = np.uint64(0x9FB21C651E98DF25)
 
-COUNTED = "lang string, phrase string, level int, h1 long, h2 long, n long"
+PACKED = "level int, part int, h binary, n binary"
+COUNTED = "lang string, phrase string, level int, n long"
 
 
 class Filter:
-    """A Bloom filter over pairs of hashes, as 64-bit words."""
+    """A Bloom filter over hashes, as 64-bit words."""
 
     def __init__(self, slots: np.ndarray):
         self.slots = slots
-        self.mask = np.uint64(len(slots) * 64 - 1)
 
     @staticmethod
-    def of(phrases: DataFrame, rows: int) -> Filter:
-        """The filter of the hashes ``h1`` and ``h2``. Its size is bounded, so it may be collected."""
-        bits = FILTER_BITS[0]
+    def of(phrases: DataFrame) -> Filter:
+        """The filter of the column ``h``. Its size is bounded, so it may be collected."""
+        bits, rows = FILTER_BITS[0], phrases.count()
         while bits < min(rows * BITS_PER_PHRASE, FILTER_BITS[1]):
             bits *= 2
-        places = F.array(*[F.shiftrightunsigned(h, by).bitwiseAND(bits - 1) for h in ("h1", "h2") for by in (0, 32)])
-        set_bits = phrases.select(F.explode(places).alias("bit"))
-        slots = set_bits.groupBy(F.shiftright("bit", 6).alias("slot")).agg(
-            F.bit_or(F.expr("shiftleft(1L, cast(bit & 63 as int))")).alias("word")
-        )
-        found = slots.toArrow()
+
+        def set_bits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                h = np.ascontiguousarray(batch["h"].to_numpy()).view(np.uint64)
+                bit = np.unique(np.concatenate(list(Filter._bits(h, bits))))
+                slot, start = np.unique(bit >> np.uint64(6), return_index=True)
+                ones = np.uint64(1) << (bit & np.uint64(63))
+                word = np.bitwise_or.reduceat(ones, start) if len(bit) else ones
+                yield pa.record_batch({"slot": pa.array(slot.view(np.int64)), "word": pa.array(word.view(np.int64))})
+
+        slots = phrases.select("h").mapInArrow(set_bits, "slot long, word long")
+        found = slots.groupBy("slot").agg(F.bit_or("word").alias("word")).toArrow()
         words = np.zeros(bits // 64, dtype=np.int64)
         words[found["slot"].to_numpy()] = found["word"].to_numpy()
         return Filter(words.view(np.uint64))
 
-    def has(self, h1: np.ndarray, h2: np.ndarray) -> np.ndarray:
-        inside = np.ones(len(h1), dtype=bool)
-        for h, by in ((h1, 0), (h1, 32), (h2, 0), (h2, 32)):
-            bit = (h >> np.uint64(by)) & self.mask
+    @staticmethod
+    def _bits(h: np.ndarray, size: int) -> Iterator[np.ndarray]:
+        mask = np.uint64(size - 1)
+        for _ in range(2):
+            yield h & mask
+            yield (h >> np.uint64(32)) & mask
+            h = texts.mixed(h ^ _STEP)
+
+    def has(self, h: np.ndarray) -> np.ndarray:
+        inside = np.ones(len(h), dtype=bool)
+        for bit in self._bits(h, len(self.slots) * 64):
             inside &= (self.slots[bit >> np.uint64(6)] >> (bit & np.uint64(63))).astype(np.uint8) & 1 == 1
         return inside
 
@@ -106,12 +122,15 @@ def _reach(data: np.ndarray, end: int, bound: int, words: int) -> int:
 
 
 class Block:
-    """The words of a block of texts, and the hashes of phrases that start in it."""
+    """The words of a block of texts, and hashes of the phrases that start at them.
+
+    The block goes on for as many words as a phrase needs that starts in it; ``n`` words are its own.
+    """
 
-    def __init__(self, data: np.ndarray, offsets: np.ndarray, start: int, end: int, seeds: np.ndarray):
+    def __init__(self, data: np.ndarray, offsets: np.ndarray, start: int, end: int, seed: np.ndarray):
         text = int(np.searchsorted(offsets, end, side="left"))
         stop = end if offsets[text] == end else _reach(data, end, int(offsets[text]), LONGEST - 1)
-        data = texts.lowered(data[start:stop])
+        self.data = data = texts.lowered(data[start:stop])
         gap = _IS_GAP[data]
         edge = np.zeros(len(data) + 1, dtype=bool)
         lo, hi = np.searchsorted(offsets, [start, stop + 1])
@@ -120,226 +139,298 @@ class Block:
         before, after = edge[:-1].copy(), edge[1:].copy()
         before[1:] |= gap[:-1]
         after[:-1] |= gap[1:]
-        first, last = np.flatnonzero(before & ~gap), np.flatnonzero(after & ~gap) + 1
-        self.n = int(np.searchsorted(first, end - start))
-        self.row = np.searchsorted(offsets, first + start, side="right") - 1
-        breaks = np.zeros(len(data) + 1, dtype=np.int64)
-        np.cumsum(_IS_BREAK[data], out=breaks[1:])
-        self.joined = np.zeros(len(first), dtype=bool)
-        self.joined[:-1] = (breaks[first[1:]] == breaks[last[:-1]]) & (self.row[1:] == self.row[:-1])
-        # The words again, with one blank between any two.
-        size = last - first + 1
-        self.first = np.cumsum(size) - size
-        self.last = self.first + size - 1
-        self.data = np.append(data, np.uint8(32))[_ranges(first, last + 1)]
-        self.data[self.last] = 32
-        powers = texts.powers(len(self.data))[0][:-1]
-        self.sums = []
-        for lane in _LANES:
-            sums = np.zeros(len(self.data) + 1, dtype=np.uint64)
-            np.cumsum(lane[self.data] * powers, out=sums[1:])
-            self.sums.append(sums)
-        self.seeds = seeds
-
-    def hashes(self, at: np.ndarray, level: int) -> tuple[np.ndarray, np.ndarray]:
-        start, end, row = self.first[at], self.last[at + level - 1], self.row[at]
-        h1, h2 = (texts.range_hash(s, start, end) ^ seed[row] for s, seed in zip(self.sums, self.seeds, strict=True))
-        return texts.mixed(h1), texts.mixed(h2)
+        self.first, self.last = np.flatnonzero(before & ~gap), np.flatnonzero(after & ~gap) + 1
+        self.n = int(np.searchsorted(self.first, end - start))
+        self.row = np.searchsorted(offsets, self.first + start, side="right") - 1
+        self.seed = seed[self.row]
+        # A word and the next one are joined if no break stands between them.
+        breaks = np.flatnonzero(_IS_BREAK[data])
+        seen = np.searchsorted(breaks, self.first)
+        self.joined = np.zeros(len(self.first), dtype=bool)
+        self.joined[:-1] = (seen[1:] == seen[:-1]) & (self.row[1:] == self.row[:-1])
+
+    def words(self, lane: int) -> np.ndarray:
+        """A hash per word, of its bytes and its language."""
+        sums = np.zeros(len(self.data) + 1, dtype=np.uint64)
+        np.cumsum(_LANES[lane][self.data] * texts.powers(len(self.data))[0][:-1], out=sums[1:])
+        return texts.mixed(texts.range_hash(sums, self.first, self.last) ^ self.seed)
+
+    @staticmethod
+    def longer(at: np.ndarray, shorter: np.ndarray, words: np.ndarray, level: int) -> np.ndarray:
+        """Hashes of the phrases of so many words at ``at``, from those of one word less."""
+        return texts.mixed((shorter[at] ^ _STEP) + words[at + level - 1])
 
     def phrases(self, at: np.ndarray, level: int) -> pa.Array:
-        start, end = self.first[at], self.last[at + level - 1]
+        """The words with one blank between any two."""
+        word = (at[:, None] + np.arange(level)).ravel()
+        size = (self.last - self.first)[word] + 1
+        ends = np.cumsum(size) - 1
+        chosen = np.append(self.data, np.uint8(32))[_ranges(self.first[word], self.last[word] + 1)]
+        chosen[ends] = 32
+        # The last word's blank goes.
+        keep = np.ones(len(chosen), dtype=bool)
+        keep[ends[level - 1 :: level]] = False
         offsets = np.zeros(len(at) + 1, dtype=np.int64)
-        np.cumsum(end - start, out=offsets[1:])
-        chosen = np.ascontiguousarray(self.data[_ranges(start, end)])
-        return pa.Array.from_buffers(pa.large_string(), len(at), [None, pa.py_buffer(offsets), pa.py_buffer(chosen)])
-
-
-class Counts:
-    """Partial counts of a task. Equal phrases are added up whenever many rows are held."""
+        np.cumsum(size.reshape(-1, level).sum(axis=1) - 1, out=offsets[1:])
+        kept = np.ascontiguousarray(chosen[keep])
+        return pa.Array.from_buffers(pa.large_string(), len(at), [None, pa.py_buffer(offsets), pa.py_buffer(kept)])
 
-    def __init__(self):
-        self.parts: list[tuple] = []
-        self.rows = 0
 
-    def add(self, h1, h2, n, level, row_lang, phrases) -> None:
-        self.parts.append((h1, h2, n, np.full(len(h1), level, dtype=np.int32), row_lang, phrases))
-        self.rows += len(h1)
+def _language_seeds(languages: list[str]) -> np.ndarray:
+    return np.array([xxhash.xxh64_intdigest(x.encode()) for x in languages], dtype=np.uint64)
 
-    def combined(self) -> tuple:
-        """All parts as one, each phrase once."""
-        columns = [np.concatenate(c) for c in list(zip(*self.parts, strict=True))[:5]]
-        phrases = pa.concat_arrays([p[5] for p in self.parts])
-        order, starts = _grouped(columns[0], columns[1])
-        first = order[starts]
-        n = np.add.reduceat(columns[2][order], starts)
-        whole = (columns[0][first], columns[1][first], n, columns[3][first], columns[4][first], phrases.take(pa.array(first)))
-        self.parts, self.rows = [whole], len(first)
-        return whole
 
-
-def _grouped(h1: np.ndarray, h2: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """An order in which equal pairs stand together, and where each run of them starts.
-
-    Pairs that share the first hash alone may be split into several runs; sums come out the same.
+def _blocks(batches: Iterator[pa.RecordBatch], languages: dict[str, int]) -> Iterator[tuple[Block, np.ndarray]]:
+    """The blocks of all batches, each with the number of the language of every text; ``languages``
+    gets the numbers.
     """
-    order = np.argsort(h1)
-    a, b = h1[order], h2[order]
-    new = np.ones(len(order), dtype=bool)
-    new[1:] = (a[1:] != a[:-1]) | (b[1:] != b[:-1])
-    return order, np.flatnonzero(new)
-
-
-def count_phrases(docs: DataFrame, levels: list[int], known: Filter | None, fresh: Filter | None) -> DataFrame:
-    """(lang, phrase, level, h1, h2, f) of the phrases with a number of words among ``levels`` whose
-    two parts are ``known``, one of them ``fresh`` if that is given; level 0 is the number of words.
+    for batch in batches:
+        encoded = batch["lang"].cast(pa.string()).dictionary_encode()
+        local = np.array([languages.setdefault(x.as_py(), len(languages)) for x in encoded.dictionary], dtype=np.int64)
+        row_lang = local[encoded.indices.to_numpy(zero_copy_only=False)] if len(local) else local
+        seed = _language_seeds(list(languages))[row_lang]
+        data, offsets = texts.flat(batch["text"])
+        for start, end in texts.blocks(data, offsets):
+            yield Block(data, offsets, start, end, seed), row_lang
+
+
+def _summed(h: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    order = np.argsort(h)
+    h = h[order]
+    starts = np.flatnonzero(np.append(True, h[1:] != h[:-1])) if len(h) else order
+    return h[starts], np.add.reduceat(n[order], starts) if len(h) else n
+
+
+def tally(
+    docs: DataFrame, levels: list[int], known: Filter | None, fresh: Filter | None, least: int, parts: int
+) -> DataFrame:
+    """(level, h) of the phrases with a number of words among ``levels`` whose two parts are ``known``,
+    one of them ``fresh`` if that is given, and that stand at least so often.
     """
     context = docs.sparkSession.sparkContext
     held_known = context.broadcast(known and known.slots)
     held_fresh = context.broadcast(fresh and fresh.slots)
     deepest = max(levels)
 
-    def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         inside = held_known.value is not None and Filter(held_known.value)
         new = held_fresh.value is not None and Filter(held_fresh.value)
-        languages: dict[str, int] = {}
-        words: dict[int, int] = {}
-        counts = Counts()
+        held: dict[int, list] = {level: [] for level in levels}
+        rows = 0
+
+        def combine() -> int:
+            for level, found in held.items():
+                if found:
+                    held[level] = [_summed(*(np.concatenate(c) for c in zip(*found, strict=True)))]
+            return sum(len(f[0][0]) for f in held.values() if f)
 
         def emitted() -> Iterator[pa.RecordBatch]:
-            if counts.rows:
-                h1, h2, n, level, lang, phrases = counts.combined()
-                names = pa.array(list(languages), pa.string())
-                for at in range(0, len(h1), EMITTED_ROWS):
-                    to = slice(at, at + EMITTED_ROWS)
-                    yield pa.record_batch(
-                        [
-                            names.take(pa.array(lang[to])),
-                            phrases[at : at + EMITTED_ROWS].cast(pa.string()),
-                            pa.array(level[to], pa.int32()),
-                            pa.array(h1[to].view(np.int64)),
-                            pa.array(h2[to].view(np.int64)),
-                            pa.array(n[to], pa.int64()),
-                        ],
-                        names=[f.split()[0] for f in COUNTED.split(", ")],
-                    )
-                counts.parts, counts.rows = [], 0
-
-        for batch in batches:
-            encoded = batch["lang"].cast(pa.string()).dictionary_encode()
-            local = np.array([languages.setdefault(x.as_py(), len(languages)) for x in encoded.dictionary], dtype=np.int64)
-            row_lang = local[encoded.indices.to_numpy(zero_copy_only=False)] if len(local) else local
-            names = [x.encode() for x in languages]
-            by_lang = np.array([[xxhash.xxh64_intdigest(x, seed=k) for x in names] for k in (1, 2)], dtype=np.uint64)
-            seeds = by_lang[:, row_lang]
-            data, offsets = texts.flat(batch["text"])
-            for start, end in texts.blocks(data, offsets):
-                block = Block(data, offsets, start, end, seeds)
-                if 1 in levels:
-                    for lang, n in enumerate(np.bincount(row_lang[block.row[: block.n]])):
-                        words[lang] = words.get(lang, 0) + int(n)
-                at = np.arange(len(block.first))
-                # Whether the phrase that starts at a word is known, and whether it is fresh.
-                ok = is_new = np.zeros(0, dtype=bool)
-                for level in range(1, deepest + 1):
-                    if level > 1:
-                        at = at[at + level <= len(block.first)]
-                        at = at[block.joined[at + level - 2] & ok[at] & ok[at + 1]]
-                    h1, h2 = block.hashes(at, level)
-                    if level in levels:
-                        chosen = at < block.n
-                        if new and level > 1:
-                            chosen &= is_new[at] | is_new[at + 1]
-                        a, b, own = h1[chosen], h2[chosen], at[chosen]
-                        if len(own):
-                            order, starts = _grouped(a, b)
-                            place = order[starts]
-                            n = np.diff(np.append(starts, len(order)))
-                            phrase = block.phrases(own[place], level)
-                            counts.add(a[place], b[place], n, level, row_lang[block.row[own[place]]], phrase)
-                    if level < deepest and inside:
-                        ok, is_new = (np.zeros(len(block.first) + 1, dtype=bool) for _ in range(2))
-                        ok[at] = inside.has(h1, h2)
-                        if new:
-                            is_new[at] = ok[at] & new.has(h1, h2)
-                if counts.rows > HELD_ROWS:
-                    counts.combined()
-                    if counts.rows > HELD_ROWS // 2:
-                        yield from emitted()
+            combine()
+            for level, found in held.items():
+                if not found:
+                    continue
+                h, n = found[0]
+                # The upper bits give the part, so a part is a range of the sorted hashes.
+                bounds = np.searchsorted((h >> np.uint64(32)) * np.uint64(parts) >> np.uint64(32), np.arange(parts + 1))
+                filled = np.flatnonzero(bounds[1:] > bounds[:-1])
+                spans = [(int(bounds[k]), int(bounds[k + 1])) for k in filled]
+                yield pa.record_batch(
+                    [
+                        pa.array([level] * len(filled), pa.int32()),
+                        pa.array(filled, pa.int32()),
+                        pa.array([h[a:b].tobytes() for a, b in spans], pa.binary()),
+                        pa.array([n[a:b].tobytes() for a, b in spans], pa.binary()),
+                    ],
+                    names=[f.split()[0] for f in PACKED.split(", ")],
+                )
+                held[level] = []
+
+        for block, _ in _blocks(batches, {}):
+            words = h = block.words(0)
+            at = np.arange(len(words))
+            # Whether the phrase that starts at a word is known, and whether it is fresh.
+            ok = is_new = np.zeros(0, dtype=bool)
+            for level in range(1, deepest + 1):
+                if level > 1:
+                    at = at[at + level <= len(words)]
+                    at = at[block.joined[at + level - 2] & ok[at] & ok[at + 1]]
+                    longer = np.zeros(len(words), dtype=np.uint64)
+                    longer[at] = block.longer(at, h, words, level)
+                    h = longer
+                if level in levels:
+                    chosen = at[at < block.n]
+                    if new and level > 1:
+                        chosen = chosen[is_new[chosen] | is_new[chosen + 1]]
+                    if len(chosen):
+                        found = np.sort(h[chosen])
+                        starts = np.flatnonzero(np.append(True, found[1:] != found[:-1]))
+                        held[level].append((found[starts], np.diff(np.append(starts, len(found)))))
+                        rows += len(starts)
+                if level < deepest and inside:
+                    ok, is_new = (np.zeros(len(words) + 1, dtype=bool) for _ in range(2))
+                    ok[at] = inside.has(h[at])
+                    if new:
+                        is_new[at] = ok[at] & new.has(h[at])
+            if rows > HELD_ROWS:
+                rows = combine()
+                if rows > HELD_ROWS // 2:
+                    yield from emitted()
+                    rows = 0
         yield from emitted()
-        if words:
-            zero = [0] * len(words)
-            names = list(languages)
-            columns = ([names[k] for k in words], [""] * len(words), zero, zero, zero, list(words.values()))
-            kinds = (pa.string(), pa.string(), pa.int32(), pa.int64(), pa.int64(), pa.int64())
-            yield pa.record_batch(
-                [pa.array(c, k) for c, k in zip(columns, kinds, strict=True)],
-                names=[f.split()[0] for f in COUNTED.split(", ")],
-            )
 
-    rows = docs.select("lang", "text").mapInArrow(counted, COUNTED)
-    # Hashes follow from the phrase and its language.
-    return rows.groupBy("lang", "phrase", "level").agg(
-        F.min("h1").alias("h1"), F.min("h2").alias("h2"), F.sum("n").alias("f")
-    )
+    def merged(table: pa.Table) -> pa.Table:
+        h, n = (np.frombuffer(b"".join(table[c].to_pylist()), dtype=t) for c, t in (("h", np.uint64), ("n", np.int64)))
+        h, n = _summed(h, n)
+        h = h[n >= least].view(np.int64)
+        level = table["level"][0].as_py() if table.num_rows else 0
+        return pa.table({"level": pa.array([level] * len(h), pa.int32()), "h": pa.array(h)})
 
+    rows = docs.select("lang", "text").mapInArrow(packed, PACKED)
+    return rows.groupBy("level", "part").applyInArrow(merged, "level int, h long")
 
-def propose(docs: DataFrame) -> DataFrame:
-    """(lang, phrase, level, h1, h2) that are frequent in a sample of the documents, level by level."""
+
+def propose(docs: DataFrame, parts: int) -> DataFrame:
+    """(level, h) of the phrases that are frequent in a sample of the documents, level by level."""
     spark = docs.sparkSession
     path = scratch_path(spark, "sample")
     docs.filter(F.pmod(F.col("place"), F.lit(SAMPLE_ONE_IN)) == 0).write.parquet(path)
     sample = spark.read.parquet(path)
-    known, proposed = None, None
-    for level in range(1, LONGEST):
-        found = count_phrases(sample, [level], known, None).filter((F.col("level") > 0) & (F.col("f") >= SAMPLE_LEAST))
-        found = checkpointed(found.drop("f"))
-        proposed = found if proposed is None else proposed.unionByName(found)
-        rows = found.count()
-        if not rows:
+    proposed = checkpointed(tally(sample, [1], None, None, SAMPLE_LEAST, parts))
+    for level in range(2, LONGEST):
+        found = checkpointed(tally(sample, [level], Filter.of(proposed), None, SAMPLE_LEAST, parts))
+        if not has_rows(found):
             break
-        # Words decide about pairs, pairs about threes, so earlier levels stay in the filter.
-        known = Filter.of(proposed, proposed.count())
+        proposed = proposed.unionByName(found)
     return proposed
 
 
+def candidates(docs: DataFrame, least: int, parts: int) -> DataFrame:
+    """(level, h) of all phrases that stand at least so often, and perhaps of a few more."""
+    proposed = propose(docs, parts)
+    found = checkpointed(tally(docs, list(range(1, LONGEST + 1)), Filter.of(proposed), None, least, parts))
+    # Those found later stay fresh to the end: what a false entry of a filter hid becomes reachable.
+    fresh = last = checkpointed(found.filter(F.col("level") < LONGEST).join(proposed.select("h"), "h", "left_anti"))
+    while has_rows(last):
+        shortest = fresh.agg(F.min("level")).first()[0] + 1
+        levels = list(range(shortest, LONGEST + 1))
+        counted = tally(docs, levels, Filter.of(found), Filter.of(fresh), least, parts)
+        added = checkpointed(counted.join(found.select("h"), "h", "left_anti"))
+        found, last = found.unionByName(added), added.filter(F.col("level") < LONGEST)
+        fresh = fresh.unionByName(last)
+    return found
+
+
+def count_exactly(docs: DataFrame, wanted: Filter) -> DataFrame:
+    """(lang, phrase, level, f) of all phrases that are wanted; level 0 is the number of words."""
+    held = docs.sparkSession.sparkContext.broadcast(wanted.slots)
+
+    def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        inside = Filter(held.value)
+        languages: dict[str, int] = {}
+        words: dict[int, int] = {}
+        parts: list[tuple] = []
+        rows = 0
+        names = [f.split()[0] for f in COUNTED.split(", ")]
+
+        def combine() -> int:
+            # Equal phrases have equal pairs of hashes; a pair's rows may end up as several, which add up later.
+            h1, h2, n, level, lang = (np.concatenate(c) for c in list(zip(*parts, strict=True))[:5])
+            phrases = pa.concat_arrays([p[5] for p in parts])
+            order, starts = _pairs(h1, h2)
+            first = order[starts]
+            sums = np.add.reduceat(n[order], starts)
+            parts[:] = [(h1[first], h2[first], sums, level[first], lang[first], phrases.take(pa.array(first)))]
+            return len(first)
+
+        def emitted() -> Iterator[pa.RecordBatch]:
+            if parts:
+                combine()
+                _, _, n, level, lang, phrases = parts[0]
+                named = pa.array(list(languages), pa.string())
+                for at in range(0, len(n), EMITTED_ROWS):
+                    to = slice(at, at + EMITTED_ROWS)
+                    text = phrases[at : at + EMITTED_ROWS].cast(pa.string())
+                    columns = [named.take(pa.array(lang[to])), text, pa.array(level[to]), pa.array(n[to])]
+                    yield pa.record_batch(columns, names=names)
+                parts.clear()
+
+        for block, row_lang in _blocks(batches, languages):
+            lang = row_lang[block.row]
+            for k, n in enumerate(np.bincount(lang[: block.n])):
+                words[k] = words.get(k, 0) + int(n)
+            single = one, two = block.words(0), block.words(1)
+            at, ok = np.arange(len(one)), np.zeros(0, dtype=bool)
+            for level in range(1, LONGEST + 1):
+                if level > 1:
+                    at = at[at + level <= len(one)]
+                    at = at[block.joined[at + level - 2] & ok[at] & ok[at + 1]]
+                    longer = np.zeros((2, len(one)), dtype=np.uint64)
+                    for k, h in enumerate((one, two)):
+                        longer[k, at] = block.longer(at, h, single[k], level)
+                    one, two = longer
+                at = at[inside.has(one[at])]
+                ok = np.zeros(len(one) + 1, dtype=bool)
+                ok[at] = True
+                own = at[at < block.n]
+                if len(own):
+                    order, starts = _pairs(one[own], two[own])
+                    n, own = np.diff(np.append(starts, len(order))), own[order[starts]]
+                    levels = np.full(len(own), level, dtype=np.int32)
+                    parts.append((one[own], two[own], n, levels, lang[own], block.phrases(own, level)))
+                    rows += len(own)
+            if rows > HELD_ROWS:
+                rows = combine()
+                if rows > HELD_ROWS // 2:
+                    yield from emitted()
+                    rows = 0
+        yield from emitted()
+        if words:
+            by_name = list(languages)
+            columns = ([by_name[k] for k in words], [""] * len(words), [0] * len(words), list(words.values()))
+            kinds = (pa.string(), pa.string(), pa.int32(), pa.int64())
+            yield pa.record_batch([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=names)
+
+    rows = docs.select("lang", "text").mapInArrow(counted, COUNTED)
+    return rows.groupBy("lang", "phrase", "level").agg(F.sum("n").alias("f"))
+
+
+def _pairs(h1: np.ndarray, h2: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """An order in which equal pairs stand together, and where each run of them starts.
+
+    Pairs that share the first hash alone may be split into several runs.
+    """
+    order = np.argsort(h1)
+    a, b = h1[order], h2[order]
+    new = np.ones(len(order), dtype=bool)
+    new[1:] = (a[1:] != a[:-1]) | (b[1:] != b[:-1])
+    return order, np.flatnonzero(new)
+
+
 def frequent(docs: DataFrame, least: int = LEAST) -> tuple[DataFrame, DataFrame]:
-    """(lang, phrase, level, h1, h2, f) of all phrases that stand at least so often, and (lang, n)."""
+    """(lang, phrase, level, f) of all phrases that stand at least so often, and (lang, n)."""
     docs = docs.select(
         F.coalesce(F.col("lang").cast("string"), F.lit("und")).alias("lang"),
         F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"),
         F.xxhash64(*[F.col(c) for c in docs.columns if c in ("doc_id", "text")]).alias("place"),
     )
-    keys = ["lang", "phrase"]
-    proposed = propose(docs)
-    known = Filter.of(proposed, proposed.count())
-    counted = count_phrases(docs, list(range(1, LONGEST + 1)), known, None)
-    first = checkpointed(counted.filter((F.col("level") == 0) | (F.col("f") >= least)))
-    words = first.filter("level = 0").select("lang", F.col("f").alias("n"))
-    found = first.filter("level > 0")
-    # Those found later stay fresh to the end: what a false entry of a filter hid becomes reachable.
-    fresh = last = checkpointed(found.filter(F.col("level") < LONGEST).join(proposed.select(*keys), keys, "left_anti"))
-    while has_rows(last):
-        shortest = fresh.agg(F.min("level")).first()[0] + 1
-        known, new = Filter.of(found, found.count()), Filter.of(fresh, fresh.count())
-        counted = count_phrases(docs, list(range(shortest, LONGEST + 1)), known, new)
-        added = counted.filter((F.col("level") > 0) & (F.col("f") >= least)).join(found.select(*keys), keys, "left_anti")
-        added = checkpointed(added)
-        found, last = found.unionByName(added), added.filter(F.col("level") < LONGEST)
-        fresh = fresh.unionByName(last)
-    return found, words
+    size = docs.agg(F.sum(F.octet_length("text")).alias("n")).first()["n"] or 0
+    wanted = Filter.of(candidates(docs, least, 1 + size // PART_BYTES))
+    counted = count_exactly(docs, wanted)
+    counted = checkpointed(counted.filter((F.col("level") == 0) | (F.col("f") >= least)))
+    words = counted.filter("level = 0").select("lang", F.col("f").alias("n"))
+    return counted.filter("level > 0"), words
 
 
 def collocations(docs: DataFrame, least: int = LEAST, top: int = TOP) -> DataFrame:
     """(lang, rank, phrase, a, l, r, n, score): the first phrases of each language."""
     found, words = frequent(docs, least)
-    found = found.select("lang", "phrase", "level", "f")
-    candidates = found.filter("level > 1").withColumn("words", F.split("phrase", " ", -1))
+    longer_than_one = found.filter("level > 1").withColumn("words", F.split("phrase", " ", -1))
 
     def part(start, length):
         return F.array_join(F.slice("words", start, length), " ")
 
     k = F.col("k")
-    cuts = candidates.withColumn("k", F.explode(F.sequence(F.lit(1), F.col("level") - 1)))
+    cuts = longer_than_one.withColumn("k", F.explode(F.sequence(F.lit(1), F.col("level") - 1)))
     cuts = cuts.select(
         "lang", "phrase", F.col("f").alias("a"), "k",
         part(F.lit(1), k).alias("first"), part(k + 1, F.col("level") - k).alias("rest"),
@@ -356,7 +447,7 @@ def collocations(docs: DataFrame, least: int = LEAST, top: int = TOP) -> DataFra
     )
 
     lengths = F.sequence(F.lit(2), F.col("level") - 1)
-    inner = candidates.filter("level > 2").select(
+    inner = longer_than_one.filter("level > 2").select(
         "lang",
         "f",
         F.explode(

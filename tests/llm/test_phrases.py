@@ -62,15 +62,16 @@ def test_documents(spark, rows):
 def test_nothing_proposed_is_found_in_further_passes(spark, rows, monkeypatch):
     monkeypatch.setattr(phrases, "SAMPLE_LEAST", 10**9)
     passes = []
-    real = phrases.count_phrases
-    monkeypatch.setattr(phrases, "count_phrases", lambda d, levels, *f: passes.append(levels) or real(d, levels, *f))
+    real = phrases.tally
+    monkeypatch.setattr(phrases, "tally", lambda d, levels, *f: passes.append(levels) or real(d, levels, *f))
     assert mined(spark, rows) == brute(rows)
-    assert passes[0] == [1] and passes[1:] == [[1, 2, 3, 4], *[[2, 3, 4]] * 3]
+    assert passes[0] == [1] and passes[2:] == [[1, 2, 3, 4], *[[2, 3, 4]] * 3]
 
 
 def test_full_filters_small_blocks_and_heavy_parts(spark, rows, monkeypatch):
     monkeypatch.setattr(phrases, "FILTER_BITS", (64, 1024))
     monkeypatch.setattr(phrases, "HELD_ROWS", 2000)
+    monkeypatch.setattr(phrases, "PART_BYTES", 1000)
     monkeypatch.setattr(texts, "BLOCK_BYTES", 300)
     monkeypatch.setattr(joins, "fits_broadcast", lambda df: False)
     monkeypatch.setattr(joins, "HEAVY_ROWS", 20)
