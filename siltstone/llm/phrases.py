@@ -41,7 +41,8 @@ FILTER_BITS = (1 << 16, 1 << 27)
 BITS_PER_PHRASE = 16
 # Text whose phrases a part of the hash space has on average, all in one task.
 PART_BYTES = 1 << 25
-HELD_ROWS = 1 << 20
+# A task sends what it holds when, added up, it is over three quarters of this; with texts, of half of it.
+HELD_ROWS = 1 << 21
 EMITTED_ROWS = 1 << 16
 SALTS = 64
 
@@ -273,7 +274,7 @@ def tally(
                         is_new[at] = ok[at] & new.has(h[at])
             if rows > HELD_ROWS:
                 rows = combine()
-                if rows > HELD_ROWS // 2:
+                if rows > HELD_ROWS * 3 // 4:
                     yield from emitted()
                     rows = 0
         yield from emitted()
@@ -378,9 +379,9 @@ def count_exactly(docs: DataFrame, wanted: Filter) -> DataFrame:
                     levels = np.full(len(own), level, dtype=np.int32)
                     parts.append((one[own], two[own], n, levels, lang[own], block.phrases(own, level)))
                     rows += len(own)
-            if rows > HELD_ROWS:
+            if rows > HELD_ROWS // 2:
                 rows = combine()
-                if rows > HELD_ROWS // 2:
+                if rows > HELD_ROWS * 3 // 8:
                     yield from emitted()
                     rows = 0
         yield from emitted()
@@ -408,7 +409,7 @@ def _pairs(h1: np.ndarray, h2: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 def frequent(docs: DataFrame, least: int = LEAST) -> tuple[DataFrame, DataFrame]:
     """(lang, phrase, level, f) of all phrases that stand at least so often, and (lang, n)."""
-    docs = docs.select(
+    docs = texts.bound_batches(docs).select(
         F.coalesce(F.col("lang").cast("string"), F.lit("und")).alias("lang"),
         F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"),
         F.xxhash64(*[F.col(c) for c in docs.columns if c in ("doc_id", "text")]).alias("place"),
