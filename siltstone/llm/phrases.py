@@ -23,6 +23,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -58,7 +59,7 @@ _LANES = np.random.default_rng(23).integers(0, 1 << 64, (2, 256), dtype=np.uint6
 _STEP = np.uint64(0x9FB21C651E98DF25)
 
 PACKED = "level int, part int, h binary, n binary"
-COUNTED = "lang string, phrase string, level int, n long"
+SENT = "part int, rows binary"
 
 
 class Filter:
@@ -231,8 +232,7 @@ def tally(
                 if not found:
                     continue
                 h, n = found[0]
-                # The upper bits give the part, so a part is a range of the sorted hashes.
-                bounds = np.searchsorted((h >> np.uint64(32)) * np.uint64(parts) >> np.uint64(32), np.arange(parts + 1))
+                bounds = np.searchsorted(_part(h, parts), np.arange(parts + 1))
                 filled = np.flatnonzero(bounds[1:] > bounds[:-1])
                 spans = [(int(bounds[k]), int(bounds[k + 1])) for k in filled]
                 yield pa.record_batch(
@@ -321,39 +321,40 @@ def candidates(docs: DataFrame, least: int, parts: int) -> DataFrame:
     return found
 
 
-def count_exactly(docs: DataFrame, wanted: Filter) -> DataFrame:
-    """(lang, phrase, level, f) of all phrases that are wanted; level 0 is the number of words."""
+def count_exactly(docs: DataFrame, wanted: Filter, least: int, parts: int) -> DataFrame:
+    """(lang, phrase, level, f) of all phrases that are wanted and stand at least so often; level 0 is
+    the number of words.
+    """
     held = docs.sparkSession.sparkContext.broadcast(wanted.slots)
+    columns = [("lang", pa.string()), ("phrase", pa.large_string()), ("level", pa.int32()), ("n", pa.int64())]
+    sent = pa.schema(columns)
+    result = pa.schema([columns[0], ("phrase", pa.string()), columns[2], ("f", pa.int64())])
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         inside = Filter(held.value)
         languages: dict[str, int] = {}
         words: dict[int, int] = {}
-        parts: list[tuple] = []
+        found: list[tuple] = []
         rows = 0
-        names = [f.split()[0] for f in COUNTED.split(", ")]
 
         def combine() -> int:
             # Equal phrases have equal pairs of hashes; a pair's rows may end up as several, which add up later.
-            h1, h2, n, level, lang = (np.concatenate(c) for c in list(zip(*parts, strict=True))[:5])
-            phrases = pa.concat_arrays([p[5] for p in parts])
+            h1, h2, n, level, lang = (np.concatenate(c) for c in list(zip(*found, strict=True))[:5])
+            phrases = pa.concat_arrays([p[5] for p in found])
             order, starts = _pairs(h1, h2)
             first = order[starts]
             sums = np.add.reduceat(n[order], starts)
-            parts[:] = [(h1[first], h2[first], sums, level[first], lang[first], phrases.take(pa.array(first)))]
+            found[:] = [(h1[first], h2[first], sums, level[first], lang[first], phrases.take(pa.array(first)))]
             return len(first)
 
         def emitted() -> Iterator[pa.RecordBatch]:
-            if parts:
+            if found:
                 combine()
-                _, _, n, level, lang, phrases = parts[0]
-                named = pa.array(list(languages), pa.string())
-                for at in range(0, len(n), EMITTED_ROWS):
-                    to = slice(at, at + EMITTED_ROWS)
-                    text = phrases[at : at + EMITTED_ROWS].cast(pa.string())
-                    columns = [named.take(pa.array(lang[to])), text, pa.array(level[to]), pa.array(n[to])]
-                    yield pa.record_batch(columns, names=names)
-                parts.clear()
+                h1, _, n, level, lang, phrases = found[0]
+                named = pa.array(list(languages), pa.string()).take(pa.array(lang))
+                whole = pa.table([named, phrases, pa.array(level), pa.array(n)], schema=sent)
+                yield from _packed(whole, np.searchsorted(_part(h1, parts), np.arange(parts + 1)))
+                found.clear()
 
         for block, row_lang in _blocks(batches, languages):
             lang = row_lang[block.row]
@@ -377,7 +378,7 @@ def count_exactly(docs: DataFrame, wanted: Filter) -> DataFrame:
                     order, starts = _pairs(one[own], two[own])
                     n, own = np.diff(np.append(starts, len(order))), own[order[starts]]
                     levels = np.full(len(own), level, dtype=np.int32)
-                    parts.append((one[own], two[own], n, levels, lang[own], block.phrases(own, level)))
+                    found.append((one[own], two[own], n, levels, lang[own], block.phrases(own, level)))
                     rows += len(own)
             if rows > HELD_ROWS // 2:
                 rows = combine()
@@ -386,13 +387,36 @@ def count_exactly(docs: DataFrame, wanted: Filter) -> DataFrame:
                     rows = 0
         yield from emitted()
         if words:
-            by_name = list(languages)
-            columns = ([by_name[k] for k in words], [""] * len(words), [0] * len(words), list(words.values()))
-            kinds = (pa.string(), pa.string(), pa.int32(), pa.int64())
-            yield pa.record_batch([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=names)
+            names = list(languages)
+            totals = [[names[k] for k in words], [""] * len(words), [0] * len(words), list(words.values())]
+            whole = pa.table([pa.array(c, kind) for c, (_, kind) in zip(totals, columns, strict=True)], schema=sent)
+            yield from _packed(whole, np.append(0, np.full(parts, len(words))))
+
+    def merged(table: pa.Table) -> pa.Table:
+        whole = pa.concat_tables([pa.ipc.open_stream(rows).read_all() for rows in table["rows"].to_pylist()])
+        sums = whole.group_by(["lang", "phrase", "level"]).aggregate([("n", "sum")])
+        sums = sums.filter((pc.field("level") == 0) | (pc.field("n_sum") >= least))
+        return sums.select(["lang", "phrase", "level", "n_sum"]).rename_columns(result.names).cast(result)
+
+    rows = docs.select("lang", "text").mapInArrow(counted, SENT)
+    return rows.groupBy("part").applyInArrow(merged, "lang string, phrase string, level int, f long")
+
+
+def _part(h: np.ndarray, parts: int) -> np.ndarray:
+    """The part of the hash space, by the upper bits, so that parts are ranges of sorted hashes."""
+    return (h >> np.uint64(32)) * np.uint64(parts) >> np.uint64(32)
+
 
-    rows = docs.select("lang", "text").mapInArrow(counted, COUNTED)
-    return rows.groupBy("lang", "phrase", "level").agg(F.sum("n").alias("f"))
+def _packed(whole: pa.Table, bounds: np.ndarray) -> Iterator[pa.RecordBatch]:
+    """(part, rows): per part a compressed stream of its rows of ``whole``."""
+    filled = np.flatnonzero(bounds[1:] > bounds[:-1])
+    rows = []
+    for k in filled:
+        sink = pa.BufferOutputStream()
+        with pa.ipc.new_stream(sink, whole.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as stream:
+            stream.write_table(whole.slice(bounds[k], bounds[k + 1] - bounds[k]))
+        rows.append(sink.getvalue().to_pybytes())
+    yield pa.record_batch([pa.array(filled, pa.int32()), pa.array(rows, pa.binary())], names=["part", "rows"])
 
 
 def _pairs(h1: np.ndarray, h2: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -415,9 +439,8 @@ def frequent(docs: DataFrame, least: int = LEAST) -> tuple[DataFrame, DataFrame]
         F.xxhash64(*[F.col(c) for c in docs.columns if c in ("doc_id", "text")]).alias("place"),
     )
     size = docs.agg(F.sum(F.octet_length("text")).alias("n")).first()["n"] or 0
-    wanted = Filter.of(candidates(docs, least, 1 + size // PART_BYTES))
-    counted = count_exactly(docs, wanted)
-    counted = checkpointed(counted.filter((F.col("level") == 0) | (F.col("f") >= least)))
+    parts = 1 + size // PART_BYTES
+    counted = checkpointed(count_exactly(docs, Filter.of(candidates(docs, least, parts)), least, parts))
     words = counted.filter("level = 0").select("lang", F.col("f").alias("n"))
     return counted.filter("level > 0"), words
 
