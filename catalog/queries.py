@@ -34,6 +34,7 @@ from siltstone.sinks.bronze import land_array_documents, land_frame, land_record
 from siltstone.sinks.layers import write_gold, write_silver
 from siltstone.sources import layers, pages, records
 from siltstone.spec import LOCATIONS
+from siltstone.versions import current
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -409,7 +410,7 @@ def dq_totals_consistent(spark: SparkSession, sf_dir: str) -> DataFrame:
     bronze_to_silver(spark, bronze, silver, LOCATIONS)
     silver_to_gold(spark, silver, gold, LOCATIONS)
     return quality.totals(
-        spark.read.text(bronze),
+        records.record_lines(spark, bronze),
         layers.read_silver(spark, silver, LOCATIONS),
         layers.read_gold(spark, gold, LOCATIONS),
         LOCATIONS,
@@ -430,7 +431,7 @@ def dq_required_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "bronze")
     land_record_text(as_records(events, keep_nulls=False), path)
     expected = ["event_id", "event_type", "value", "country"]
-    return records.key_presence(spark.read.text(path), expected)
+    return records.key_presence(records.record_lines(spark, path), expected)
 
 
 @query
@@ -446,7 +447,7 @@ def dq_layout(spark: SparkSession, sf_dir: str) -> DataFrame:
     # A leaf whose file holds no row.
     rows = layers.read_silver(spark, path, LOCATIONS).drop(*LOCATIONS.clean_keys)
     empty = rows.filter("id is null").coalesce(1)
-    empty.write.parquet(f"{path}/state_clean=A/city_clean=no rows + 100%25")
+    empty.write.parquet(f"{current(spark, path)}/state_clean=A/city_clean=no rows + 100%25")
     return quality.layout(spark, path, LOCATIONS)
 
 

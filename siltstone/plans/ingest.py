@@ -15,7 +15,7 @@ def ingest_bronze(
     arrays: bool = False,
     progress_path: str | None = None,
 ) -> LayerStatus:
-    """Check and parse the responses, then replace the raw layer. A failure leaves it untouched.
+    """Check and parse the responses, then replace the raw layer. A failure at any point leaves it untouched.
 
     The raw layer holds a record per line, or with ``arrays`` array documents. Under
     ``progress_path`` goes a table of the records per page and the records so far.

@@ -17,6 +17,7 @@ from siltstone.sources.records import (
     read_json_arrays,
     read_json_lines,
     read_union_of_keys,
+    record_lines,
 )
 from siltstone.spec import LayerSpec
 
@@ -36,7 +37,7 @@ def read_bronze(
         missing = [c for c in spec.columns if found and c not in found]
     else:
         records = read_json_lines(spark, path, spec.bronze_schema)
-        missing = missing_keys(spark.read.text(path), spec.columns)
+        missing = missing_keys(record_lines(spark, path), spec.columns)
     if missing:
         raise MissingColumnsError(f"no record has: {', '.join(missing)}")
     return records

@@ -1,4 +1,4 @@
-"""Landing raw records. All writers replace what was there."""
+"""Landing raw records. All writers replace what was there, once all of it is written."""
 
 from __future__ import annotations
 
@@ -7,9 +7,11 @@ from collections.abc import Iterator
 
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
+from siltstone.versions import replace
+
 # Without these, null keys vanish and times lose their microseconds.
 _LOSSLESS = {
     "ignoreNullFields": "false",
@@ -30,12 +32,18 @@ def _bytes(size: str) -> int:
 
 def land_record_text(records: DataFrame, path: str) -> None:
     """Write JSON text (column ``record``) as it is, one record per line."""
-    records.select("record").write.mode("overwrite").text(path)
+    rows = Observation()
+
+    def whole(folder: str) -> int:
+        records.select("record").observe(rows, F.count(F.lit(1)).alias("n")).write.text(folder)
+        return rows.get["n"]
+
+    replace(records.sparkSession, path, whole)
 
 
 def land_frame(df: DataFrame, path: str) -> None:
     """Write a frame as one JSON record per line, nulls included."""
-    df.write.mode("overwrite").options(**_LOSSLESS).json(path)
+    replace(df.sparkSession, path, df.write.options(**_LOSSLESS).json)
 
 
 def land_array_documents(records: DataFrame, path: str) -> None:
@@ -65,4 +73,4 @@ def land_array_documents(records: DataFrame, path: str) -> None:
         yield lines("", pa.array(["]"]))
 
     dealt = records.select("record").repartition(documents)
-    dealt.mapInArrow(bracketed, "value string").write.mode("overwrite").text(path)
+    replace(spark, path, dealt.mapInArrow(bracketed, "value string").write.text)

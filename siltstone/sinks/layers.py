@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from siltstone.runtime import checkpointed, fits_broadcast, path_exists
 from siltstone.spec import LayerSpec
+from siltstone.versions import amend, current, replace, versions
 
 # Fixed value: the directory Spark gives to empty keys. A key that is spelled so goes there too.
 _EMPTY_KEY = "__HIVE_DEFAULT_PARTITION__"
@@ -57,7 +58,8 @@ def write_silver(
     (all above so many rows) are found first, by one more pass over the keys, and shuffled in
     pieces of so many rows.
 
-    The whole dataset is replaced, or, with ``keep_other_leaves``, only the leaves in ``df``.
+    The whole dataset is replaced by a new version, or, with ``keep_other_leaves``, only the leaves in
+    ``df`` within the present one. A write that fails before it commits changes neither.
     """
     rows = Observation()
     keyed = df.replace(_EMPTY_KEY, "", subset=list(spec.clean_keys))
@@ -69,24 +71,40 @@ def write_silver(
     # Counted behind the shuffle: there, a task that runs again does not count twice.
     sums = [F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in helpers]
     counted = balanced.observe(rows, F.count(F.lit(1)).alias("n_rows"), *sums).drop(*helpers)
-    (
-        counted.write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic" if keep_other_leaves else "static")
-        .partitionBy(*spec.clean_keys)
-        .parquet(path)
-    )
-    if keep_other_leaves:
+    spark, writer = df.sparkSession, counted.write.partitionBy(*spec.clean_keys)
+
+    def whole(folder: str) -> int:
+        writer.parquet(folder)
+        return rows.get["n_rows"]
+
+    def leaves(folder: str) -> None:
+        writer.mode("overwrite").option("partitionOverwriteMode", "dynamic").parquet(folder)
+
+    if keep_other_leaves and versions(spark, path):
+        amend(spark, path, leaves)
+    elif keep_other_leaves and current(spark, path):
+        # A layer without versions stays one.
+        leaves(path)
         # A write of single leaves sets no marker on the whole; adding no rows does.
-        nothing = df.sparkSession.createDataFrame([], df.drop(*helpers).schema)
+        nothing = spark.createDataFrame([], df.drop(*helpers).schema)
         nothing.write.mode("append").partitionBy(*spec.clean_keys).parquet(path)
+    else:
+        replace(spark, path, whole)
     return rows.get
 
 
 def write_gold(df: DataFrame, path: str) -> None:
-    """Replace the aggregated table."""
-    df.write.mode("overwrite").parquet(path)
+    """Replace the aggregated table by a new version; a write that fails leaves the last one."""
+    rows = Observation()
+
+    def whole(folder: str) -> int:
+        df.observe(rows, F.count(F.lit(1)).alias("n")).write.parquet(folder)
+        return rows.get["n"]
+
+    replace(df.sparkSession, path, whole)
 
 
 def is_complete(spark: SparkSession, path: str) -> bool:
-    """Whether a finished write left its marker under ``path``."""
-    return path_exists(spark, f"{path}/_SUCCESS")
+    """Whether a finished write left its manifest under ``path``, or its marker in a layer without versions."""
+    folder = current(spark, path)
+    return folder is not None and (folder != path or path_exists(spark, f"{path}/_SUCCESS"))

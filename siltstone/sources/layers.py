@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from siltstone.runtime import path_exists
 from siltstone.spec import LayerSpec
+from siltstone.versions import current, readable
 
 
 # Fixed value: the directory Spark gives to empty keys.
@@ -19,7 +19,7 @@ def read_silver(spark: SparkSession, path: str, spec: LayerSpec) -> DataFrame:
     The schema is given, so no footer is read to find it and a key such as ``01`` stays text.
     An empty key has the null directory; it reads back as empty text.
     """
-    silver = spark.read.schema(spec.silver_schema).parquet(path)
+    silver = spark.read.schema(spec.silver_schema).parquet(readable(spark, path))
     keys = {k: F.coalesce(F.col(k), F.lit("")) for k in spec.clean_keys}
     return silver.withColumns(keys)
 
@@ -30,14 +30,14 @@ def read_leaf_files(spark: SparkSession, path: str, spec: LayerSpec) -> DataFram
     Directories are walked, not parsed: the files' values count, as ``x/y`` under ``x_y``.
     """
     reader = spark.read.schema(spec.silver_schema).option("recursiveFileLookup", True)
-    files = reader.option("pathGlobFilter", "*.parquet").parquet(path)
+    files = reader.option("pathGlobFilter", "*.parquet").parquet(readable(spark, path))
     return files.select(*spec.columns)
 
 
 def list_leaves(spark: SparkSession, path: str, spec: LayerSpec) -> DataFrame:
     """The directory keys of every leaf that has a data file, from the listing of files alone."""
     files = spark.read.format("binaryFile").option("recursiveFileLookup", True)
-    paths = files.option("pathGlobFilter", "*.parquet").load(path).select("path")
+    paths = files.option("pathGlobFilter", "*.parquet").load(readable(spark, path)).select("path")
     keys = []
     for key in spec.clean_keys:
         written = F.regexp_extract("path", f"/{key}=([^/]*)/", 1)
@@ -49,11 +49,11 @@ def list_leaves(spark: SparkSession, path: str, spec: LayerSpec) -> DataFrame:
 
 def read_merged(spark: SparkSession, path: str) -> DataFrame:
     """Files that differ in columns, as one table with all of them."""
-    return spark.read.option("mergeSchema", True).parquet(path)
+    return spark.read.option("mergeSchema", True).parquet(readable(spark, path))
 
 
 def read_gold(spark: SparkSession, path: str, spec: LayerSpec) -> DataFrame:
-    return spark.read.schema(spec.gold_schema).parquet(path)
+    return spark.read.schema(spec.gold_schema).parquet(readable(spark, path))
 
 
 def read_silver_or_none(
@@ -62,7 +62,7 @@ def read_silver_or_none(
     spec: LayerSpec,
     leaf_files: bool = False,
 ) -> DataFrame | None:
-    """The silver layer in either layout, or None if there is no such path."""
-    if not path_exists(spark, path):
+    """The silver layer in either layout, or None if there is no such path, or no finished version."""
+    if current(spark, path) is None:
         return None
     return (read_leaf_files if leaf_files else read_silver)(spark, path, spec)

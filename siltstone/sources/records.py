@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from siltstone.versions import readable
+
 _PROBE_ROWS = 1000
 
 # Text that does not parse fails; a text value may be as long as a string can be.
@@ -25,13 +27,18 @@ def _wrapped(text: str) -> Column:
     return F.concat(F.lit("["), F.col(text), F.lit("]"))
 
 
+def record_lines(spark: SparkSession, path: str) -> DataFrame:
+    """The raw layer's lines of text, as ``value``."""
+    return spark.read.text(readable(spark, path))
+
+
 def read_json_lines(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """One record per line, splittable. Blank lines are none.
 
     As in all readers here, text that does not parse to its last character fails the query; no
     record turns to nulls or is dropped. A line ``null`` is no record and fails too.
     """
-    lines = spark.read.text(path).filter(F.length(F.trim("value")) > 0)
+    lines = record_lines(spark, path).filter(F.length(F.trim("value")) > 0)
     parsed = lines.select(F.from_json(_wrapped("value"), T.ArrayType(schema), STRICT_JSON).alias("r"))
     return parsed.select(F.inline(_only(F.col("r"), "line")))
 
@@ -42,7 +49,7 @@ def read_json_arrays(spark: SparkSession, path: str, schema: T.StructType) -> Da
     Parsed from the document's text: the multi-line JSON reader goes back to the file for every
     value that is not a string but read as one. Null elements fail the query.
     """
-    documents = spark.read.text(path, wholetext=True).filter(F.length(F.trim("value")) > 0)
+    documents = spark.read.text(readable(spark, path), wholetext=True).filter(F.length(F.trim("value")) > 0)
     shape = T.ArrayType(T.ArrayType(schema))
     parsed = documents.select(F.from_json(_wrapped("value"), shape, STRICT_JSON).alias("d"))
     records = parsed.select(_only(F.col("d"), "document")[0].alias("r"))
@@ -58,7 +65,7 @@ def read_union_of_keys(spark: SparkSession, path: str, arrays: bool = False) ->
     where the keys are known.
     """
     reader = spark.read.options(**STRICT_JSON).option("primitivesAsString", True)
-    schema = reader.option("multiLine", arrays).json(path).schema
+    schema = reader.option("multiLine", arrays).json(readable(spark, path)).schema
     return (read_json_arrays if arrays else read_json_lines)(spark, path, schema)
 
 

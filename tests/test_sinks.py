@@ -18,7 +18,9 @@ from siltstone.sinks.bronze import land_array_documents, land_frame, land_record
 from siltstone.sinks.layers import is_complete, write_gold, write_silver
 from siltstone.sinks.responses import write_responses
 from siltstone.sources.layers import read_silver
+from siltstone.sources.records import record_lines
 from siltstone.spec import LOCATIONS
+from siltstone.versions import current
 
 
 def _keyed(spark, rows):
@@ -30,7 +32,7 @@ def _keyed(spark, rows):
 
 
 def _leaf_files(path):
-    return glob.glob(f"{path}/state_clean=*/city_clean=*/*.parquet")
+    return glob.glob(f"{path}/v*/state_clean=*/city_clean=*/*.parquet")
 
 
 def test_one_file_per_leaf(spark, fresh):
@@ -65,7 +67,7 @@ def test_a_hot_leaf_is_split(spark, fresh, piece_rows):
         assert write_silver(keyed, f"{fresh}/s", LOCATIONS, piece_rows=piece_rows)["n_rows"] == 200_000
     finally:
         spark.conf.set(name, before)
-    assert len(glob.glob(f"{fresh}/s/state_clean=HOT/*/*.parquet")) > 1
+    assert len(glob.glob(f"{fresh}/s/v*/state_clean=HOT/*/*.parquet")) > 1
     silver = read_silver(spark, f"{fresh}/s", LOCATIONS)
     assert silver.columns == [f.name for f in LOCATIONS.silver_schema]
     assert silver.agg(F.countDistinct("id")).first()[0] == 200_000
@@ -120,12 +122,12 @@ def test_landing_keeps_nulls_and_microseconds(spark, fresh):
         "TIMESTAMP '2024-01-02 03:04:05.678901' AS at, named_struct('x', CAST(NULL AS INT)) AS deep"
     )
     land_frame(frame, f"{fresh}/b")
-    lines = [line for f in glob.glob(f"{fresh}/b/*.json") for line in open(f, encoding="utf-8")]
+    lines = [line for f in glob.glob(f"{fresh}/b/v*/*.json") for line in open(f, encoding="utf-8")]
     record = json.loads(lines[0])
     assert record["never"] is None and record["deep"] == {"x": None}
     assert record["seen"] == "2024-01-02T03:04:05.678901"
     assert record["at"].startswith("2024-01-02T03:04:05.678901")
-    back = spark.read.schema(frame.schema).json(f"{fresh}/b")
+    back = spark.read.schema(frame.schema).json(current(spark, f"{fresh}/b"))
     assert back.collect() == frame.collect()
 
 
@@ -134,7 +136,7 @@ def test_array_documents_hold_every_record(spark, fresh):
     records = spark.createDataFrame([(t,) for t in texts], "record string").repartition(3)
     land_array_documents(records, f"{fresh}/a")
     found = []
-    for name in glob.glob(f"{fresh}/a/*.txt"):
+    for name in glob.glob(f"{fresh}/a/v*/*.txt"):
         found += json.load(open(name, encoding="utf-8"))
     assert sorted(found, key=lambda r: r["i"]) == [json.loads(t) for t in texts]
 
@@ -151,14 +153,14 @@ def test_array_documents_are_bounded(spark, fresh):
         land_array_documents(records, f"{fresh}/a")
     finally:
         spark.conf.set(name, before)
-    documents = [json.load(open(f, encoding="utf-8")) for f in glob.glob(f"{fresh}/a/*.txt")]
+    documents = [json.load(open(f, encoding="utf-8")) for f in glob.glob(f"{fresh}/a/v*/*.txt")]
     assert len(documents) >= 20 and max(map(len, documents)) < 3_000
     assert sorted(r["i"] for d in documents for r in d) == list(range(40_000))
 
 
 def test_array_documents_without_records(spark, fresh):
     land_array_documents(spark.createDataFrame([], "record string").coalesce(1), f"{fresh}/a")
-    for name in glob.glob(f"{fresh}/a/*.txt"):
+    for name in glob.glob(f"{fresh}/a/v*/*.txt"):
         if os.path.getsize(name):
             assert json.load(open(name, encoding="utf-8")) == []
 
@@ -166,14 +168,14 @@ def test_array_documents_without_records(spark, fresh):
 def test_text_landing_replaces(spark, fresh):
     for text in ('{"a":1}', '{"b":null}'):
         land_record_text(spark.createDataFrame([(text,)], "record string"), f"{fresh}/b")
-    assert [r["value"] for r in spark.read.text(f"{fresh}/b").collect()] == ['{"b":null}']
+    assert [r["value"] for r in record_lines(spark, f"{fresh}/b").collect()] == ['{"b":null}']
 
 
 def test_gold_is_replaced_and_marked(spark, fresh):
     assert not is_complete(spark, f"{fresh}/g")
     for n in (3, 2):
         write_gold(spark.range(n), f"{fresh}/g")
-    assert spark.read.parquet(f"{fresh}/g").count() == 2
+    assert spark.read.parquet(current(spark, f"{fresh}/g")).count() == 2
     assert is_complete(spark, f"{fresh}/g")
 
 
