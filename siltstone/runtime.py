@@ -14,6 +14,15 @@ BROADCAST_LIMIT_BYTES = 32 * 1024 * 1024
 _ROW_OVERHEAD_BYTES = 64
 
 
+_UNITS = {"b": 1, "k": 1 << 10, "m": 1 << 20, "g": 1 << 30, "t": 1 << 40}
+
+
+def byte_size(size: str) -> int:
+    """Bytes in a setting such as ``64MB``, ``512k`` or ``1048576b``."""
+    number, unit = re.fullmatch(r"(\d+)([bkmgt]?)b?", size.strip().lower()).groups()
+    return int(number) * _UNITS[unit or "b"]
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder all executors see, as the cluster names it in ``spark.checkpoint.dir``."""
     configured = spark.conf.get("spark.checkpoint.dir", None)

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -10,6 +9,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
+from siltstone.runtime import byte_size
 from siltstone.versions import replace
 
 # Without these, null keys vanish and times lose their microseconds.
@@ -21,13 +21,6 @@ _LOSSLESS = {
 
 
 _ADVISORY = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
-_UNITS = {"b": 1, "k": 1 << 10, "m": 1 << 20, "g": 1 << 30, "t": 1 << 40}
-
-
-def _bytes(size: str) -> int:
-    """Bytes in a setting such as ``64MB``, ``512k`` or ``1048576b``."""
-    number, unit = re.fullmatch(r"(\d+)([bkmgt]?)b?", size.strip().lower()).groups()
-    return int(number) * _UNITS[unit or "b"]
 
 
 def land_record_text(records: DataFrame, path: str) -> None:
@@ -55,7 +48,7 @@ def land_array_documents(records: DataFrame, path: str) -> None:
     """
     spark = records.sparkSession
     size = records.agg(F.sum(F.octet_length("record") + 6).alias("n")).first()["n"] or 0
-    documents = max(1, -(-size // _bytes(spark.conf.get(_ADVISORY))))
+    documents = max(1, -(-size // byte_size(spark.conf.get(_ADVISORY))))
 
     def bracketed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def lines(prefix: str, texts: pa.Array) -> pa.RecordBatch:

@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from siltstone.runtime import byte_size
+from siltstone.sources.documents import record_texts
 from siltstone.versions import readable
 
 _PROBE_ROWS = 1000
@@ -39,16 +41,31 @@ def read_json_lines(spark: SparkSession, path: str, schema: T.StructType) -> Dat
     record turns to nulls or is dropped. A line ``null`` is no record and fails too.
     """
     lines = record_lines(spark, path).filter(F.length(F.trim("value")) > 0)
-    parsed = lines.select(F.from_json(_wrapped("value"), T.ArrayType(schema), STRICT_JSON).alias("r"))
+    return _parsed(lines, "value", schema)
+
+
+def _parsed(texts: DataFrame, column: str, schema: T.StructType) -> DataFrame:
+    """The records in a column of texts, one each."""
+    parsed = texts.select(F.from_json(_wrapped(column), T.ArrayType(schema), STRICT_JSON).alias("r"))
     return parsed.select(F.inline(_only(F.col("r"), "line")))
 
 
+def _is_long(spark: SparkSession, path: str) -> bool:
+    """Whether any file is longer than what a task reads; from the listing of files alone."""
+    files = spark.read.format("binaryFile").load(readable(spark, path))
+    longest = files.agg(F.max("length").alias("n")).first()["n"] or 0
+    return longest > byte_size(spark.conf.get("spark.sql.files.maxPartitionBytes"))
+
+
 def read_json_arrays(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """Documents that hold an array of records over many lines. A document is one task's work.
+    """Documents that hold an array of records over many lines. Null elements fail the query.
 
-    Parsed from the document's text: the multi-line JSON reader goes back to the file for every
-    value that is not a string but read as one. Null elements fail the query.
+    Where a file is longer than what Spark gives a task, all are cut into records over many tasks first
+    (see ``documents``). Otherwise a document is one task's work, parsed from the document's text: the multi-line JSON reader goes back to the file for every
+    value that is not a string but read as one.
     """
+    if _is_long(spark, path):
+        return _parsed(record_texts(spark, readable(spark, path)), "record", schema)
     documents = spark.read.text(readable(spark, path), wholetext=True).filter(F.length(F.trim("value")) > 0)
     shape = T.ArrayType(T.ArrayType(schema))
     parsed = documents.select(F.from_json(_wrapped("value"), shape, STRICT_JSON).alias("d"))
@@ -64,6 +81,11 @@ def read_union_of_keys(spark: SparkSession, path: str, arrays: bool = False) ->
     Costs a pass over the whole input to find the keys; pass a schema to the other readers
     where the keys are known.
     """
+    if arrays and _is_long(spark, path):
+        keys = record_texts(spark, readable(spark, path)).select(F.explode(F.json_object_keys("record")).alias("k"))
+        found = sorted(r["k"] for r in keys.distinct().collect())
+        schema = T.StructType([T.StructField(k, T.StringType()) for k in found])
+        return read_json_arrays(spark, path, schema)
     reader = spark.read.options(**STRICT_JSON).option("primitivesAsString", True)
     schema = reader.option("multiLine", arrays).json(readable(spark, path)).schema
     return (read_json_arrays if arrays else read_json_lines)(spark, path, schema)
