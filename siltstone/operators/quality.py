@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, Row, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession, Window
 from pyspark.sql import functions as F
 
 from siltstone.functions.numeric import lenient_double
@@ -12,8 +12,15 @@ from siltstone.runtime import checkpointed, has_rows
 from siltstone.sources.layers import list_leaves, read_silver
 from siltstone.spec import LayerSpec
 
-_HASH, _CLASS = "row_hash", "row_hash_class"
-_CLASSES = 1 << 20
+_HASH, _SLOT, _FILTER_SLOT, _WORD = "row_hash", "row_hash_slot", "row_hash_filter", "row_hash_word"
+# Bits of the filter over suspect hashes: so many a suspect, between these bounds; the upper one is two
+# million words of 64, and holds the broadcast to some tens of MB.
+_BITS_PER_SUSPECT = 16
+_FILTER_BITS = (1 << 20, 1 << 27)
+
+# Subjects that a gate names per check; the others are counted and summed.
+WORST = 100
+_SALTS = 64
 
 REPORT_SCHEMA = "check_name string, subject string, bad_rows bigint, passed boolean"
 
@@ -72,15 +79,22 @@ def duplicate_rows(df: DataFrame) -> DataFrame:
     """Whole rows that occur more than once, with how often. One plan for every size.
 
     Row hashes are counted first, so that the shuffle carries a number per row instead of the row.
-    Rows whose hash is not of a suspect class (the hash modulo ``_CLASSES``, at most so many
-    numbers, a bounded broadcast) then drop before any shuffle; of the rest, those whose hash was
-    seen twice are compared whole.
+    Rows whose hash is not in a bit filter of those seen twice then drop before any shuffle. The filter
+    is sized by the number of suspects and bounded, so it may be broadcast; of a hundred other rows it
+    lets about six pass, more only above eight million suspects. Of the rest, those whose hash was seen
+    twice are compared whole.
     """
     hashed = df.withColumn(_HASH, F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]))
     suspects = checkpointed(duplicates(hashed, [_HASH]).select(_HASH))
-    hash_class = F.pmod(F.col(_HASH), F.lit(_CLASSES)).cast("int").alias(_CLASS)
-    classes = suspects.select(hash_class).distinct()
-    likely = hashed.select("*", hash_class).join(F.broadcast(classes), _CLASS, "left_semi")
+    bits, wanted = _FILTER_BITS[0], suspects.count() * _BITS_PER_SUSPECT
+    while bits < min(wanted, _FILTER_BITS[1]):
+        bits *= 2
+    bit = F.col(_HASH).bitwiseAND(bits - 1)
+    slot, own = F.shiftright(bit, 6).alias(_SLOT), F.expr(f"shiftleft(1L, cast({_HASH} & 63 as int))")
+    words = suspects.groupBy(slot).agg(F.bit_or(own).alias(_WORD)).withColumnRenamed(_SLOT, _FILTER_SLOT)
+    # Both joins only let rows through, or the optimiser would put the one that shuffles first.
+    passes = (F.col(_SLOT) == F.col(_FILTER_SLOT)) & (F.col(_WORD).bitwiseAND(own) != 0)
+    likely = hashed.select("*", slot).join(F.broadcast(words), passes, "left_semi")
     whole = likely.join(suspects, _HASH, "left_semi").select(*[F.col(f"`{c}`") for c in df.columns])
     return duplicates(whole, whole.columns)
 
@@ -219,19 +233,38 @@ def report_date_range(
     return _report(measured, "date_range", F.lit(column), F.col("out_of_range"), allowed)
 
 
-def gate(*reports: DataFrame) -> DataFrame:
-    """Run the reports and return them as one frame, or raise with those that failed.
+def _worst(report: DataFrame, k: int) -> DataFrame:
+    """At most k + 1 rows per check: its worst subjects, and the sum of all others.
 
-    A report should have one row per check and subject. Reports are summed to that before they come
-    to the driver, so one with a row per data row does no harm.
+    Worked out per salt first, so that no task gets all subjects of a check.
     """
-    summed = [
-        report.groupBy("check_name", "subject").agg(
-            F.sum("bad_rows").alias("bad_rows"), F.bool_and("passed").alias("passed")
+    rows = report.groupBy("check_name", "subject").agg(
+        F.sum("bad_rows").alias("bad_rows"), F.bool_and("passed").alias("passed")
+    )
+    rows = rows.withColumns({"others": F.lit(0).cast("bigint"), "salt": F.pmod(F.xxhash64("subject"), F.lit(_SALTS))})
+    for keys in (["check_name", "salt"], ["check_name"]):
+        order = Window.partitionBy(*keys).orderBy(F.col("others") > 0, "passed", F.desc("bad_rows"), "subject")
+        named = (F.row_number().over(order) <= k) & (F.col("others") == 0)
+        rows = rows.withColumn("named", named).groupBy(
+            *keys, "named", F.when(F.col("named"), F.col("subject")).alias("subject")
+        ).agg(
+            F.sum("bad_rows").alias("bad_rows"),
+            F.bool_and("passed").alias("passed"),
+            F.sum(F.when(F.col("named"), F.lit(0)).otherwise(F.greatest("others", F.lit(1)))).alias("others"),
         )
-        for report in reports
-    ]
-    rows = [row for report in summed for row in report.collect()]
+    subject = F.when(F.col("others") > 0, F.concat("others", F.lit(" more"))).otherwise(F.col("subject"))
+    rows = rows.orderBy("check_name", F.col("others") > 0, "passed", F.desc("bad_rows"), "subject")
+    return rows.select("check_name", subject.alias("subject"), "bad_rows", "passed")
+
+
+def gate(*reports: DataFrame, worst: int = WORST) -> DataFrame:
+    """Run the reports and return them as one frame, or raise with those that failed.
+
+    A report should have one row per check and subject; it is summed to that. Of each check the
+    ``worst`` subjects come to the driver, failed ones first, by bad rows; the others as one row
+    with their number and their sum. So a report with a subject per data row does no harm.
+    """
+    rows = [row for report in reports for row in _worst(report, worst).collect()]
     failed = [row for row in rows if not row["passed"]]
     if failed:
         raise QualityGateError(failed)

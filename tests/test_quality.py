@@ -35,9 +35,9 @@ def test_duplicates(dirty):
     assert [tuple(r) for r in quality.duplicates(dirty, ["id"]).collect()] == [("1", 2)]
 
 
-@pytest.mark.parametrize("classes", [1, 2, quality._CLASSES])
-def test_duplicate_rows_with_nulls_and_special_numbers(spark, monkeypatch, classes):
-    monkeypatch.setattr(quality, "_CLASSES", classes)
+@pytest.mark.parametrize("bits", [(64, 64), (64, 1 << 10), quality._FILTER_BITS])
+def test_duplicate_rows_with_nulls_and_special_numbers(spark, monkeypatch, bits):
+    monkeypatch.setattr(quality, "_FILTER_BITS", bits)
     rng = random.Random(5)
     texts, numbers = ["a", "", None, "b"], [0.0, -0.0, math.nan, None, 1.5, math.inf]
     rows = [(rng.choice(texts), rng.choice(numbers), rng.randrange(4)) for _ in range(300)]
@@ -57,9 +57,9 @@ def test_rows_are_compared_whole_only_on_suspicion(spark, capsys):
     assert found.count() == 0
     found.explain()
     plan = capsys.readouterr().out
-    # Rows meet the suspects' classes before any exchange, and the suspects themselves behind it.
+    # Rows meet the suspects' filter before any exchange, and the suspects themselves behind it.
     assert plan.count("LeftSemi") == 2
-    assert "BroadcastHashJoin [row_hash_class" in plan
+    assert "BroadcastHashJoin [row_hash_slot" in plan
 
 
 def test_types(dirty):
@@ -101,6 +101,52 @@ def test_a_report_with_many_rows_is_summed(spark):
         quality.gate(many)
 
 
+def test_a_report_with_a_subject_per_row_is_bounded(spark):
+    columns = ("'own' as check_name", "concat('s', id) as subject", "id as bad_rows", "id < 199990 as passed")
+    many = spark.range(0, 200_000, 1, 16).selectExpr(*columns)
+    with pytest.raises(quality.QualityGateError) as raised:
+        quality.gate(many, many.withColumn("check_name", F.lit("again")), worst=4)
+    found = [tuple(r)[1:3] for r in raised.value.report if r["check_name"] == "own"]
+    assert found == [("s199999", 199999), ("s199998", 199998), ("s199997", 199997), ("s199996", 199996), ("199996 more", sum(range(199_996)))]
+    assert len(raised.value.report) == 10 and len(str(raised.value)) < 400
+    passing = quality.gate(many.filter("passed"), worst=2).collect()
+    assert [tuple(r)[1:] for r in passing] == [("s199989", 199989, True), ("s199988", 199988, True), ("199988 more", sum(range(199_988)), True)]
+
+
+def test_subjects_may_be_null_or_few(spark):
+    rows = [("a", None, 3, True), ("a", None, 2, True), ("a", "x", 1, True), ("b", "y", 0, True)]
+    report = spark.createDataFrame(rows, quality.REPORT_SCHEMA)
+    assert [tuple(r) for r in quality.gate(report).collect()] == [("a", None, 5, True), ("a", "x", 1, True), ("b", "y", 0, True)]
+    assert quality.gate(report.limit(0)).count() == 0
+
+
+def _rows_into_shuffles(found):
+    """Rows that the filter over suspects reads, and those that it lets into the shuffle."""
+    plan = found._jdf.queryExecution().optimizedPlan()
+    joins = [n for n in _nodes(plan) if n.nodeName() == "Join" and "row_hash_word" in n.condition().toString()]
+    session = found.sparkSession
+    rows = session._jvm.org.apache.spark.sql.classic.Dataset.ofRows
+    count = lambda nodes: sum(rows(session._jsparkSession, n).count() for n in nodes)
+    return count([j.left() for j in joins]), count(joins)
+
+
+def _nodes(plan):
+    yield plan
+    children = plan.children()
+    for k in range(children.size()):
+        yield from _nodes(children.apply(k))
+
+
+def test_rows_drop_before_the_shuffle_among_many_suspects(spark):
+    """Three million suspects; of two million other rows few come behind the filter."""
+    twice = spark.range(0, 6_000_000, 1, 8).selectExpr("id % 3000000 as id")
+    frame = twice.union(spark.range(3_000_000, 5_000_000, 1, 4))
+    found = quality.duplicate_rows(frame)
+    assert found.agg(F.count("*"), F.min("n"), F.max("n")).first()[:3] == (3_000_000, 2, 2)
+    scanned, kept = _rows_into_shuffles(found)
+    assert kept < 6_000_000 + 2_000_000 * 0.07 < scanned
+
+
 def test_non_empty(dirty):
     assert quality.non_empty(dirty, "x").first()["non_empty"] is True
     assert quality.non_empty(dirty.filter("id = '9'"), "x").first()["non_empty"] is False
