@@ -6,8 +6,9 @@ layout, a host and the section (first part of the path) below it; for ``document
 ``source`` and ``lang``. Grouped sums of the documents' own probabilities give the number of good
 ones per section and host. Host rates are shrunk towards the global rate, and section rates towards
 their host's, by beta priors whose strength is fitted by the method of moments, so a site with few
-documents stays near its parent. The final log odds are the section's prior odds plus the document's
-ratio.
+documents stays near its parent. Probabilities and rates are worked out in turn, from the rate among
+the labels on. The final log odds are the section's prior odds, from all its other documents, plus
+the document's ratio; odds of 0 are rejected. A text of any length is worked on in blocks.
 
 The classifier is fitted on at most ``SAMPLE_DOCS`` labelled documents, chosen by hash; site counts
 cover every document. Null text counts as empty, null hosts and sections are sites of their own,
@@ -31,6 +32,9 @@ SAMPLE_DOCS = 6000
 KEEP_ODDS = 0.0
 MAX_STRENGTH = 1000.0
 MAX_RATIO = 12.0
+ROUNDS = 5
+STEP = 0.05
+LEAST_RATE = 1e-6
 _SALTS = 64
 
 # One class per ASCII sign, one each for upper case, lower case, digit, blank, line end, control
@@ -209,26 +213,61 @@ def _strength(sites: DataFrame, rate: Column) -> float:
     return max(mean_within / between - 1, 1.0)
 
 
-def site_posteriors(scored: DataFrame) -> DataFrame:
-    """(host, path, host_rate, path_rate) from rows (host, path, ratio, salt) of all documents."""
-    chance = 1 / (1 + F.exp(-F.col("ratio")))
-    salted = scored.groupBy("host", "path", "salt").agg(
-        F.count("*").alias("n"), F.sum(chance).alias("good")
-    )
-    paths = checkpointed(salted.groupBy("host", "path").agg(F.sum("n").alias("n"), F.sum("good").alias("good")))
-    hosts = paths.groupBy("host").agg(F.sum("n").alias("n"), F.sum("good").alias("good"))
-    total = paths.agg(F.sum("n").alias("n"), F.sum("good").alias("good")).first()
-    overall = (total["good"] + 1.0) / (total["n"] + 2.0) if total["n"] else 0.5
-    a = _strength(hosts, F.lit(overall))
-    rated = hosts.select(
-        F.col("host").alias("h"), ((F.col("good") + a * overall) / (F.col("n") + a)).alias("host_rate")
-    )
-    below = checkpointed(
-        paths.join(rated, F.col("host").eqNullSafe(F.col("h"))).select("host", "path", "n", "good", "host_rate")
+def _chance(rate: Column, ratio: Column) -> Column:
+    """Probability of a good document from its site's rate and its own likelihood ratio."""
+    return 1 / (1 + F.exp(-(_odds(rate) + ratio)))
+
+
+def site_posteriors(scored: DataFrame, start: float = 0.5, rounds: int = ROUNDS) -> DataFrame:
+    """(host, path, n, good, host_n, host_good, host_rate, path_rate, overall, a, b) per site, from
+    rows (host, path, ratio) of all documents.
+
+    Rounds start with every rate at ``start``: documents' probabilities under the present rates are
+    summed per site, and the sums shrunk to new rates. A site is held as the numbers of its documents
+    by ratio, in steps of ``STEP``, so rounds do not look at documents again.
+    """
+    cells = scored.groupBy("host", "path", F.round(F.col("ratio") / STEP).cast("int").alias("cell"))
+    cells = cells.agg(F.count("*").alias("n"))
+    sites = cells.groupBy("host", "path").agg(
+        F.sort_array(F.collect_list(F.struct((F.col("cell") * STEP).alias("ratio"), "n"))).alias("cells"),
+        F.sum("n").alias("n"),
     )
-    b = _strength(below, F.col("host_rate"))
-    rate = (F.col("good") + b * F.col("host_rate")) / (F.col("n") + b)
-    return checkpointed(below.select("host", "path", "host_rate", rate.alias("path_rate")))
+    rated = checkpointed(sites.withColumn("path_rate", F.lit(start)))
+    for _ in range(rounds):
+        good = F.aggregate(
+            "cells", F.lit(0.0), lambda sum_, c: sum_ + c["n"] * _chance(_bounded(F.col("path_rate")), c["ratio"])
+        )
+        # Sums of decimals do not depend on the order of rows.
+        paths = rated.select("host", "path", "cells", "n", good.cast("decimal(28,9)").alias("good"))
+        hosts = checkpointed(paths.groupBy("host").agg(F.sum("n").alias("host_n"), F.sum("good").alias("host_good")))
+        total = hosts.agg(F.sum("host_n").alias("n"), F.sum("host_good").cast("double").alias("good")).first()
+        paths, hosts = (df.withColumn(c, F.col(c).cast("double")) for df, c in ((paths, "good"), (hosts, "host_good")))
+        overall = (total["good"] + start) / (total["n"] + 1.0) if total["n"] else start
+        a = round(_strength(hosts.selectExpr("host_n as n", "host_good as good"), F.lit(overall)), 6)
+        host_rate = (F.col("host_good") + a * overall) / (F.col("host_n") + a)
+        above = hosts.select(F.col("host").alias("h"), "host_n", "host_good", host_rate.alias("host_rate"))
+        below = checkpointed(paths.join(above, F.col("host").eqNullSafe(F.col("h"))).drop("h"))
+        b = round(_strength(below, F.col("host_rate")), 6)
+        rate = (F.col("good") + b * F.col("host_rate")) / (F.col("n") + b)
+        rated = below.withColumns(
+            {"path_rate": rate, "overall": F.lit(overall), "a": F.lit(float(a)), "b": F.lit(float(b))}
+        )
+    return checkpointed(rated.drop("cells"))
+
+
+def _bounded(rate: Column) -> Column:
+    return F.least(F.greatest(rate, F.lit(LEAST_RATE)), F.lit(1 - LEAST_RATE))
+
+
+def _without_own(ratio: Column) -> tuple[Column, Column]:
+    """The host's and the section's rate from all other documents."""
+    own = _chance(_bounded(F.col("path_rate")), ratio)
+    host = (F.col("host_good") - own + F.col("a") * F.col("overall")) / (F.col("host_n") - 1 + F.col("a"))
+    path = (F.col("good") - own + F.col("b") * host) / (F.col("n") - 1 + F.col("b"))
+    return _bounded(host), _bounded(path)
+
+
+_SITE = ("n", "good", "host_n", "host_good", "path_rate", "overall", "a", "b")
 
 
 def _same() -> Column:
@@ -245,7 +284,8 @@ def score(docs: DataFrame, labels: DataFrame, host: Column, path: Column) -> Dat
         evidence_udf(model)(F.col("text")).alias("ratio"),
         F.pmod(F.xxhash64("doc_id", F.length("text")), F.lit(_SALTS)).cast("int").alias("salt"),
     )
-    sites = site_posteriors(rows.select("host", "path", "ratio", "salt"))
+    start = 1 / (1 + np.exp(-model.prior)) if model else 0.5
+    sites = site_posteriors(rows.select("host", "path", "ratio"), float(start))
     if fits_broadcast(sites):
         renamed = F.broadcast(sites.withColumnsRenamed({"host": "h", "path": "p"}))
         return _judged(rows.join(renamed, _same()))
@@ -254,8 +294,7 @@ def score(docs: DataFrame, labels: DataFrame, host: Column, path: Column) -> Dat
     dealt = sites.select(
         F.col("host").alias("h"),
         F.col("path").alias("p"),
-        "host_rate",
-        "path_rate",
+        *_SITE,
         key.alias("k"),
         F.explode(F.sequence(F.lit(0), F.lit(_SALTS - 1))).alias("s"),
     )
@@ -264,12 +303,13 @@ def score(docs: DataFrame, labels: DataFrame, host: Column, path: Column) -> Dat
 
 
 def _judged(joined: DataFrame) -> DataFrame:
-    odds = _odds(F.col("path_rate")) + F.col("ratio")
+    host_rate, path_rate = _without_own(F.col("ratio"))
+    odds = _odds(path_rate) + F.col("ratio")
     return joined.select(
         "doc",
         F.col("ratio").alias("evidence"),
-        "host_rate",
-        "path_rate",
+        host_rate.alias("host_rate"),
+        path_rate.alias("path_rate"),
         (1 / (1 + F.exp(-odds))).alias("quality"),
         (odds > KEEP_ODDS).alias("keep"),
     )

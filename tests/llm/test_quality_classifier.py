@@ -32,7 +32,67 @@ def test_sparse_sites_shrink_towards_their_parents(spark):
     low, high = 1 / (1 + np.exp(3)), 1 / (1 + np.exp(-3))
     assert abs(got["big", "a"]["path_rate"] - low) < 0.05
     assert got["tiny", "a"]["path_rate"] > got["big", "a"]["path_rate"]
-    assert low < got["big", "b"]["path_rate"] < high
+    # All of that section's documents look good, so it is taken to be good, more than each of them says.
+    assert high < got["big", "b"]["path_rate"] < 1
+
+
+def plain_rates(rows, start, rounds):
+    """The rounds site by site."""
+
+    def strength(sites):
+        n, k = sum(s[0] for s in sites), len(sites)
+        within = sum(s[0] * s[2] * (1 - s[2]) for s in sites)
+        if k < 2 or not within:
+            return quality.MAX_STRENGTH
+        spread = sum(s[0] * (s[1] / s[0] - s[2]) ** 2 for s in sites)
+        between = (spread - k * within / n) / max(n - sum(s[0] ** 2 for s in sites) / n, 1e-9)
+        return quality.MAX_STRENGTH if between <= within / n / quality.MAX_STRENGTH else max(within / n / between - 1, 1.0)
+
+    sites = sorted({r[:2] for r in rows})
+    rate = dict.fromkeys(sites, start)
+    for _ in range(rounds):
+        n = {s: sum(r[:2] == s for r in rows) for s in sites}
+        good = dict.fromkeys(sites, 0.0)
+        for host, path, ratio in rows:
+            p = min(max(rate[host, path], quality.LEAST_RATE), 1 - quality.LEAST_RATE)
+            good[host, path] += 1 / (1 + np.exp(-(np.log(p / (1 - p)) + ratio)))
+        hosts = sorted({h for h, _ in sites})
+        host_n = {h: sum(n[s] for s in sites if s[0] == h) for h in hosts}
+        host_good = {h: sum(good[s] for s in sites if s[0] == h) for h in hosts}
+        overall = (sum(good.values()) + start) / (len(rows) + 1)
+        a = strength([(host_n[h], host_good[h], overall) for h in hosts])
+        host_rate = {h: (host_good[h] + a * overall) / (host_n[h] + a) for h in hosts}
+        b = strength([(n[s], good[s], host_rate[s[0]]) for s in sites])
+        rate = {s: (good[s] + b * host_rate[s[0]]) / (n[s] + b) for s in sites}
+    return rate
+
+
+def test_rates_are_those_of_plain_rounds(spark):
+    rng = np.random.default_rng(9)
+    ratios = np.round(rng.normal(0, 2, 400) / quality.STEP) * quality.STEP
+    rows = [(f"h{rng.integers(6)}", f"p{rng.integers(4)}", float(r)) for r in ratios]
+    frame = spark.createDataFrame(rows, "host string, path string, ratio double")
+    got = {(r["host"], r["path"]): r["path_rate"] for r in quality.site_posteriors(frame, 0.8, 4).collect()}
+    want = plain_rates(rows, 0.8, 4)
+    assert got.keys() == want.keys() and all(abs(got[s] - want[s]) < 1e-6 for s in want)
+
+
+def test_texts_without_any_signal_get_the_labelled_rate(spark):
+    docs = spark.range(2000).selectExpr(
+        "id as doc_id", "'the same words in every text of them all' as text", "concat('s', id % 7) as source", "'en' as lang"
+    )
+    labels = docs.selectExpr("doc_id", "cast(doc_id % 200 >= 19 as int) as quality")
+    found = quality.classify(docs, labels).agg(F.avg("quality"), F.avg("host_rate"), F.count_if("keep")).first()
+    assert abs(found[0] - 0.905) < 0.02 and abs(found[1] - 0.905) < 0.02 and found[2] == 2000
+
+
+def test_own_evidence_counts_once(spark):
+    rows = [("big", "a", 0.0)] * 400 + [("other", "a", 0.0)] * 400 + [("single", "a", -4.0)]
+    frame = spark.createDataFrame(rows, "host string, path string, ratio double")
+    sites = quality.site_posteriors(frame, 0.9).filter("host = 'single'").withColumn("ratio", F.lit(-4.0))
+    host, path = quality._without_own(F.col("ratio"))
+    found = sites.select(host.alias("host"), path.alias("path"), "path_rate").first()
+    assert abs(found["host"] - 0.9) < 0.02 and abs(found["path"] - 0.9) < 0.02
 
 
 def test_features_do_not_depend_on_the_batch(sample):
