@@ -3,10 +3,12 @@
 Sizes are summed per source. Sources, by code point with null last, weigh 1, 2, 3, 1, 2, 3, ...;
 they share all sizes by weight, none above ``cap`` times its own size, the excess reshared. A source
 is repeated ``target / size`` times: each of its documents floor(rate) times, and once more if a
-hash of the document, read as a number in [0, 1), is below the fraction.
+hash of its id, source and text, read as a number in [0, 1), is below the fraction. Rows that are equal
+in all three would be drawn alike: they are numbered, per partition of the input, and the extra copies
+spread evenly over the numbers, from a start that the hash gives.
 
-Null text has size 0. Null ids and sources, repeated rows and empty sources are kept; equal rows
-get equal hashes unless their ids differ. An empty table gives no rows. Extra columns pass through
+Null text has size 0, texts may be of any length. Null ids and sources, repeated rows and empty sources
+are kept. An empty table gives no rows. Extra columns pass through
 ``mix`` untouched.
 """
 
@@ -15,7 +17,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from siltstone.runtime import checkpointed, fits_broadcast
+from siltstone.llm.joins import attach
+from siltstone.runtime import checkpointed, fits_broadcast, has_rows
 
 # The weights in turn, and the bound on a target in sizes of its source.
 WEIGHTS = (1, 2, 3)
@@ -29,12 +32,32 @@ def size_of(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(_WORD)), F.lit(0)).cast("long")
 
 
-def drawn(doc_id: Column) -> Column:
-    """A number in [0, 1) from the id alone: the first 32 bits of its MD5."""
-    digest = F.md5(F.concat(F.lit("mix:"), F.coalesce(doc_id.cast("string"), F.lit("null"))))
+def drawn(*parts: Column) -> Column:
+    """A number in [0, 1): the first 32 bits of the parts' MD5."""
+    texts = [F.coalesce(p.cast("string"), F.lit("null")) for p in parts]
+    digest = F.md5(F.concat_ws(":", F.lit("mix"), *texts))
     return F.conv(F.substring(digest, 1, 8), 16, 10).cast("long") / F.lit(float(1 << 32))
 
 
+def _with_extra(rated: DataFrame) -> DataFrame:
+    """``extra``: whether a row gets the one copy that the fraction of its rate is about."""
+    fraction = F.col("rate") - F.floor("rate")
+    counts = rated.groupBy("digest").agg(F.count("*").alias("rows"))
+    repeated = checkpointed(counts.filter("rows > 1"))
+    single = (F.col("draw") < fraction).cast("long")
+    if not has_rows(repeated):
+        return rated.withColumn("extra", single)
+    # Equal rows of one partition are numbered; those of several have starts of their own.
+    marked = attach(rated, repeated.withColumn("again", F.lit(True)), ["digest"], "rows")
+    parted = marked.withColumn("part", F.spark_partition_id())
+    alone = parted.filter("again IS NULL").withColumn("extra", single)
+    among = parted.filter("again IS NOT NULL")
+    nth = F.row_number().over(Window.partitionBy("digest", "part").orderBy("draw"))
+    start = drawn(F.col("digest"), F.col("part"))
+    steps = F.floor(nth * fraction + start) - F.floor((nth - 1) * fraction + start)
+    return alone.unionByName(among.withColumn("extra", steps.cast("long"))).drop("again", "part")
+
+
 def _numbered(sources: DataFrame) -> DataFrame:
     """``sources`` with ``place``, their 0-based position by code point, null last.
 
@@ -96,6 +119,8 @@ def _rated(docs: DataFrame) -> DataFrame:
         F.col("doc_id"),
         F.col("source"),
         size_of(F.col("text")).alias("size"),
+        drawn(F.col("doc_id"), F.col("source"), F.md5(F.coalesce("text", F.lit("")))).alias("draw"),
+        F.xxhash64("doc_id", "source", "text").alias("digest"),
     )
     key = F.coalesce(F.concat(F.lit("="), "source"), F.lit("null")).alias("key")
     plan = checkpointed(targets(sized.select("doc_id", "source", "size")).select(key, "source_size", "target"))
@@ -108,8 +133,7 @@ def _rated(docs: DataFrame) -> DataFrame:
         joined = sized.select("*", key, salt).join(dealt, ["key", "salt"])
     rate = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0))
     joined = joined.withColumn("rate", rate)
-    extra = (drawn(F.col("doc_id")) < F.col("rate") - F.floor("rate")).cast("long")
-    return joined.withColumn("copies", F.floor("rate") + extra)
+    return _with_extra(joined).withColumn("copies", F.floor("rate") + F.col("extra"))
 
 
 def plan_mix(docs: DataFrame) -> DataFrame:

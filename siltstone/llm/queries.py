@@ -161,7 +161,7 @@ SELECT documents.doc_id, n_items, items, round(coverage, 6)::DOUBLE AS coverage,
 FROM documents JOIN per ON per.doc_id IS NOT DISTINCT FROM documents.doc_id AND per.text = documents.text
 """,
     "op5_mixing": """
-WITH sized AS (SELECT doc_id, source,
+WITH sized AS (SELECT doc_id, source, md5(coalesce(text, '')) AS text_key,
     coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)::BIGINT AS size FROM documents),
 sums AS (SELECT source, sum(size)::BIGINT AS source_size,
     row_number() OVER (ORDER BY source NULLS LAST) - 1 AS place FROM sized GROUP BY source),
@@ -179,7 +179,8 @@ plan AS (SELECT source, source_size, CASE WHEN share IS NULL OR cap * weights <=
   FROM weighed LEFT JOIN open ON true),
 rated AS (SELECT doc_id, size, source_size, target,
     CASE WHEN source_size > 0 THEN target / source_size ELSE 0.0 END AS rate,
-    ('0x' || substr(md5('mix:' || coalesce(doc_id::VARCHAR, 'null')), 1, 8))::BIGINT / 4294967296.0::DOUBLE AS drawn
+    ('0x' || substr(md5('mix:' || coalesce(doc_id::VARCHAR, 'null') || ':' || coalesce(sized.source, 'null') || ':'
+      || text_key), 1, 8))::BIGINT / 4294967296.0::DOUBLE AS drawn
   FROM sized JOIN plan ON plan.source IS NOT DISTINCT FROM sized.source)
 SELECT doc_id, size, source_size, target, (size * copies)::BIGINT AS taken, copies
 FROM (SELECT *, floor(rate)::BIGINT + (drawn < rate - floor(rate))::BIGINT AS copies FROM rated)

@@ -72,3 +72,22 @@ def test_odd_rows(odd, empty):
     check(odd)
     assert mixing.mix(odd).columns == odd.columns
     assert mixing.plan_mix(empty).count() == 0 and mixing.mix(empty).count() == 0
+
+
+def taken_of_sevens(docs):
+    """(taken, target) of the source whose documents have seven words."""
+    rows = mixing.plan_mix(docs).collect()
+    return sum(r["taken"] for r in rows if r["size"] == 7), next(r["target"] for r in rows if r["size"] == 7)
+
+
+def test_targets_are_met_without_ids_with_one_id_and_with_equal_rows(spark):
+    other = [(10**6 + k, "x " * 9, None, "b", 0) for k in range(300)]
+    schema = "doc_id long, text string, lang string, source string, n_chars long"
+    for doc_id in (None, 5):
+        for text in ("w{} a b c d e f", "the same a b c d e"):
+            rows = [(doc_id, text.format(k), None, "a", 0) for k in range(500)]
+            docs = spark.createDataFrame(rows + other, schema).repartition(6)
+            taken, target = taken_of_sevens(docs)
+            assert abs(taken / target - 1) < 0.1, (doc_id, text, taken, target)
+            mixed = mixing.mix(docs).filter("source = 'a'").count() * 7
+            assert mixed == taken
