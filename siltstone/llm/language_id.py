@@ -3,8 +3,8 @@
 Pieces are those of a fixed public vocabulary, all of them, and every single byte. Each
 language gives each piece a probability, and a word's probability is the sum over all its
 segmentations, by the forward algorithm. Probabilities come from a few rounds of
-expectation-maximisation over the words of a bounded sample of labelled texts, at most about
-``SAMPLE_DOCS`` per language. A text's log likelihood is the sum over all its words, each distinct
+expectation-maximisation over the words of a bounded sample of different labelled texts, at most about
+``SAMPLE_DOCS`` per language, each language in a task of its own. A text's log likelihood is the sum over all its words, each distinct
 word worked out once per block; with the languages' shares as prior this gives the score, the
 posterior of the language predicted.
 
@@ -22,7 +22,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import sentencepiece
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from siltstone.llm.texts import blocks, bound_batches, flat, lowered, prefix_sums, range_hash, word_spans
@@ -226,36 +226,62 @@ def fit(samples: dict[str, list[str]], pieces: Pieces) -> tuple[list[str], np.nd
     return languages, probs
 
 
-def sample_of(docs: DataFrame) -> dict[str, tuple[int, list[str]]]:
-    """Per language, the number of labelled texts and a bounded sample of them, chosen by hash."""
+def sample_of(docs: DataFrame) -> DataFrame:
+    """(lang, n, chance, text): per language a bounded sample of its different labelled texts, chosen
+    by hash, each with the number of all its labelled rows.
+    """
     learn = docs.filter(~held_out(F.col("doc_id")) & F.col("lang").isNotNull() & F.col("text").isNotNull())
-    per_language = learn.groupBy("lang").agg(F.count("*").alias("n"))
-    per_language = checkpointed(per_language)
-    counts = {r["lang"]: r["n"] for r in per_language.collect()}
-    if not counts:
-        return {}
-    shares = per_language.select("lang", F.least(F.lit(1.0), F.lit(float(SAMPLE_DOCS)) / F.col("n")).alias("share"))
-    if fits_broadcast(per_language):
+    hashed = learn.select("lang", "text", F.xxhash64("doc_id", "text").alias("h"))
+    # A document that stands often is one; so copies neither fill the sample nor thin it out.
+    copies = hashed.groupBy("lang", "h").agg(F.count("*").alias("n"))
+    sizes = checkpointed(copies.groupBy("lang").agg(F.sum("n").alias("n"), F.count("*").alias("different")))
+    share = F.least(F.lit(1.0), F.lit(float(SAMPLE_DOCS)) / F.col("different"))
+    shares = sizes.select("lang", "n", share.alias("share"))
+    if fits_broadcast(sizes):
         shares = F.broadcast(shares)
-    chance = F.pmod(F.xxhash64("doc_id", F.length("text")), F.lit(1 << 20)) / F.lit(float(1 << 20))
-    bound = 2 * SAMPLE_DOCS * len(counts)
-    rows = learn.select("lang", "text", chance.alias("chance")).join(shares, "lang")
-    rows = rows.filter("chance < share").select("lang", "text").limit(bound)
-    out: dict[str, tuple[int, list[str]]] = {lang: (n, []) for lang, n in counts.items()}
-    room = dict.fromkeys(counts, SAMPLE_BYTES)
-    for row in rows.toLocalIterator():
-        size = len(row["text"])
-        if size <= room[row["lang"]] or not out[row["lang"]][1]:
-            room[row["lang"]] -= size
-            out[row["lang"]][1].append(row["text"])
-    return {lang: pair for lang, pair in out.items() if pair[1]}
+    chance = F.pmod("h", F.lit(1 << 20)) / F.lit(float(1 << 20))
+    likely = hashed.withColumn("chance", chance).join(shares, "lang").filter("chance < share")
+    once = likely.groupBy("lang", "h").agg(
+        F.first("n").alias("n"), F.first("chance").alias("chance"), F.min("text").alias("text")
+    )
+    order = Window.partitionBy("lang").orderBy("chance", "h")
+    kept = once.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= 2 * SAMPLE_DOCS)
+    return kept.select("lang", "n", "chance", "text")
+
+
+def learned(sample: DataFrame, words: list[bytes]) -> tuple[list[str], np.ndarray, np.ndarray]:
+    """Languages by name, their piece probabilities and numbers of rows; a language is one task's."""
+
+    def fitted(table: pa.Table) -> pa.Table:
+        rows = table.sort_by("chance")
+        taken, room = [], SAMPLE_BYTES
+        for text in rows["text"]:
+            size = len(text.as_py())
+            if size <= room or not taken:
+                room -= size
+                taken.append(text.as_py())
+        lang = rows["lang"][0].as_py()
+        _, probs = fit({lang: taken}, Pieces(words))
+        return pa.table({"lang": [lang], "n": rows["n"][:1], "probs": pa.array([probs[:, 0].tobytes()], pa.binary())})
+
+    found = sample.groupBy("lang").applyInArrow(fitted, "lang string, n long, probs binary").collect()
+    found = sorted(found, key=lambda r: r["lang"])
+    if not found:
+        return [], np.zeros((0, 0)), np.zeros(0)
+    probs = np.stack([np.frombuffer(r["probs"]) for r in found], axis=1)
+    return [r["lang"] for r in found], probs, np.array([r["n"] for r in found], dtype=float)
 
 
 def predictor(languages: list[str], probs: np.ndarray, prior: np.ndarray, words: list[bytes]):
     """A function from texts to (language, posterior)."""
 
+    # Made once per task, by the first batch.
+    known: list[Pieces] = []
+
     def predict(texts: pa.Array) -> tuple[list[str], list[float]]:
-        pieces = Pieces(words)
+        if not known:
+            known.append(Pieces(words))
+        pieces = known[0]
         data, offsets = flat(texts)
         total = np.tile(prior, (len(texts), 1))
         for start, end in blocks(data, offsets, WORD_BLOCK):
@@ -275,9 +301,8 @@ def predictor(languages: list[str], probs: np.ndarray, prior: np.ndarray, words:
 
 def identify(docs: DataFrame, vocabulary: str = VOCABULARY) -> DataFrame:
     """(doc_id, held_out, lang_pred, score) per document."""
-    samples = sample_of(bound_batches(docs))
     words = vocabulary_pieces(vocabulary)
-    languages, probs = fit({k: v for k, (_, v) in samples.items()}, Pieces(words)) if samples else ([], None)
+    languages, probs, sizes = learned(sample_of(bound_batches(docs)), words)
     readable = F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False))
     base = docs.select(
         F.col("doc_id").cast("long").alias("doc_id"),
@@ -286,7 +311,6 @@ def identify(docs: DataFrame, vocabulary: str = VOCABULARY) -> DataFrame:
     )
     if not languages:
         return base.select("doc_id", "held_out", F.lit(UNKNOWN).alias("lang_pred"), F.lit(0.0).alias("score"))
-    sizes = np.array([samples[k][0] for k in languages], dtype=float)
     predict = predictor(languages, probs, np.log(sizes / sizes.sum()), words)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -1,4 +1,5 @@
 import numpy as np
+from pyspark.sql import functions as F
 
 from siltstone.llm import language_id
 from siltstone.llm.texts import flat
@@ -85,9 +86,26 @@ def test_whole_vocabulary_and_long_words():
 
 
 def test_every_language_is_learned(spark):
-    from pyspark.sql import functions as F
-
     rows = [(k, f"w{n}x" * 3, f"l{n}") for n in range(300) for k in (2 * n, 2 * n + 1)]
     docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
     learned = docs.filter(~language_id.held_out(F.col("doc_id"))).select("lang").distinct().count()
-    assert len(language_id.sample_of(docs)) == learned > 256
+    assert language_id.sample_of(docs).select("lang").distinct().count() == learned > 256
+
+
+def test_copies_of_one_text_take_no_language_away(spark):
+    french = [(k, f"le chat numéro {k} est sous la table et la rue est longue", "fr") for k in range(40)]
+    english = [(10**6, "the cat is under the table and the road is long", "en")] * 6000
+    docs = spark.createDataFrame(french + english, "doc_id long, text string, lang string").repartition(4)
+    counts = {r["lang"]: (r["n"], r["texts"]) for r in language_id.sample_of(docs).groupBy("lang").agg(
+        F.max("n").alias("n"), F.count("*").alias("texts")).collect()}
+    learned = docs.filter(~language_id.held_out(F.col("doc_id")) & (F.col("lang") == "fr")).count()
+    assert counts["fr"] == (learned, learned) and counts["en"] in ((6000, 1),)
+    found = language_id.identify(docs.filter("lang = 'fr'").union(docs.limit(0))).filter("lang_pred = 'fr'").count()
+    assert found == 40
+    both = language_id.identify(docs).groupBy("lang_pred").count().collect()
+    assert {r["lang_pred"]: r["count"] for r in both} == {"fr": 40, "en": 6000}
+
+
+def test_the_sample_does_not_depend_on_partitions(spark, sample):
+    rows = [sorted(map(str, language_id.sample_of(d).collect())) for d in (sample, sample.repartition(7))]
+    assert rows[0] == rows[1]
