@@ -17,6 +17,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+from bisect import bisect_left, bisect_right
 from collections.abc import Iterator
 
 import numpy as np
@@ -202,17 +203,18 @@ def find_disguised(text: str) -> list[Span]:
 def all_spans(text: str) -> tuple[list[Span], list[Span]]:
     """Base spans, and base with the disguised ones, both by start, then kind."""
     base = find(text)
-
-    def wider(span: Span, s: int, e: int) -> bool:
-        kind, start, end = span
-        rest = text[start:s] + " | " + text[e:end]
-        return kind == "email" and start <= s and e <= end and bool(_BARE.search(rest) or _LOOKS.search(rest))
-
-    added = [
-        (kind, start, end)
-        for kind, start, end in find_disguised(text)
-        if not any(k == kind and s < end and start < e and not wider((kind, start, end), s, e) for k, s, e in base)
-    ]
+    # Base spans of a kind do not overlap, so both lists rise.
+    bounds = {k: ([s for x, s, _ in base if x == k], [e for x, _, e in base if x == k]) for k in KINDS}
+
+    def is_new(kind: str, start: int, end: int) -> bool:
+        """Whether it covers nothing of the base, or whole spans of it and more."""
+        starts, ends = bounds[kind]
+        first, behind = bisect_right(ends, start), bisect_left(starts, end)
+        if first == behind:
+            return True
+        return start <= starts[first] and ends[behind - 1] <= end and end - start > ends[first] - starts[first]
+
+    added = [span for span in find_disguised(text) if is_new(*span)]
     return base, sorted(base + added, key=_order)
 
 

@@ -88,3 +88,17 @@ def test_plain_words_are_no_disguise():
 def test_many_signs_take_linear_time():
     for text in ("a at " * 50_000, "a dot " * 50_000, "a at b dot " * 30_000, " at dot" * 40_000, "a." * 100_000 + " at b dot c"):
         personal_data.all_spans(text)
+
+
+def test_a_disguise_around_a_base_span_is_whole():
+    base, spans = personal_data.all_spans("j\u043ehn@example.com")
+    assert base == [("email", 2, 16)] and ("email", 0, 16) in spans
+
+
+def test_many_addresses_with_one_dash_take_linear_time():
+    import time
+
+    text = "write to " + " ".join(f"user{k}@example{k % 7}.com" for k in range(40_000)) + " \u2013 all of them"
+    start = time.perf_counter()
+    base, spans = personal_data.all_spans(text)
+    assert len(base) == len(spans) == 40_000 and time.perf_counter() - start < 2
