@@ -148,7 +148,7 @@ def snk_json_landing_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def snk_partitioned_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return layers.read_silver(spark, silver_of(spark, sf_dir, "lineitem"), LOCATIONS)
+    return layers.read_silver(spark, silver_of(spark, sf_dir, "lineitem", fresh=True), LOCATIONS)
 
 
 def _second_load(spark: SparkSession, sf_dir: str, keep_other_leaves: bool) -> DataFrame:
