@@ -80,7 +80,7 @@ def _run(spark: SparkSession, given: argparse.Namespace) -> list[LayerStatus]:
         return [_gold(spark, given, paths)]
     responses = spark.read.parquet(given.responses)
     if given.step == "bronze":
-        return [ingest_bronze(responses, paths["bronze"], given.arrays, given.progress)]
+        return [ingest_bronze(responses, paths["bronze"], given.arrays, given.progress, LOCATIONS)]
     allowed = given.allowed_bad_numbers
     return build_layers(
         spark,

@@ -39,13 +39,19 @@ def to_double(df: DataFrame, column: str, strict: bool = False) -> Column:
 
 
 def clean(
-    df: DataFrame, spec: LayerSpec, strict: bool = False, count_bad_as: str | None = None
+    df: DataFrame,
+    spec: LayerSpec,
+    strict: bool = False,
+    count_bad_as: str | None = None,
+    keep: Sequence[str] = (),
 ) -> DataFrame:
     """Project, cast and fill in one select: built-in expressions only, no shuffle.
 
-    ``count_bad_as`` names a further column: the row's numeric values that become null.
+    ``count_bad_as`` names a further column: the row's numeric values that become null. ``keep``
+    names further columns of ``df`` that stay as they are.
     """
-    raw = select_columns(df, spec)
+    require_columns(df, spec.columns)
+    raw = df.select(*spec.columns, *keep)
     counted = [] if count_bad_as is None else [bad_numbers(raw, spec).alias(count_bad_as)]
     return raw.select(
         *[
@@ -55,6 +61,7 @@ def clean(
             for c in spec.columns
         ],
         *counted,
+        *keep,
     )
 
 

@@ -46,7 +46,7 @@ def build_layers(
     done = max(whole, default=-1)
     outcomes = [LayerStatus(layer, SKIPPED, None) for layer in layers[: done + 1]]
     if done < 0:
-        outcomes.append(ingest_bronze(responses, paths["bronze"], arrays, progress_path))
+        outcomes.append(ingest_bronze(responses, paths["bronze"], arrays, progress_path, spec))
     if done < 1:
         outcomes.append(
             bronze_to_silver(

@@ -20,6 +20,7 @@ from siltstone.sources.records import (
     record_lines,
 )
 from siltstone.spec import LayerSpec
+from siltstone.versions import newest
 
 _BAD = "bad_numbers"
 
@@ -65,7 +66,16 @@ def bronze_to_silver(
     if last_pair_wins:
         cleaned = keep_last_pair(cleaned, spec)
     keyed = with_clean_keys(cleaned, spec)
-    counts = write_silver(keyed, silver_path, spec, keep_other_leaves, piece_rows, [_BAD])
+    counts = write_silver(
+        keyed,
+        silver_path,
+        spec,
+        keep_other_leaves,
+        piece_rows,
+        [_BAD],
+        source=newest(spark, bronze_path),
+        all_rows=not (last_pair_wins or keep_other_leaves),
+    )
     leaves = leaf_count(read_silver(spark, silver_path, spec), spec).first()["n_leaves"]
     return LayerStatus("silver", WRITTEN, counts["n_rows"], leaves, counts[_BAD])
 

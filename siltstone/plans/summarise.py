@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from siltstone.operators.aggregates import count_by_location
+from siltstone.operators.fingerprint import fingerprint_of
 from siltstone.operators.ordering import sorted_by_keys
 from siltstone.operators.quality import REPORT_SCHEMA, gate, report_missing
 from siltstone.plans.status import SKIPPED, WRITTEN, LayerStatus
@@ -15,6 +16,7 @@ from siltstone.runtime import checkpointed
 from siltstone.sinks.layers import write_gold
 from siltstone.sources.layers import read_silver_or_none
 from siltstone.spec import LayerSpec
+from siltstone.versions import newest
 
 Check = Callable[[DataFrame], DataFrame]
 
@@ -25,6 +27,24 @@ def _totals_report(spark: SparkSession, counts: dict[str, int]) -> DataFrame:
     return spark.createDataFrame([row], REPORT_SCHEMA)
 
 
+def _print_reports(spark: SparkSession, silver_path: str, gold: DataFrame, spec: LayerSpec) -> list[DataFrame]:
+    """Whether the clean layer holds the rows that landed and the aggregate those of the clean layer.
+
+    Equal totals do not see one row lost and another doubled; the manifests' fingerprints do. What a
+    manifest does not hold is not checked.
+    """
+    version = newest(spark, silver_path)
+    notes = version.notes if version else {}
+    rows = []
+    if "source_print" in notes:
+        same = notes["source_print"] == notes["rows_print"]
+        rows.append(("fingerprint", "bronze=silver", int(not same), same))
+    if "keys_print" in notes:
+        same = notes["keys_print"] == fingerprint_of(gold, spec.group_by, F.col(spec.count_name))
+        rows.append(("fingerprint", "silver=gold", int(not same), same))
+    return [spark.createDataFrame(rows, REPORT_SCHEMA)] if rows else []
+
+
 def _number_reports(spark: SparkSession, found: int | None, allowed: int | None) -> list[DataFrame]:
     if allowed is None:
         return []
@@ -47,7 +67,8 @@ def silver_to_gold(
 ) -> LayerStatus:
     """Count rows per location and kind; write only if every check passes.
 
-    Always checked: no key is null, and the layers' totals agree. ``known_rows`` holds the rows
+    Always checked: no key is null, the layers' totals agree, and so do the fingerprints of their rows,
+    where the manifests hold them. ``known_rows`` holds the rows
     that earlier layers were written with; where it lacks the silver layer, that is counted from
     its footers. ``checks`` adds reports on the clean frame. A failed check raises and leaves the
     previous result. Without clean rows the job is skipped. ``leaf_files``: the directories of the
@@ -72,6 +93,7 @@ def silver_to_gold(
     gate(
         report_missing(gold, spec.group_by),
         _totals_report(spark, counts),
+        *_print_reports(spark, silver_path, gold, spec),
         *_number_reports(spark, bad_numbers, allowed_bad_numbers),
         *[check(silver) for check in checks],
     )

@@ -6,10 +6,14 @@ from collections.abc import Iterator
 
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
+from siltstone.operators.cleaning import clean, with_clean_keys
+from siltstone.operators.fingerprint import fingerprint, row_hashes
+from siltstone.operators.heavy import leaf_sketch, named_leaves
 from siltstone.runtime import byte_size
+from siltstone.spec import LayerSpec
 from siltstone.versions import replace
 
 # Without these, null keys vanish and times lose their microseconds.
@@ -23,15 +27,44 @@ _LOSSLESS = {
 _ADVISORY = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
 
 
-def land_record_text(records: DataFrame, path: str) -> None:
-    """Write JSON text (column ``record``) as it is, one record per line."""
+def _cleaned(records: DataFrame, spec: LayerSpec) -> DataFrame:
+    """Records beside hashes of their clean form and their leaf; text that does not parse is blank here."""
+    options = {"maxStringLen": str(2**31 - 1)}
+    read = records.select("record", F.from_json("record", spec.bronze_schema, options).alias("r"))
+    flat = read.select("record", *[F.col("r")[c].alias(c) for c in spec.columns])
+    cleaned = with_clean_keys(clean(flat, spec, keep=("record",)), spec)
+    return cleaned.withColumns(row_hashes(spec.columns, "row"))
+
+
+def _measures(spec: LayerSpec | None) -> list[Column]:
+    if spec is None:
+        return []
+    sketch = leaf_sketch([F.col(k) for k in spec.clean_keys])
+    return [sketch.alias("leaves"), fingerprint("row").alias("rows_print")]
+
+
+def _notes(measured: dict, spec: LayerSpec | None) -> dict:
+    if spec is None:
+        return {}
+    leaves = {"leaf_keys": list(spec.clean_keys), "leaves": named_leaves(measured["leaves"])}
+    return leaves | {"rows_print": list(measured["rows_print"])}
+
+
+def land_record_text(records: DataFrame, path: str, spec: LayerSpec | None = None) -> None:
+    """Write JSON text (column ``record``) as it is, one record per line.
+
+    With a ``spec`` the manifest gets the leaves that will hold most rows and a fingerprint of the
+    rows as they will be cleaned, both taken in the same pass.
+    """
     rows = Observation()
+    wide = records.select("record") if spec is None else _cleaned(records, spec)
+    counted = wide.observe(rows, F.count(F.lit(1)).alias("n"), *_measures(spec)).select("record")
 
     def whole(folder: str) -> int:
-        records.select("record").observe(rows, F.count(F.lit(1)).alias("n")).write.text(folder)
+        counted.write.text(folder)
         return rows.get["n"]
 
-    replace(records.sparkSession, path, whole)
+    replace(records.sparkSession, path, whole, lambda: _notes(rows.get, spec))
 
 
 def land_frame(df: DataFrame, path: str) -> None:
@@ -39,15 +72,19 @@ def land_frame(df: DataFrame, path: str) -> None:
     replace(df.sparkSession, path, df.write.options(**_LOSSLESS).json)
 
 
-def land_array_documents(records: DataFrame, path: str) -> None:
+def land_array_documents(records: DataFrame, path: str, spec: LayerSpec | None = None) -> None:
     """Write JSON text (column ``record``) as array documents over many lines.
 
     For readers that need an array. Records are measured and dealt out first, so that a document is
     about the advisory partition size, whatever the partitions were; a reader holds one whole.
-    Lines (``land_record_text``) are the better layout: they can be split again on read.
+    Lines (``land_record_text``) are the better layout: they can be split again on read. ``spec``: as there,
+    taken where the records are measured.
     """
     spark = records.sparkSession
-    size = records.agg(F.sum(F.octet_length("record") + 6).alias("n")).first()["n"] or 0
+    wide = records if spec is None else _cleaned(records, spec)
+    total = F.sum(F.octet_length("record") + 6).alias("n")
+    measured = wide.agg(total, F.count("*").alias("n_rows"), *_measures(spec)).first().asDict()
+    size = measured["n"] or 0
     documents = max(1, -(-size // byte_size(spark.conf.get(_ADVISORY))))
 
     def bracketed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -66,4 +103,10 @@ def land_array_documents(records: DataFrame, path: str) -> None:
         yield lines("", pa.array(["]"]))
 
     dealt = records.select("record").repartition(documents)
-    replace(spark, path, dealt.mapInArrow(bracketed, "value string").write.text)
+    lines_of = dealt.mapInArrow(bracketed, "value string")
+
+    def whole(folder: str) -> int:
+        lines_of.write.text(folder)
+        return measured["n_rows"]
+
+    replace(spark, path, whole, lambda: _notes(measured, spec))

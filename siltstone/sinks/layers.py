@@ -7,9 +7,11 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from siltstone.operators.fingerprint import fingerprint, row_hashes
+from siltstone.operators.heavy import dealt, suffices
 from siltstone.runtime import checkpointed, fits_broadcast, path_exists
 from siltstone.spec import LayerSpec
-from siltstone.versions import amend, current, replace, versions
+from siltstone.versions import Version, amend, current, replace, versions
 
 # Fixed value: the directory Spark gives to empty keys. A key that is spelled so goes there too.
 _EMPTY_KEY = "__HIVE_DEFAULT_PARTITION__"
@@ -17,14 +19,20 @@ _EMPTY_KEY = "__HIVE_DEFAULT_PARTITION__"
 _PIECE = "leaf_piece"
 
 
-def _with_pieces(df: DataFrame, spec: LayerSpec, piece_rows: int) -> DataFrame:
+def _leaf_rows(df: DataFrame, spec: LayerSpec) -> DataFrame:
+    return checkpointed(df.groupBy(*spec.clean_keys).agg(F.count("*").alias("leaf_rows")))
+
+
+def _with_pieces(
+    df: DataFrame, spec: LayerSpec, piece_rows: int, counted: DataFrame | None = None
+) -> DataFrame:
     """Number the pieces of leaves above ``piece_rows``; any other leaf is one piece.
 
     The number depends on a row's content and its task, not on the order of rows: a task that runs
     again gives the same numbers, and copies of one row spread as far as they come from many tasks.
     """
     keys = list(spec.clean_keys)
-    leaves = checkpointed(df.groupBy(*keys).agg(F.count("*").alias("leaf_rows")))
+    leaves = _leaf_rows(df, spec) if counted is None else counted
     hot = leaves.filter(F.col("leaf_rows") > piece_rows).select(
         *[F.col(k).alias(f"hot_{k}") for k in keys],
         F.ceil(F.col("leaf_rows") / piece_rows).alias("pieces"),
@@ -32,10 +40,31 @@ def _with_pieces(df: DataFrame, spec: LayerSpec, piece_rows: int) -> DataFrame:
     same = [F.col(k).eqNullSafe(F.col(f"hot_{k}")) for k in keys]
     # Leaves above the bound may be many: beyond the broadcast limit the join shuffles, and
     # adaptive execution splits its skewed partitions.
-    dealt = df.join(F.broadcast(hot) if fits_broadcast(hot) else hot, same, "left")
+    joined = df.join(F.broadcast(hot) if fits_broadcast(hot) else hot, same, "left")
     spread = F.shiftright(F.xxhash64(*df.columns), 1) + F.spark_partition_id()
     piece = F.pmod(spread, F.coalesce("pieces", F.lit(1)))
-    return dealt.select(*df.columns, piece.alias(_PIECE))
+    return joined.select(*df.columns, piece.alias(_PIECE))
+
+
+def _counted_pieces(df: DataFrame, spec: LayerSpec, piece_rows: int) -> DataFrame:
+    """The pieces by a pass over the keys, hashed over a fixed number of tasks, so none is split again."""
+    leaves = _leaf_rows(df, spec)
+    total = leaves.agg(F.coalesce(F.sum("leaf_rows"), F.lit(0))).first()[0]
+    numbered = _with_pieces(df, spec, piece_rows, leaves)
+    return numbered.repartition(max(1, -(-total // piece_rows)), *spec.clean_keys, _PIECE).drop(_PIECE)
+
+
+def _balanced(df: DataFrame, spec: LayerSpec, piece_rows: int | None, source: Version | None) -> DataFrame:
+    keys = list(spec.clean_keys)
+    if piece_rows is None:
+        return df.hint("rebalance", *keys)
+    notes = source.notes if source else {}
+    if notes.get("leaf_keys") == keys and suffices(source.rows, piece_rows):
+        # An empty key's directory may be spelled out in the data; see ``_EMPTY_KEY``.
+        leaves = [[n, *("" if k == _EMPTY_KEY else k for k in key)] for n, *key in notes["leaves"]]
+        if len({tuple(key) for _, *key in leaves}) == len(leaves):
+            return dealt(df, keys, leaves, source.rows, piece_rows)
+    return _counted_pieces(df, spec, piece_rows)
 
 
 def write_silver(
@@ -45,6 +74,8 @@ def write_silver(
     keep_other_leaves: bool = False,
     piece_rows: int | None = None,
     helpers: Sequence[str] = (),
+    source: Version | None = None,
+    all_rows: bool = False,
 ) -> dict[str, int]:
     """Write a frame that has the directory keys, split by them.
 
@@ -54,25 +85,37 @@ def write_silver(
     Rows of a leaf meet in one task, so a leaf is one file, until it outgrows the advisory
     partition size: then adaptive execution splits it over tasks and files, and a leaf that holds
     a third of all rows does not wait on a single writer. Such a split also spreads the small
-    leaves that share the hot one's shuffle partition. ``piece_rows`` prevents that: hot leaves
-    (all above so many rows) are found first, by one more pass over the keys, and shuffled in
-    pieces of so many rows.
+    leaves that share the hot one's shuffle partition. ``piece_rows`` prevents that: leaves above so
+    many rows are written in pieces of so many, every other leaf is one file. Which leaves those are
+    says the manifest of the layer that the rows come from (``source``), if it was landed with a
+    spec; then rows are cleaned and shuffled once. A sketch is too coarse for pieces below a 500th
+    of all rows: for these, and without one, a pass over the keys counts the leaves first.
+
+    The manifest gets a fingerprint of the rows written and of their grouping keys, and with
+    ``all_rows`` the one that ``source`` was landed with, which must be the same.
 
     The whole dataset is replaced by a new version, or, with ``keep_other_leaves``, only the leaves in
     ``df`` within the present one. A write that fails before it commits changes neither.
     """
     rows = Observation()
     keyed = df.replace(_EMPTY_KEY, "", subset=list(spec.clean_keys))
-    if piece_rows is None:
-        balanced = keyed.hint("rebalance", *spec.clean_keys)
-    else:
-        pieces = _with_pieces(keyed, spec, piece_rows)
-        balanced = pieces.hint("rebalance", *spec.clean_keys, _PIECE).drop(_PIECE)
+    balanced = _balanced(keyed, spec, piece_rows, source)
     # Counted behind the shuffle: there, a task that runs again does not count twice.
     sums = [F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in helpers]
-    counted = balanced.observe(rows, F.count(F.lit(1)).alias("n_rows"), *sums).drop(*helpers)
+    prints = {}
+    if set(spec.columns) <= set(df.columns):
+        prints = {"rows_print": spec.columns, "keys_print": spec.group_by}
+    hashes = {n: c for name, columns in prints.items() for n, c in row_hashes(columns, name).items()}
+    sums += [fingerprint(name).alias(name) for name in prints]
+    counted = balanced.withColumns(hashes) if hashes else balanced
+    counted = counted.observe(rows, F.count(F.lit(1)).alias("n_rows"), *sums).drop(*helpers, *hashes)
     spark, writer = df.sparkSession, counted.write.partitionBy(*spec.clean_keys)
 
+    def notes() -> dict:
+        told = {name: list(rows.get[name]) for name in prints}
+        expected = source.notes.get("rows_print") if source and all_rows else None
+        return told | ({"source_print": expected} if expected else {})
+
     def whole(folder: str) -> int:
         writer.parquet(folder)
         return rows.get["n_rows"]
@@ -89,8 +132,8 @@ def write_silver(
         nothing = spark.createDataFrame([], df.drop(*helpers).schema)
         nothing.write.mode("append").partitionBy(*spec.clean_keys).parquet(path)
     else:
-        replace(spark, path, whole)
-    return rows.get
+        replace(spark, path, whole, notes)
+    return {name: n for name, n in rows.get.items() if name not in prints}
 
 
 def write_gold(df: DataFrame, path: str) -> None:

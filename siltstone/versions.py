@@ -1,6 +1,6 @@
 """Layers in versions: a write makes a new folder, and a small manifest says which one counts.
 
-    layer/_versions/00000002.json     {"folder": "v00000002-5c1f…", "rows": …, "files": …, "bytes": …}
+    layer/_versions/00000002.json     {"folder": "v00000002-5c1f…", "rows": …, "files": …, "bytes": …, "notes": {…}}
     layer/v00000002-5c1f…/            the data, as Spark writes it
 
 A write that fails, late or early, leaves the manifest and so the layer as it was. The switch is the
@@ -18,7 +18,7 @@ import json
 import re
 import uuid
 from collections.abc import Callable
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 from pyspark.sql import SparkSession
 
@@ -34,13 +34,18 @@ class ConcurrentWriteError(RuntimeError):
 
 @dataclass(frozen=True)
 class Version:
-    """What a manifest says; ``rows`` is None where they were not counted."""
+    """What a manifest says; ``rows`` is None where they were not counted.
+
+    ``notes`` is what the writer measured on the way, of bounded size: the leaves with most rows,
+    fingerprints.
+    """
 
     number: int
     folder: str
     rows: int | None
     files: int
     bytes: int
+    notes: dict = field(default_factory=dict)
 
 
 class _Store:
@@ -119,14 +124,28 @@ def readable(spark: SparkSession, path: str) -> str:
     return current(spark, path) or path
 
 
-def replace(spark: SparkSession, path: str, write: Callable[[str], int | None]) -> None:
-    """Let ``write`` fill a new folder and return its rows, if it knows; then make it the layer."""
+def newest(spark: SparkSession, path: str) -> Version | None:
+    """The version that readers go by, or None for a layer without versions."""
+    found = versions(spark, path)
+    return found[-1] if found else None
+
+
+def replace(
+    spark: SparkSession,
+    path: str,
+    write: Callable[[str], int | None],
+    notes: Callable[[], dict] | None = None,
+) -> None:
+    """Let ``write`` fill a new folder and return its rows, if it knows; then make it the layer.
+
+    ``notes`` is asked after the write for what the manifest shall hold besides.
+    """
     store = _Store(spark, path)
     store.files.mkdirs(store.at(_LOG))
     number = _next(store)
     folder = f"v{number:08d}-{uuid.uuid4().hex[:12]}"
     rows = write(f"{path.rstrip('/')}/{folder}")
-    _publish(store, number, folder, rows)
+    _publish(store, number, folder, rows, notes() if notes else {})
 
 
 def amend(spark: SparkSession, path: str, write: Callable[[str], None]) -> None:
@@ -134,7 +153,7 @@ def amend(spark: SparkSession, path: str, write: Callable[[str], None]) -> None:
     store = _Store(spark, path)
     folder, number = _published(store)[-1].folder, _next(store)
     write(f"{path.rstrip('/')}/{folder}")
-    _publish(store, number, folder, None)
+    _publish(store, number, folder, None, {})
 
 
 def _next(store: _Store) -> int:
@@ -142,9 +161,10 @@ def _next(store: _Store) -> int:
     return max(taken, default=0) + 1
 
 
-def _publish(store: _Store, number: int, folder: str, rows: int | None) -> None:
+def _publish(store: _Store, number: int, folder: str, rows: int | None, notes: dict) -> None:
     size = store.files.getContentSummary(store.at(folder))
-    manifest = {"folder": folder, "rows": rows, "files": size.getFileCount(), "bytes": size.getLength()}
+    counts = {"folder": folder, "rows": rows, "files": size.getFileCount(), "bytes": size.getLength()}
+    manifest = counts | {"notes": notes}
     name = f"{number:08d}.json"
     if name in store.names(_LOG):
         raise ConcurrentWriteError(f"version {number} of {store.root.toString()} was written meanwhile")
