@@ -147,6 +147,15 @@ ORACLE: dict[str, str] = {
     "agg_layer_row_count": "SELECT count(*) AS n_rows FROM lineitem",
     "agg_leaf_count": """
         SELECT count(*) AS n_rows, count(DISTINCT (p_type, p_brand)) AS n_leaves FROM part""",
+    "agg_file_count": "SELECT count(DISTINCT (p_type, p_brand)) AS n_files FROM part",
+    "dq_row_fingerprint": f"""
+        WITH cleaned AS ({_clean('lineitem')}),
+        swapped AS (SELECT * FROM cleaned WHERE id <> (SELECT min(id) FROM cleaned)
+                    UNION ALL SELECT * FROM cleaned WHERE id = (SELECT max(id) FROM cleaned))
+        SELECT 'shuffled' AS compared, count(*) AS n_rows, true AS same_rows FROM cleaned
+        UNION ALL
+        SELECT 'swapped', (SELECT count(*) FROM swapped),
+               NOT EXISTS (FROM cleaned EXCEPT ALL FROM swapped)""",
     "agg_leaf_manifest": f"""
         SELECT state, city, count(*) AS n_rows FROM ({_clean('lineitem')}) GROUP BY ALL""",
     "agg_null_key_rule": """
@@ -241,5 +250,11 @@ ORACLE: dict[str, str] = {
         SELECT * REPLACE (CAST(longitude AS DOUBLE) AS longitude) FROM ({_raw('orders')})""",
     "job_bronze_to_silver": _silver("lineitem"),
     "job_silver_to_gold": _gold("part"),
+    "job_incremental_gold": f"""
+        SELECT state, city,
+               CASE WHEN state = 'A' AND city LIKE 'F/%' THEN 'new' ELSE brewery_type END
+                   AS brewery_type,
+               count(*) AS brewery_count
+        FROM ({_clean('lineitem')}) GROUP BY ALL""",
     "job_medallion": _gold("orders"),
 }

@@ -23,7 +23,7 @@ from catalog.fixtures import (
 )
 from siltstone.functions.numeric import lenient_double, strict_double
 from siltstone.functions.text import replace_unsafe, sanitize_name, sanitize_name_udf, strip
-from siltstone.operators import aggregates, cleaning, collisions, ordering, quality
+from siltstone.operators import aggregates, cleaning, collisions, fingerprint, ordering, quality
 from siltstone.plans.ingest import ingest_bronze
 from siltstone.plans.medallion import build_layers, layer_paths
 from siltstone.plans.refine import bronze_to_silver
@@ -303,6 +303,27 @@ def agg_leaf_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     return aggregates.leaf_count(silver, LOCATIONS)
 
 
+@query
+def agg_file_count(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Files that hold rows, of a layer in which every leaf is one piece."""
+    path = scratch_path(spark, "silver")
+    write_silver(clean_locations(spark, sf_dir, "part"), path, LOCATIONS, piece_rows=2**31 - 1)
+    return aggregates.file_count(layers.read_silver(spark, path, LOCATIONS))
+
+
+@query
+def dq_row_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A layer beside itself in another order, and beside one that lost a row and has another twice."""
+    rows = clean_locations(spark, sf_dir, "lineitem")
+    first, last = rows.agg(F.min("id"), F.max("id")).first()
+    swapped = rows.filter(F.col("id") != first).unionAll(rows.filter(F.col("id") == last))
+    found = [
+        (name, other.count(), fingerprint.same_rows(rows, other))
+        for name, other in (("shuffled", rows.repartition("name")), ("swapped", swapped))
+    ]
+    return spark.createDataFrame(found, "compared string, n_rows bigint, same_rows boolean")
+
+
 @query
 def agg_leaf_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return aggregates.leaf_manifest(clean_locations(spark, sf_dir, "lineitem"), LOCATIONS)
@@ -499,6 +520,19 @@ def job_silver_to_gold(spark: SparkSession, sf_dir: str) -> DataFrame:
     return layers.read_gold(spark, gold, LOCATIONS)
 
 
+@query
+def job_incremental_gold(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A count of all leaves, a load that replaces some, and a count of only those."""
+    path, gold, parts = (scratch_path(spark, name) for name in ("silver", "gold", "gold_parts"))
+    cleaned = clean_locations(spark, sf_dir, "lineitem")
+    write_silver(cleaned, path, LOCATIONS)
+    silver_to_gold(spark, path, gold, LOCATIONS, parts_path=parts)
+    load = cleaned.filter("state = 'A' AND city LIKE 'F/%'").withColumn("brewery_type", F.lit("new"))
+    write_silver(load, path, LOCATIONS, keep_other_leaves=True)
+    silver_to_gold(spark, path, gold, LOCATIONS, parts_path=parts)
+    return layers.read_gold(spark, gold, LOCATIONS)
+
+
 @query
 def job_medallion(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = scratch_path(spark, "layers")

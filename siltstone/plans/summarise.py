@@ -11,6 +11,7 @@ from siltstone.operators.aggregates import count_by_location
 from siltstone.operators.fingerprint import fingerprint_of
 from siltstone.operators.ordering import sorted_by_keys
 from siltstone.operators.quality import REPORT_SCHEMA, gate, report_missing
+from siltstone.plans.incremental import leaf_parts, sum_of_parts, write_parts
 from siltstone.plans.status import SKIPPED, WRITTEN, LayerStatus
 from siltstone.runtime import checkpointed
 from siltstone.sinks.layers import write_gold
@@ -64,6 +65,7 @@ def silver_to_gold(
     leaf_files: bool = False,
     bad_numbers: int | None = None,
     allowed_bad_numbers: int | None = None,
+    parts_path: str | None = None,
 ) -> LayerStatus:
     """Count rows per location and kind; write only if every check passes.
 
@@ -74,18 +76,27 @@ def silver_to_gold(
     previous result. Without clean rows the job is skipped. ``leaf_files``: the directories of the
     clean layer are named like columns in its files (see ``read_leaf_files``). With
     ``allowed_bad_numbers``, more ``bad_numbers`` of the cleaning than that stop the job.
+
+    ``parts_path`` names a layer of counts per leaf, kept by this job: only leaves whose files
+    changed since are read (see ``incremental``). Rows of the others are those that it holds.
     """
+    if parts_path is not None and leaf_files:
+        raise ValueError("counts per leaf need leaves named by their directory keys")
     silver = read_silver_or_none(spark, silver_path, spec, leaf_files)
     if silver is None:
         return LayerStatus("gold", SKIPPED, 0)
-    gold = checkpointed(count_by_location(silver, spec))
+    parts = None if parts_path is None else leaf_parts(spark, silver_path, parts_path, spec)
+    gold = checkpointed(count_by_location(silver, spec) if parts is None else sum_of_parts(parts, spec))
     total = gold.agg(F.sum(spec.count_name).alias("n")).first()["n"]
     if total is None:
         return LayerStatus("gold", SKIPPED, 0)
     counts = {**(known_rows or {}), "gold": total}
     # Footers and directory names; with leaf files, whose keys are columns, those columns.
     keys = spec.partition_by if leaf_files else spec.clean_keys
-    leaves = silver.groupBy(*keys).agg(F.count("*").alias("n"))
+    if parts is None:
+        leaves = silver.groupBy(*keys).agg(F.count("*").alias("n"))
+    else:
+        leaves = parts.groupBy(*keys).agg(F.sum(spec.count_name).alias("n"))
     measured = leaves.agg(F.sum("n").alias("n_rows"), F.count("*").alias("n_leaves")).first()
     counts.setdefault("silver", measured["n_rows"])
     # Nulls among the grouping keys show in the aggregate, where they count as groups: the clean
@@ -97,5 +108,7 @@ def silver_to_gold(
         *_number_reports(spark, bad_numbers, allowed_bad_numbers),
         *[check(silver) for check in checks],
     )
+    if parts is not None:
+        write_parts(parts, parts_path)
     write_gold(sorted_by_keys(gold, spec), gold_path)
     return LayerStatus("gold", WRITTEN, total, measured["n_leaves"])

@@ -34,17 +34,30 @@ def read_leaf_files(spark: SparkSession, path: str, spec: LayerSpec) -> DataFram
     return files.select(*spec.columns)
 
 
-def list_leaves(spark: SparkSession, path: str, spec: LayerSpec) -> DataFrame:
-    """The directory keys of every leaf that has a data file, from the listing of files alone."""
+def _listed(spark: SparkSession, path: str, spec: LayerSpec) -> DataFrame:
+    """Every data file with the directory keys of its leaf, from the listing of files alone."""
     files = spark.read.format("binaryFile").option("recursiveFileLookup", True)
-    paths = files.option("pathGlobFilter", "*.parquet").load(readable(spark, path)).select("path")
+    listed = files.option("pathGlobFilter", "*.parquet").load(readable(spark, path))
     keys = []
     for key in spec.clean_keys:
         written = F.regexp_extract("path", f"/{key}=([^/]*)/", 1)
         # Characters that a directory cannot hold are written as % and two digits; + is itself.
         plain = F.url_decode(F.replace(written, F.lit("+"), F.lit("%2B")))
         keys.append(F.when(written == _EMPTY_KEY, "").otherwise(plain).alias(key))
-    return paths.select(*keys).distinct()
+    return listed.select("path", "length", "modificationTime", *keys)
+
+
+def list_leaves(spark: SparkSession, path: str, spec: LayerSpec) -> DataFrame:
+    """The directory keys of every leaf that has a data file, from the listing of files alone."""
+    return _listed(spark, path, spec).select(*spec.clean_keys).distinct()
+
+
+def leaf_states(spark: SparkSession, path: str, spec: LayerSpec, name: str) -> DataFrame:
+    """Per leaf a text that differs once any of its files is another: their number and a hash of all."""
+    files = _listed(spark, path, spec)
+    one = F.xxhash64("path", "length", "modificationTime")
+    state = F.concat_ws(":", F.count("*").cast("string"), F.hex(F.bit_xor(one)))
+    return files.groupBy(*spec.clean_keys).agg(state.alias(name))
 
 
 def read_merged(spark: SparkSession, path: str) -> DataFrame:

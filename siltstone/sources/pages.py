@@ -2,9 +2,7 @@
 
 from __future__ import annotations
 
-from py4j.protocol import Py4JJavaError
-from pyspark.errors import PySparkException
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Observation, Row, Window
 from pyspark.sql import functions as F
 
 from siltstone.runtime import checkpointed
@@ -17,6 +15,9 @@ STATUS_OK = 200
 # A body without records ends the set: an empty array, an empty object or null.
 _NO_RECORDS = r"^\s*(\[\s*\]|\{\s*\}|null)\s*\z"
 
+# Here a text that does not parse is null, and judged with the set it belongs to.
+_LENIENT_JSON = STRICT_JSON | {"mode": "PERMISSIVE"}
+
 _NOT_RECORDS = " does not hold an array of records"
 
 # Pages per block of the running total. One block is one window group.
@@ -32,30 +33,26 @@ def has_no_records(body: Column) -> Column:
     return F.coalesce(body.rlike(_NO_RECORDS), F.lit(False))
 
 
-def pages_before_end(responses: DataFrame) -> DataFrame:
-    """The pages that carry records: all before the first empty one, there once and fetched whole.
-
-    Raises ``IncompleteIngestError`` if a page up to the end failed, is missing or is there twice,
-    or if no page ends the set. Later pages are ignored, whatever they hold. Bodies are only
-    matched against the pattern of an empty one here; what reads the records parses them.
-    """
+def _marks() -> list[Column]:
+    """Aggregates that say where a set of pages ends and whether it may."""
     ok = F.coalesce(F.col("status") == STATUS_OK, F.lit(False))
-    marks = responses.agg(
+    return [
         F.min(F.when(ok & has_no_records(F.col("body")), F.col("page"))).alias("end"),
-        F.min(F.when(~ok, F.col("page"))).alias("failed"),
+        F.min(F.when(~ok, F.struct("page", "status"))).alias("failed"),
         F.count_if(F.col("page").isNull()).alias("unnumbered"),
-    ).first()
-    end, failed = marks["end"], marks["failed"]
-    if marks["unnumbered"]:
-        raise IncompleteIngestError(f"{marks['unnumbered']} responses without a page number")
-    if failed is not None and (end is None or failed < end):
-        status = responses.filter((F.col("page") == failed) & ~ok).select("status").first()[0]
-        raise IncompleteIngestError(f"page {failed} came back with {status}")
+    ]
+
+
+def _pages_to(end: int | None, failed: Row | None, unnumbered: int, responses: DataFrame) -> DataFrame:
+    """The pages before the end; raises if they are no whole set. Reads the page column only."""
+    if unnumbered:
+        raise IncompleteIngestError(f"{unnumbered} responses without a page number")
+    if failed is not None and (end is None or failed["page"] < end):
+        raise IncompleteIngestError(f"page {failed['page']} came back with {failed['status']}")
     if end is None:
         raise IncompleteIngestError("no empty page ends the set")
 
     pages = responses.filter(F.col("page") < end)
-    # Reads the page column only.
     seen = pages.agg(
         F.count("*").alias("rows"),
         F.countDistinct("page").alias("distinct_pages"),
@@ -72,6 +69,17 @@ def pages_before_end(responses: DataFrame) -> DataFrame:
     return pages
 
 
+def pages_before_end(responses: DataFrame) -> DataFrame:
+    """The pages that carry records: all before the first empty one, there once and fetched whole.
+
+    Raises ``IncompleteIngestError`` if a page up to the end failed, is missing or is there twice,
+    or if no page ends the set. Later pages are ignored, whatever they hold. Bodies are only
+    matched against the pattern of an empty one here; what reads the records parses them.
+    """
+    marks = responses.agg(*_marks()).first()
+    return _pages_to(marks["end"], marks["failed"], marks["unnumbered"], responses)
+
+
 def _parsed(body: Column, options: dict[str, str]) -> Column:
     """The records of a body as JSON texts. The brackets make the whole text one value, so that
     nothing may stand behind the array.
@@ -103,18 +111,23 @@ def explode_records(pages: DataFrame) -> DataFrame:
 def ingest(responses: DataFrame) -> DataFrame:
     """Checked responses to records, set down on shared storage.
 
-    Bodies are parsed once, here: a page that does not hold records raises
-    ``IncompleteIngestError`` before anything is written elsewhere.
+    Bodies are read and parsed once: the records of all pages are set down, and what the checks need
+    to know is measured on the way. Only then the set is judged; one that is not whole, or a page
+    in it that does not hold records, raises ``IncompleteIngestError`` before anything is written
+    elsewhere. Records behind the end, whose pages may hold anything, are set down but not returned.
     """
-    pages = pages_before_end(responses)
-    try:
-        return checkpointed(explode_records(pages))
-    except (PySparkException, Py4JJavaError) as error:
-        parsed = _parsed(F.col("body"), STRICT_JSON | {"mode": "PERMISSIVE"})
-        bad = pages.filter(~_is_whole(parsed)).agg(F.min("page")).first()[0]
-        if bad is None:
-            raise
-        raise IncompleteIngestError(f"page {bad}{_NOT_RECORDS}") from error
+    marks = Observation()
+    parsed = responses.select("page", "status", "body", _parsed(F.col("body"), _LENIENT_JSON).alias("parsed"))
+    judged = parsed.withColumn("whole", _is_whole(F.col("parsed")))
+    # A page before the end that is not whole is a fault; at and behind the end it does not matter.
+    bad = F.min(F.when(~F.col("whole"), F.col("page"))).alias("bad")
+    counted = judged.observe(marks, *_marks(), bad).filter("whole")
+    records = checkpointed(counted.select("page", F.posexplode(F.col("parsed")[0]).alias("pos", "record")))
+    found = marks.get
+    _pages_to(found["end"], found["failed"], found["unnumbered"], responses)
+    if found["bad"] is not None and found["bad"] < found["end"]:
+        raise IncompleteIngestError(f"page {found['bad']}{_NOT_RECORDS}")
+    return records.filter(F.col("page") < found["end"])
 
 
 def page_progress(pages: DataFrame) -> DataFrame:

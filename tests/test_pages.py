@@ -2,8 +2,13 @@
 
 from __future__ import annotations
 
+import glob
 import io
 import json
+import os
+import subprocess
+import sys
+from pathlib import Path
 from urllib.error import HTTPError
 
 import pytest
@@ -144,3 +149,32 @@ def test_http_get(monkeypatch):
     fetch = http_get("http://host/items?per_page=50&page={page}", timeout=5)
     assert [fetch(1), fetch(2)] == [(200, "[é]"), (503, "")]
     assert asked[0] == ("http://host/items?per_page=50&page=1", 5)
+
+
+_ONE_SCAN = """
+import sys
+sys.path.insert(0, {root!r})
+from pyspark.sql import SparkSession
+from siltstone.sources.pages import ingest
+spark = (SparkSession.builder.master("local[2]").config("spark.ui.enabled", "false")
+    .config("spark.checkpoint.dir", {folder!r} + "/set-down").config("spark.eventLog.enabled", "true")
+    .config("spark.eventLog.compress", "false").config("spark.eventLog.dir", {folder!r}).getOrCreate())
+rows = [(n, 200, '[{{"id": "%d"}}, {{"id": "x"}}]' % n) for n in range(1, 40)]
+rows += [(40, 200, "[]"), (41, 200, '[{{"id": "late"}}]'), (42, 200, "broken"), (43, 500, "late")]
+spark.createDataFrame(rows, "page bigint, status int, body string").write.parquet({folder!r} + "/responses")
+records = ingest(spark.read.parquet({folder!r} + "/responses"))
+assert records.count() == 78 and records.filter("record like '%late%'").count() == 0
+spark.stop()
+"""
+
+
+def test_bodies_are_read_once(fresh):
+    root = str(Path(__file__).resolve().parent.parent)
+    subprocess.run([sys.executable, "-c", _ONE_SCAN.format(root=root, folder=fresh)], check=True, timeout=300)
+    plans = []
+    for log in glob.glob(f"{fresh}/**/*local-*", recursive=True):
+        if os.path.isfile(log):
+            events = [json.loads(line) for line in Path(log).read_text(encoding="utf-8").splitlines()]
+            plans += [e["physicalPlanDescription"] for e in events if e["Event"].endswith("SQLExecutionStart")]
+    scans = [line for plan in plans for line in plan.splitlines() if line.startswith("ReadSchema")]
+    assert [s for s in scans if "page" in s] and sum("body" in s for s in scans) == 1
