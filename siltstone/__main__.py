@@ -32,8 +32,8 @@ TAKES = {
     "fetch": {"url", "responses"},
     "bronze": {"responses", "root", "arrays", "progress"},
     "silver": {"root"} | _CLEANING,
-    "gold": {"root", "leaf_files", "arrays", "last_pair_wins", "keep_other_leaves", "allowed_bad_numbers"},
-    "all": {"responses", "root", "allowed_bad_numbers", "progress"} | _CLEANING,
+    "gold": {"root", "leaf_files", "arrays", "last_pair_wins", "keep_other_leaves", "allowed_bad_numbers", "parts"},
+    "all": {"responses", "root", "allowed_bad_numbers", "progress", "parts"} | _CLEANING,
 }
 
 
@@ -57,6 +57,7 @@ def _arguments(argv: Sequence[str] | None) -> argparse.Namespace:
         "--allowed-bad-numbers", type=int, help="values that may become null before gold is refused"
     )
     parser.add_argument("--progress", help="where to write the records per page and so far")
+    parser.add_argument("--parts", help="layer of counts per leaf: only replaced leaves are counted again")
     given = parser.parse_args(argv)
     needs = {"fetch": ("url", "responses"), "bronze": ("responses", "root"), "all": ("responses", "root")}
     for name in needs.get(given.step, ("root",)):
@@ -89,6 +90,7 @@ def _run(spark: SparkSession, given: argparse.Namespace) -> list[LayerStatus]:
         LOCATIONS,
         allowed_bad_numbers=allowed,
         progress_path=given.progress,
+        parts_path=given.parts,
         **cleaning,
     )
 
@@ -110,6 +112,7 @@ def _gold(spark: SparkSession, given: argparse.Namespace, paths: dict[str, str])
         leaf_files=given.leaf_files,
         bad_numbers=bad,
         allowed_bad_numbers=given.allowed_bad_numbers,
+        parts_path=given.parts,
     )
 
 

@@ -31,6 +31,7 @@ def build_layers(
     last_pair_wins: bool = False,
     allowed_bad_numbers: int | None = None,
     progress_path: str | None = None,
+    parts_path: str | None = None,
 ) -> list[LayerStatus]:
     """Bring the three layers under ``root`` up to date and say what was done.
 
@@ -81,6 +82,7 @@ def build_layers(
                 checks,
                 bad_numbers=bad,
                 allowed_bad_numbers=allowed_bad_numbers,
+                parts_path=parts_path,
             )
         )
     return outcomes

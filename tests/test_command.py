@@ -63,3 +63,11 @@ def test_flags_count_or_are_refused(fresh, spark, capsys):
             main([step, "--responses", path, "--root", fresh, "--url", "u", flag][: 6 if step != "gold" else None])
         with pytest.raises(SystemExit):
             main([step, flag, "--root", fresh, "--responses", path, "--url", "u"])
+
+
+def test_gold_with_parts(fresh, responses):
+    main(["all", "--responses", responses, "--root", fresh, "--parts", f"{fresh}/parts"])
+    again = main(["gold", "--root", fresh, "--parts", f"{fresh}/parts"])
+    assert [(o.status, o.n_rows, o.n_leaves) for o in again] == [("written", 5, 2)]
+    with pytest.raises(SystemExit):
+        main(["silver", "--root", fresh, "--parts", f"{fresh}/parts"])
