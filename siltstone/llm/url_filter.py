@@ -2,13 +2,16 @@
 
 Names run together in hosts ("freecasinobets") are split by a unigram Viterbi search over the
 whole words of a public vocabulary, whose ranks give word probabilities by Zipf's law. Multinomial
-naive Bayes then scores host and path words. It learns from all URLs of the table: those with a
-seed word count as bad, the others as good; counts are grouped over the whole table, and only words
-of the vocabulary are features, so the model is bounded by the vocabulary.
+naive Bayes then scores host and path words. It learns from all URLs of the table by expectation
+maximisation: URLs with a seed word are bad in every round; the others count as bad by the chance that
+the last round's words give them, so a word that stands beside seed words gains weight, and then those
+beside it. URLs without a seed word weigh ``UNLABELLED`` as much, or the many would wash out the few.
+Counts are grouped over the whole table in whole numbers, so reruns agree; only words of the vocabulary
+are features, so the model is bounded by the vocabulary.
 
 Nulls, and URLs without "://", have an empty host and path; no rule fits them and the method
 allows them. Rows repeat as they come; other columns, whatever their names, are not read. An empty
-table gives no rows. Very long URLs are segmented in pieces of ``MAX_RUN`` letters.
+table gives no rows. Very long URLs are segmented whole. A score of exactly 0 is allowed.
 """
 
 from __future__ import annotations
@@ -40,11 +43,16 @@ SEED_WORDS = (
 ).split()
 
 MAX_WORD = 20
-MAX_RUN = 4096
 MIN_PIECE = 3
 SMOOTHING = 10.0
+# Share of bad URLs before any word is seen, rounds of learning, and weight of URLs without a seed word.
+PRIOR = 0.05
+ROUNDS = 4
+UNLABELLED = 0.25
 _SEED_COUNT = 1.0
-_URL = "<url>"
+# Soft counts are whole numbers of this part of a URL.
+_UNIT = 1 << 20
+_CACHED_RUN = 64
 _RUN = re.compile(r"[a-z]+|[0-9]+")
 
 
@@ -84,18 +92,25 @@ def word_costs(path: str = VOCABULARY) -> dict[str, float]:
 
 
 def segment(run: str, costs: dict[str, float]) -> list[str]:
-    """The cheapest split of a run of letters; letters that fit no word come out one by one."""
+    """The cheapest split of a run of letters; letters that fit no word come out one by one.
+
+    Of the costs only those of the last ``MAX_WORD`` places are held, of the split a byte a letter.
+    """
     unknown = 14.0
-    best, back = [0.0] + [math.inf] * len(run), [0] * (len(run) + 1)
+    recent, length = [0.0], bytearray(len(run) + 1)
     for end in range(1, len(run) + 1):
-        for start in range(max(0, end - MAX_WORD), end):
-            cost = costs.get(run[start:end], unknown if end - start == 1 else math.inf)
-            if best[start] + cost < best[end]:
-                best[end], back[end] = best[start] + cost, start
+        least, chosen = math.inf, 1
+        for back in range(len(recent), 0, -1):
+            word = costs.get(run[end - back : end], unknown if back == 1 else math.inf)
+            if recent[-back] + word < least:
+                least, chosen = recent[-back] + word, back
+        recent.append(least)
+        length[end] = chosen
+        del recent[:-MAX_WORD]
     words, end = [], len(run)
     while end:
-        words.append(run[back[end] : end])
-        end = back[end]
+        words.append(run[end - length[end] : end])
+        end -= length[end]
     return words[::-1]
 
 
@@ -106,19 +121,21 @@ def url_words(host: str, path: str, costs: dict[str, float], seen: dict[str, lis
         if run[0].isdigit():
             out.append("<number>")
             continue
-        for part in (run[i : i + MAX_RUN] for i in range(0, len(run), MAX_RUN)):
-            words = seen.get(part)
-            if words is None:
-                words = [w if w in costs else "<letter>" for w in segment(part, costs)]
-                if len(seen) < 100_000:
-                    seen[part] = words
-            out += words
+        words = seen.get(run)
+        if words is None:
+            words = [w if w in costs else "<letter>" for w in segment(run, costs)]
+            if len(run) <= _CACHED_RUN and len(seen) < 100_000:
+                seen[run] = words
+        out += words
     return out
 
 
-def _count_words(costs: dict[str, float]):
-    seeds = set(SEED_WORDS)
+def log_odds(words: list[str], weights: dict[str, float], prior: float) -> float:
+    """Log odds, bad to good, of a URL with these words; words without a weight say nothing."""
+    return math.fsum((math.log(prior / (1 - prior)), *(weights.get(w, 0.0) for w in words)))
+
 
+def _count_words(costs: dict[str, float], seeds: frozenset, weights: dict[str, float], prior: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         good: dict[str, int] = {}
         bad: dict[str, int] = {}
@@ -126,58 +143,78 @@ def _count_words(costs: dict[str, float]):
         for batch in batches:
             for host, path in zip(batch["host"].to_pylist(), batch["path"].to_pylist(), strict=True):
                 words = url_words(host, path, costs, seen)
-                into = bad if seeds.intersection(words) else good
-                for w in (_URL, *words):
-                    into[w] = into.get(w, 0) + 1
-        words = list(good.keys() | bad.keys())
+                if not seeds.isdisjoint(words):
+                    as_bad, as_good = _UNIT, 0
+                else:
+                    # Before the first round there is nothing to tell them by: they count as good.
+                    odds = log_odds(words, weights, prior) if weights else -math.inf
+                    chance = 1 / (1 + math.exp(-odds)) if odds > -700 else 0.0
+                    as_bad = round(chance * UNLABELLED * _UNIT)
+                    as_good = round((1 - chance) * UNLABELLED * _UNIT)
+                for w in words:
+                    bad[w] = bad.get(w, 0) + as_bad
+                    good[w] = good.get(w, 0) + as_good
         yield pa.RecordBatch.from_pydict(
-            {"word": pa.array(words, pa.string())}
-            | {n: pa.array([c.get(w, 0) for w in words], pa.int64()) for n, c in (("good", good), ("bad", bad))}
+            {"word": pa.array(list(good), pa.string())}
+            | {n: pa.array(c.values(), pa.int64()) for n, c in (("good", good), ("bad", {w: bad[w] for w in good}))}
         )
 
     return run
 
 
-def fit(urls: DataFrame, costs: dict[str, float]) -> dict[str, float]:
-    """Log likelihood ratio, bad to good, of each word; at most one per word of the vocabulary.
-
-    Under ``_URL`` stands the classes' prior ratio. Seed words join the bad side with a count of one
-    each, so that an input without bad URLs still has both classes. Words never seen weigh nothing.
-    """
-    counts = urls.mapInArrow(_count_words(costs), "word string, good long, bad long")
-    rows = counts.groupBy("word").agg(F.sum("good").alias("good"), F.sum("bad").alias("bad")).collect()
-    good = {r["word"]: r["good"] for r in rows}
-    bad = {r["word"]: r["bad"] for r in rows}
-    prior = math.log((bad.pop(_URL, 0) + 1) / (good.pop(_URL, 0) + 1))
-    for w in SEED_WORDS:
-        bad[w] = bad.get(w, 0) + _SEED_COUNT
-    words = good.keys() | bad.keys()
+def _weights(good: dict[str, float], bad: dict[str, float]) -> dict[str, float]:
     n_good, n_bad = sum(good.values()), sum(bad.values())
 
-    def chance(of: dict[str, int], n: float, w: str) -> float:
+    def chance(of: dict[str, float], n: float, w: str) -> float:
         # Smoothed towards both classes together, so that a rare word leans to neither for its rarity.
         pooled = (good.get(w, 0) + bad.get(w, 0)) / (n_good + n_bad)
         return (of.get(w, 0) + SMOOTHING * pooled) / (n + SMOOTHING)
 
-    weights = {w: math.log(chance(bad, n_bad, w) / chance(good, n_good, w)) for w in words}
-    return weights | {_URL: prior}
+    return {w: math.log(chance(bad, n_bad, w) / chance(good, n_good, w)) for w in good.keys() | bad.keys()}
+
 
+def fit(urls: DataFrame, costs: dict[str, float], seeds=SEED_WORDS, prior: float = PRIOR) -> dict[str, float]:
+    """Log likelihood ratio, bad to good, of each word; at most one per word of the vocabulary.
 
-def judge(pages: DataFrame, vocabulary: str = VOCABULARY, rules=RULES) -> DataFrame:
+    ``ROUNDS`` passes over all URLs. Seed words join the bad side with a count of one each, so that an
+    input without bad URLs still has both classes. Words never seen weigh nothing.
+    """
+    weights: dict[str, float] = {}
+    for _ in range(ROUNDS):
+        counts = urls.mapInArrow(
+            _count_words(costs, frozenset(seeds), weights, prior), "word string, good long, bad long"
+        )
+        rows = counts.groupBy("word").agg(F.sum("good").alias("good"), F.sum("bad").alias("bad")).collect()
+        good = {r["word"]: r["good"] / _UNIT for r in rows}
+        bad = {r["word"]: r["bad"] / _UNIT for r in rows}
+        for w in seeds:
+            bad[w] = bad.get(w, 0) + _SEED_COUNT
+        weights = _weights(good, bad)
+    return weights
+
+
+def judge(
+    pages: DataFrame,
+    vocabulary: str = VOCABULARY,
+    rules=RULES,
+    seeds=SEED_WORDS,
+    prior: float = PRIOR,
+) -> DataFrame:
     """(page_id, host, path, rule, verdict, score): the rule's verdict, else the method's.
 
-    ``score`` is the method's log odds that the URL is bad, given for every row.
+    ``score`` is the method's log odds that the URL is bad, given for every row; ``prior`` the share of
+    bad URLs that it starts from.
     """
     urls = pages.select("page_id", host_of(F.col("url")).alias("host"), path_of(F.col("url")).alias("path"))
     costs = word_costs(vocabulary)
-    weights = fit(urls.select("host", "path"), costs)
+    weights = fit(urls.select("host", "path"), costs, seeds, prior)
 
     @F.arrow_udf("double")
     def scored(hosts: pa.Array, paths: pa.Array) -> pa.Array:
         seen: dict[str, list[str]] = {}
         pairs = zip(hosts.to_pylist(), paths.to_pylist(), strict=True)
-        words = ((_URL, *url_words(h, p, costs, seen)) for h, p in pairs)
-        return pa.array([math.fsum(weights.get(w, 0.0) for w in some) for some in words], pa.float64())
+        words = (url_words(h, p, costs, seen) for h, p in pairs)
+        return pa.array([log_odds(some, weights, prior) for some in words], pa.float64())
 
     ruled = urls.withColumn("ruled", rule_of(F.col("host"), F.col("path"), rules)).withColumn(
         "score", scored("host", "path")

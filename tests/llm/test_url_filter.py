@@ -47,3 +47,61 @@ def test_run_together_names_are_split_and_judged(spark):
 def test_long_url(spark):
     pages = spark.createDataFrame([(1, "http://" + "abc" * 20000 + ".org/" + "x" * 50000)], "page_id long, url string")
     assert url_filter.judge(pages).count() == 1
+
+
+def _pages(spark, urls):
+    return spark.createDataFrame(list(enumerate(urls)), "page_id long, url string")
+
+
+# Words of each kind of site; those of the second half of the bad ones are no seeds in the test.
+BAD = [["casino", "bonus"], ["poker", "bonus"], ["lottery", "winner"], ["jackpot", "bonus"], ["slots", "winner"], ["viagra", "discount"]]
+GOOD = [["garden", "report"], ["weather", "report"], ["school", "history"], ["museum", "history"], ["river", "garden"], ["report", "school"]]
+
+
+def test_urls_of_hidden_seed_words_are_found(spark):
+    known = ["casino", "poker", "lottery"]
+    seen = {False: [], True: []}
+    for n in range(600):
+        for bad, kinds in ((True, BAD), (False, GOOD)):
+            if bad and n % 5:
+                continue
+            words = kinds[(n // 5 if bad else n) % 6]
+            link = kinds[(n // 7) % 6][1]
+            seen[bad].append(f"http://{''.join(words)}{n % 3}.example.org/{link}/{n}.html")
+    urls = seen[True] + seen[False]
+    verdicts = {r["page_id"]: r["verdict"] for r in url_filter.judge(_pages(spark, urls), rules=(), seeds=known).collect()}
+    hidden = [k for k, u in enumerate(seen[True]) if not any(w in u for w in known)]
+    assert len(hidden) == 60
+    found = sum(verdicts[k] == "block" for k in hidden)
+    wrong = sum(verdicts[k] == "block" for k in range(len(seen[True]), len(urls)))
+    assert found >= 40 and wrong == 0
+    assert all(verdicts[k] == "block" for k in range(len(seen[True])) if k not in hidden)
+
+
+def test_without_seed_words_nothing_is_blocked(spark):
+    urls = [f"http://{''.join(GOOD[n % 6])}.example.org/{n}" for n in range(300)]
+    assert url_filter.judge(_pages(spark, urls), rules=()).filter("verdict = 'block'").count() == 0
+
+
+def test_split_is_the_cheapest_of_all():
+    costs = {"a": 3.0, "ab": 4.0, "abc": 9.0, "bc": 4.5, "cab": 5.0, "b": 6.0, "x" * url_filter.MAX_WORD: 2.0}
+
+    def cheapest(run):
+        if not run:
+            return 0.0
+        return min(
+            cheapest(run[:k]) + costs.get(run[k:], 14.0 if len(run) - k == 1 else float("inf")) for k in range(len(run))
+        )
+
+    for n in range(3**7):
+        run = "".join("abc"[n // 3**k % 3] for k in range(7))
+        words = url_filter.segment(run, costs)
+        assert "".join(words) == run
+        assert abs(sum(costs.get(w, 14.0) for w in words) - cheapest(run)) < 1e-9
+    assert url_filter.segment("x" * 41, costs).count("x" * 20) == 2
+
+
+def test_a_long_run_is_split_in_words_all_the_way(spark):
+    costs = url_filter.word_costs()
+    run = "gardenweather" * 5000
+    assert url_filter.segment(run, costs) == ["garden", "weather"] * 5000
