@@ -121,6 +121,18 @@ ORACLE: dict[str, str] = {
     "flt_partition_pruned": f"""
         SELECT id, state, city, longitude FROM ({_clean('lineitem')})
         WHERE state = 'A' AND city = 'O/3 '""",
+    "flt_point_read": f"""
+        SELECT id, state, postal_code FROM ({_clean('lineitem')})
+        WHERE id IN ('1-1', '7-2', '32-5', 'no such') OR postal_code = '17'""",
+    "src_type_drift": """
+        SELECT l_orderkey, CAST(l_linenumber AS BIGINT) AS l_linenumber,
+               CASE WHEN l_linenumber < 4 THEN CAST(CAST(l_quantity AS INTEGER) AS DOUBLE)
+                    ELSE l_extendedprice END AS l_quantity,
+               CASE WHEN l_linenumber < 4 THEN CAST(l_suppkey AS VARCHAR)
+                    ELSE concat('P', CAST(l_suppkey AS VARCHAR)) END AS part,
+               CASE WHEN l_linenumber < 4 THEN l_returnflag END AS l_returnflag,
+               CASE WHEN l_linenumber >= 4 THEN l_linestatus END AS l_linestatus
+        FROM lineitem""",
     "cln_cast_string": """
         SELECT CAST(l_orderkey AS VARCHAR) AS l_orderkey,
                CAST(l_linenumber AS VARCHAR) AS l_linenumber, l_returnflag

@@ -32,7 +32,7 @@ from siltstone.plans.summarise import silver_to_gold
 from siltstone.runtime import scratch_path
 from siltstone.sinks.bronze import land_array_documents, land_frame, land_record_text
 from siltstone.sinks.layers import write_gold, write_silver
-from siltstone.sources import layers, pages, records
+from siltstone.sources import drift, layers, pages, records
 from siltstone.spec import LOCATIONS
 from siltstone.versions import current
 
@@ -110,6 +110,22 @@ def src_merge_schema_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return layers.read_merged(spark, path).select("o_orderkey", "o_orderpriority", "o_orderstatus")
 
 
+@query
+def src_type_drift(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two loads of one layer: a column turned from number to text, one got wider, one came, one went."""
+    path, items = scratch_path(spark, "drift"), table(spark, sf_dir, "lineitem")
+    first = items.filter("l_linenumber < 4").selectExpr(
+        "l_orderkey", "l_linenumber", "CAST(l_quantity AS INT) AS l_quantity", "l_suppkey AS part", "l_returnflag"
+    )
+    second = items.filter("l_linenumber >= 4").selectExpr(
+        "l_orderkey", "CAST(l_linenumber AS BIGINT) AS l_linenumber", "l_extendedprice AS l_quantity",
+        "CONCAT('P', CAST(l_suppkey AS STRING)) AS part", "l_linestatus"
+    )
+    first.write.parquet(path)
+    second.write.mode("append").parquet(path)
+    return drift.read_drifted(spark, path)
+
+
 @query
 def src_empty_input_guard(spark: SparkSession, sf_dir: str) -> DataFrame:
     present = silver_of(spark, sf_dir, "lineitem")
@@ -217,6 +233,17 @@ def flt_partition_pruned(spark: SparkSession, sf_dir: str) -> DataFrame:
     return leaf.select("id", "state", "city", "longitude")
 
 
+@query
+def flt_point_read(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Single rows out of large leaves whose files are ordered and carry Bloom filters."""
+    path = scratch_path(spark, "silver")
+    cleaned = clean_locations(spark, sf_dir, "lineitem")
+    write_silver(cleaned, path, LOCATIONS, order_by=["postal_code", "id"], bloom=["id"])
+    found = layers.read_silver(spark, path, LOCATIONS)
+    wanted = ["1-1", "7-2", "32-5", "no such"]
+    return found.filter(F.col("id").isin(wanted) | (F.col("postal_code") == "17")).select("id", "state", "postal_code")
+
+
 @query
 def cln_cast_string(spark: SparkSession, sf_dir: str) -> DataFrame:
     columns = ["l_orderkey", "l_linenumber", "l_returnflag"]

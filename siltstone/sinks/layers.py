@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from siltstone.operators.fingerprint import fingerprint, row_hashes
-from siltstone.operators.heavy import dealt, suffices
+from siltstone.operators.heavy import NAMED, dealt, suffices
 from siltstone.runtime import checkpointed, fits_broadcast, path_exists
 from siltstone.spec import LayerSpec
 from siltstone.versions import Version, amend, current, replace, versions
@@ -47,11 +47,18 @@ def _with_pieces(
 
 
 def _counted_pieces(df: DataFrame, spec: LayerSpec, piece_rows: int) -> DataFrame:
-    """The pieces by a pass over the keys, hashed over a fixed number of tasks, so none is split again."""
-    leaves = _leaf_rows(df, spec)
+    """The pieces by a pass over the keys: dealt to tasks one by one, as with a sketch.
+
+    Where more leaves than a sketch names are above ``piece_rows``, there are many times more pieces than
+    these, and they are hashed over a fixed number of tasks. In neither way a task is split again.
+    """
+    leaves, keys = _leaf_rows(df, spec), list(spec.clean_keys)
     total = leaves.agg(F.coalesce(F.sum("leaf_rows"), F.lit(0))).first()[0]
+    hot = leaves.filter(F.col("leaf_rows") > piece_rows).select("leaf_rows", *keys).limit(NAMED + 1).collect()
+    if len(hot) <= NAMED and all(key is not None for leaf in hot for key in leaf):
+        return dealt(df, keys, [list(leaf) for leaf in hot], total, piece_rows)
     numbered = _with_pieces(df, spec, piece_rows, leaves)
-    return numbered.repartition(max(1, -(-total // piece_rows)), *spec.clean_keys, _PIECE).drop(_PIECE)
+    return numbered.repartition(max(1, -(-total // piece_rows)), *keys, _PIECE).drop(_PIECE)
 
 
 def _balanced(df: DataFrame, spec: LayerSpec, piece_rows: int | None, source: Version | None) -> DataFrame:
@@ -76,6 +83,8 @@ def write_silver(
     helpers: Sequence[str] = (),
     source: Version | None = None,
     all_rows: bool = False,
+    order_by: Sequence[str] = (),
+    bloom: Sequence[str] = (),
 ) -> dict[str, int]:
     """Write a frame that has the directory keys, split by them.
 
@@ -91,6 +100,10 @@ def write_silver(
     spec; then rows are cleaned and shuffled once. A sketch is too coarse for pieces below a 500th
     of all rows: for these, and without one, a pass over the keys counts the leaves first.
 
+    Within a file rows are ordered by ``order_by``, so that a filter on these columns reads only the pages
+    that may hold its values, and the ``bloom`` columns get Bloom filters, by which a filter for single
+    values skips whole row groups: both prune inside a leaf that directory keys do not split.
+
     The manifest gets a fingerprint of the rows written and of their grouping keys, and with
     ``all_rows`` the one that ``source`` was landed with, which must be the same.
 
@@ -109,7 +122,14 @@ def write_silver(
     sums += [fingerprint(name).alias(name) for name in prints]
     counted = balanced.withColumns(hashes) if hashes else balanced
     counted = counted.observe(rows, F.count(F.lit(1)).alias("n_rows"), *sums).drop(*helpers, *hashes)
-    spark, writer = df.sparkSession, counted.write.partitionBy(*spec.clean_keys)
+    spark = df.sparkSession
+    if order_by:
+        # Keys that cannot be null let the writer take this order; else it would sort anew by them alone.
+        whole_keys = counted.withColumns({k: F.coalesce(k, F.lit("")) for k in spec.clean_keys})
+        counted = whole_keys.sortWithinPartitions(*spec.clean_keys, *order_by)
+    writer = counted.write.partitionBy(*spec.clean_keys)
+    for column in bloom:
+        writer = writer.option(f"parquet.bloom.filter.enabled#{column}", "true")
 
     def notes() -> dict:
         told = {name: list(rows.get[name]) for name in prints}

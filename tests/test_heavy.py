@@ -172,3 +172,10 @@ def test_a_cleaning_that_swaps_rows_stops_gold(spark, fresh, monkeypatch):
     bronze_to_silver(spark, f"{fresh}/b", f"{fresh}/s", LOCATIONS, last_pair_wins=True)
     silver_to_gold(spark, f"{fresh}/s", f"{fresh}/g", LOCATIONS)
     assert json.loads(json.dumps(newest(spark, f"{fresh}/s").notes)).keys() == {"rows_print", "keys_print"}
+
+
+def test_many_hot_leaves_are_hashed(spark, fresh, monkeypatch):
+    monkeypatch.setattr(layers, "NAMED", 3)
+    land_record_text(_records(spark, 6000), f"{fresh}/b")
+    assert bronze_to_silver(spark, f"{fresh}/b", f"{fresh}/s", LOCATIONS, piece_rows=15).n_rows == 6000
+    assert read_silver(spark, f"{fresh}/s", LOCATIONS).agg(F.countDistinct("id")).first()[0] == 6000
