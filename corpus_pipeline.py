@@ -6,6 +6,10 @@
 4. Secrets are masked in the texts that hold any.
 5. Documents are repeated so that sources reach their target weights.
 
+Odd rows have the result that the stage's operator defines in its docstring: nulls in any column, empty and very
+long texts, ties and repeated rows pass or go as any other row, further columns of ``documents`` stay, and an empty
+table gives an empty one. The stages stay under ``spark.checkpoint.dir`` until that is cleared.
+
 All stages but the last return the columns of ``documents``; the last one too, a row per copy.
 """
 

@@ -5,7 +5,8 @@ equal size by bisection along the widest direction, refined by swaps that reduce
 small neural classifier learns in which parts a vector's neighbours lie. It gives every row of the
 table its part, and routes each query to its most probable parts, as many as reach ``RECALL`` against
 brute force among vectors of the sample that it was not fitted on. Vectors without any structure need
-most parts for that, clustered ones a few. Candidates are scored exactly, in double precision.
+most parts for that, clustered ones a few. There are 2 to ``MAX_PARTS`` parts, one per ``PART_ROWS`` rows
+(below some 290 rows a single one, searched whole); more rows make larger parts. Candidates are scored exactly, in double precision.
 
 Rows of a part are dealt over blocks of bounded size, queries of a part over chunks, and a task gets
 one block and one chunk, so a part with a third of all rows is many tasks. Equal vectors of a block
@@ -13,7 +14,7 @@ are scored once; of these only the ids that can be among the nearest are kept.
 
 Null, zero and non-finite vectors, null ids, and vectors whose length is not the table's most common
 one (of equally common ones the longest) take no part. Of rows with the same id the one with the
-smallest vector counts. Extra columns are not read. An empty table gives no rows.
+smallest vector counts; equal scores go to the smaller id. Extra columns are not read. An empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -143,7 +144,8 @@ def learn(sample: np.ndarray, rows: int, k: int) -> tuple[Router | None, int, in
     """The router, the number of parts, and how many parts a query is routed to."""
     fresh = np.arange(len(sample)) % HELD_BACK == 0
     held, sample = sample[fresh], sample[~fresh]
-    room = min(MAX_PARTS, max(1, rows // PART_ROWS), len(sample) // LEAST_SAMPLE_PER_PART)
+    # Two parts at least, wherever the sample can teach them: small tables go the way of large ones.
+    room = min(MAX_PARTS, max(2, rows // PART_ROWS), len(sample) // LEAST_SAMPLE_PER_PART)
     parts = 1 << max(0, room.bit_length() - 1) if room else 1
     if parts < 2:
         return None, 1, 1
