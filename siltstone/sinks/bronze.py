@@ -26,6 +26,11 @@ _LOSSLESS = {
 
 _ADVISORY = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
 
+# Record lines repeat their keys, so even the fastest level takes most of them. A compressed file is read by
+# one task; it is cut after so many records, and holds no more than the task that wrote it had.
+_RECORDS_PER_FILE = 1 << 17
+_PACKED = {"compression": "gzip", "zlib.compress.level": "BEST_SPEED", "maxRecordsPerFile": str(_RECORDS_PER_FILE)}
+
 
 def _cleaned(records: DataFrame, spec: LayerSpec) -> DataFrame:
     """Records beside hashes of their clean form and their leaf; text that does not parse is blank here."""
@@ -51,7 +56,7 @@ def _notes(measured: dict, spec: LayerSpec | None) -> dict:
 
 
 def land_record_text(records: DataFrame, path: str, spec: LayerSpec | None = None) -> None:
-    """Write JSON text (column ``record``) as it is, one record per line.
+    """Write JSON text (column ``record``) as it is, one record per line, in compressed files of bounded length.
 
     With a ``spec`` the manifest gets the leaves that will hold most rows and a fingerprint of the
     rows as they will be cleaned, both taken in the same pass.
@@ -61,7 +66,7 @@ def land_record_text(records: DataFrame, path: str, spec: LayerSpec | None = Non
     counted = wide.observe(rows, F.count(F.lit(1)).alias("n"), *_measures(spec)).select("record")
 
     def whole(folder: str) -> int:
-        counted.write.text(folder)
+        counted.write.options(**_PACKED).text(folder)
         return rows.get["n"]
 
     replace(records.sparkSession, path, whole, lambda: _notes(rows.get, spec))
@@ -77,7 +82,7 @@ def land_array_documents(records: DataFrame, path: str, spec: LayerSpec | None =
 
     For readers that need an array. Records are measured and dealt out first, so that a document is
     about the advisory partition size, whatever the partitions were; a reader holds one whole.
-    Lines (``land_record_text``) are the better layout: they can be split again on read. ``spec``: as there,
+    Lines (``land_record_text``) are the better layout: many files, read line by line. ``spec``: as there,
     taken where the records are measured.
     """
     spark = records.sparkSession

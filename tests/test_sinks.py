@@ -13,14 +13,14 @@ from pyspark.sql import functions as F
 from siltstone import runtime
 from siltstone.operators.aggregates import file_count
 from siltstone.operators.cleaning import clean, with_clean_keys
-from siltstone.sinks import layers
+from siltstone.sinks import bronze, layers
 from siltstone.sinks.bronze import land_array_documents, land_frame, land_record_text
 from siltstone.sinks.layers import is_complete, write_gold, write_silver
 from siltstone.sinks.responses import write_responses
 from siltstone.sources.layers import read_silver
 from siltstone.sources.records import record_lines
 from siltstone.spec import LOCATIONS
-from siltstone.versions import current
+from siltstone.versions import current, newest
 
 
 def _keyed(spark, rows):
@@ -171,6 +171,17 @@ def test_text_landing_replaces(spark, fresh):
     assert [r["value"] for r in record_lines(spark, f"{fresh}/b").collect()] == ['{"b":null}']
 
 
+def test_landed_lines_are_packed_into_bounded_files(spark, fresh, monkeypatch):
+    monkeypatch.setitem(bronze._PACKED, "maxRecordsPerFile", "1000")
+    texts = [json.dumps({"id": f"n{i}", "name": f'é "{i}', "state": None, "phone": ""}) for i in range(4500)]
+    records = spark.createDataFrame([(t,) for t in texts], "record string").coalesce(1)
+    land_record_text(records, f"{fresh}/b")
+    assert len(glob.glob(f"{fresh}/b/v*/part-*")) == 5
+    version = newest(spark, f"{fresh}/b")
+    assert version.rows == 4500 and version.bytes * 3 < sum(map(len, texts))
+    assert sorted(r["value"] for r in record_lines(spark, f"{fresh}/b").collect()) == sorted(texts)
+
+
 def test_gold_is_replaced_and_marked(spark, fresh):
     assert not is_complete(spark, f"{fresh}/g")
     for n in (3, 2):
